@@ -114,7 +114,9 @@ def batch_embed(df: DataFrame, embed: EmbedFn, text_col: str = "text",
     Output: ``keep`` columns, ``out_col`` (array<float>, null on failure),
     ``embed_error`` (string, null on success) and ``embed_seconds``.
     """
-    in_schema = df.select(*keep, text_col).schema
+    keep = tuple(c for c in keep if c != text_col) + ((text_col,) if text_col in keep else ())
+    cols = list(dict.fromkeys([*keep, text_col]))
+    in_schema = df.select(*cols).schema
     out_schema = T.StructType(
         [f for f in in_schema.fields if f.name in keep]
         + [T.StructField(out_col, T.ArrayType(T.FloatType()), True),
@@ -138,7 +140,7 @@ def batch_embed(df: DataFrame, embed: EmbedFn, text_col: str = "text",
             out["embed_seconds"] = secs
             yield out
 
-    return df.select(*keep, text_col).mapInPandas(run, out_schema)
+    return df.select(*cols).mapInPandas(run, out_schema)
 
 
 def hashing_buckets(df: DataFrame, id_cols: list[str], text_col: str = "text", dim: int = 64) -> DataFrame:
@@ -157,11 +159,11 @@ def hashing_buckets(df: DataFrame, id_cols: list[str], text_col: str = "text", d
 
 
 def dense_vectors(buckets: DataFrame, id_cols: list[str], dim: int, out_col: str = "vector") -> DataFrame:
-    """Long (id, bucket, weight) -> dense array<float> of length ``dim``."""
+    """Long (id, bucket, weight) -> dense array<double> of length ``dim``."""
     m = buckets.groupBy(*id_cols).agg(
         F.map_from_entries(F.collect_list(F.struct("bucket", "weight"))).alias("__m"))
     vec = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
-                      lambda i: F.coalesce(F.element_at(F.col("__m"), i), F.lit(0.0)).cast("float"))
+                      lambda i: F.coalesce(F.element_at(F.col("__m"), i), F.lit(0.0)).cast("double"))
     return m.select(*id_cols, vec.alias(out_col))
 
 

@@ -27,9 +27,10 @@ def _minutes_after(t0: str, minutes) -> F.Column:
     return F.expr(f"timestamp_ntz'{t0}' + make_dt_interval(0, 0, CAST({minutes} AS INT), 0)")
 
 
-_EXT = (F.when(F.col("doc_id") % 10 == 0, ".docx").when(F.col("doc_id") % 10 == 6, ".md")
-        .when(F.col("doc_id") % 10 == 7, ".MD").when(F.col("doc_id") % 10 == 8, ".DS_Store")
-        .when(F.col("doc_id") % 10 == 9, ".markdown").otherwise(".pdf"))
+def _ext():
+    return (F.when(F.col("doc_id") % 10 == 0, ".docx").when(F.col("doc_id") % 10 == 6, ".md")
+            .when(F.col("doc_id") % 10 == 7, ".MD").when(F.col("doc_id") % 10 == 8, ".DS_Store")
+            .when(F.col("doc_id") % 10 == 9, ".markdown").otherwise(".pdf"))
 
 
 def fx_files(spark: SparkSession, d: str) -> DataFrame:
@@ -39,7 +40,7 @@ def fx_files(spark: SparkSession, d: str) -> DataFrame:
         "doc_id", "text", "lang", "source", F.md5(F.col("text")).alias("content_md5"),
         F.col("n_chars").alias("size"),
         F.concat(F.lit("source/"), "source", F.lit("/"), "lang", F.lit("/doc_"),
-                 F.col("doc_id").cast("string"), _EXT).alias("object_key"),
+                 F.col("doc_id").cast("string"), _ext()).alias("object_key"),
         _minutes_after(T0, "doc_id").alias("ts"))
 
 
@@ -81,7 +82,8 @@ def fx_resident(spark, d):
         F.col("content_md5").alias("file_hash"), F.lit("content").alias("collection_name"))
 
 
-_STAGE = (F.when(F.substring("source", 4, 10).cast("int") % 5 == 0, "docling")
+def _stage():
+    return (F.when(F.substring("source", 4, 10).cast("int") % 5 == 0, "docling")
           .when(F.substring("source", 4, 10).cast("int") % 5 == 1, "r2")
           .when(F.substring("source", 4, 10).cast("int") % 5 == 2, "chunker")
           .when(F.substring("source", 4, 10).cast("int") % 5 == 3, "ollama").otherwise("qdrant"))
@@ -91,7 +93,7 @@ def fx_failed(spark, d):
     lab = _labelled(spark, d).where("toxic = 1")
     main = lab.select(P.basename("object_key").alias("filename"), F.col("content_md5").alias("hash"),
                       F.col("ts").alias("datetime"), F.lit("conversion failed").alias("error"),
-                      _STAGE.alias("stage"))
+                      _stage().alias("stage"))
     reproc = lab.where("quality = 0").select(
         P.original_name(P.mirrored_key("object_key")).alias("filename"), F.col("content_md5").alias("hash"),
         F.col("ts").alias("datetime"), F.lit("reprocess failed").alias("error"), F.lit("reprocess").alias("stage"))
@@ -122,7 +124,8 @@ def fx_md(spark, d):
     return docs.select("doc_id", "source", k.cast("int").alias("kind"), text.alias("text"))
 
 
-_ETYPE = (F.when(F.col("label") % 5 == 0, "Text").when(F.col("label") % 5 == 1, "Table")
+def _etype():
+    return (F.when(F.col("label") % 5 == 0, "Text").when(F.col("label") % 5 == 1, "Table")
           .when(F.col("label") % 5 == 2, "List").when(F.col("label") % 5 == 3, "Code").otherwise("Image"))
 
 
@@ -132,7 +135,7 @@ def fx_points(spark, d):
         F.col("vec_id").alias("id"),
         F.concat(F.lit("doc_"), (F.col("vec_id") % 50).cast("string"), F.lit(".pdf")).alias("filename"),
         (F.floor(F.col("vec_id") / 50) + 1).cast("int").alias("page_number"),
-        _ETYPE.alias("element_type"),
+        _etype().alias("element_type"),
         F.concat(F.lit("chunk "), F.col("vec_id").cast("string")).alias("pagecontent"),
         F.col("embedding").alias("vector"), "label")
 
