@@ -84,10 +84,11 @@ def prefix_tokens(text, min_len: int = 1, max_len: int = 15) -> Column:
     ))
 
 
-# Script-aware split: CJK ideographs one by one, kana runs, Hangul runs and
-# runs of any other letters/digits. No dictionary segmentation.
+# Script-aware split: runs of CJK ideographs, kana runs, Hangul runs and
+# runs of any other letters/digits, so a change of script is a boundary. No
+# dictionary segmentation inside a run.
 MULTILINGUAL_PATTERN = (
-    r"\p{IsHan}|[\p{IsHiragana}\p{IsKatakana}]+|\p{IsHangul}+"
+    r"\p{IsHan}+|[\p{IsHiragana}\p{IsKatakana}]+|\p{IsHangul}+"
     r"|[\p{L}\p{N}&&[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsHangul}]]+"
 )
 

@@ -13,7 +13,9 @@ Definition (the recursive character splitter with a token length function):
   empties. Sizes add over pieces.
 
 An absent separator yields one piece, which either fits or falls through to
-the next level — the same result as skipping to the first present separator.
+the next level — the same result as skipping to the first present separator,
+except for a text with no non-empty separator at all: that one is split into
+characters at once (handled in ``chunk_texts``).
 
 The fold is a nest of ``aggregate`` lambdas evaluated inside the JVM; no
 Python runs per row. Chunking is a narrow (per-document) transformation:
@@ -110,7 +112,14 @@ def chunk_texts(text, chunk_tokens: int = DEFAULT_CHUNK_TOKENS,
     if overlap_tokens >= chunk_tokens:
         raise ValueError("overlap must be smaller than the chunk size")
     clean = F.regexp_replace(col(text), _MARK, "")
-    return _fold(clean, 0, chunk_tokens, overlap_tokens, counter)
+    # A text holding none of the non-empty separators is split into characters
+    # right away (even when it fits), as the splitter picks the first separator
+    # present; per-character token counts then decide the merge.
+    has_sep = F.lit(False)
+    for s in SEPARATORS[:-1]:
+        has_sep = has_sep | clean.contains(s)
+    return F.when(has_sep, _fold(clean, 0, chunk_tokens, overlap_tokens, counter)).otherwise(
+        _fold(clean, len(SEPARATORS) - 1, chunk_tokens, overlap_tokens, counter))
 
 
 def ensure_parallelism(df: DataFrame, min_partitions: int | None) -> DataFrame:

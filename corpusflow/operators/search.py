@@ -51,18 +51,27 @@ def _collect_bounded(df: DataFrame, max_rows: int, what: str) -> list:
 
 
 def _query_blocks(queries: DataFrame, query_id: str, dim_hint: int | None,
-                  max_queries: int) -> list[DataFrame]:
-    """Split the query set into blocks that respect the row and byte budget."""
+                  max_queries: int, depth: int = 0) -> list[DataFrame]:
+    """Split the query set into blocks within the row and byte budget.
+
+    A block that is still too large (uneven hashing) is split again with a
+    different salt, so every block is provably bounded before it is shipped.
+    """
     per_block = max_queries
     if dim_hint:
         per_block = max(1, min(max_queries, MAX_QUERY_BYTES // (8 * dim_hint + 64)))
-    n = queries.limit(per_block + 1).count()
-    if n <= per_block:
+    if queries.limit(per_block + 1).count() <= per_block:
         return [queries]
-    total = queries.count()
-    blocks = math.ceil(total / per_block) * 2
-    keyed = queries.withColumn("__blk", F.pmod(F.xxhash64(query_id), F.lit(blocks)))
-    return [keyed.where(F.col("__blk") == b).drop("__blk") for b in range(blocks)]
+    if depth >= 8:
+        raise OverflowError("query ids are not distinct enough to split into bounded blocks")
+    n_blocks = math.ceil(queries.count() / per_block) * 2
+    salt = F.concat(F.col(query_id).cast("string"), F.lit(f"#{depth}"))
+    keyed = queries.withColumn("__blk", F.pmod(F.xxhash64(salt), F.lit(n_blocks)))
+    out = []
+    for b in range(n_blocks):
+        out += _query_blocks(keyed.where(F.col("__blk") == b).drop("__blk"), query_id, dim_hint,
+                             max_queries, depth + 1)
+    return out
 
 
 def _partition_topk(points: DataFrame, qids: list, qmat: np.ndarray, k: int, metric: str,
@@ -78,6 +87,7 @@ def _partition_topk(points: DataFrame, qids: list, qmat: np.ndarray, k: int, met
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         best: list[pd.DataFrame] = []
+        held = 0
         for pdf in batches:
             pdf = pdf[pdf[vector_col].notna()]
             if pdf.empty:
@@ -92,32 +102,36 @@ def _partition_topk(points: DataFrame, qids: list, qmat: np.ndarray, k: int, met
                 s = np.stack([np.sqrt(((vmat - q[j]) ** 2).sum(axis=1)) for j in range(len(q))], axis=1)
             else:
                 s = np.stack([np.abs(vmat - q[j]).sum(axis=1) for j in range(len(q))], axis=1)
+            key = np.round(s, SCORE_DECIMALS)
+            key = -key if larger else key
             base = pdf[[id_col, *carry]].reset_index(drop=True)
             for j, qid in enumerate(qids_s):
-                cand = base.copy()
-                cand["score"] = s[:, j]
+                col = key[:, j]
+                if len(col) > k:
+                    kth = np.partition(col, k - 1)[k - 1]
+                    idx = np.nonzero(col <= kth)[0]  # ties at the boundary are kept
+                else:
+                    idx = np.arange(len(col))
+                cand = base.iloc[idx].copy()
+                cand["score"] = s[idx, j]
                 cand["query_id"] = qid
-                best.append(_keep_k(cand, k, larger, id_col))
-            if len(best) > 4 * len(qids_s):
-                best = _merge(best, k, larger, id_col)
+                best.append(cand)
+                held += len(cand)
+            if held > 8 * k * len(qids_s):
+                best = [_keep_k(pd.concat(best, ignore_index=True), k, larger, id_col)]
+                held = len(best[0])
         if best:
-            out = pd.concat(best, ignore_index=True)
-            out = out.groupby("query_id", group_keys=False).apply(
-                lambda g: _keep_k(g, k, larger, id_col))
+            out = _keep_k(pd.concat(best, ignore_index=True), k, larger, id_col)
             yield out[["query_id", id_col, *carry, "score"]]
 
     return points.select(id_col, vector_col, *carry).mapInPandas(run, out_schema)
 
 
 def _keep_k(df: pd.DataFrame, k: int, larger: bool, id_col: str) -> pd.DataFrame:
+    """Best k rows per query by (rounded score, id)."""
     r = df["score"].round(SCORE_DECIMALS)
-    order = df.assign(__r=-r if larger else r).sort_values(["__r", id_col], kind="mergesort")
-    return order.head(k).drop(columns="__r")
-
-
-def _merge(parts: list[pd.DataFrame], k: int, larger: bool, id_col: str) -> list[pd.DataFrame]:
-    allc = pd.concat(parts, ignore_index=True)
-    return [_keep_k(g, k, larger, id_col) for _, g in allc.groupby("query_id")]
+    order = df.assign(__r=-r if larger else r).sort_values(["query_id", "__r", id_col], kind="mergesort")
+    return order.groupby("query_id", sort=False).head(k).drop(columns="__r")
 
 
 def rank_per_query(cands: DataFrame, k: int, metric: str, id_col: str = "id",
@@ -139,8 +153,10 @@ def topk(points: DataFrame, queries: DataFrame, k: int = 10, metric: str = "cosi
         raise ValueError(f"metric must be one of {list(V.METRICS)}")
     queries = queries.select(F.col(query_id).cast("string").alias("query_id"),
                              F.col(query_vector).alias("__qv"))
+    first = queries.where(F.col("__qv").isNotNull()).select(F.size("__qv")).first()
+    dim = first[0] if first else None
     results = []
-    for block in _query_blocks(queries, "query_id", None, max_queries):
+    for block in _query_blocks(queries, "query_id", dim, max_queries):
         rows = _collect_bounded(block, max_queries, "query block")
         rows = [r for r in rows if r["__qv"] is not None]
         if not rows:
@@ -267,7 +283,7 @@ def lsh_signatures(df: DataFrame, vector_col: str, planes: np.ndarray, bits: int
 
 
 def approx_topk(points: DataFrame, queries: DataFrame, k: int = 10, metric: str = "cosine",
-                bits: int = 8, tables: int = 8, seed: int = 7, id_col: str = "id",
+                bits: int = 4, tables: int = 16, seed: int = 7, id_col: str = "id",
                 threshold: int = FULL_SCAN_THRESHOLD, carry: tuple[str, ...] = ()) -> DataFrame:
     """LSH candidates re-ranked exactly; exact scan below ``threshold`` points.
 

@@ -63,3 +63,50 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (survives executor loss; never localCheckpoint)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``corpusflow`` importable by Python workers (once per application).
+
+    The package is zipped from the driver's copy, placed in the shared
+    checkpoint folder and added with ``addPyFile``, which is how code reaches
+    executors on a cluster. Functions passed to ``mapInPandas`` refer to
+    ``corpusflow`` modules by name, so workers must be able to import them.
+    """
+    import hashlib
+    import io
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for dirpath, _dirs, files in os.walk(pkg):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    data = buf.getvalue()
+    name = f"corpusflow-{hashlib.md5(data).hexdigest()[:12]}.zip"
+    target = scratch_path(spark, f"pylib/{name}")
+    if "://" in target and not target.startswith("file:"):
+        local = os.path.join(tempfile.mkdtemp(prefix="corpusflow-lib-"), name)
+        with open(local, "wb") as fh:
+            fh.write(data)
+        jvm = sc._jvm
+        dst = jvm.org.apache.hadoop.fs.Path(target)
+        dst.getFileSystem(sc._jsc.hadoopConfiguration()).copyFromLocalFile(jvm.org.apache.hadoop.fs.Path(local), dst)
+    else:
+        path = target[len("file:"):] if target.startswith("file:") else target
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        if not os.path.exists(path):
+            with open(path, "wb") as fh:
+                fh.write(data)
+    sc.addPyFile(target)
+    _SHIPPED.add(app)
