@@ -122,17 +122,21 @@ def chunk_texts(text, chunk_tokens: int = DEFAULT_CHUNK_TOKENS,
         _fold(clean, len(SEPARATORS) - 1, chunk_tokens, overlap_tokens, counter))
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None) -> DataFrame:
-    """Round-robin spread only when the scan has fewer splits than wanted.
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin spread only when a bare scan has fewer splits than cores.
 
-    Large inputs already arrive in many splits, so nothing is shuffled; a
-    small single-file input is spread so every core gets documents.
+    Large inputs already arrive in many splits and plans with a shuffle are
+    already spread by it, so nothing changes there. Only a scan-only plan is
+    inspected (asking a plan with exchanges for its partitions would make
+    AQE run those stages).
     """
-    if not min_partitions:
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism * 2
+    if "Exchange" in df._jdf.queryExecution().sparkPlan().toString():
         return df
-    if df.rdd.getNumPartitions() >= min_partitions:
+    if df.rdd.getNumPartitions() >= want:
         return df
-    return df.repartition(min_partitions)
+    return df.repartition(want)
 
 
 def chunk_documents(docs: DataFrame, text_col: str = "text", filename_col: str = "filename",

@@ -60,6 +60,15 @@ class HashingEmbedder:
         self.dim = dim
         self.min_len, self.max_len = min_len, max_len
         self._word = regex.compile(TX.WORD_PATTERN)
+        self._cache: dict[str, int] = {}
+
+    def _bucket(self, w: str) -> int:
+        b = self._cache.get(w)
+        if b is None:
+            b = int(hashlib.md5(w.encode("utf-8")).hexdigest()[:8], 16) % self.dim
+            if len(self._cache) < 500_000:
+                self._cache[w] = b
+        return b
 
     def __call__(self, texts: list[str]) -> list:
         out = []
@@ -69,7 +78,7 @@ class HashingEmbedder:
                 continue
             toks = [w.lower() for w in self._word.findall(t)]
             toks = [w for w in toks if self.min_len <= len(w) <= self.max_len]
-            idx = [int(hashlib.md5(w.encode("utf-8")).hexdigest()[:8], 16) % self.dim for w in toks]
+            idx = [self._bucket(w) for w in toks]
             v = np.bincount(np.asarray(idx, dtype=np.int64), minlength=self.dim).astype(np.float64)
             n = np.sqrt((v * v).sum())
             out.append((v / n if n > 0 else v).astype(np.float32).tolist())

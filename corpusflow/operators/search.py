@@ -232,21 +232,28 @@ def keyword_search(points: DataFrame, queries: DataFrame, field: str, query_text
 
     ``mode='prefix'`` matches a query token against every prefix of the
     field's words (partial match), ``'word'`` needs whole words. Case is
-    folded. Implemented as an inverted-index join: (token -> id) joined with
-    (query -> token) on token, counted per (query, id); a hot token only meets
-    the bounded query side.
+    folded. Inverted-index plan: each query is driven by its *rarest* token
+    (smallest posting list), candidates come from that token's postings only,
+    and the remaining tokens are verified per candidate. A common token
+    ('doc', 'pdf') therefore never pairs every query with every point.
     """
     if mode == "prefix":
         ftoks = TX.prefix_tokens(field, min_len, max_len)
     else:
         ftoks = TX.normalise_tokens(TX.word_tokens(field), min_len, max_len)
-    index = points.select(id_col, F.explode(F.array_distinct(ftoks)).alias("token"))
+    fields = points.select(id_col, F.array_distinct(ftoks).alias("__ft"))
+    index = fields.select(id_col, F.explode("__ft").alias("token"))
     qt = queries.select(F.col(query_id).alias("query_id"),
                         F.array_distinct(TX.normalise_tokens(TX.word_tokens(query_text), min_len, max_len)).alias("__qt"))
-    qtok = qt.select("query_id", F.size("__qt").alias("__need"), F.explode("__qt").alias("token"))
-    hits = index.join(qtok, "token").groupBy("query_id", id_col, "__need").agg(
-        F.count(F.lit(1)).alias("__have"))
-    return hits.where(F.col("__have") == F.col("__need")).select("query_id", id_col)
+    qtok = qt.select("query_id", F.explode("__qt").alias("token"))
+    wanted = qtok.select("token").distinct()
+    freq = index.join(wanted, "token", "left_semi").groupBy("token").agg(F.count(F.lit(1)).alias("__df"))
+    rarest = (qtok.join(freq, "token").groupBy("query_id")
+              .agg(F.min_by("token", F.struct("__df", "token")).alias("token"), F.count(F.lit(1)).alias("__have"))
+              .join(qt, "query_id").where(F.col("__have") == F.size("__qt")))
+    cand = index.join(rarest.select("query_id", "token", "__qt"), "token")
+    hits = cand.join(fields, id_col).where(F.forall("__qt", lambda t: F.array_contains(F.col("__ft"), t)))
+    return hits.select("query_id", id_col)
 
 
 def hybrid_search(points: DataFrame, queries: DataFrame, field: str, k: int = 10,

@@ -19,8 +19,17 @@ T0 = "2025-01-01 00:00:00"
 PAGES_T0 = "2025-02-01 00:00:00"
 
 
+# Tables whose rows carry long texts: spread over the cores when the scan
+# yields fewer splits than that (a no-op for large, many-split inputs).
+TEXT_TABLES = ("documents", "pages", "conversations")
+
+
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
+    if name in TEXT_TABLES:
+        from corpusflow.operators.chunking import ensure_parallelism
+        df = ensure_parallelism(df)
+    return df
 
 
 def _minutes_after(t0: str, minutes) -> F.Column:
