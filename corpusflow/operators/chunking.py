@@ -130,6 +130,8 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     inspected (asking a plan with exchanges for its partitions would make
     AQE run those stages).
     """
+    if min_partitions == 0:
+        return df
     spark = df.sparkSession
     want = min_partitions or spark.sparkContext.defaultParallelism * 2
     if "Exchange" in df._jdf.queryExecution().sparkPlan().toString():

@@ -65,6 +65,8 @@ def html_to_markdown(html) -> Column:
 
 def convert_pages(pages: DataFrame, html_col: str = "html", id_cols: tuple[str, ...] = ("page_id",)) -> DataFrame:
     """id columns, markdown (null when empty) and error."""
+    from corpusflow.operators.chunking import ensure_parallelism
+    pages = ensure_parallelism(pages)
     md = html_to_markdown(html_col)
     return pages.select(*id_cols, F.when(md != "", md).alias("markdown"),
                         F.when(md == "", F.lit("empty conversion")).alias("error"))

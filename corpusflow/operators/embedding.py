@@ -149,7 +149,8 @@ def batch_embed(df: DataFrame, embed: EmbedFn, text_col: str = "text",
             out["embed_seconds"] = secs
             yield out
 
-    return df.select(*cols).mapInPandas(run, out_schema)
+    from corpusflow.operators.chunking import ensure_parallelism
+    return ensure_parallelism(df.select(*cols)).mapInPandas(run, out_schema)
 
 
 def hashing_buckets(df: DataFrame, id_cols: list[str], text_col: str = "text", dim: int = 64) -> DataFrame:
@@ -158,6 +159,8 @@ def hashing_buckets(df: DataFrame, id_cols: list[str], text_col: str = "text", d
     Tokens are exploded, counted per (id, bucket) with map-side partial
     aggregation, and normalised by a window over one id (at most ``dim`` rows).
     """
+    from corpusflow.operators.chunking import ensure_parallelism
+    df = ensure_parallelism(df)
     toks = df.select(*id_cols, F.explode(F.transform(TX.word_tokens(text_col), lambda t: F.lower(t))).alias("tok"))
     bucket = (F.conv(F.substring(F.md5(F.encode("tok", "UTF-8")), 1, 8), 16, 10).cast("bigint") % dim).cast("int")
     counts = toks.groupBy(*id_cols, bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("cnt"))

@@ -74,12 +74,19 @@ def length_agreement(chunks: DataFrame, vectors: DataFrame, file_col: str = "fil
 
 
 def write_batches(points: DataFrame, batch_size: int, file_col: str = "filename",
-                  order_col: str = "page_number") -> DataFrame:
+                  order_col: str = "page_number", dense: bool = True) -> DataFrame:
     """Batch number (1-based) and batch count per file for slices of ``batch_size`` (O-63).
 
-    Ordering inside one file is required; chunk counts per file are small
-    relative to the corpus, and the window is partitioned by file.
+    Chunk numbers are dense (1..n per file), so a point's batch is plain
+    arithmetic and the count per file a partial aggregate: no window has to
+    hold a whole file, however many chunks one file has. ``dense=False``
+    numbers rows by ``order_col`` with a window instead.
     """
+    if dense:
+        counts = points.groupBy(file_col).agg(F.count(F.lit(1)).alias("__n"))
+        return (points.withColumn("batch_number", (F.floor((F.col(order_col) - 1) / batch_size) + 1).cast("int"))
+                .join(counts, file_col)
+                .withColumn("batch_count", F.ceil(F.col("__n") / batch_size).cast("int")).drop("__n"))
     w = Window.partitionBy(file_col).orderBy(order_col, "id")
     n = Window.partitionBy(file_col)
     return (points.withColumn("__rn", F.row_number().over(w))
@@ -90,11 +97,18 @@ def write_batches(points: DataFrame, batch_size: int, file_col: str = "filename"
 
 def upload_ledger_rows(points: DataFrame, batch_size: int, collection: str,
                        file_col: str = "filename", hash_col: str = "file_hash") -> DataFrame:
-    """Per file: points uploaded, first 10 ids in chunk order, batch size (O-64)."""
+    """Per file: points uploaded, first 10 ids in chunk order, batch size (O-64).
+
+    The id list is built from the first 10 chunks only (a ``row_number <= 10``
+    window, limited before its shuffle), so no file's full id list is ever
+    collected; counts are partial aggregates.
+    """
+    w = Window.partitionBy(file_col).orderBy("page_number", "id")
+    first10 = (points.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= 10)
+               .groupBy(file_col).agg(F.array_sort(F.collect_list(F.struct("page_number", "id"))).alias("__ids")))
     agg = points.groupBy(file_col).agg(
         F.count(F.lit(1)).cast("int").alias("points_uploaded"),
-        F.first(hash_col, ignorenulls=True).alias("md5_hash"),
-        F.slice(F.array_sort(F.collect_list(F.struct("page_number", "id"))), 1, 10).alias("__ids"))
+        F.min(hash_col).alias("md5_hash")).join(first10, file_col)
     return agg.select(
         F.current_timestamp().alias("timestamp"), F.col(file_col).alias("filename"), "md5_hash",
         F.lit(collection).alias("collection_name"), "points_uploaded",

@@ -56,16 +56,18 @@ def run_summary(outcomes: DataFrame, seconds: float | None = None, listed: DataF
     ``outcomes`` has one row per considered file with ``outcome`` in
     (processed, failed, skipped).
     """
-    o = F.col("outcome")
-    agg = outcomes.agg(
-        F.count(F.lit(1)).cast("bigint").alias("new_files"),
-        F.count_if(o == "processed").cast("bigint").alias("processed"),
-        F.count_if(o == "failed").cast("bigint").alias("failed"),
-        F.count_if(o == "skipped").cast("bigint").alias("skipped"))
-    total = listed.agg(F.count(F.lit(1)).cast("bigint").alias("total_files")) if listed is not None else None
-    if total is not None:
-        agg = total.crossJoin(agg)  # two one-row aggregates
-    else:
+    rows = outcomes.select("outcome", F.lit(False).alias("__listed"))
+    if listed is not None:
+        rows = rows.unionByName(listed.select(F.lit(None).cast("string").alias("outcome"),
+                                              F.lit(True).alias("__listed")))
+    o, lst = F.col("outcome"), F.col("__listed")
+    agg = rows.agg(  # one pass over listed files and outcomes together
+        F.count_if(~lst).cast("bigint").alias("new_files"),
+        F.count_if(~lst & (o == "processed")).cast("bigint").alias("processed"),
+        F.count_if(~lst & (o == "failed")).cast("bigint").alias("failed"),
+        F.count_if(~lst & (o == "skipped")).cast("bigint").alias("skipped"),
+        F.count_if(lst).cast("bigint").alias("total_files"))
+    if listed is None:
         agg = agg.withColumn("total_files", F.col("new_files"))
     secs = float(seconds or 0.0)
     return agg.withColumn("seconds", F.lit(round(secs, 3))).withColumn(

@@ -134,14 +134,29 @@ def _keep_k(df: pd.DataFrame, k: int, larger: bool, id_col: str) -> pd.DataFrame
     return order.groupby("query_id", sort=False).head(k).drop(columns="__r")
 
 
+RANK_BUCKETS = 256
+
+
 def rank_per_query(cands: DataFrame, k: int, metric: str, id_col: str = "id",
-                   query_col: str = "query_id") -> DataFrame:
-    """Global top-k per query from candidates; adds ``rank``, rounds ``score``."""
+                   query_col: str = "query_id", buckets: int = RANK_BUCKETS) -> DataFrame:
+    """Global top-k per query from candidates; adds ``rank``, rounds ``score``.
+
+    Two-level reduction so no task ever holds all candidates of one query:
+    first the best k per (query, bucket of the point id), then the best k per
+    query over at most ``buckets * k`` rows. Each level is a ``row_number <= k``
+    window, for which Spark also applies a partial group limit before its
+    shuffle.
+    """
     r = F.round("score", SCORE_DECIMALS)
     order = r.desc() if _larger_is_closer(metric) else r.asc()
+    c = cands.withColumn("score", r)
+    if buckets and buckets > 1:
+        b = F.pmod(F.xxhash64(F.col(id_col)), F.lit(buckets))
+        w1 = Window.partitionBy(query_col, b).orderBy(order, F.col(id_col).asc())
+        c = c.withColumn("__r1", F.row_number().over(w1)).where(F.col("__r1") <= k).drop("__r1")
     w = Window.partitionBy(query_col).orderBy(order, F.col(id_col).asc())
-    return (cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-            .withColumn("score", r).withColumn("rank", F.col("rank").cast("int")))
+    return (c.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+            .withColumn("rank", F.col("rank").cast("int")))
 
 
 def topk(points: DataFrame, queries: DataFrame, k: int = 10, metric: str = "cosine",
@@ -200,7 +215,11 @@ def two_stage(file_points: DataFrame, content_points: DataFrame, queries: DataFr
     stage1 = topk(file_points, queries, k_files, metric, carry=(file_col,), max_queries=max_queries)
     qv = queries.select(F.col("query_id").cast("string").alias("query_id"),
                         F.col("vector").alias("query_vector"))
-    pairs = F.broadcast(stage1.select("query_id", file_col).join(F.broadcast(qv), "query_id"))
+    pairs = stage1.select("query_id", file_col).join(qv, "query_id")
+    # (query, file) pairs are at most queries x k_files; broadcast only when
+    # the query count is proven to be within the scan budget.
+    if queries.limit(max_queries + 1).count() <= max_queries:
+        pairs = F.broadcast(pairs)
     cand = content_points.join(pairs, file_col)
     return pair_topk(cand, k_chunks, metric)
 
@@ -276,17 +295,30 @@ def _hyperplanes(dim: int, bits: int, tables: int, seed: int) -> np.ndarray:
 
 def lsh_signatures(df: DataFrame, vector_col: str, planes: np.ndarray, bits: int,
                    tables: int) -> DataFrame:
-    """One row per (table, bucket): native dot products with constant planes."""
-    def sign_bit(p: np.ndarray) -> Column:
-        lit = F.array(*[F.lit(float(x)) for x in p])
-        return F.when(V.dot(vector_col, lit) >= 0, F.lit(1)).otherwise(F.lit(0))
-    bands = []
-    for t in range(tables):
-        code = F.lit(0)
-        for b in range(bits):
-            code = code * 2 + sign_bit(planes[t * bits + b])
-        bands.append(F.struct(F.lit(t).alias("lsh_table"), code.alias("lsh_bucket")))
-    return df.withColumn("__b", F.explode(F.array(*bands))).select("*", "__b.*").drop("__b")
+    """One row per (table, bucket) for every input row.
+
+    Sign bits against constant random hyperplanes, computed with NumPy over
+    Arrow batches (one matrix product per batch), then packed into a bucket
+    number per table. All input columns are passed through.
+    """
+    out_schema = T.StructType(list(df.schema.fields) + [
+        T.StructField("lsh_table", T.IntegerType(), False), T.StructField("lsh_bucket", T.IntegerType(), False)])
+    weights = (1 << np.arange(bits - 1, -1, -1)).astype(np.int64)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            pdf = pdf[pdf[vector_col].notna()].reset_index(drop=True)
+            if pdf.empty:
+                continue
+            vmat = np.stack(pdf[vector_col].to_numpy()).astype(np.float64)
+            signs = (vmat @ planes.T >= 0).astype(np.int64).reshape(len(pdf), tables, bits)
+            codes = signs @ weights  # rows x tables
+            rep = pdf.loc[pdf.index.repeat(tables)].reset_index(drop=True)
+            rep["lsh_table"] = np.tile(np.arange(tables, dtype=np.int32), len(pdf))
+            rep["lsh_bucket"] = codes.reshape(-1).astype(np.int32)
+            yield rep
+
+    return df.mapInPandas(run, out_schema)
 
 
 def approx_topk(points: DataFrame, queries: DataFrame, k: int = 10, metric: str = "cosine",

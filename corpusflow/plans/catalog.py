@@ -234,7 +234,7 @@ def token_counts(spark, d):
 
 def _chunk_invariants(spark, d, size):
     docs = FX.fx_md(spark, d).select("doc_id", F.col("doc_id").cast("string").alias("filename"), "text")
-    ch = CH.chunk_documents(docs, keep=("doc_id",), chunk_tokens=size, min_partitions=8)
+    ch = CH.chunk_documents(docs, keep=("doc_id",), chunk_tokens=size)
     agg = ch.groupBy("doc_id").agg(
         F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk_number", "text"))),
                                        lambda x: TX.remove_ws(x["text"])), "")).alias("content_md5"),
@@ -262,7 +262,7 @@ def chunk_invariants_100(spark, d):
 @query("chunk_overlap", None, "O-28")
 def chunk_overlap(spark, d):
     docs = FX.fx_md(spark, d).select(F.col("doc_id").cast("string").alias("filename"), "text")
-    return CH.chunk_documents(docs, chunk_tokens=100, overlap_tokens=20, min_partitions=8).select(
+    return CH.chunk_documents(docs, chunk_tokens=100, overlap_tokens=20).select(
         "filename", "chunk_number", "n_tokens", "md5_hash")
 
 
@@ -281,7 +281,7 @@ def element_types(spark, d):
 @query("chunk_records", None, "O-31")
 def chunk_records(spark, d):
     docs = FX.fx_md(spark, d).select(F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".md")).alias("filename"), "text")
-    rec = CH.chunk_record(CH.chunk_documents(docs, min_partitions=8))
+    rec = CH.chunk_record(CH.chunk_documents(docs))
     return rec.select("text", "metadata.filename", "metadata.page_number", "metadata.element_type", "metadata.md5_hash")
 
 
@@ -289,7 +289,7 @@ def chunk_records(spark, d):
 SELECT doc_id, CAST(len(regexp_extract_all(text, '{TOKEN_RE}')) AS BIGINT) AS sum_tokens FROM fx_md""", "O-32")
 def chunk_stats(spark, d):
     docs = FX.fx_md(spark, d).select("doc_id", F.col("doc_id").cast("string").alias("filename"), "text")
-    ch = CH.chunk_documents(docs, keep=("doc_id",), min_partitions=8)
+    ch = CH.chunk_documents(docs, keep=("doc_id",))
     st = CH.chunk_stats(ch.drop("filename").withColumnRenamed("doc_id", "filename"))
     return st.select(F.col("filename").alias("doc_id"), "sum_tokens")
 
@@ -297,7 +297,7 @@ def chunk_stats(spark, d):
 @query("chunk_type_counts", None, "O-30 O-32")
 def chunk_type_counts(spark, d):
     docs = FX.fx_md(spark, d).select(F.col("doc_id").cast("string").alias("filename"), "text")
-    ch = CH.chunk_documents(docs, chunk_tokens=100, min_partitions=8)
+    ch = CH.chunk_documents(docs, chunk_tokens=100)
     return CH.chunk_stats(ch, docs.select("filename"))
 
 

@@ -249,7 +249,7 @@ def embedding_ledger_rows(spark, d):
     from corpusflow.operators.chunking import chunk_documents
     f = FX.fx_files(spark, d).select(F.col("object_key").alias("filename"), "text",
                                      F.col("content_md5").alias("file_hash"))
-    ch = chunk_documents(f, keep=("file_hash",), min_partitions=8)
+    ch = chunk_documents(f, keep=("file_hash",))
     emb = EM.batch_embed(ch, EM.HashingEmbedder(64), keep=("filename", "file_hash", "chunk_number"))
     rows = EM.embedding_ledger_rows(emb, "filename", "file_hash", "content", "hashing-64")
     return rows.select("filename", "md5_hash", "collection_name", "chunks_created", "model_name", "status")

@@ -358,7 +358,7 @@ def monitoring_rates(spark, d):
 def _ingest(spark, d, force=False):
     files = FX.fx_files(spark, d).select(F.col("object_key").alias("key"), "text")
     return J.full_ingest(files, FX.fx_upload(spark, d), FX.fx_embedding(spark, d), FX.fx_resident(spark, d),
-                         force=force, min_partitions=8)
+                         force=force)
 
 
 def flagship(spark, d):
@@ -423,7 +423,7 @@ def markdown_to_points(spark, d):
 def retry_failed(spark, d):
     src = FX.fx_files(spark, d).select(F.col("object_key").alias("key"), "text")
     pts, _remaining, _summary = J.retry_failed(FX.fx_failed(spark, d), src, FX.fx_markdown(spark, d),
-                                               FX.fx_embedding(spark, d), FX.fx_resident(spark, d), min_partitions=8)
+                                               FX.fx_embedding(spark, d), FX.fx_resident(spark, d))
     return pts.select("id", "filename", "page_number", "file_hash")
 
 
@@ -438,7 +438,7 @@ def stream_ingest(spark, d):
     schema = FX.table(spark, d, "documents").schema
     out = scratch_path(spark, f"stream-points-{tag}")
     run(spark, d, schema, out, scratch_path(spark, f"stream-ckpt-{tag}"), FX.fx_upload(spark, d),
-        FX.fx_embedding(spark, d), FX.fx_resident(spark, d), min_partitions=8, glob="documents.parquet")
+        FX.fx_embedding(spark, d), FX.fx_resident(spark, d), glob="documents.parquet")
     return spark.read.parquet(out).select("id", "filename", "page_number", "file_hash", "epoch")
 
 
