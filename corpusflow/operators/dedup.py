@@ -16,6 +16,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Skip reasons and the places a duplicate was found, as the
+# reference's skipped ledger records them (plus our name for a forced skip).
+ALREADY_EMBEDDED, ALREADY_IN_COLLECTION, FORCE_SKIP, DUPLICATE_DETECTED = (
+    "already_embedded", "already_in_qdrant", "force_skip", "duplicate_detected")
+LOG_FILE, COLLECTION, BOTH, CONFIGURATION = ("log_file", "qdrant_collection", "both", "configuration")
+
 
 def _flag(df: DataFrame, keys: DataFrame, on: list[tuple[str, str]], flag: str) -> DataFrame:
     """Left join a distinct key set and turn the match into a boolean column."""
@@ -132,21 +138,21 @@ def dedup_decision(files: DataFrame, embedding_ledger: DataFrame, points: DataFr
 
     in_log, in_coll, first = F.col("__in_log"), F.col("__in_coll"), F.col("__first")
     if four_reasons:
-        reason = (F.when(F.col("__forced"), "force_skip")
-                  .when(in_log & in_coll, "duplicate_detected")
-                  .when(in_log, "already_embedded")
-                  .when(in_coll, "already_in_qdrant")
-                  .when(~first, "already_embedded"))
-        place = (F.when(F.col("__forced"), "configuration")
-                 .when(in_log & in_coll, "both")
-                 .when(in_log, "log_file")
-                 .when(in_coll, "qdrant_collection")
-                 .when(~first, "log_file"))
+        reason = (F.when(F.col("__forced"), FORCE_SKIP)
+                  .when(in_log & in_coll, DUPLICATE_DETECTED)
+                  .when(in_log, ALREADY_EMBEDDED)
+                  .when(in_coll, ALREADY_IN_COLLECTION)
+                  .when(~first, ALREADY_EMBEDDED))
+        place = (F.when(F.col("__forced"), CONFIGURATION)
+                 .when(in_log & in_coll, BOTH)
+                 .when(in_log, LOG_FILE)
+                 .when(in_coll, COLLECTION)
+                 .when(~first, LOG_FILE))
     else:
-        reason = (F.when(in_log, "already_embedded").when(in_coll, "already_in_qdrant")
-                  .when(~first, "already_embedded"))
-        place = (F.when(in_log, "log_file").when(in_coll, "qdrant_collection")
-                 .when(~first, "log_file"))
+        reason = (F.when(in_log, ALREADY_EMBEDDED).when(in_coll, ALREADY_IN_COLLECTION)
+                  .when(~first, ALREADY_EMBEDDED))
+        place = (F.when(in_log, LOG_FILE).when(in_coll, COLLECTION)
+                 .when(~first, LOG_FILE))
     return (df.withColumn("skip_reason", reason)
               .withColumn("found_in", place)
               .withColumn("action", F.when(F.col("skip_reason").isNull(), "process").otherwise("skip"))

@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from corpusflow.functions import hashing as H
 from corpusflow.functions import paths as P
 
+# Fixed value: failure stage name for files whose points could not be written.
+UPLOAD_STAGE = "qdrant"
+
 
 def filename_points(files: DataFrame, key_col: str = "key", hash_col: str | None = None,
                     content_col: str | None = None, vector_col: str | None = None,
@@ -62,7 +65,7 @@ def files_without_points(chunks: DataFrame, points: DataFrame) -> DataFrame:
     """Files that had chunks but no valid point: failures of the upload stage."""
     return (chunks.select("filename").distinct()
             .join(points.select("filename").distinct(), "filename", "left_anti")
-            .withColumn("error", F.lit("no valid embeddings")).withColumn("stage", F.lit("qdrant")))
+            .withColumn("error", F.lit("no valid embeddings")).withColumn("stage", F.lit(UPLOAD_STAGE)))
 
 
 def length_agreement(chunks: DataFrame, vectors: DataFrame, file_col: str = "filename") -> DataFrame:

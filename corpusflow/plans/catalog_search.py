@@ -455,3 +455,62 @@ def stream_monitoring(spark, d):
     tab = run_to_memory(rates, scratch_path(spark, f"monitor-ckpt-{uuid.uuid4().hex[:10]}"))
     return tab.select(F.col("w.start").cast("string").alias("window_start"), "event_type",
                       F.col("n_files").cast("bigint").alias("n_files"), F.col("n_failed").cast("bigint").alias("n_failed"))
+
+
+# ------------------------------------------------------------------ storage round trips
+
+def _scratch(spark, name):
+    import uuid
+    from corpusflow.session import scratch_path
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:10]}")
+
+
+@query("object_listing_content", None, "O-01 O-03 O-18")
+def object_listing_content(spark, d):
+    """binaryFile listing of the table folder with bytes read for every object."""
+    from corpusflow.sources.listing import list_objects, read_content
+    listing = list_objects(spark, d, glob="*.parquet")
+    files = read_content(spark, d, listing.select("key", "size"))
+    return files.select("key", "size", F.md5("content").alias("etag"))
+
+
+@query("ledger_roundtrip", "SELECT filename, hash, stage, error FROM fx_failed", "O-16 O-17")
+def ledger_roundtrip(spark, d):
+    from corpusflow.sources import ledgers as L
+    root = _scratch(spark, "ledgers")
+    L.append_ledger(FX.fx_failed(spark, d), root, "failed")
+    return L.read_ledger(spark, root, "failed").select("filename", "hash", "stage", "error")
+
+
+@query("collection_roundtrip", """
+SELECT 'content' AS name, CAST(count(*) AS BIGINT) AS points_count, CAST(count(vector) AS BIGINT) AS vectors_count,
+  'green' AS status FROM fx_points""", "O-65 O-62 O-66")
+def collection_roundtrip(spark, d):
+    from corpusflow.operators.points import collection_info
+    from corpusflow.sources import collections as C
+    root = _scratch(spark, "collections")
+    C.create_collection(spark, root, "content", 64, "Cosine")
+    pts = FX.fx_points(spark, d).select(F.col("id").cast("string").alias("id"), "filename", "page_number", "vector")
+    C.write_points(spark, root, "content", pts)
+    C.write_points(spark, root, "content", pts)  # an upsert of the same ids changes nothing
+    assert C.collection_exists(spark, root, "content") and C.list_collections(spark, root) == ["content"]
+    return collection_info(C.read_points(spark, root, "content"), "content")
+
+
+@query("markdown_store_roundtrip", None, "O-12 O-13")
+def markdown_store_roundtrip(spark, d):
+    from corpusflow.sources.markdown_store import read_markdown, write_markdown
+    pages = FX.table(spark, d, "pages").select(
+        F.concat(F.lit("source/web/page_"), F.col("page_id").cast("string"), F.lit(".html")).alias("key"), "html")
+    ok, _failed = J.convert_only(pages)
+    root = _scratch(spark, "markdown")
+    write_markdown(ok, root)
+    back = read_markdown(spark, root)
+    return back.select("markdown_key", "source_key", F.md5("text").alias("markdown_md5"))
+
+
+REGISTRY["markdown_store_roundtrip"] = (markdown_store_roundtrip, f"""
+SELECT 'markdown/web/page_' || CAST(page_id AS VARCHAR) || '.md' AS markdown_key,
+  'source/web/page_' || CAST(page_id AS VARCHAR) || '.html' AS source_key, md5(md) AS markdown_md5
+FROM (SELECT page_id, {_html_sql()} AS md FROM pages) WHERE md <> ''""", "O-12 O-13")
+REGISTRY["convert_only"] = (convert_only, REGISTRY["markdown_store_roundtrip"][1], "O-107 O-08")

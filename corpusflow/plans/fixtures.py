@@ -82,11 +82,16 @@ def fx_resident(spark, d):
         F.col("content_md5").alias("file_hash"), F.lit("content").alias("collection_name"))
 
 
+# The failure stage names the reference's failed ledger uses.
+FAILURE_STAGES = ("docling", "r2", "chunker", "ollama", "qdrant")
+
+
 def _stage():
-    return (F.when(F.substring("source", 4, 10).cast("int") % 5 == 0, "docling")
-          .when(F.substring("source", 4, 10).cast("int") % 5 == 1, "r2")
-          .when(F.substring("source", 4, 10).cast("int") % 5 == 2, "chunker")
-          .when(F.substring("source", 4, 10).cast("int") % 5 == 3, "ollama").otherwise("qdrant"))
+    n = F.substring("source", 4, 10).cast("int") % len(FAILURE_STAGES)
+    out = F.lit(FAILURE_STAGES[-1])
+    for i in range(len(FAILURE_STAGES) - 2, -1, -1):
+        out = F.when(n == i, FAILURE_STAGES[i]).otherwise(out)
+    return out
 
 
 def fx_failed(spark, d):
@@ -100,7 +105,7 @@ def fx_failed(spark, d):
     pages = table(spark, d, "pages").select(
         F.concat(F.lit("page_"), F.col("page_id").cast("string"), F.lit(".html")).alias("filename"),
         F.md5("html").alias("hash"), _minutes_after(PAGES_T0, "page_id").alias("datetime"),
-        F.lit("unsupported format").alias("error"), F.lit("docling").alias("stage"))
+        F.lit("unsupported format").alias("error"), F.lit(FAILURE_STAGES[0]).alias("stage"))
     return main.unionByName(reproc).unionByName(pages)
 
 

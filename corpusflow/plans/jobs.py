@@ -27,6 +27,10 @@ from corpusflow.operators import points as PT
 from corpusflow.operators import reports as RP
 
 
+# Fixed value: failure stage name for files whose points could not be written.
+UPLOAD_STAGE = "qdrant"
+
+
 @dataclass
 class IngestOutputs:
     decisions: DataFrame
@@ -75,7 +79,7 @@ def full_ingest(files: DataFrame, upload_ledger: DataFrame, embedding_ledger: Da
     with_vec = embedded.where(F.col("vector").isNotNull()).select("key").distinct()
     failed = (chunks.select("key").distinct().join(with_vec, "key", "left_anti")
               .select(F.col("key").alias("filename"), F.lit("no valid embeddings").alias("error"),
-                      F.lit("qdrant").alias("stage")))
+                      F.lit(UPLOAD_STAGE).alias("stage")))
     return IngestOutputs(dec, chunks, embedded, content, fpoints, emb_rows, skipped, failed)
 
 
