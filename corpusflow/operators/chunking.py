@@ -73,9 +73,14 @@ def _tail(buf: Column, k: Column, size: int, overlap: int) -> Column:
 
 
 def _fold(text: Column, level: int, size: int, overlap: int,
-          counter: Callable[[Column], Column]) -> Column:
-    items = F.transform(_pieces(text, SEPARATORS[level]),
-                        lambda p: F.struct(p.alias("p"), counter(p).alias("k")))
+          counter: Callable[[Column], Column], k_text: Column | None = None) -> Column:
+    sep = SEPARATORS[level]
+    items = F.transform(_pieces(text, sep), lambda p: F.struct(p.alias("p"), counter(p).alias("k")))
+    if sep and k_text is not None:
+        # separator absent: the only piece is the text itself, whose token
+        # count the caller already knows — no second pass over the text
+        items = F.when(text.contains(sep), items).otherwise(
+            F.array(F.struct(text.alias("p"), k_text.alias("k"))))
     empty_buf = F.array().cast(_BUF_TYPE)
     init = F.struct(F.array().cast("array<string>").alias("out"),
                     empty_buf.alias("buf"), F.lit(0).alias("n"))
@@ -85,7 +90,7 @@ def _fold(text: Column, level: int, size: int, overlap: int,
         k = it["k"]
         flushed = F.concat(out, _emit(buf))
         if level + 1 < len(SEPARATORS):
-            deeper = _fold(it["p"], level + 1, size, overlap, counter)
+            deeper = _fold(it["p"], level + 1, size, overlap, counter, k)
         else:
             deeper = _emit(F.array(it))
         recurse = F.struct(F.concat(flushed, deeper).alias("out"), empty_buf.alias("buf"),
@@ -118,7 +123,7 @@ def chunk_texts(text, chunk_tokens: int = DEFAULT_CHUNK_TOKENS,
     has_sep = F.lit(False)
     for s in SEPARATORS[:-1]:
         has_sep = has_sep | clean.contains(s)
-    return F.when(has_sep, _fold(clean, 0, chunk_tokens, overlap_tokens, counter)).otherwise(
+    return F.when(has_sep, _fold(clean, 0, chunk_tokens, overlap_tokens, counter, counter(clean))).otherwise(
         _fold(clean, len(SEPARATORS) - 1, chunk_tokens, overlap_tokens, counter))
 
 

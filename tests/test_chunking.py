@@ -71,5 +71,8 @@ def test_chunk_documents_record_and_stats(spark):
 
 def test_chunking_is_narrow(spark):
     df = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select(F.col("doc_id").cast("string").alias("filename"), "text")
-    plan = CH.chunk_documents(df)._jdf.queryExecution().executedPlan().toString()
+    plan = CH.chunk_documents(df, min_partitions=0)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+    # a single-split input is only spread round-robin in front of the fold, never hashed
+    spread = CH.chunk_documents(df)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in spread
