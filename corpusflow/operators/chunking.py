@@ -110,13 +110,33 @@ def _fold(text: Column, level: int, size: int, overlap: int,
     return F.aggregate(items, init, step, lambda acc: F.concat(acc["out"], _emit(acc["buf"])))
 
 
+_TEXT_COL = "__cf_chunk_text"
+_EXPR_CACHE: dict = {}
+
+
 def chunk_texts(text, chunk_tokens: int = DEFAULT_CHUNK_TOKENS,
                 overlap_tokens: int = DEFAULT_OVERLAP_TOKENS,
                 counter: Callable[[Column], Column] = T.token_count) -> Column:
-    """array<string> of chunks of ``text`` (O-27, O-28)."""
+    """array<string> of chunks of ``text`` (O-27, O-28).
+
+    The expression is large (six nested folds); building it through the
+    Python API costs seconds, so the version over the fixed input column used
+    by ``chunk_documents`` is built once per process and reused.
+    """
     if overlap_tokens >= chunk_tokens:
         raise ValueError("overlap must be smaller than the chunk size")
-    clean = F.regexp_replace(col(text), _MARK, "")
+    if isinstance(text, str) and text == _TEXT_COL:
+        from pyspark import SparkContext
+        key = (id(SparkContext._gateway), chunk_tokens, overlap_tokens, counter)
+        if key not in _EXPR_CACHE:
+            _EXPR_CACHE[key] = _chunk_expr(F.col(_TEXT_COL), chunk_tokens, overlap_tokens, counter)
+        return _EXPR_CACHE[key]
+    return _chunk_expr(col(text), chunk_tokens, overlap_tokens, counter)
+
+
+def _chunk_expr(text: Column, chunk_tokens: int, overlap_tokens: int,
+                counter: Callable[[Column], Column]) -> Column:
+    clean = F.regexp_replace(text, _MARK, "")
     # A text holding none of the non-empty separators is split into characters
     # right away (even when it fits), as the splitter picks the first separator
     # present; per-character token counts then decide the merge.
@@ -127,19 +147,40 @@ def chunk_texts(text, chunk_tokens: int = DEFAULT_CHUNK_TOKENS,
         _fold(clean, len(SEPARATORS) - 1, chunk_tokens, overlap_tokens, counter))
 
 
+# Logical operators after which the data is already spread by a shuffle (or
+# whose partition count would need the shuffle to run under AQE).
+_SPREADING = {"Join", "Aggregate", "Repartition", "RepartitionByExpression", "RebalancePartitions",
+              "Window", "Sort", "Distinct", "Deduplicate", "Union", "Expand", "Intersect", "Except",
+              "WindowGroupLimit", "GlobalLimit", "CoGroup", "FlatMapGroupsInPandas", "MapInPandas",
+              "MapInArrow", "LocalRelation", "LogicalRDD"}
+
+
+def _is_bare_scan(df: DataFrame) -> bool:
+    """True when the logical plan is only scans, projections, filters, generators."""
+    stack = [df._jdf.queryExecution().analyzed()]
+    while stack:
+        node = stack.pop()
+        if node.nodeName() in _SPREADING:
+            return False
+        children = node.children()
+        for i in range(children.size()):
+            stack.append(children.apply(i))
+    return True
+
+
 def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin spread only when a bare scan has fewer splits than cores.
 
     Large inputs already arrive in many splits and plans with a shuffle are
-    already spread by it, so nothing changes there. Only a scan-only plan is
-    inspected (asking a plan with exchanges for its partitions would make
-    AQE run those stages).
+    already spread by it, so nothing changes there. Only a bare scan is asked
+    for its split count (the logical plan is walked, never planned: asking a
+    plan with exchanges for partitions would make AQE run those stages).
     """
     if min_partitions == 0:
         return df
     spark = df.sparkSession
     want = min_partitions or spark.sparkContext.defaultParallelism * 2
-    if "Exchange" in df._jdf.queryExecution().sparkPlan().toString():
+    if not _is_bare_scan(df):
         return df
     if df.rdd.getNumPartitions() >= want:
         return df
@@ -158,7 +199,10 @@ def chunk_documents(docs: DataFrame, text_col: str = "text", filename_col: str =
     chunks = docs.select(
         *[col(c) for c in keep if c != filename_col],
         col(filename_col).alias("filename"),
-        F.posexplode(chunk_texts(text_col, chunk_tokens, overlap_tokens, counter)).alias("pos", "text"),
+        col(text_col).alias(_TEXT_COL),
+    ).select(
+        *[c for c in keep if c != filename_col], "filename",
+        F.posexplode(chunk_texts(_TEXT_COL, chunk_tokens, overlap_tokens, counter)).alias("pos", "text"),
     )
     return chunks.select(
         *keep_cols(keep, filename_col),

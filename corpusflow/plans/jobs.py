@@ -12,7 +12,7 @@ executor only re-runs its own tasks.
 from __future__ import annotations
 
 import uuid as _uuid
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,16 +31,53 @@ from corpusflow.operators import reports as RP
 UPLOAD_STAGE = "qdrant"
 
 
-@dataclass
 class IngestOutputs:
-    decisions: DataFrame
-    chunks: DataFrame
-    embedded: DataFrame
-    content_points: DataFrame
-    filename_points: DataFrame
-    embedding_rows: DataFrame
-    skipped_rows: DataFrame
-    failed_rows: DataFrame
+    """Outputs of one ingest plan, built lazily: a caller that reads only the
+    decisions never builds the chunk, embedding or point plans."""
+
+    def __init__(self, decisions: DataFrame, todo: DataFrame, collection: str, embed, filename_embed,
+                 chunk_tokens: int, overlap_tokens: int, batch_size: int, min_partitions, model_name: str):
+        self.decisions = decisions
+        self._todo = todo
+        self._args = (collection, embed, filename_embed, chunk_tokens, overlap_tokens, batch_size,
+                      min_partitions, model_name)
+
+    @cached_property
+    def chunks(self) -> DataFrame:
+        _c, _e, _fe, size, overlap, _b, minp, _m = self._args
+        return CH.chunk_documents(self._todo.withColumnRenamed("hash", "file_hash"), keep=("key", "file_hash"),
+                                  chunk_tokens=size, overlap_tokens=overlap, min_partitions=minp)
+
+    @cached_property
+    def embedded(self) -> DataFrame:
+        embed, batch = self._args[1], self._args[5]
+        return EM.batch_embed(self.chunks, embed, keep=("key", "filename", "file_hash", "chunk_number", "text",
+                                                        "element_type", "md5_hash", "n_tokens"), batch_size=batch)
+
+    @cached_property
+    def content_points(self) -> DataFrame:
+        return PT.content_points(self.embedded, file_hash_col="file_hash")
+
+    @cached_property
+    def filename_points(self) -> DataFrame:
+        names = EM.batch_embed(self._todo.select("key", "hash", "filename"), self._args[2], text_col="filename",
+                               keep=("key", "hash"), batch_size=self._args[5])
+        return PT.filename_points(names, "key", hash_col="hash", vector_col="vector")
+
+    @cached_property
+    def embedding_rows(self) -> DataFrame:
+        return EM.embedding_ledger_rows(self.embedded, "key", "file_hash", self._args[0], self._args[7])
+
+    @cached_property
+    def skipped_rows(self) -> DataFrame:
+        return DD.skip_rows(self.decisions, key_col="key")
+
+    @cached_property
+    def failed_rows(self) -> DataFrame:
+        with_vec = self.embedded.where(F.col("vector").isNotNull()).select("key").distinct()
+        return (self.chunks.select("key").distinct().join(with_vec, "key", "left_anti")
+                .select(F.col("key").alias("filename"), F.lit("no valid embeddings").alias("error"),
+                        F.lit(UPLOAD_STAGE).alias("stage")))
 
 
 def full_ingest(files: DataFrame, upload_ledger: DataFrame, embedding_ledger: DataFrame,
@@ -64,23 +101,8 @@ def full_ingest(files: DataFrame, upload_ledger: DataFrame, embedding_ledger: Da
     f = f.withColumn("filename", P.basename("key"))
     dec = DD.dedup_decision(f, embedding_ledger, resident, key_col="key", collection=collection, force=force)
     todo = dec.where(F.col("action") == "process").select("key", "filename", "hash", "text")
-    chunks = CH.chunk_documents(todo.withColumnRenamed("hash", "file_hash"), keep=("key", "file_hash"),
-                                chunk_tokens=chunk_tokens, overlap_tokens=overlap_tokens,
-                                min_partitions=min_partitions)
-    embedded = EM.batch_embed(chunks, embed, keep=("key", "filename", "file_hash", "chunk_number", "text",
-                                                   "element_type", "md5_hash", "n_tokens"),
-                              batch_size=batch_size)
-    content = PT.content_points(embedded, file_hash_col="file_hash")
-    names = EM.batch_embed(todo.select("key", "hash", "filename"), filename_embed, text_col="filename",
-                           keep=("key", "hash"), batch_size=batch_size)
-    fpoints = PT.filename_points(names, "key", hash_col="hash", vector_col="vector")
-    emb_rows = EM.embedding_ledger_rows(embedded, "key", "file_hash", collection, model_name)
-    skipped = DD.skip_rows(dec, key_col="key")
-    with_vec = embedded.where(F.col("vector").isNotNull()).select("key").distinct()
-    failed = (chunks.select("key").distinct().join(with_vec, "key", "left_anti")
-              .select(F.col("key").alias("filename"), F.lit("no valid embeddings").alias("error"),
-                      F.lit(UPLOAD_STAGE).alias("stage")))
-    return IngestOutputs(dec, chunks, embedded, content, fpoints, emb_rows, skipped, failed)
+    return IngestOutputs(dec, todo, collection, embed, filename_embed, chunk_tokens, overlap_tokens,
+                         batch_size, min_partitions, model_name)
 
 
 def convert_only(pages: DataFrame, key_col: str = "key", html_col: str = "html",
