@@ -76,3 +76,18 @@ def test_stream_rates_and_dedup(spark, scratch):
     dd = ST.run_to_memory(ST.stream_dedup(ds, "ts").select("doc_id", "hash"), os.path.join(scratch, "c2"), mode="append")
     distinct = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select(F.md5("text")).distinct().count()
     assert dd.count() == distinct
+
+
+def test_stream_ingest_ledgers_skips_across_batches(spark, scratch):
+    from corpusflow.sources import ledgers as L
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    src = os.path.join(scratch, "in")
+    # two input files: the second repeats some texts of the first
+    docs.where("doc_id < 120").coalesce(1).write.parquet(src)
+    docs.where("doc_id >= 80").coalesce(1).write.mode("append").parquet(src)
+    ST.stream_ingest_ledgers(spark, src, docs.schema, os.path.join(scratch, "ckpt"), os.path.join(scratch, "led"),
+                             os.path.join(scratch, "col"), max_files_per_trigger=1, chunk_tokens=200)
+    emb = L.read_ledger(spark, os.path.join(scratch, "led"), "embedding")
+    distinct = docs.select(F.md5("text")).distinct().count()
+    assert emb.select("md5_hash").distinct().count() == distinct
+    assert emb.count() == distinct  # nothing embedded twice, across the two micro-batches
