@@ -75,7 +75,8 @@ def _query_blocks(queries: DataFrame, query_id: str, dim_hint: int | None,
 
 
 def _partition_topk(points: DataFrame, qids: list, qmat: np.ndarray, k: int, metric: str,
-                    id_col: str, vector_col: str, carry: list[str]) -> DataFrame:
+                    id_col: str, vector_col: str, carry: list[str],
+                    allowed: tuple[str, dict] | None = None) -> DataFrame:
     larger = _larger_is_closer(metric)
     schema = points.select(id_col, *carry).schema
     out_schema = T.StructType([T.StructField("query_id", T.StringType(), False)]
@@ -107,11 +108,15 @@ def _partition_topk(points: DataFrame, qids: list, qmat: np.ndarray, k: int, met
             base = pdf[[id_col, *carry]].reset_index(drop=True)
             for j, qid in enumerate(qids_s):
                 col = key[:, j]
+                if allowed is not None:
+                    ok = pdf[allowed[0]].isin(allowed[1].get(qid, ())).to_numpy()
+                    col = np.where(ok, col, np.inf)
                 if len(col) > k:
                     kth = np.partition(col, k - 1)[k - 1]
                     idx = np.nonzero(col <= kth)[0]  # ties at the boundary are kept
                 else:
                     idx = np.arange(len(col))
+                idx = idx[np.isfinite(col[idx])]
                 cand = base.iloc[idx].copy()
                 cand["score"] = s[idx, j]
                 cand["query_id"] = qid
@@ -124,7 +129,13 @@ def _partition_topk(points: DataFrame, qids: list, qmat: np.ndarray, k: int, met
             out = _keep_k(pd.concat(best, ignore_index=True), k, larger, id_col)
             yield out[["query_id", id_col, *carry, "score"]]
 
-    return points.select(id_col, vector_col, *carry).mapInPandas(run, out_schema)
+    extra = [allowed[0]] if allowed is not None and allowed[0] not in (id_col, *carry) else []
+
+    def run_proj(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for out in run(batches):
+            yield out[["query_id", id_col, *carry, "score"]]
+
+    return points.select(id_col, vector_col, *carry, *extra).mapInPandas(run_proj, out_schema)
 
 
 def _keep_k(df: pd.DataFrame, k: int, larger: bool, id_col: str) -> pd.DataFrame:
@@ -162,8 +173,12 @@ def rank_per_query(cands: DataFrame, k: int, metric: str, id_col: str = "id",
 def topk(points: DataFrame, queries: DataFrame, k: int = 10, metric: str = "cosine",
          id_col: str = "id", vector_col: str = "vector", query_id: str = "query_id",
          query_vector: str = "vector", carry: tuple[str, ...] = (),
-         max_queries: int = MAX_QUERIES_PER_SCAN) -> DataFrame:
-    """Exact top-k per query (O-81 … O-85). Output: query_id, id, carry…, score, rank."""
+         max_queries: int = MAX_QUERIES_PER_SCAN, allowed: tuple[str, dict] | None = None) -> DataFrame:
+    """Exact top-k per query (O-81 … O-85). Output: query_id, id, carry…, score, rank.
+
+    ``allowed=(column, {query_id: set of values})`` restricts each query to
+    points whose ``column`` is in its own set (used by the two-stage search).
+    """
     if metric not in V.METRICS:
         raise ValueError(f"metric must be one of {list(V.METRICS)}")
     queries = queries.select(F.col(query_id).cast("string").alias("query_id"),
@@ -178,7 +193,7 @@ def topk(points: DataFrame, queries: DataFrame, k: int = 10, metric: str = "cosi
             continue
         qmat = np.asarray([list(r["__qv"]) for r in rows], dtype=np.float64)
         cands = _partition_topk(points, [r["query_id"] for r in rows], qmat, k, metric,
-                                id_col, vector_col, list(carry))
+                                id_col, vector_col, list(carry), allowed)
         results.append(rank_per_query(cands, k, metric, id_col))
     if not results:
         schema = points.select(id_col, *carry).schema
@@ -205,23 +220,38 @@ def pair_topk(pairs: DataFrame, k: int, metric: str, id_col: str = "id",
 
 def two_stage(file_points: DataFrame, content_points: DataFrame, queries: DataFrame,
               k_files: int = 5, k_chunks: int = 5, metric: str = "cosine",
-              file_col: str = "filename", max_queries: int = MAX_QUERIES_PER_SCAN) -> DataFrame:
+              file_col: str = "filename", page_col: str = "page_number",
+              max_queries: int = MAX_QUERIES_PER_SCAN) -> DataFrame:
     """Stage 1: top files by name vector; stage 2: top chunks within them (O-90).
 
-    Stage 2 joins content points to the (query, file) pairs of stage 1 — at
-    most ``queries × k_files`` rows, a bounded broadcast — on the file name,
-    so only chunks of selected files are scored; no cross join.
+    Stage 1 yields at most ``queries x k_files`` (query, file) pairs, a
+    checked bound, held by the driver per query block. Stage 2 is one more
+    partition-local scoring scan over the content points of those files only
+    (an ``isin`` filter that reaches the scan), each query masked to its own
+    files. A hot file is therefore scanned once, never joined once per query.
+    Output: query_id, id, filename, page_number, score, rank.
     """
-    stage1 = topk(file_points, queries, k_files, metric, carry=(file_col,), max_queries=max_queries)
-    qv = queries.select(F.col("query_id").cast("string").alias("query_id"),
-                        F.col("vector").alias("query_vector"))
-    pairs = stage1.select("query_id", file_col).join(qv, "query_id")
-    # (query, file) pairs are at most queries x k_files; broadcast only when
-    # the query count is proven to be within the scan budget.
-    if queries.limit(max_queries + 1).count() <= max_queries:
-        pairs = F.broadcast(pairs)
-    cand = content_points.join(pairs, file_col)
-    return pair_topk(cand, k_chunks, metric)
+    qs = queries.select(F.col("query_id").cast("string").alias("query_id"), F.col("vector"))
+    first = qs.where(F.col("vector").isNotNull()).select(F.size("vector")).first()
+    results = []
+    for block in _query_blocks(qs, "query_id", first[0] if first else None, max_queries):
+        stage1 = topk(file_points, block, k_files, metric, carry=(file_col,), max_queries=max_queries)
+        pairs = _collect_bounded(stage1.select("query_id", file_col), max_queries * k_files, "stage-1 pairs")
+        allowed: dict = {}
+        for r in pairs:
+            allowed.setdefault(r["query_id"], set()).add(r[file_col])
+        if not allowed:
+            continue
+        files = sorted({f for v in allowed.values() for f in v})
+        cand = content_points.where(F.col(file_col).isin(files))
+        results.append(topk(cand, block.where(F.col("query_id").isin(list(allowed))), k_chunks, metric,
+                            carry=(file_col, page_col), max_queries=max_queries, allowed=(file_col, allowed)))
+    if not results:
+        return topk(content_points.limit(0), qs.limit(0), k_chunks, metric, carry=(file_col, page_col))
+    out = results[0]
+    for r in results[1:]:
+        out = out.unionByName(r)
+    return out
 
 
 def context_window(hits: DataFrame, content_points: DataFrame, window: int,
