@@ -301,7 +301,9 @@ def keyword_search(points: DataFrame, queries: DataFrame, field: str, query_text
               .agg(F.min_by("token", F.struct("__df", "token")).alias("token"), F.count(F.lit(1)).alias("__have"))
               .join(qt, "query_id").where(F.col("__have") == F.size("__qt")))
     cand = index.join(rarest.select("query_id", "token", "__qt"), "token")
-    hits = cand.join(fields, id_col).where(F.forall("__qt", lambda t: F.array_contains(F.col("__ft"), t)))
+    # only candidate points' token arrays take part in the verification join
+    cand_fields = fields.join(cand.select(id_col).distinct(), id_col, "left_semi")
+    hits = cand.join(cand_fields, id_col).where(F.forall("__qt", lambda t: F.array_contains(F.col("__ft"), t)))
     return hits.select("query_id", id_col)
 
 
@@ -364,9 +366,13 @@ def approx_topk(points: DataFrame, queries: DataFrame, k: int = 10, metric: str
     dim = len(points.select("vector").where(F.col("vector").isNotNull()).first()[0])
     planes = _hyperplanes(dim, bits, tables, seed)
     psig = lsh_signatures(points.select(id_col, "vector", *carry), "vector", planes, bits, tables)
-    qsig = lsh_signatures(queries.select(F.col("query_id").cast("string").alias("query_id"),
-                                         F.col("vector").alias("query_vector")),
-                          "query_vector", planes, bits, tables)
-    pairs = psig.join(F.broadcast(qsig), ["lsh_table", "lsh_bucket"]).select(
-        "query_id", id_col, "vector", "query_vector", *carry).dropDuplicates(["query_id", id_col])
-    return pair_topk(pairs, k, metric, id_col)
+    qs = queries.select(F.col("query_id").cast("string").alias("query_id"), F.col("vector").alias("query_vector"))
+    out = None
+    # the query side is broadcast, so it is processed in blocks with a proven bound
+    for block in _query_blocks(qs, "query_id", dim, MAX_QUERIES_PER_SCAN):
+        qsig = lsh_signatures(block, "query_vector", planes, bits, tables)
+        pairs = psig.join(F.broadcast(qsig), ["lsh_table", "lsh_bucket"]).select(
+            "query_id", id_col, "vector", "query_vector", *carry).dropDuplicates(["query_id", id_col])
+        ranked = pair_topk(pairs, k, metric, id_col)
+        out = ranked if out is None else out.unionByName(ranked)
+    return out
