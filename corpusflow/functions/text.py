@@ -26,7 +26,8 @@ def token_count(text, pattern: str = TOKEN_PATTERN) -> Column:
 
 
 def strip_ws(text) -> Column:
-    return F.regexp_replace(col(text), rf"^{STRIP_CLASS}+|{STRIP_CLASS}+$", "")
+    """Remove [ \t\n\r\f] at both ends."""
+    return F.btrim(col(text), F.lit(" \t\n\r\f"))
 
 
 def remove_ws(text) -> Column:

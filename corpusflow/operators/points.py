@@ -38,18 +38,22 @@ def filename_points(files: DataFrame, key_col: str = "key", hash_col: str | None
 
 
 def content_points(chunks: DataFrame, vectors: DataFrame | None = None,
-                   vector_col: str = "vector", file_hash_col: str | None = "file_hash") -> DataFrame:
+                   vector_col: str = "vector", file_hash_col: str | None = "file_hash",
+                   id_scope: str = "name", key_col: str = "key") -> DataFrame:
     """One point per chunk with a vector (O-60); chunks without one are dropped.
 
     ``chunks`` has filename, chunk_number, text, element_type, md5_hash (and
     optionally the vector already); ``vectors`` is joined on
-    (filename, chunk_number) when given.
+    (filename, chunk_number) when given. Ids are uuid5 of
+    '<base name>_<chunk number>'; ``id_scope='key'`` uses the full object key
+    instead, so equal base names in two directories do not collide.
     """
     df = chunks
     if vectors is not None:
         df = df.join(vectors.select("filename", "chunk_number", vector_col), ["filename", "chunk_number"], "left")
+    name = F.col(key_col) if id_scope == "key" else F.col("filename")
     out = df.where(F.col(vector_col).isNotNull()).select(
-        H.chunk_point_id("filename", "chunk_number").alias("id"),
+        H.chunk_point_id(name, "chunk_number").alias("id"),
         F.col(vector_col).alias("vector"),
         F.col("text").alias("pagecontent"),
         "filename",

@@ -97,3 +97,13 @@ def test_element_types(spark):
 def test_token_count(spark):
     df = spark.createDataFrame([("Hello, world! 42 ü_x",)], "t string")
     assert df.select(TX.token_count("t")).first()[0] == 8
+
+
+def test_content_point_id_scope(spark):
+    from corpusflow.operators.points import content_points
+    rows = [("a/x.pdf", "x.pdf", 1, "t", "Text", "m", [0.1]), ("b/x.pdf", "x.pdf", 1, "t", "Text", "m", [0.2])]
+    df = spark.createDataFrame(rows, "key string, filename string, chunk_number int, text string, "
+                                     "element_type string, md5_hash string, vector array<double>")
+    by_name = {r.id for r in content_points(df, file_hash_col=None).collect()}
+    by_key = {r.id for r in content_points(df, file_hash_col=None, id_scope="key").collect()}
+    assert len(by_name) == 1 and len(by_key) == 2
