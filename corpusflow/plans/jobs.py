@@ -160,7 +160,7 @@ def run_full_ingest(spark: SparkSession, files: DataFrame, ledger_root: str, col
     out.embedded.write.mode("overwrite").parquet(stage)
     embedded = spark.read.parquet(stage)
     content = PT.content_points(embedded, file_hash_col="file_hash")
-    C.create_collection(spark, collection_root, collection, dim=64)
+    C.create_collection(spark, collection_root, collection, dim=getattr(kw.get("embed"), "dim", 64))
     C.write_points(spark, collection_root, collection, content)
     emb_rows = EM.embedding_ledger_rows(embedded, "key", "file_hash", collection, kw.get("model_name", "hashing-64"))
     L.append_ledger(emb_rows, ledger_root, "embedding")

@@ -1,11 +1,14 @@
-"""Vector collections as versioned Parquet tables (O-62, O-65).
+"""Vector collections as bucket-partitioned Parquet tables (O-62, O-65).
 
 A collection lives under ``<root>/<name>/``: a one-row ``_meta`` table
-(name, dim, distance) and immutable snapshot folders ``v<seq>``. An upsert
-writes a new snapshot and never overwrites the folder being read; readers take
-the highest snapshot. Points are bucketed by a hash of the file name so a
-search can prune by file, and ids are deterministic (uuid5), so re-running a
-write after an executor loss produces the same rows.
+(name, dim, distance) and ``data/`` partitioned by ``bucket`` = a hash of the
+file name. An upsert touches only the buckets of its new points: it reads
+those partitions (partition pruning), keeps the latest row per id, stages the
+result in the shared checkpoint folder and replaces just those partitions
+(dynamic partition overwrite) — a path is never overwritten while it is
+read, and the cost of a run grows with the run, not with the collection.
+Ids are deterministic (uuid5), so re-running a write after an executor loss
+produces the same rows.
 """
 
 from __future__ import annotations
@@ -63,26 +66,18 @@ def list_collections(spark: SparkSession, root: str) -> list[str]:
                   if s.isDirectory() and fs.exists(s.getPath().suffix("/_meta")))
 
 
-def _versions(spark: SparkSession, root: str, name: str) -> list[int]:
-    fs, hpath = _fs(spark, collection_path(root, name))
-    if not fs.exists(hpath):
-        return []
-    out = []
-    for s in fs.listStatus(hpath):
-        n = s.getPath().getName()
-        if s.isDirectory() and re.fullmatch(r"v\d+", n) and fs.exists(s.getPath().suffix("/_SUCCESS")):
-            out.append(int(n[1:]))
-    return sorted(out)
+def data_path(root: str, name: str) -> str:
+    return collection_path(root, name) + "/data"
 
 
 def read_points(spark: SparkSession, root: str, name: str, schema: str | None = None) -> DataFrame:
-    """Latest snapshot of a collection; an empty collection reads as empty."""
-    vs = _versions(spark, root, name)
-    if not vs:
+    """All points of a collection; an empty collection reads as empty."""
+    path = data_path(root, name)
+    if not _exists(spark, path):
         if schema is None:
             raise FileNotFoundError(f"collection {name} has no points")
         return spark.createDataFrame([], schema)
-    return spark.read.parquet(f"{collection_path(root, name)}/v{vs[-1]:08d}")
+    return spark.read.parquet(path)
 
 
 def upsert(old: DataFrame, new: DataFrame, key: str = "id", seq: str = "version",
@@ -106,16 +101,33 @@ def upsert(old: DataFrame, new: DataFrame, key: str = "id", seq: str = "version"
     return merged
 
 
+DEFAULT_BUCKETS = 64
+
+
 def write_points(spark: SparkSession, root: str, name: str, points: DataFrame,
-                 bucket_col: str = "filename", buckets: int | None = None) -> str:
-    """Upsert ``points`` into the collection as a new snapshot; returns its path."""
-    vs = _versions(spark, root, name)
-    seq = (vs[-1] + 1) if vs else 1
-    new = points.withColumn("version", F.lit(seq).cast("int"))
-    merged = upsert(read_points(spark, root, name), new) if vs else new
-    out = f"{collection_path(root, name)}/v{seq:08d}"
-    if buckets:
-        merged = merged.repartition(buckets, F.pmod(F.xxhash64(bucket_col), F.lit(buckets)))
-    merged.sortWithinPartitions(bucket_col, "page_number" if "page_number" in merged.columns else bucket_col) \
-        .write.mode("errorifexists").parquet(out)
-    return out
+                 bucket_col: str = "filename", buckets: int = DEFAULT_BUCKETS) -> str:
+    """Upsert ``points`` into the collection, rewriting only the touched buckets."""
+    import time
+    import uuid as _uuid
+
+    from corpusflow.session import scratch_path
+    seq = int(time.time() * 1000)
+    new = (points.withColumn("version", F.lit(seq).cast("long"))
+           .withColumn("bucket", F.pmod(F.xxhash64(bucket_col), F.lit(buckets)).cast("int")))
+    touched = [r[0] for r in new.select("bucket").distinct().collect()]  # at most ``buckets`` values
+    path = data_path(root, name)
+    if not touched:
+        return path  # nothing to upsert
+    if _exists(spark, path):
+        old = spark.read.parquet(path).where(F.col("bucket").isin(touched))
+        merged = upsert(old, new)
+    else:
+        merged = new
+    stage = scratch_path(spark, f"upsert-{name}-{_uuid.uuid4().hex}")
+    # no repartition by bucket: a hot bucket (one file with a third of all
+    # points) stays spread over the tasks of the id-partitioned upsert
+    order = ["bucket", bucket_col] + (["page_number"] if "page_number" in merged.columns else [])
+    merged.sortWithinPartitions(*order).write.mode("overwrite").partitionBy("bucket").parquet(stage)
+    (spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("bucket").parquet(path))
+    return path
