@@ -98,18 +98,15 @@ def ship_package(spark: SparkSession) -> None:
     data = buf.getvalue()
     name = f"corpusflow-{hashlib.md5(data).hexdigest()[:12]}.zip"
     target = scratch_path(spark, f"pylib/{name}")
-    if "://" in target and not target.startswith("file:"):
-        local = os.path.join(tempfile.mkdtemp(prefix="corpusflow-lib-"), name)
-        with open(local, "wb") as fh:
-            fh.write(data)
-        jvm = sc._jvm
-        dst = jvm.org.apache.hadoop.fs.Path(target)
-        dst.getFileSystem(sc._jsc.hadoopConfiguration()).copyFromLocalFile(jvm.org.apache.hadoop.fs.Path(local), dst)
-    else:
-        path = target[len("file:"):] if target.startswith("file:") else target
-        os.makedirs(os.path.dirname(path), exist_ok=True)
-        if not os.path.exists(path):
-            with open(path, "wb") as fh:
-                fh.write(data)
+    # written through the Hadoop file system of the shared folder (no local temp copy)
+    jvm = sc._jvm
+    dst = jvm.org.apache.hadoop.fs.Path(target)
+    fs = dst.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(dst):
+        out = fs.create(dst, True)
+        try:
+            out.write(bytearray(data))
+        finally:
+            out.close()
     sc.addPyFile(target)
     _SHIPPED.add(app)

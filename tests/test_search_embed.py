@@ -71,8 +71,8 @@ def test_context_window_rule(spark):
 
 
 def test_keyword_partial_match(spark):
-    pts = spark.createDataFrame([(1, "ECOS_9.3.7.1_Release_Notes_RevH.pdf"), (2, "ECOS_9.2.pdf")], "id long, name string")
-    qs = spark.createDataFrame([("q", "ECOS version 9.3.7"), ("r", "ecos 9.3.7")], "query_id string, text string")
+    pts = spark.createDataFrame([(1, "NOVA_9.3.7.1_Notes_RevH.pdf"), (2, "NOVA_9.2.pdf")], "id long, name string")
+    qs = spark.createDataFrame([("q", "NOVA version 9.3.7"), ("r", "nova 9.3.7")], "query_id string, text string")
     got = {(r.query_id, r.id) for r in S.keyword_search(pts, qs, "name").collect()}
     assert got == {("r", 1)}
 

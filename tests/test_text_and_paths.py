@@ -40,7 +40,7 @@ def test_skip_and_markdown_filters(spark):
 
 
 def test_hashes_match_python(spark):
-    names = ["doc_1.pdf", "ECOS_9.3.7.1_Release_Notes_RevH.pdf", "ü漢字.md"]
+    names = ["doc_1.pdf", "NOVA_9.3.7.1_Notes_RevH.pdf", "ü漢字.md"]
     rows = _one(spark, [(n,) for n in names], "n string", "n", H.uuid5("n"), H.text_md5("n"),
                 H.chunk_point_id("n", F.lit(3)))
     for n, u, m, c in rows:
