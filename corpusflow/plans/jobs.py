@@ -157,14 +157,19 @@ def run_full_ingest(spark: SparkSession, files: DataFrame, ledger_root: str, col
                       L.read_ledger(spark, ledger_root, "embedding"),
                       _resident(spark, collection_root, collection), collection=collection, **kw)
     stage = scratch_path(spark, f"ingest-{_uuid.uuid4().hex}")
-    out.embedded.write.mode("overwrite").parquet(stage)
-    embedded = spark.read.parquet(stage)
+    # Decisions read the collection; stage them (and the embedded chunks) before
+    # any point is written, so nothing is recomputed from replaced files.
+    out.decisions.select("key", "hash", "collection_name", "action", "skip_reason", "found_in",
+                         "original_processing_date").write.mode("overwrite").parquet(stage + "/decisions")
+    decisions = spark.read.parquet(stage + "/decisions")
+    out.embedded.write.mode("overwrite").parquet(stage + "/embedded")
+    embedded = spark.read.parquet(stage + "/embedded")
     content = PT.content_points(embedded, file_hash_col="file_hash")
     C.create_collection(spark, collection_root, collection, dim=getattr(kw.get("embed"), "dim", 64))
     C.write_points(spark, collection_root, collection, content)
     emb_rows = EM.embedding_ledger_rows(embedded, "key", "file_hash", collection, kw.get("model_name", "hashing-64"))
     L.append_ledger(emb_rows, ledger_root, "embedding")
-    L.append_ledger(out.skipped_rows, ledger_root, "skipped")
+    L.append_ledger(DD.skip_rows(decisions, key_col="key"), ledger_root, "skipped")
     uploaded = embedded.groupBy(F.col("key").alias("filename"), F.col("file_hash").alias("hash")).agg(
         F.current_timestamp().alias("datetime"))
     L.append_ledger(uploaded, ledger_root, "upload")
