@@ -84,3 +84,23 @@ def test_collection_create_and_versions(spark, scratch):
     C.write_points(spark, scratch, "c1", p2)
     got = {r.id: r for r in C.read_points(spark, scratch, "c1").collect()}
     assert len(got) == 2 and got["b"].vector[0] == 0.3 and got["b"].version >= got["a"].version
+
+
+def test_json_ledger_and_replace(spark, scratch):
+    import json
+    import os
+    from corpusflow.operators.reports import clear_resolved
+    path = os.path.join(scratch, "failed.json")
+    rows = [{"filename": "a.pdf", "hash": "h1", "datetime": "2025-01-01T00:00:00Z", "error": "x", "stage": "docling"},
+            {"filename": "b.pdf", "hash": "h2", "datetime": "2025-01-02T00:00:00Z", "error": "y", "stage": "chunker"}]
+    with open(path, "w") as fh:
+        json.dump(rows, fh)
+    led = L.read_json_ledger(spark, path, "failed")
+    assert {r.filename for r in led.collect()} == {"a.pdf", "b.pdf"}
+    assert L.read_json_ledger(spark, os.path.join(scratch, "missing.json"), "failed").count() == 0
+    root = os.path.join(scratch, "ledgers")
+    L.append_ledger(led, root, "failed")
+    ok = spark.createDataFrame([("h1",)], "hash string")
+    # rewrite the ledger from a plan that reads the same ledger (staged first)
+    L.replace_ledger(spark, clear_resolved(L.read_ledger(spark, root, "failed"), ok), root, "failed")
+    assert [r.filename for r in L.read_ledger(spark, root, "failed").collect()] == ["b.pdf"]
