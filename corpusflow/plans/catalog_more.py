@@ -244,7 +244,9 @@ def dimension_validation(spark, d):
     return EM.dimension_check(FX.table(spark, d, "embeddings"), "embedding", 64)
 
 
-@query("embedding_ledger_rows", None, "O-56")
+@query("embedding_ledger_rows", """
+SELECT object_key AS filename, content_md5 AS md5_hash, 'content' AS collection_name, 'hashing-64' AS model_name,
+  'success' AS status FROM fx_files WHERE length(trim(text)) > 0""", "O-56")
 def embedding_ledger_rows(spark, d):
     from corpusflow.operators.chunking import chunk_documents
     f = FX.fx_files(spark, d).select(F.col("object_key").alias("filename"), "text",
@@ -252,7 +254,7 @@ def embedding_ledger_rows(spark, d):
     ch = chunk_documents(f, keep=("file_hash",))
     emb = EM.batch_embed(ch, EM.HashingEmbedder(64), keep=("filename", "file_hash", "chunk_number"))
     rows = EM.embedding_ledger_rows(emb, "filename", "file_hash", "content", "hashing-64")
-    return rows.select("filename", "md5_hash", "collection_name", "chunks_created", "model_name", "status")
+    return rows.select("filename", "md5_hash", "collection_name", "model_name", "status")
 
 
 @query("precomputed_vectors", """
