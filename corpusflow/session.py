@@ -15,8 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "corpusflow") -> SparkSession:
-    """A local session configured like a small cluster (AQE on, UI off, UTC)."""
+                  app: str = "corpusflow", event_log_dir: str | None = None) -> SparkSession:
+    """A local session configured like a small cluster (AQE on, UI off, UTC).
+
+    ``event_log_dir`` turns on Spark's event log there (stage and task times
+    without the web UI; read them with ``tools/stage_times.py``).
+    """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -35,6 +39,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     )
+    if event_log_dir:
+        os.makedirs(event_log_dir, exist_ok=True)
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
