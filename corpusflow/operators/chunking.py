@@ -55,9 +55,16 @@ def _pieces(text: Column, sep: str) -> Column:
     return F.filter(arr, lambda p: p != "")
 
 
-def _emit(buf: Column) -> Column:
+_OUT_TYPE = "array<struct<t:string,n:int>>"
+
+
+def _emit(buf: Column, exact: bool) -> Column:
+    """Flush: joined, stripped text with its token count (sum of the pieces'
+    counts, exact above the character level; -1 = count again)."""
     joined = T.strip_ws(F.array_join(F.transform(buf, lambda x: x["p"]), ""))
-    return F.when(joined != "", F.array(joined)).otherwise(F.array().cast("array<string>"))
+    n = _buf_sum(buf) if exact else F.lit(-1)
+    return F.when(joined != "", F.array(F.struct(joined.alias("t"), n.alias("n")))).otherwise(
+        F.array().cast(_OUT_TYPE))
 
 
 def _buf_sum(buf: Column) -> Column:
@@ -82,17 +89,18 @@ def _fold(text: Column, level: int, size: int, overlap: int,
         items = F.when(text.contains(sep), items).otherwise(
             F.array(F.struct(text.alias("p"), k_text.alias("k"))))
     empty_buf = F.array().cast(_BUF_TYPE)
-    init = F.struct(F.array().cast("array<string>").alias("out"),
+    exact = sep != ""
+    init = F.struct(F.array().cast(_OUT_TYPE).alias("out"),
                     empty_buf.alias("buf"), F.lit(0).alias("n"))
 
     def step(acc, it):
         out, buf, n = acc["out"], acc["buf"], acc["n"]
         k = it["k"]
-        flushed = F.concat(out, _emit(buf))
+        flushed = F.concat(out, _emit(buf, exact))
         if level + 1 < len(SEPARATORS):
             deeper = _fold(it["p"], level + 1, size, overlap, counter, k)
         else:
-            deeper = _emit(F.array(it))
+            deeper = _emit(F.array(it), False)
         recurse = F.struct(F.concat(flushed, deeper).alias("out"), empty_buf.alias("buf"),
                            F.lit(0).alias("n"))
         if overlap > 0:
@@ -107,7 +115,7 @@ def _fold(text: Column, level: int, size: int, overlap: int,
                 .when((n + k > size) & (F.size(buf) > 0), restart)
                 .otherwise(append))
 
-    return F.aggregate(items, init, step, lambda acc: F.concat(acc["out"], _emit(acc["buf"])))
+    return F.aggregate(items, init, step, lambda acc: F.concat(acc["out"], _emit(acc["buf"], exact)))
 
 
 _TEXT_COL = "__cf_chunk_text"
@@ -117,7 +125,15 @@ _EXPR_CACHE: dict = {}
 def chunk_texts(text, chunk_tokens: int = DEFAULT_CHUNK_TOKENS,
                 overlap_tokens: int = DEFAULT_OVERLAP_TOKENS,
                 counter: Callable[[Column], Column] = T.token_count) -> Column:
-    """array<string> of chunks of ``text`` (O-27, O-28).
+    """array<string> of chunks of ``text`` (O-27, O-28)."""
+    return F.transform(chunk_texts_counted(text, chunk_tokens, overlap_tokens, counter), lambda x: x["t"])
+
+
+def chunk_texts_counted(text, chunk_tokens: int = DEFAULT_CHUNK_TOKENS,
+                        overlap_tokens: int = DEFAULT_OVERLAP_TOKENS,
+                        counter: Callable[[Column], Column] = T.token_count) -> Column:
+    """array<struct<t, n>>: chunks with their token counts (n = -1 where the
+    count must be taken again, i.e. chunks merged from single characters).
 
     The expression is large (six nested folds); building it through the
     Python API costs seconds, so the version over the fixed input column used
@@ -125,7 +141,7 @@ def chunk_texts(text, chunk_tokens: int = DEFAULT_CHUNK_TOKENS,
     """
     if overlap_tokens >= chunk_tokens:
         raise ValueError("overlap must be smaller than the chunk size")
-    if isinstance(text, str) and text == _TEXT_COL:
+    if isinstance(text, str) and text == _TEXT_COL:  # cached: built once per process
         from pyspark import SparkContext
         key = (id(SparkContext._gateway), chunk_tokens, overlap_tokens, counter)
         if key not in _EXPR_CACHE:
@@ -202,16 +218,22 @@ def chunk_documents(docs: DataFrame, text_col: str = "text", filename_col: str =
         col(text_col).alias(_TEXT_COL),
     ).select(
         *[c for c in keep if c != filename_col], "filename",
-        F.posexplode(chunk_texts(_TEXT_COL, chunk_tokens, overlap_tokens, counter)).alias("pos", "text"),
+        F.posexplode(chunk_texts_counted(_TEXT_COL, chunk_tokens, overlap_tokens, counter)).alias("pos", "c"),
     )
+    # Piece counts add up exactly for the default counter (separators start with
+    # whitespace or '.', a token of its own); a custom counter is applied again.
+    n = F.col("c.n") if counter is T.token_count else F.lit(-1)
     return chunks.select(
         *keep_cols(keep, filename_col),
         "filename",
         (F.col("pos") + 1).cast("int").alias("chunk_number"),
-        "text",
+        F.col("c.t").alias("text"),
+        n.alias("__n"),
+    ).select(
+        *keep_cols(keep, filename_col), "filename", "chunk_number", "text",
         T.element_type("text").alias("element_type"),
         H.text_md5("text").alias("md5_hash"),
-        counter(F.col("text")).alias("n_tokens"),
+        F.when(F.col("__n") >= 0, F.col("__n")).otherwise(counter(F.col("text"))).cast("int").alias("n_tokens"),
     )
 
 
