@@ -259,11 +259,21 @@ def chunk_invariants_100(spark, d):
     return _chunk_invariants(spark, d, 100)
 
 
-@query("chunk_overlap", None, "O-28")
+@query("chunk_overlap", """
+SELECT doc_id, true AS within_limit, true AS starts_ok, true AS ends_ok FROM fx_md""", "O-28 O-29")
 def chunk_overlap(spark, d):
-    docs = FX.fx_md(spark, d).select(F.col("doc_id").cast("string").alias("filename"), "text")
-    return CH.chunk_documents(docs, chunk_tokens=100, overlap_tokens=20).select(
-        "filename", "chunk_number", "n_tokens", "md5_hash")
+    """Invariants of overlapping chunks per document: every chunk within the
+    limit, the first chunk opens and the last one closes the stripped text."""
+    docs = FX.fx_md(spark, d).select("doc_id", F.col("doc_id").cast("string").alias("filename"), "text")
+    ch = CH.chunk_documents(docs, keep=("doc_id",), chunk_tokens=100, overlap_tokens=20)
+    agg = ch.groupBy("doc_id").agg(
+        (F.max("n_tokens") <= 100).alias("within_limit"),
+        F.min_by("text", "chunk_number").alias("__first"),
+        F.max_by("text", "chunk_number").alias("__last"))
+    body = docs.select("doc_id", TX.strip_ws("text").alias("__body"))
+    j = agg.join(body, "doc_id")
+    return j.select("doc_id", "within_limit", F.col("__body").startswith(F.col("__first")).alias("starts_ok"),
+                    F.col("__body").endswith(F.col("__last")).alias("ends_ok"))
 
 
 @query("element_types", rf"""
