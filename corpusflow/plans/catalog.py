@@ -288,13 +288,24 @@ def element_types(spark, d):
     return FX.fx_md(spark, d).select("doc_id", "kind", TX.element_type("text").alias("element_type"))
 
 
-@query("chunk_records", None, "O-31")
-def chunk_records(spark, d):
+def _chunk_record_rows(spark, d):
     docs = FX.fx_md(spark, d).select(F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".md")).alias("filename"), "text")
     rec = CH.chunk_record(CH.chunk_documents(docs))
     return rec.select("text", "metadata.filename", "metadata.page_number", "metadata.element_type", "metadata.md5_hash")
 
 
+@query("chunk_records", """
+SELECT 'doc_' || CAST(doc_id AS VARCHAR) || '.md' AS filename, true AS numbering_ok, true AS md5_ok FROM fx_md""",
+       "O-31 O-29 O-22")
+def chunk_records(spark, d):
+    """Per file: page numbers run 1..n and every record's md5_hash is the MD5 of its text."""
+    rec = _chunk_record_rows(spark, d)
+    return rec.groupBy("filename").agg(
+        ((F.min("page_number") == 1) & (F.max("page_number") == F.count(F.lit(1)))
+         & (F.countDistinct("page_number") == F.count(F.lit(1)))).alias("numbering_ok"),
+        F.bool_and(F.col("md5_hash") == F.md5(F.encode("text", "UTF-8"))).alias("md5_ok"))
+
+
 @query("chunk_stats", f"""
 SELECT doc_id, CAST(len(regexp_extract_all(text, '{TOKEN_RE}')) AS BIGINT) AS sum_tokens FROM fx_md""", "O-32")
 def chunk_stats(spark, d):
