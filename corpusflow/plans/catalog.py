@@ -315,11 +315,20 @@ def chunk_stats(spark, d):
     return st.select(F.col("filename").alias("doc_id"), "sum_tokens")
 
 
-@query("chunk_type_counts", None, "O-30 O-32")
+@query("chunk_type_counts", """
+SELECT CAST(doc_id AS VARCHAR) AS filename, true AS has_chunks, true AS types_add_up, true AS tokens_in_range
+FROM fx_md""", "O-30 O-32")
 def chunk_type_counts(spark, d):
+    """Per file stats with zeros for files without chunks (outer join): every
+    document has chunks, type counts add up to the total, min <= avg <= max <= 100."""
     docs = FX.fx_md(spark, d).select(F.col("doc_id").cast("string").alias("filename"), "text")
-    ch = CH.chunk_documents(docs, chunk_tokens=100)
-    return CH.chunk_stats(ch, docs.select("filename"))
+    st = CH.chunk_stats(CH.chunk_documents(docs, chunk_tokens=100), docs.select("filename"))
+    types = sum((F.col(f"n_{t.lower()}") for t in TX.ELEMENT_TYPES[1:]), F.col(f"n_{TX.ELEMENT_TYPES[0].lower()}"))
+    return st.select(
+        "filename", (F.col("total_chunks") > 0).alias("has_chunks"),
+        (types == F.col("total_chunks")).alias("types_add_up"),
+        ((F.col("min_tokens") <= F.col("avg_tokens")) & (F.col("avg_tokens") <= F.col("max_tokens"))
+         & (F.col("max_tokens") <= 100)).alias("tokens_in_range"))
 
 
 # ------------------------------------------------------------------ tokenizers, index
