@@ -11,7 +11,7 @@ Sampling: a source whose target is r times its size takes every document
 floor(r) times, and the fractional rest once more for the documents that come
 first in a seeded order, until their sizes fill the rest. The order is a hash of
 the document, so reruns agree, and the fill point is found without sorting a
-source in one task: sizes are summed in ``BUCKETS`` hash ranges per source, and
+source in one task: sizes are summed in 2**BITS hash ranges per source, and
 only the range that holds the fill point is ranked document by document.
 """
 
@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 
 from corpusflow.llm.common import stage, words
 
-BUCKETS = 1024
-#: the fill range of a source is cut again, so that a huge source ranks few documents at once
-FINE = 1024
+#: hash ranges per source, as bits; the range that holds the fill point is cut into as many again, so that a huge
+#: source ranks few documents at once
+BITS = 10
 
 
 def word_count(text: str | Column = "text") -> Column:
@@ -94,8 +94,8 @@ def mix(docs: DataFrame, size: Column, source: str = "source", doc_id: str = "do
     same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
 
     # the hash range, and then the part of it, in which each source's rest is full
-    coarse = F.shiftrightunsigned("h", 64 - 10).cast("int")
-    fine = F.shiftrightunsigned(F.shiftleft("h", 10), 64 - 10).cast("int")
+    coarse = F.shiftrightunsigned("h", 64 - BITS).cast("int")
+    fine = F.shiftrightunsigned(F.shiftleft("h", BITS), 64 - BITS).cast("int")
     rows = rows.withColumn("coarse", coarse).withColumn("fine", fine)
     at = _fill(rows, "coarse", sources.select(F.col("source").alias("s"), F.col("rest").alias("left")))
     inside = rows.join(at, same("source", "s") & (F.col("coarse") == F.col("at")))
@@ -106,7 +106,7 @@ def mix(docs: DataFrame, size: Column, source: str = "source", doc_id: str = "do
 
     placed = (rows.join(sources.withColumnRenamed("source", "s"), same("source", "s"), "left").drop("s")
               .join(point, same("source", "ps"), "left").drop("ps"))
-    # documents in the last part are ranked among themselves only: their windows hold 1 / (BUCKETS * FINE) of a source
+    # documents in the last part are ranked among themselves only: their windows hold 4**-BITS of a source
     edge = (F.col("coarse") == F.col("c")) & (F.col("fine") == F.col("f"))
     before = (F.col("coarse") < F.col("c")) | ((F.col("coarse") == F.col("c")) & (F.col("fine") < F.col("f")))
     filled = F.sum("size").over(Window.partitionBy("source").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0))
@@ -121,7 +121,7 @@ def mix(docs: DataFrame, size: Column, source: str = "source", doc_id: str = "do
 def _fill(rows: DataFrame, part: str, left: DataFrame) -> DataFrame:
     """``s, at, left``: the part in which a source's amount ``left(s, left)`` runs full, and what remains for it.
 
-    Works on at most ``BUCKETS`` sums per source.
+    Works on at most 2**BITS sums per source.
     """
     sums = rows.groupBy("source", part).agg(F.sum("size").alias("bytes"))
     w = Window.partitionBy("source").orderBy(part)

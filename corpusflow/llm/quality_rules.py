@@ -102,27 +102,33 @@ def default_rules() -> dict[str, Column]:
 
 
 def fit(votes: DataFrame, names: list[str]) -> dict:
-    """Estimate from the vote columns ``names``: the share of good documents and each rule's vote rates.
+    """Estimate from the vote columns ``names``: the share of good documents and each rule's accuracies.
 
-    Starts from rules that are right four times in five where they vote. Rates
-    are smoothed by one vote, so no posterior is decided by an unseen vote.
+    ``right[r]``: how often the rule, where it votes, says good on good documents
+    and bad on bad ones. An abstention is no evidence. A rule here looks for one
+    defect, so the start takes a bad vote for reliable (1 in 500 good documents)
+    and a good vote for weak (a bad document passes seven rules in ten). The
+    smoothing, a thousandth of a class's votes, keeps an unseen vote possible.
     """
     counts, _ = stage(votes.groupBy(*names).agg(F.count("*").cast("double").alias("n")), "votes")
     total = counts.agg(F.sum("n")).first()[0] or 0.0
-    model = {"good": 0.8, "rates": {r: {1: (0.45, 0.1), -1: (0.05, 0.4), 0: (0.5, 0.5)} for r in names}}
+    model = {"good": 0.85, "right": {r: (0.998, 0.3) for r in names}}
     for _ in range(MAX_ROUNDS if total else 0):
         p = posterior(model, names)
         sums = [F.sum(F.col("n") * p).alias("good")]
         for r in names:
-            for v in (1, -1, 0):
+            for v, c in ((1, "up"), (-1, "down")):
                 hit = F.when(F.col(r) == v, F.col("n")).otherwise(0.0)
-                sums += [F.sum(hit * p).alias(f"{r}_{v}_g"), F.sum(hit * (1 - p)).alias(f"{r}_{v}_b")]
+                sums += [F.sum(hit * p).alias(f"{r}_{c}_g"), F.sum(hit * (1 - p)).alias(f"{r}_{c}_b")]
         s = counts.agg(*sums).first()
-        good, bad = s["good"], total - s["good"]
-        new = {"good": (good + 1) / (total + 2), "rates": {r: {
-            v: ((s[f"{r}_{v}_g"] + 1) / (good + 3), (s[f"{r}_{v}_b"] + 1) / (bad + 3)) for v in (1, -1, 0)} for r in names}}
-        moved = max([abs(new["good"] - model["good"]), *(abs(a - b) for r in names for v in (1, -1, 0)
-                                                         for a, b in zip(new["rates"][r][v], model["rates"][r][v]))])
+
+        def share(hit: float, miss: float) -> float:
+            slack = 0.001 * (hit + miss) + 1e-9
+            return (hit + slack) / (hit + miss + 2 * slack)
+
+        new = {"good": share(s["good"], total - s["good"]), "right": {
+            r: (share(s[f"{r}_up_g"], s[f"{r}_down_g"]), share(s[f"{r}_down_b"], s[f"{r}_up_b"])) for r in names}}
+        moved = max([abs(new["good"] - model["good"]), *(abs(x - y) for r in names for x, y in zip(new["right"][r], model["right"][r]))])
         model = new
         if moved < CLOSE:
             break
@@ -134,8 +140,9 @@ def posterior(model: dict, names: list[str]) -> Column:
     from math import log
     odds = F.lit(log(model["good"] / (1 - model["good"])))
     for r in names:
-        ratio = {v: log(g / b) for v, (g, b) in model["rates"][r].items()}
-        odds = odds + F.when(F.col(r) == 1, ratio[1]).when(F.col(r) == -1, ratio[-1]).otherwise(ratio[0])
+        on_good, on_bad = model["right"][r]
+        odds = odds + (F.when(F.col(r) == 1, log(on_good / (1 - on_bad)))
+                       .when(F.col(r) == -1, log((1 - on_good) / on_bad)).otherwise(0.0))
     return 1 / (1 + F.exp(-odds))
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusflow.llm import near_dedup
+from corpusflow.llm import mixing, near_dedup, packing, quality_rules, substring_dedup
 from corpusflow.llm.common import documents
 
 #: name -> (query, DuckDB SQL or None)
@@ -20,7 +20,33 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_mixing")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed by words to weights 1, 2, 3, ... of their sources, three epochs at most."""
+    return mixing.mix(documents(spark, sf_dir), mixing.word_count()).select(
+        "doc_id", "size", "source_size", "target", "taken", "source", "weight", "repeats")
+
+
+@query("op4_best_fit_packing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 1024 tokens."""
+    return packing.packed_documents(documents(spark, sf_dir))
+
+
 @query("op5_minhash_near_dedup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents; checked against all pairs in tests/llm."""
     return near_dedup.near_duplicates(documents(spark, sf_dir))
+
+
+@query("op7_substring_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every text without its repeated 35-word windows."""
+    return substring_dedup.removal_report(documents(spark, sf_dir))
+
+
+@query("op8_quality_rules")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weak-supervision verdicts on all documents."""
+    return quality_rules.judge(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good")
