@@ -8,13 +8,16 @@ bin copies the value of the first filled bin in a fixed random order of its own
 40 bands with probability 2e-5.
 
 Equal sets are collapsed to one class first. Each bucket (equal band values)
-then gives a star: every class to the bucket's smallest class, never all pairs.
-Star links are confirmed on the full sets. Because a star can hide a link
-between two leaves that its centre is not linked to, buckets whose members are
-still in different components get further stars (1, 3, 9, ... new centres a
-round, each against the later members of *other* components) until every such
-bucket is exhausted. The outcome therefore equals checking every pair of every
-bucket, while a bucket of true copies costs one edge per member.
+then gives a star, every class to one centre, never all pairs. The centre is the
+class whose bands lie in the largest buckets, the most typical member: where many
+texts derive from one, it is that one. Star links are confirmed on the full sets.
+
+A star can hide a link between two leaves that its centre is not linked to. So
+members of buckets that still hold more than one component are matched once more,
+by exact prefix filtering: two sets that overlap enough must share a shingle
+among the rarest seventh of the smaller and the rarest quarter of the larger.
+Only pairs of different components are formed. The outcome equals checking every
+pair of every bucket, while a bucket of true copies costs one edge per member.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusflow.llm import texthash as H
@@ -129,9 +132,12 @@ def near_duplicates(docs: DataFrame, text: str | Column = "text", doc_id: str |
         sig.where("n_shingles > 0").groupBy("lo", "hi").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
         .withColumn("class", F.monotonically_increasing_id()), "classes")
     member = classes.select("class", F.explode("bands").alias("bucket"))
-    shared = member.groupBy("bucket").agg(F.min("class").alias("first"), F.max("class").alias("last"))
-    shared = shared.where("first <> last").select("bucket", F.col("first").alias("center"))
+    shared = (member.groupBy("bucket").agg(F.min("class").alias("first"), F.max("class").alias("last"), F.count("*").alias("size"))
+              .where("first <> last").select("bucket", "size"))
     crowd, crowd_path = stage(member.join(shared, "bucket"), "buckets")
+    score = crowd.groupBy("class").agg(F.sum("size").alias("score"))
+    center = (crowd.select("bucket", "class").join(score, "class").groupBy("bucket")
+              .agg(F.max_by("class", F.struct("score", -F.col("class"))).alias("center")))
 
     wanted = (crowd.select("class").distinct()
               .join(classes.select("class", "rep", "lo", "hi"), "class"))
@@ -139,21 +145,17 @@ def near_duplicates(docs: DataFrame, text: str | Column = "text", doc_id: str |
         rows.join(wanted, rows.doc_id.eqNullSafe(wanted.rep)).select("class", "lo", "hi", "text")
         .mapInArrow(_sets, "class long, shingles array<long>").dropDuplicates(["class"]), "sets")
 
-    edges = crowd.where("class <> center").select(F.col("class").alias("a"), F.col("center").alias("b")).distinct()
+    edges = (crowd.select("bucket", "class").join(center.select("bucket", "center"), "bucket").where("class <> center")
+             .select(F.greatest("class", "center").alias("a"), F.least("class", "center").alias("b")).distinct())
     links, _ = stage(_confirmed(edges, sets, min_percent), "links")
-    labels = connected_components(links)
+    labels, _ = stage(connected_components(links), "components")
     open_, open_path = stage(_open_members(crowd, labels), "open")
-    first, width = 1, 3
-    while open_.limit(1).count():
-        edges = _later_stars(open_, first, width)
-        more, _ = stage(_confirmed(edges, sets, min_percent), "links")
-        links = links.union(more)
-        old, first, width = open_path, first + width, width * 3
+    if open_.limit(1).count():
+        more, more_path = stage(_confirmed(_rare_pairs(open_, sets, min_percent), sets, min_percent), "links")
         if more.limit(1).count():
-            labels = connected_components(links)
-        left = open_.select("bucket", "class", "place", "size").where(F.col("size") > first)
-        open_, open_path = stage(_relabel(left, labels), "open")
-        unstage(spark, old)
+            labels, _ = stage(_joined(labels, more), "components")
+        unstage(spark, more_path)
+    unstage(spark, crowd_path, sets_path, open_path)
 
     named = (classes.select("class", "rep", "lo", "hi")
              .join(labels.withColumnRenamed("node", "class"), "class", "left")
@@ -166,32 +168,45 @@ def near_duplicates(docs: DataFrame, text: str | Column = "text", doc_id: str |
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _relabel(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of the buckets that still hold more than one component, with their component."""
-    now = (members.join(labels.withColumnRenamed("node", "class"), "class", "left")
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` after more links: only the components that these join are worked on."""
+    def named(df: DataFrame, end: str) -> DataFrame:
+        of = labels.select(F.col("node").alias(end), F.col("component").alias("c"))
+        return df.join(of, end, "left").withColumn(end, F.coalesce("c", end)).drop("c")
+
+    merged = connected_components(named(named(links, "a"), "b").where("a <> b"))
+    new = merged.select(F.col("node").alias("component"), F.col("component").alias("to"))
+    return (labels.join(new, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+            .union(merged.join(labels, "node", "left_anti").select("node", "component")))
+
+
+def _open_members(crowd: DataFrame, labels: DataFrame) -> DataFrame:
+    """``class, component`` of the members of buckets that still hold more than one component."""
+    now = (crowd.select("bucket", "class").join(labels.withColumnRenamed("node", "class"), "class", "left")
            .withColumn("component", F.coalesce("component", "class")))
     mixed = now.groupBy("bucket").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1")
-    return now.join(mixed.select("bucket"), "bucket", "left_semi")
+    return now.join(mixed.select("bucket"), "bucket", "left_semi").select("class", "component").distinct()
 
 
-def _open_members(crowd: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of mixed buckets with their place in the bucket (0 is the centre used already).
+def _rare_pairs(members: DataFrame, sets: DataFrame, min_percent: int) -> DataFrame:
+    """Pairs of different components that prefix filtering cannot rule out.
 
-    Buckets with the same members are the same work: one of them is enough. A
-    bucket in which all members joined one component needs nothing more.
+    Shingles are ordered by how many members have them, rarest first. Of two
+    linked sets of sizes n <= m the smaller shares one of its first
+    n - ceil(2tn / (1 + t)) + 1 shingles with the first m - ceil(tm) + 1 of the
+    larger, t being the least similarity.
     """
-    from pyspark.sql import Window
-    now = _relabel(crowd.select("bucket", "class"), labels)
-    # the place comes from a window over mixed buckets only: true copies have left by now
-    w = Window.partitionBy("bucket").orderBy("class")
-    size = now.groupBy("bucket").agg(F.count("*").alias("size"), F.sum(F.xxhash64("class").cast("decimal(38,0)")).alias("who"))
-    once = size.groupBy("who", "size").agg(F.min("bucket").alias("bucket")).where("size > 2")
-    return now.join(once.select("bucket", "size"), "bucket").withColumn("place", F.row_number().over(w) - 1)
-
-
-def _later_stars(members: DataFrame, first: int, width: int) -> DataFrame:
-    """Pairs of the centres at places first .. first+width-1 and later members of other components."""
-    centre = (members.where((F.col("place") >= first) & (F.col("place") < first + width))
-              .select("bucket", F.col("place").alias("p"), F.col("class").alias("b"), F.col("component").alias("cb")))
-    return (members.join(centre, "bucket").where("place > p and component <> cb")
-            .select(F.greatest("class", "b").alias("a"), F.least("class", "b").alias("b")).distinct())
+    rows = members.join(sets, "class").select("class", "component", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    often = rows.groupBy("shingle").agg(F.count("*").alias("often"))
+    rank = F.row_number().over(Window.partitionBy("class").orderBy("often", "shingle"))
+    far = F.expr(f"n - ({min_percent} * n + 99) div 100 + 1")
+    near = F.expr(f"n - ({2 * min_percent} * n + {99 + min_percent}) div {100 + min_percent} + 1")
+    prefix = (rows.join(often, "shingle").withColumn("rank", rank).where((F.col("rank") <= far) & (F.col("often") > 1))
+              .withColumn("near", F.col("rank") <= near).select("class", "component", "n", "shingle", "near"))
+    prefix, _ = stage(prefix, "prefixes")
+    mixed = prefix.groupBy("shingle").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1")
+    prefix = prefix.join(mixed.select("shingle"), "shingle", "left_semi")
+    small = prefix.where("near").select("shingle", F.col("class").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"))
+    large = prefix.select("shingle", F.col("class").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"))
+    return (small.join(large, "shingle").where(f"ca <> cb and nb >= na and 100 * na >= {min_percent} * nb")
+            .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())

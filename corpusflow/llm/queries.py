@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusflow.llm import mixing, near_dedup, packing, quality_rules, substring_dedup
+from corpusflow.llm import fingerprints, mixing, near_dedup, packing, quality_rules, sharding, substring_dedup
 from corpusflow.llm.common import documents
 
 #: name -> (query, DuckDB SQL or None)
@@ -39,6 +39,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(documents(spark, sf_dir))
 
 
+@query("op6_sharding")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards of near equal bytes."""
+    return sharding.shard(documents(spark, sf_dir))
+
+
 @query("op7_substring_dedup")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every text without its repeated 35-word windows."""
@@ -50,3 +56,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weak-supervision verdicts on all documents."""
     return quality_rules.judge(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good")
+
+
+@query("op9_document_fingerprints")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of all documents, against their edited texts and the next documents."""
+    return fingerprints.edited_likeness(documents(spark, sf_dir))
