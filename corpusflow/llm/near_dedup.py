@@ -194,7 +194,8 @@ def _rare_pairs(members: DataFrame, sets: DataFrame, min_percent: int) -> DataFr
     Shingles are ordered by how many members have them, rarest first. Of two
     linked sets of sizes n <= m the smaller shares one of its first
     n - ceil(2tn / (1 + t)) + 1 shingles with the first m - ceil(tm) + 1 of the
-    larger, t being the least similarity.
+    larger, t being the least similarity; and from the first shared one on, both
+    must have enough left (positional filter).
     """
     rows = members.join(sets, "class").select("class", "component", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
     often = rows.groupBy("shingle").agg(F.count("*").alias("often"))
@@ -202,11 +203,13 @@ def _rare_pairs(members: DataFrame, sets: DataFrame, min_percent: int) -> DataFr
     far = F.expr(f"n - ({min_percent} * n + 99) div 100 + 1")
     near = F.expr(f"n - ({2 * min_percent} * n + {99 + min_percent}) div {100 + min_percent} + 1")
     prefix = (rows.join(often, "shingle").withColumn("rank", rank).where((F.col("rank") <= far) & (F.col("often") > 1))
-              .withColumn("near", F.col("rank") <= near).select("class", "component", "n", "shingle", "near"))
+              .withColumn("near", F.col("rank") <= near).select("class", "component", "n", "shingle", "rank", "near"))
     prefix, _ = stage(prefix, "prefixes")
     mixed = prefix.groupBy("shingle").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1")
     prefix = prefix.join(mixed.select("shingle"), "shingle", "left_semi")
-    small = prefix.where("near").select("shingle", F.col("class").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"))
-    large = prefix.select("shingle", F.col("class").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"))
-    return (small.join(large, "shingle").where(f"ca <> cb and nb >= na and 100 * na >= {min_percent} * nb")
+    small = prefix.where("near").select("shingle", F.col("class").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("rank").alias("ra"))
+    large = prefix.select("shingle", F.col("class").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("rank").alias("rb"))
+    # nothing before the first common shingle is shared, so the rest must suffice
+    enough = f"least(na - ra, nb - rb) + 1 >= ({min_percent} * (na + nb) + {99 + min_percent}) div {100 + min_percent}"
+    return (small.join(large, "shingle").where(f"ca <> cb and nb >= na and 100 * na >= {min_percent} * nb and {enough}")
             .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
