@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusflow.llm import texthash as H
-from corpusflow.llm.common import ensure_parallel, stage, unstage
+from corpusflow.llm.common import ensure_parallel, ids_repeat, stage, unstage
 from corpusflow.llm.components import connected_components
 
 BANDS, ROWS, SHINGLE = 40, 5, 5
@@ -141,9 +141,9 @@ def near_duplicates(docs: DataFrame, text: str | Column = "text", doc_id: str |
 
     wanted = (crowd.select("class").distinct()
               .join(classes.select("class", "rep", "lo", "hi"), "class"))
-    sets, sets_path = stage(
-        rows.join(wanted, rows.doc_id.eqNullSafe(wanted.rep)).select("class", "lo", "hi", "text")
-        .mapInArrow(_sets, "class long, shingles array<long>").dropDuplicates(["class"]), "sets")
+    found = (rows.join(wanted, rows.doc_id.eqNullSafe(wanted.rep)).select("class", "lo", "hi", "text")
+             .mapInArrow(_sets, "class long, shingles array<long>"))
+    sets, sets_path = stage(found.dropDuplicates(["class"]) if ids_repeat(sig) else found, "sets")
 
     edges = (crowd.select("bucket", "class").join(center.select("bucket", "center"), "bucket").where("class <> center")
              .select(F.greatest("class", "center").alias("a"), F.least("class", "center").alias("b")).distinct())

@@ -17,7 +17,7 @@ anchor value found once in the whole corpus cannot lie in a repeated window, so
 its windows are left out. Documents with equal word sequences are one class
 with a count; a class of two or more is repeated throughout and only feeds the
 index. Hashes are 64 bits for anchors (a false hit only adds a candidate) and
-128 bits for windows.
+96 bits for windows.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.llm import texthash as H
-from corpusflow.llm.common import ensure_parallel, stage, unstage
+from corpusflow.llm.common import ensure_parallel, ids_repeat, stage, unstage
 
 WINDOW, RUN = 35, 8
 _EMPTY = hashlib.sha256(b"").digest()
@@ -94,7 +94,7 @@ def _starts(window: int):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(at), cls[row])), pa.array(np.full(len(at), copies[row])),
                          pa.array(at.astype(np.int32)), pa.array(H.signed(H.windows(h, window)[at])),
-                         pa.array(H.signed(H.windows(h, window, 1)[at]))],
+                         pa.array((H.windows(h, window, 1)[at] >> np.uint64(32)).astype(np.uint32).view(np.int32))],
                         names=["class", "copies", "start", "h1", "h2"])
     return run
 
@@ -153,14 +153,16 @@ def parse(docs: DataFrame, text: str | Column = "text", doc_id: str | Column = "
     """
     text, doc_id = (F.col(c) if isinstance(c, str) else c for c in (text, doc_id))
     rows = docs.select(doc_id.cast("long").alias("doc_id"), text.cast("string").alias("text"))
-    profiles, _ = stage(ensure_parallel(rows).mapInArrow(
+    wide, wide_path = stage(ensure_parallel(rows).mapInArrow(
         _profiles(window), "doc_id long, n_words long, lo long, hi long, sha binary, anchors array<long>, again array<long>"),
-        "profiles")
-    classes, classes_path = stage(
-        profiles.where(F.col("n_words") >= window).groupBy("lo", "hi")
+        "wide")
+    profiles, _ = stage(wide.select("doc_id", "n_words", "lo", "hi", "sha"), "profiles")
+    classes, _ = stage(
+        wide.where(F.col("n_words") >= window).groupBy("lo", "hi")
         .agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n_words").alias("n_words"),
              F.first("anchors").alias("anchors"), F.first("again").alias("again"))
         .withColumn("class", F.monotonically_increasing_id()), "classes")
+    unstage(docs.sparkSession, wide_path)
 
     # anchor values in two classes or more; or twice in one that has no copy
     value = classes.select("class", F.explode("anchors").alias("value"))
@@ -171,10 +173,11 @@ def parse(docs: DataFrame, text: str | Column = "text", doc_id: str | Column = "
     wanted = classes.select("class", "rep", "lo", "hi", "copies").join(repeated, "class")
     held = (rows.join(wanted, rows.doc_id.eqNullSafe(wanted.rep))
             .select("class", "copies", "lo", "hi", "repeated", "text"))
-    held, held_path = stage(held.mapInArrow(_own_text, held.schema).dropDuplicates(["class"]), "candidates")
+    own = held.mapInArrow(_own_text, held.schema)
+    held, held_path = stage(own.dropDuplicates(["class"]) if ids_repeat(profiles) else own, "candidates")
 
-    starts, starts_path = stage(held.mapInArrow(
-        _starts(window), "class long, copies long, start int, h1 long, h2 long"), "starts")
+    # computed anew for each of its two uses: hashing is cheaper than keeping a row for every start
+    starts = held.mapInArrow(_starts(window), "class long, copies long, start int, h1 long, h2 int")
     index = (starts.groupBy("h1", "h2").agg(F.sum("copies").alias("times"), F.min("class").alias("reference"))
              .where("times > 1").select("h1", "h2", "reference"))
     hits = (starts.where("copies = 1").join(index, ["h1", "h2"])
@@ -182,14 +185,14 @@ def parse(docs: DataFrame, text: str | Column = "text", doc_id: str | Column = "
     parsed, _ = stage(held.select("class", "text").join(hits, "class").mapInArrow(
         _parsed(window), "class long, n_removed long, sha binary, text string, "
         "spans array<struct<first:int,words:int,reference:long>>"), "parsed")
-    unstage(docs.sparkSession, held_path, starts_path)
+    unstage(docs.sparkSession, held_path)
     key = classes.select("class", "lo", "hi")
     whole = classes.where("copies > 1").select(
         "lo", "hi", F.col("n_words").alias("n_removed"), F.unhex(F.lit(_EMPTY.hex())).alias("sha"), F.lit("").alias("text"),
         F.array(F.struct(F.lit(0).alias("first"), F.col("n_words").cast("int").alias("words"),
                          F.col("class").alias("reference"))).alias("spans"))
     touched = parsed.join(key, "class").select("lo", "hi", "n_removed", "sha", "text", "spans").union(whole)
-    return profiles.select("doc_id", "n_words", "lo", "hi", "sha"), touched
+    return profiles, touched
 
 
 def _own_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
