@@ -1,29 +1,63 @@
-"""The corpus pipeline: STAGES over ``documents``, each written and reread."""
+"""The corpus pipeline: STAGES over ``documents``, each written and reread as the next one's input.
+
+Every stage works on all rows its predecessor kept. Rows without a doc_id count
+as one document where a stage needs the id. A missing source is a source of its
+own, an empty table passes through all stages, and columns besides those of
+``documents`` are carried to the packing stage.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corpusflow.llm import near_dedup
+from corpusflow.llm import mixing, near_dedup, packing, quality_rules, substring_dedup
+from corpusflow.llm.common import documents, ids_repeat, stage
 
-#: SQL cannot express the similarity and packing stages; tests/llm checks them by brute force.
+#: The fitted rules, similarity, mixing order and packing have no SQL form; tests/llm checks each stage by brute force.
 ORACLE_SQL = None
 
 
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    return quality_rules.kept_documents(docs)
+
+
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays."""
-    groups = near_dedup.near_duplicates(docs)
-    return docs.join(groups.where("kept").select("doc_id"), "doc_id", "left_semi")
+    """One document of each near-duplicate group stays, that of the smallest doc_id; rows of one doc_id are one document."""
+    groups, _ = stage(near_dedup.near_duplicates(docs), "groups")
+    ids = groups.where("kept").select(F.col("doc_id").alias("__id"))
+    kept = docs.join(ids, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left_semi")
+    return kept.dropDuplicates(["doc_id"]) if ids_repeat(groups) else kept
+
+
+def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 35 words or more that stand elsewhere too are cut out."""
+    return substring_dedup.remove_repeats(docs)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of the sources takes it."""
+    return mixing.materialise(docs, mixing.mix(docs, mixing.word_count()))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix as pieces in sequences of at most 1024 tokens."""
+    return packing.packed_documents(docs)
 
 
-STAGES = [("minhash_near_dedup", near_dedup_stage)]
+STAGES = [
+    ("quality_rules", quality_stage),
+    ("minhash_near_dedup", near_dedup_stage),
+    ("substring_dedup", substring_stage),
+    ("mixing", mixing_stage),
+    ("best_fit_packing", packing_stage),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from corpusflow.llm.common import documents, stage
+    """All stages over the table ``documents``."""
     docs = documents(spark, sf_dir)
-    for i, (name, fn) in enumerate(STAGES):
-        docs = fn(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs, _ = stage(docs, name)
-    return docs
+    for name, step in STAGES[:-1]:
+        docs, _ = stage(step(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

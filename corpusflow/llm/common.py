@@ -25,6 +25,10 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(text_or_empty(text), WORD_BREAK, -1), "")
 
 
+def stage_path(spark: SparkSession, name: str) -> str:
+    return scratch_path(spark, f"llm-{name}-{uuid.uuid4().hex[:12]}")
+
+
 def stage(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write ``df`` to the shared scratch folder; the reread table and its path.
 
@@ -32,7 +36,7 @@ def stage(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     (``monotonically_increasing_id`` columns included).
     """
     spark = df.sparkSession
-    path = scratch_path(spark, f"llm-{name}-{uuid.uuid4().hex[:12]}")
+    path = stage_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 

@@ -26,8 +26,8 @@ STOP_WORDS = (
     "el los las del y que por con para una se su").split()
 
 
-def measure(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``doc_id`` with counts of the whole text (null: none), each a long.
+def measure(docs: DataFrame, text: str = "text", *keep: Column) -> DataFrame:
+    """The columns ``keep`` with counts of the whole text (null: none), each a long.
 
     n_words; word_chars, code points in words; n_symbols, characters of
     ``#*$%&|<>``; n_lines, lines with a word; n_dup_lines, those equal to an
@@ -35,10 +35,10 @@ def measure(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
     the text, first included; n_upper and n_letters, cased letters; n_stop, words
     among ``STOP_WORDS``; n_distinct, distinct words.
     """
-    raw = docs.select(F.col(doc_id).alias("doc_id"), text_or_empty(F.col(text)).alias("t"))
+    raw = docs.select(F.struct(*keep).alias("keep"), text_or_empty(F.col(text)).alias("t"))
     lines = F.filter(F.split("t", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     step = raw.select(
-        "doc_id", words(F.col("t")).alias("w"), lines.alias("lines"),
+        "keep", words(F.col("t")).alias("w"), lines.alias("lines"),
         F.length(F.regexp_replace("t", r"[^#*$%&|<>]+", "")).alias("n_symbols"),
         F.length(F.regexp_replace("t", r"[^\p{Lu}]+", "")).alias("n_upper"),
         F.length(F.regexp_replace("t", r"[^\p{L}]+", "")).alias("n_letters"))
@@ -50,7 +50,7 @@ def measure(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
     # only texts with a repeated window are looked at position by position
     some = F.size(F.array_distinct("g")) < F.size("g")
     return hashed.select(
-        "doc_id", F.size("w").cast("long").alias("n_words"),
+        "keep.*", F.size("w").cast("long").alias("n_words"),
         F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
         F.col("n_symbols").cast("long"), F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
@@ -158,11 +158,34 @@ def judge(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rules: di
     judged like others; other columns are ignored; an empty table gives an empty
     result.
     """
+    model, votes, names = _fitted(docs, text, rules, F.col(doc_id).alias("doc_id"))
+    return (votes.withColumn("p_good", posterior(model, names)).withColumn("base_failed", base_failed())
+            .withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= threshold)))
+
+
+def base_failed() -> Column:
+    return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+
+
+def _votes(counted: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    return counted.select("*", *[F.coalesce(c, F.lit(0)).cast("int").alias(f"vote_{r}") for r, c in rules.items()])
+
+
+def _fitted(docs: DataFrame, text: str, rules: dict[str, Column] | None, *keep: Column) -> tuple[dict, DataFrame, list[str]]:
     rules = rules or default_rules()
     names = [f"vote_{r}" for r in rules]
-    counted, _ = stage(measure(docs, text, doc_id), "counts")
-    votes = counted.select("*", *[F.coalesce(c, F.lit(0)).cast("int").alias(f"vote_{r}") for r, c in rules.items()])
-    model = fit(votes, names)
-    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return (votes.withColumn("p_good", posterior(model, names)).withColumn("base_failed", failed)
-            .withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= threshold)))
+    votes = _votes(stage(measure(docs, text, *keep), "counts")[0], rules)
+    return fit(votes, names), votes, names
+
+
+def kept_documents(docs: DataFrame, text: str = "text", rules: dict[str, Column] | None = None, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, with their columns.
+
+    The model is fitted in a first pass and applied to each row in a second, so
+    no join is needed and repeated or null ids don't matter.
+    """
+    rules = rules or default_rules()
+    model, _, names = _fitted(docs, text, rules, F.lit(0).alias("none"))
+    row = F.struct(*[F.col(c) for c in docs.columns]).alias("__row")
+    again = _votes(measure(docs, text, row), rules)
+    return again.where(~base_failed() & (posterior(model, names) >= threshold)).select("__row.*")

@@ -6,8 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusflow.llm import fingerprints, mixing, near_dedup, packing, quality_rules, sharding, substring_dedup
-from corpusflow.llm.common import documents
+from corpusflow.llm import (
+    fingerprints,
+    license_scan,
+    mixing,
+    near_dedup,
+    packing,
+    quality_classifier,
+    quality_rules,
+    sharding,
+    substring_dedup,
+    token_counts,
+)
+from corpusflow.llm.common import documents, stage_path
 
 #: name -> (query, DuckDB SQL or None)
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -27,6 +38,18 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "source", "weight", "repeats")
 
 
+@query("op2_quality_classifier")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents, learnt from the labels that are not held out."""
+    return quality_classifier.classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query("op3_license_scan")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence sentences and licences of all documents."""
+    return license_scan.scan(documents(spark, sf_dir))
+
+
 @query("op4_best_fit_packing")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 1024 tokens."""
@@ -62,3 +85,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sketches of all documents, against their edited texts and the next documents."""
     return fingerprints.edited_likeness(documents(spark, sf_dir))
+
+
+@query("op10_token_counts")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written as flat token files and counted from these."""
+    return token_counts.document_counts(spark, documents(spark, sf_dir), stage_path(spark, "token-files"))

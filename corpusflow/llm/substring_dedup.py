@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.llm import texthash as H
-from corpusflow.llm.common import ensure_parallel, ids_repeat, stage, unstage
+from corpusflow.llm.common import ensure_parallel, ids_repeat, stage, unstage, words
 
 WINDOW, RUN = 35, 8
 _EMPTY = hashlib.sha256(b"").digest()
@@ -223,17 +223,17 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` with repeated passages cut from ``text`` (``n_chars`` follows, if there).
 
     The bytes around a cut stay as they are; untouched texts are unchanged, and a
-    text that loses every word keeps its row. doc_id must name one text: rows of
-    a doc_id with several different texts are told apart by their content.
+    text that loses every word keeps its row with an empty text. Rows are told
+    apart by their words, not by doc_id, so null and repeated ids are harmless.
     """
     profiles, touched = parse(docs, window=window)
-    cut = (profiles.join(touched.select("lo", "hi", F.col("text").alias("__cut")), ["lo", "hi"])
-           .select(F.col("doc_id").alias("__id"), "lo", "hi", "__cut"))
-    # one row per id and content; where an id has one content only, no content check is needed
-    cut = cut.dropDuplicates(["__id", "lo", "hi"]).select("__id", "__cut")
-    out = docs.join(cut, docs.doc_id.cast("long").eqNullSafe(cut["__id"]), "left")
-    new = F.coalesce("__cut", "text")
-    cols = [new.alias("text") if c == "text" else F.when(F.col("__cut").isNotNull(), F.char_length("__cut"))
-            .otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType).alias("n_chars") if c == "n_chars" else F.col(c)
-            for c in docs.columns]
-    return out.select(*cols)
+    sha = profiles.where(F.col("n_words") >= window).groupBy("lo", "hi").agg(F.first("sha").alias("__sha"))
+    cut = touched.select("lo", "hi", F.col("text").alias("__cut")).join(sha, ["lo", "hi"]).select("__sha", "__cut")
+    own = F.unhex(F.sha2(F.array_join(words(F.col("text")), " ").cast("binary"), 256))
+    out = docs.withColumn("__own", own).join(cut, F.col("__own") == F.col("__sha"), "left")
+    cols = {c: F.col(c) for c in docs.columns}
+    cols["text"] = F.coalesce("__cut", "text").alias("text")
+    if "n_chars" in cols:
+        cols["n_chars"] = (F.when(F.col("__cut").isNotNull(), F.char_length("__cut")).otherwise(F.col("n_chars"))
+                           .cast(docs.schema["n_chars"].dataType).alias("n_chars"))
+    return out.select(*cols.values())
