@@ -181,11 +181,9 @@ def _fitted(docs: DataFrame, text: str, rules: dict[str, Column] | None, *keep:
 def kept_documents(docs: DataFrame, text: str = "text", rules: dict[str, Column] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that ``judge`` keeps, with their columns.
 
-    The model is fitted in a first pass and applied to each row in a second, so
-    no join is needed and repeated or null ids don't matter.
+    The rows are staged beside their counts, so no join is needed and repeated or
+    null ids don't matter.
     """
-    rules = rules or default_rules()
-    model, _, names = _fitted(docs, text, rules, F.lit(0).alias("none"))
     row = F.struct(*[F.col(c) for c in docs.columns]).alias("__row")
-    again = _votes(measure(docs, text, row), rules)
-    return again.where(~base_failed() & (posterior(model, names) >= threshold)).select("__row.*")
+    model, votes, names = _fitted(docs, text, rules, row)
+    return votes.where(~base_failed() & (posterior(model, names) >= threshold)).select("__row.*")
