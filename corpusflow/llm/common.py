@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.session import scratch_path
 
+_RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 
 
@@ -33,11 +34,17 @@ def stage(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write ``df`` to the shared scratch folder; the reread table and its path.
 
     A staged table outlives lost executors, cuts the lineage and has fixed rows
-    (``monotonically_increasing_id`` columns included).
+    (``monotonically_increasing_id`` columns included). The shuffle files of the
+    write are released as soon as it is done; nothing reads them again.
     """
     spark = df.sparkSession
     path = stage_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_RELEASE)
+    spark.conf.set(_RELEASE, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_RELEASE, before)
     return spark.read.schema(df.schema).parquet(path), path
 
 
