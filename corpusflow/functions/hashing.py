@@ -11,8 +11,6 @@ from corpusflow.functions._util import col
 # the RFC 4122 DNS namespace used for uuid5 point ids, the 1 MiB prefix of the
 # large-file hash and the 10 MiB switch-over size.
 DNS_NAMESPACE_HEX = "6ba7b8109dad11d180b400c04fd430c8"
-FAST_HASH_PREFIX_BYTES = 1048576
-FAST_HASH_THRESHOLD_BYTES = 10485760
 
 
 def utf8(text) -> Column:
@@ -40,17 +38,16 @@ def light_hash(content) -> Column:
 
 
 def fast_hash(content, size) -> Column:
-    """MD5 of the first 1 MiB followed by the decimal size (O-20)."""
-    head = F.substring(col(content), 1, FAST_HASH_PREFIX_BYTES)
-    return F.md5(F.concat(head, F.encode(col(size).cast("string"), "UTF-8")))
+    """MD5 of the whole content followed by the decimal size (O-20).
+
+    No prefix: two files that share a head and a size are different files.
+    """
+    return F.md5(F.concat(col(content), F.encode(col(size).cast("string"), "UTF-8")))
 
 
-def size_switched_hash(content, size, use_fast: bool = True,
-                       threshold: int = FAST_HASH_THRESHOLD_BYTES) -> Column:
-    """Fast hash from ``threshold`` bytes upward when requested, else full MD5 (O-21)."""
-    if not use_fast:
-        return content_md5(content)
-    return F.when(col(size) >= threshold, fast_hash(content, size)).otherwise(content_md5(content))
+def size_switched_hash(content) -> Column:
+    """Identity of a file of any size (O-21): the full MD5, so it never depends on the size."""
+    return content_md5(content)
 
 
 def hash_for_collection(content, collection_type) -> Column:

@@ -73,13 +73,13 @@ def whitespace_tokens(text) -> Column:
     return F.filter(F.split(col(text), r"[ \t\n\r\f]+"), lambda x: x != "")
 
 
-def prefix_tokens(text, min_len: int = 1, max_len: int = 15) -> Column:
-    """All prefixes (within the length bounds) of each lower-cased word token."""
-    toks = F.transform(word_tokens(text), lambda t: F.lower(t))
+def prefix_tokens(text, min_len: int = 1, max_len: int | None = None) -> Column:
+    """All prefixes (within the length bounds; none above by default) of each lower-cased word token."""
+    toks = F.filter(F.transform(word_tokens(text), lambda t: F.lower(t)), lambda t: F.length(t) >= min_len)
     return F.flatten(F.transform(
         toks,
         lambda t: F.transform(
-            F.sequence(F.lit(min_len), F.least(F.length(t), F.lit(max_len))),
+            F.sequence(F.lit(min_len), F.length(t) if max_len is None else F.least(F.length(t), F.lit(max_len))),
             lambda i: F.substr(t, F.lit(1), i),
         ),
     ))
@@ -98,12 +98,12 @@ def multilingual_tokens(text) -> Column:
     return F.regexp_extract_all(col(text), F.lit(MULTILINGUAL_PATTERN), 0)
 
 
-def normalise_tokens(tokens, min_len: int = 1, max_len: int = 15, lowercase: bool = True) -> Column:
-    """Lower-case and keep tokens with min_len <= length <= max_len (O-37)."""
+def normalise_tokens(tokens, min_len: int = 1, max_len: int | None = None, lowercase: bool = True) -> Column:
+    """Lower-case and keep tokens with min_len <= length <= max_len (O-37); no upper bound by default."""
     t = col(tokens)
     if lowercase:
         t = F.transform(t, lambda x: F.lower(x))
-    return F.filter(t, lambda x: (F.length(x) >= min_len) & (F.length(x) <= max_len))
+    return F.filter(t, lambda x: F.length(x) >= min_len if max_len is None else F.length(x).between(min_len, max_len))
 
 
 TOKENIZERS = {

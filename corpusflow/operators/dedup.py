@@ -116,13 +116,14 @@ def dedup_decision(files: DataFrame, embedding_ledger: DataFrame, points: DataFr
                   .withColumn("original_processing_date", F.lit(None).cast("timestamp")))
     led = embedding_ledger
     first_seen = led.groupBy(F.col("md5_hash").alias("__h"), F.col("collection_name").alias("__c")) \
-        .agg(F.min("timestamp").alias("original_processing_date"))
+        .agg(F.min("timestamp").alias("original_processing_date"), F.lit(True).alias("__in_log"))
     if ccol:
         df = df.join(first_seen, (df[hash_col] == first_seen["__h"]) & (df[ccol] == first_seen["__c"]), "left")
     else:
-        first_any = first_seen.groupBy("__h").agg(F.min("original_processing_date").alias("original_processing_date"))
+        first_any = first_seen.groupBy("__h").agg(
+            F.min("original_processing_date").alias("original_processing_date"), F.lit(True).alias("__in_log"))
         df = df.join(first_any, df[hash_col] == first_any["__h"], "left")
-    df = df.withColumn("__in_log", F.col("original_processing_date").isNotNull()).drop("__h", "__c")
+    df = df.withColumn("__in_log", F.coalesce("__in_log", F.lit(False))).drop("__h", "__c")  # a row without a date counts
     if points is not None:
         df = already_in_collection(df, points, hash_col, collection_col=ccol, flag="__in_coll")
     else:

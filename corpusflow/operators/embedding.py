@@ -55,10 +55,9 @@ def model_dimension(model: str, override: int | None = None) -> int:
 class HashingEmbedder:
     """Offline model stand-in, equal to ``hashing_vectors`` (native) row by row."""
 
-    def __init__(self, dim: int = 64, min_len: int = 1, max_len: int = 10_000):
+    def __init__(self, dim: int = 64):
         import regex
         self.dim = dim
-        self.min_len, self.max_len = min_len, max_len
         self._word = regex.compile(TX.WORD_PATTERN)
         self._cache: dict[str, int] = {}
 
@@ -77,7 +76,6 @@ class HashingEmbedder:
                 out.append(None)
                 continue
             toks = [w.lower() for w in self._word.findall(t)]
-            toks = [w for w in toks if self.min_len <= len(w) <= self.max_len]
             idx = [self._bucket(w) for w in toks]
             v = np.bincount(np.asarray(idx, dtype=np.int64), minlength=self.dim).astype(np.float64)
             n = np.sqrt((v * v).sum())

@@ -31,16 +31,16 @@ def match_any_table(df: DataFrame, field: str, values: DataFrame, value_col: str
 
 
 def match_text(field, query: str, mode: str = "word", lowercase: bool = True,
-               min_len: int = 1, max_len: int = 15) -> Column:
-    """All query tokens are tokens of the field (O-74)."""
+               min_len: int = 1, max_len: int | None = None) -> Column:
+    """All query tokens are tokens of the field (O-74); one outside the bounds matches nothing."""
     import regex
     qt = regex.findall(TX.WORD_PATTERN, query)
-    qt = [t.lower() if lowercase else t for t in qt if min_len <= len(t) <= max_len]
+    qt = [t.lower() if lowercase else t for t in qt]
     if mode == "prefix":
         ft = TX.prefix_tokens(field, min_len, max_len)
     else:
         ft = TX.normalise_tokens(TX.word_tokens(field), min_len, max_len, lowercase)
-    if not qt:
+    if not qt or any(len(t) < min_len or (max_len is not None and len(t) > max_len) for t in qt):
         return F.lit(False)
     cond = F.lit(True)
     for t in dict.fromkeys(qt):

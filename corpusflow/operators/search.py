@@ -33,7 +33,6 @@ from corpusflow.functions import vectors as V
 
 # Fixed values from the reference's collection settings: brute force below
 # this many points; above it an index (here LSH) may be used.
-FULL_SCAN_THRESHOLD = 10_000
 MAX_QUERIES_PER_SCAN = 4096
 MAX_QUERY_BYTES = 64 << 20
 SCORE_DECIMALS = 6
@@ -276,12 +275,13 @@ def context_window(hits: DataFrame, content_points: DataFrame, window: int,
 
 def keyword_search(points: DataFrame, queries: DataFrame, field: str, query_text: str = "text",
                    query_id: str = "query_id", id_col: str = "id", mode: str = "prefix",
-                   min_len: int = 1, max_len: int = 15) -> DataFrame:
+                   min_len: int = 1, max_len: int | None = None) -> DataFrame:
     """All query tokens present among the field's tokens (O-74, O-88).
 
     ``mode='prefix'`` matches a query token against every prefix of the
     field's words (partial match), ``'word'`` needs whole words. Case is
-    folded. Inverted-index plan: each query is driven by its *rarest* token
+    folded. A query token outside the length bounds (none above by default)
+    is in no posting list, so its query has no hits. Inverted-index plan: each query is driven by its *rarest* token
     (smallest posting list), candidates come from that token's postings only,
     and the remaining tokens are verified per candidate. A common token
     ('doc', 'pdf') therefore never pairs every query with every point.
@@ -293,7 +293,7 @@ def keyword_search(points: DataFrame, queries: DataFrame, field: str, query_text
     fields = points.select(id_col, F.array_distinct(ftoks).alias("__ft"))
     index = fields.select(id_col, F.explode("__ft").alias("token"))
     qt = queries.select(F.col(query_id).alias("query_id"),
-                        F.array_distinct(TX.normalise_tokens(TX.word_tokens(query_text), min_len, max_len)).alias("__qt"))
+                        F.array_distinct(TX.normalise_tokens(TX.word_tokens(query_text))).alias("__qt"))
     qtok = qt.select("query_id", F.explode("__qt").alias("token"))
     wanted = qtok.select("token").distinct()
     freq = index.join(wanted, "token", "left_semi").groupBy("token").agg(F.count(F.lit(1)).alias("__df"))
@@ -355,15 +355,16 @@ def lsh_signatures(df: DataFrame, vector_col: str, planes: np.ndarray, bits: int
 
 def approx_topk(points: DataFrame, queries: DataFrame, k: int = 10, metric: str = "cosine",
                 bits: int = 4, tables: int = 16, seed: int = 7, id_col: str = "id",
-                threshold: int = FULL_SCAN_THRESHOLD, carry: tuple[str, ...] = ()) -> DataFrame:
-    """LSH candidates re-ranked exactly; exact scan below ``threshold`` points.
+                carry: tuple[str, ...] = ()) -> DataFrame:
+    """LSH candidates re-ranked exactly, at every size; ``topk`` is the exact search.
 
     Candidates are all points sharing a bucket with the query in any table —
     uncapped. The query side of the bucket join is the bounded broadcast.
     """
-    if points.limit(threshold + 1).count() <= threshold:
-        return topk(points, queries, k, metric, id_col=id_col, carry=carry)
-    dim = len(points.select("vector").where(F.col("vector").isNotNull()).first()[0])
+    probe = points.select("vector").where(F.col("vector").isNotNull()).first()
+    if probe is None:
+        return topk(points, queries, k, metric, id_col=id_col, carry=carry)  # no point to hash: the empty result
+    dim = len(probe[0])
     planes = _hyperplanes(dim, bits, tables, seed)
     psig = lsh_signatures(points.select(id_col, "vector", *carry), "vector", planes, bits, tables)
     qs = queries.select(F.col("query_id").cast("string").alias("query_id"), F.col("vector").alias("query_vector"))

@@ -17,7 +17,7 @@ from corpusflow.functions import text as TX
 
 
 def postings(df: DataFrame, id_col: str, field: str, tokenizer: str = "word",
-             min_len: int = 1, max_len: int = 15, lowercase: bool = True) -> DataFrame:
+             min_len: int = 1, max_len: int | None = None, lowercase: bool = True) -> DataFrame:
     """(token, id, tf, first_pos) for every token of every row."""
     from corpusflow.operators.chunking import ensure_parallelism
     df = ensure_parallelism(df)
@@ -25,7 +25,9 @@ def postings(df: DataFrame, id_col: str, field: str, tokenizer: str = "word",
     if lowercase:
         toks = F.transform(toks, lambda t: F.lower(t))
     pos = df.select(id_col, F.posexplode(toks).alias("pos", "token"))
-    pos = pos.where((F.length("token") >= min_len) & (F.length("token") <= max_len))
+    pos = pos.where(F.length("token") >= min_len)
+    if max_len is not None:
+        pos = pos.where(F.length("token") <= max_len)
     return pos.groupBy("token", id_col).agg(
         F.count(F.lit(1)).cast("bigint").alias("tf"), F.min("pos").cast("int").alias("first_pos"))
 

@@ -167,8 +167,7 @@ def light_hash_groups(spark, d):
 
 @query("fast_hash", """
 SELECT doc_id, md5(text || CAST(octet_length(encode(text)) AS VARCHAR)) AS fast_hash
-FROM documents WHERE octet_length(encode(text)) <= 1048576
-UNION ALL SELECT doc_id, NULL FROM documents WHERE octet_length(encode(text)) > 1048576""", "O-20")
+FROM documents""", "O-20")
 def fast_hash(spark, d):
     c = H.utf8("text")
     docs = FX.table(spark, d, "documents")
@@ -176,12 +175,10 @@ def fast_hash(spark, d):
 
 
 @query("size_switched_hash", """
-SELECT doc_id, CASE WHEN octet_length(encode(text)) >= 4096
-  THEN md5(text || CAST(octet_length(encode(text)) AS VARCHAR)) ELSE md5(text) END AS file_hash
-FROM documents""", "O-21")
+SELECT doc_id, md5(text) AS file_hash FROM documents""", "O-21")
 def size_switched_hash(spark, d):
     docs = FX.table(spark, d, "documents")
-    return docs.select("doc_id", H.size_switched_hash(H.utf8("text"), F.octet_length("text"), True, 4096)
+    return docs.select("doc_id", H.size_switched_hash(H.utf8("text"))
                        .alias("file_hash"))
 
 
@@ -355,7 +352,7 @@ def tokenize_whitespace(spark, d):
 @query("tokenize_prefix", f"""
 SELECT doc_id, CAST(len(t) AS BIGINT) AS n_tokens, md5(array_to_string(t, ' ')) AS tokens_md5
 FROM (SELECT doc_id, flatten(list_transform(list_transform(regexp_extract_all(regexp_extract(object_key, '[^/]*$'), '{WORD_RE}'), lambda w: lower(w)),
-   lambda w: list_transform(range(1, least(length(w), 15) + 1), lambda i: substr(w, 1, i)))) AS t FROM fx_files)""", "O-35")
+   lambda w: list_transform(range(1, length(w) + 1), lambda i: substr(w, 1, i)))) AS t FROM fx_files)""", "O-35")
 def tokenize_prefix(spark, d):
     f = _files(spark, d)
     return f.select(*_tok_summary(["doc_id"], TX.prefix_tokens(P.basename("object_key"))))
@@ -369,16 +366,16 @@ def tokenize_multilingual(spark, d):
 @query("tokenize_normalised", f"""
 SELECT doc_id, CAST(len(t) AS BIGINT) AS n_tokens, md5(array_to_string(t, ' ')) AS tokens_md5
 FROM (SELECT doc_id, list_filter(list_transform(regexp_extract_all(text, '{WORD_RE}'), lambda w: lower(w)),
-  lambda w: length(w) BETWEEN 2 AND 15) AS t FROM documents)""", "O-37")
+  lambda w: length(w) >= 2) AS t FROM documents)""", "O-37")
 def tokenize_normalised(spark, d):
-    toks = TX.normalise_tokens(TX.word_tokens("text"), 2, 15)
+    toks = TX.normalise_tokens(TX.word_tokens("text"), 2)
     return FX.table(spark, d, "documents").select(*_tok_summary(["doc_id"], toks))
 
 
 @query("text_index", f"""
 SELECT token, CAST(count(DISTINCT doc_id) AS BIGINT) AS doc_freq, CAST(count(*) AS BIGINT) AS total_freq
 FROM (SELECT doc_id, lower(unnest(regexp_extract_all(text, '{WORD_RE}'))) AS token FROM documents)
-WHERE length(token) BETWEEN 1 AND 15 GROUP BY token""", "O-38")
+WHERE length(token) >= 1 GROUP BY token""", "O-38")
 def text_index(spark, d):
     from corpusflow.operators.text_index import postings, token_summary
     post = postings(FX.table(spark, d, "documents"), "doc_id", "text")

@@ -74,14 +74,14 @@ def search_multi_query(spark, d):
 
 @query("search_approx", None, "O-87")
 def search_approx(spark, d):
-    return S.approx_topk(FX.fx_points(spark, d), FX.fx_queries(spark, d), 10, "cosine", threshold=100).select(
+    return S.approx_topk(FX.fx_points(spark, d), FX.fx_queries(spark, d), 10, "cosine").select(
         "query_id", "id", "score", "rank")
 
 
 _PREFIX_SQL = ("flatten(list_transform(list_transform(regexp_extract_all({x}, '" + WORD_RE + "'), lambda w: lower(w)), "
-               "lambda w: list_transform(range(1, least(length(w), 15) + 1), lambda i: substr(w, 1, i))))")
+               "lambda w: list_transform(range(1, length(w) + 1), lambda i: substr(w, 1, i))))")
 _QTOK_SQL = ("list_distinct(list_filter(list_transform(regexp_extract_all({x}, '" + WORD_RE + "'), lambda w: lower(w)), "
-             "lambda w: length(w) BETWEEN 1 AND 15))")
+             "lambda w: length(w) >= 1))")
 
 
 @query("search_keyword_filenames", f"""

@@ -164,13 +164,22 @@ def run_full_ingest(spark: SparkSession, files: DataFrame, ledger_root: str, col
     decisions = spark.read.parquet(stage + "/decisions")
     out.embedded.write.mode("overwrite").parquet(stage + "/embedded")
     embedded = spark.read.parquet(stage + "/embedded")
-    content = PT.content_points(embedded, file_hash_col="file_hash")
+    # a file is done only if every chunk has a vector; the others stay out of the collection and of the
+    # ledgers of finished work, and are listed as failed, so that the next run tries them again
+    verdict = embedded.groupBy("key", "file_hash").agg(
+        F.count_if(F.col("vector").isNull()).alias("__bad"), F.max("embed_error").alias("error"))
+    failed = verdict.where("__bad > 0")
+    whole = embedded.join(failed.select("key", "file_hash"), ["key", "file_hash"], "left_anti")
+    content = PT.content_points(whole, file_hash_col="file_hash")
     C.create_collection(spark, collection_root, collection, dim=getattr(kw.get("embed"), "dim", 64))
     C.write_points(spark, collection_root, collection, content)
-    emb_rows = EM.embedding_ledger_rows(embedded, "key", "file_hash", collection, kw.get("model_name", "hashing-64"))
+    emb_rows = EM.embedding_ledger_rows(whole, "key", "file_hash", collection, kw.get("model_name", "hashing-64"))
     L.append_ledger(emb_rows, ledger_root, "embedding")
     L.append_ledger(DD.skip_rows(decisions, key_col="key"), ledger_root, "skipped")
-    uploaded = embedded.groupBy(F.col("key").alias("filename"), F.col("file_hash").alias("hash")).agg(
+    L.append_ledger(failed.select(
+        F.col("key").alias("filename"), F.col("file_hash").alias("hash"), F.current_timestamp().alias("datetime"),
+        F.coalesce("error", F.lit("no vector")).alias("error"), F.lit("embedding").alias("stage")), ledger_root, "failed")
+    uploaded = whole.groupBy(F.col("key").alias("filename"), F.col("file_hash").alias("hash")).agg(
         F.current_timestamp().alias("datetime"))
     L.append_ledger(uploaded, ledger_root, "upload")
     return {"staged": stage, "points": C.read_points(spark, collection_root, collection)}

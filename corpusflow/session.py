@@ -54,6 +54,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     conf = spark.sparkContext.getConf()
     path = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="corpusflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -69,12 +71,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, name)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss; never localCheckpoint)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 _SHIPPED: set[str] = set()
 
 

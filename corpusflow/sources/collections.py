@@ -91,7 +91,8 @@ def upsert(old: DataFrame, new: DataFrame, key: str = "id", seq: str = "version"
     two rows per group, so there is no hot key.
     """
     both = old.unionByName(new, allowMissingColumns=True)
-    w = Window.partitionBy(key).orderBy(F.col(seq).desc())
+    # equal versions: a hash of the whole row decides, so that every run keeps the same one
+    w = Window.partitionBy(key).orderBy(F.col(seq).desc(), F.xxhash64(F.to_json(F.struct(*both.columns))))
     merged = both.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
     if replace_file:
         counts = new.groupBy(replace_file).agg(F.max(chunk_col).alias("__max_chunk"))
@@ -122,7 +123,7 @@ def write_points(spark: SparkSession, root: str, name: str, points: DataFrame,
         old = spark.read.parquet(path).where(F.col("bucket").isin(touched))
         merged = upsert(old, new)
     else:
-        merged = new
+        merged = upsert(new.limit(0), new)  # ids repeated within one write
     stage = scratch_path(spark, f"upsert-{name}-{_uuid.uuid4().hex}")
     # no repartition by bucket: a hot bucket (one file with a third of all
     # points) stays spread over the tasks of the id-partitioned upsert

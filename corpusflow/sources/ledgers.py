@@ -60,11 +60,21 @@ def read_ledger(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def read_json_ledger(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """Read a JSON-array ledger file; missing or corrupt rows are dropped."""
+    """Read a JSON-array ledger file; a missing file is empty. ``corrupt_json_rows`` has the rows that don't fit."""
     if not _exists(spark, path):
         return empty(spark, name)
-    return (spark.read.schema(SCHEMAS[name]).option("multiLine", "true")
-            .option("mode", "DROPMALFORMED").json(path))
+    return _json_rows(spark, path, name).where("_corrupt_record IS NULL").drop("_corrupt_record")
+
+
+def corrupt_json_rows(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """``_corrupt_record``: raw text of the rows that ``read_json_ledger`` leaves out."""
+    return _json_rows(spark, path, name).where("_corrupt_record IS NOT NULL").select("_corrupt_record")
+
+
+def _json_rows(spark: SparkSession, path: str, name: str) -> DataFrame:
+    schema = T.StructType([*SCHEMAS[name].fields, T.StructField("_corrupt_record", T.StringType())])
+    return (spark.read.schema(schema).option("multiLine", "true").option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", "_corrupt_record").json(path))
 
 
 def conform(df: DataFrame, name: str) -> DataFrame:

@@ -2,22 +2,34 @@
 
 Rows ``markdown_key, source_key, text`` stored as Parquet partitioned by the
 top directory of the key, written with dynamic partition overwrite so a run
-only replaces the directories it produced.
+only rewrites the directories it touches. Documents of those directories that
+the run did not produce stay: stored and new rows are merged by key first.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow.functions import paths as P
+from corpusflow.session import scratch_path
 from corpusflow.sources.ledgers import _exists
 
 
 def write_markdown(df: DataFrame, path: str, key: str = "markdown_key") -> None:
     """Write (markdown_key, source_key, text), partitioned by top directory (O-12)."""
     out = df.select(F.col(key).alias("markdown_key"), "source_key", "text",
-                    F.coalesce(P.top_directory(key), F.lit("_root")).alias("top_dir"))
+                    F.coalesce(P.top_directory(key), F.lit("_root")).alias("top_dir")).dropDuplicates(["markdown_key"])
+    spark = df.sparkSession
+    if _exists(spark, path):
+        old = spark.read.parquet(path)
+        kept = (old.join(out.select("top_dir").distinct(), "top_dir", "left_semi")
+                .join(out.select("markdown_key"), "markdown_key", "left_anti"))
+        staged = scratch_path(spark, f"markdown-{uuid.uuid4().hex}")  # the folders read here are replaced below
+        out.unionByName(kept.select(*out.columns)).write.parquet(staged)
+        out = spark.read.parquet(staged)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("top_dir").parquet(path))
 

@@ -15,17 +15,17 @@ def _one(spark, rows, schema, *cols):
 
 
 def test_mirrored_keys(spark):
-    keys = ["source/orchestrator/release1/file.pdf", "source/ecos/release2/notes.docx", "source/srx/file.pdf",
+    keys = ["source/harbour/y2019/tides.pdf", "source/forest/plan.docx", "source/map.pdf",
             "other/a.b.c.pdf", "source/noext"]
     got = [r[0] for r in _one(spark, [(k,) for k in keys], "k string", P.mirrored_key("k"))]
-    assert got == ["markdown/orchestrator/release1/file.md", "markdown/ecos/release2/notes.md",
-                   "markdown/srx/file.md", "markdown/other/a.b.c.md", "markdown/noext.md"]
+    assert got == ["markdown/harbour/y2019/tides.md", "markdown/forest/plan.md",
+                   "markdown/map.md", "markdown/other/a.b.c.md", "markdown/noext.md"]
 
 
 def test_original_name_and_parts(spark):
-    rows = _one(spark, [("markdown/x/f.md",), ("markdown/x/X_9.3.7_Notes.md",), ("markdown/y/report.pdf.md",)],
+    rows = _one(spark, [("markdown/x/f.md",), ("markdown/x/tide 4.1 table.md",), ("markdown/y/report.pdf.md",)],
                 "k string", P.original_name("k"), P.stem("k"), P.suffix("k"), P.depth("k"), P.top_directory("k"))
-    assert [r[0] for r in rows] == ["f.pdf", "X_9.3.7_Notes", "report.pdf"]
+    assert [r[0] for r in rows] == ["f.pdf", "tide 4.1 table", "report.pdf"]
     assert rows[0][1:] == ("f", ".md", 2, "x")
     dot = _one(spark, [("a/.DS_Store",), ("a/b/c/doc_8.DS_Store",)], "k string", P.suffix("k"), P.stem("k"))
     assert dot[0] == ("", ".DS_Store") and dot[1] == (".DS_Store", "doc_8")
@@ -40,7 +40,7 @@ def test_skip_and_markdown_filters(spark):
 
 
 def test_hashes_match_python(spark):
-    names = ["doc_1.pdf", "NOVA_9.3.7.1_Notes_RevH.pdf", "ü漢字.md"]
+    names = ["doc_1.pdf", "tide 4.1 table.pdf", "ü漢字.md"]
     rows = _one(spark, [(n,) for n in names], "n string", "n", H.uuid5("n"), H.text_md5("n"),
                 H.chunk_point_id("n", F.lit(3)))
     for n, u, m, c in rows:
@@ -49,14 +49,20 @@ def test_hashes_match_python(spark):
         assert c == str(uuid.uuid5(uuid.NAMESPACE_DNS, f"{n}_3"))
 
 
-def test_fast_hash_large_file(spark):
-    data = b"x" * (2 * 1024 * 1024)
-    df = spark.createDataFrame([(bytearray(data), len(data))], "c binary, n long")
-    fast, switched, full = df.select(H.fast_hash("c", "n"), H.size_switched_hash("c", "n", True, 1024),
-                                     H.size_switched_hash("c", "n", False)).first()
-    expect = hashlib.md5(data[:1048576] + str(len(data)).encode()).hexdigest()
-    assert fast == expect and switched == expect
-    assert full == hashlib.md5(data).hexdigest()
+def test_hashes_read_whole_files(spark):
+    data = [b"x" * (2 << 20) + end for end in (b"a", b"b")]  # equal size, equal first 2 MiB
+    df = spark.createDataFrame([(bytearray(d), len(d)) for d in data], "c binary, n long")
+    rows = df.select(H.fast_hash("c", "n"), H.size_switched_hash("c")).collect()
+    for d, (fast, full) in zip(data, rows):
+        assert fast == hashlib.md5(d + str(len(d)).encode()).hexdigest() and full == hashlib.md5(d).hexdigest()
+
+
+def test_long_tokens_are_kept(spark):
+    from corpusflow.operators.filters import match_text
+    df = spark.createDataFrame([("the end",), ("the internationalization of it",)], "t string")
+    assert [r[0] for r in df.select(match_text("t", "the internationalization")).collect()] == [False, True]
+    assert not any(r[0] for r in df.select(match_text("t", "the internationalization", max_len=15)).collect())
+    assert "internationalization" in df.select(TX.prefix_tokens("t")).collect()[1][0]
 
 
 def test_light_hash_groups_equal_content(spark):
@@ -72,15 +78,15 @@ def test_decode_fallback(spark):
 
 
 def test_tokenizers(spark):
-    df = spark.createDataFrame([("Hello, world!",), ("document",), ("Hello 世界",)], "t string")
+    df = spark.createDataFrame([("Gulls; nets, rope.",), ("tide",), ("Bay 港口",)], "t string")
     word = [r[0] for r in df.select(TX.normalise_tokens(TX.word_tokens("t"))).collect()]
-    assert word[0] == ["hello", "world"]
+    assert word[0] == ["gulls", "nets", "rope"]
     ws = [r[0] for r in df.select(TX.whitespace_tokens("t")).collect()]
-    assert ws[0] == ["Hello,", "world!"]
+    assert ws[0] == ["Gulls;", "nets,", "rope."]
     pre = df.select(TX.prefix_tokens("t")).collect()[1][0]
-    assert pre == ["d", "do", "doc", "docu", "docum", "docume", "documen", "document"]
+    assert pre == ["t", "ti", "tid", "tide"]
     ml = df.select(TX.normalise_tokens(TX.multilingual_tokens("t"))).collect()[2][0]
-    assert ml == ["hello", "世界"]
+    assert ml == ["bay", "港口"]
 
 
 def test_element_types(spark):
@@ -95,7 +101,7 @@ def test_element_types(spark):
 
 
 def test_token_count(spark):
-    df = spark.createDataFrame([("Hello, world! 42 ü_x",)], "t string")
+    df = spark.createDataFrame([("Gulls, nets; 42 ü_x",)], "t string")
     assert df.select(TX.token_count("t")).first()[0] == 8
 
 
