@@ -67,8 +67,8 @@ def read_json_ledger(spark: SparkSession, path: str, name: str) -> DataFrame:
 
 
 def corrupt_json_rows(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """``_corrupt_record``: raw text of the rows that ``read_json_ledger`` leaves out."""
-    return _json_rows(spark, path, name).where("_corrupt_record IS NOT NULL").select("_corrupt_record")
+    """The rows that ``read_json_ledger`` leaves out, with their raw text in ``_corrupt_record``."""
+    return _json_rows(spark, path, name).where("_corrupt_record IS NOT NULL")
 
 
 def _json_rows(spark: SparkSession, path: str, name: str) -> DataFrame:
