@@ -72,9 +72,13 @@ def corrupt_json_rows(spark: SparkSession, path: str, name: str) -> DataFrame:
 
 
 def _json_rows(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """One row per element of the JSON array; each element is parsed on its own, so a bad one spoils no other."""
     schema = T.StructType([*SCHEMAS[name].fields, T.StructField("_corrupt_record", T.StringType())])
-    return (spark.read.schema(schema).option("multiLine", "true").option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", "_corrupt_record").json(path))
+    text = spark.read.text(path, wholetext=True)
+    elements = F.coalesce(F.from_json("value", "array<string>"), F.array("value"))
+    rows = text.select(F.explode(elements).alias("element"))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    return rows.select(F.from_json("element", schema, options).alias("r")).select("r.*")
 
 
 def conform(df: DataFrame, name: str) -> DataFrame:
