@@ -1,7 +1,7 @@
 """Vector collections as bucket-partitioned Parquet tables (O-62, O-65).
 
 A collection lives under ``<root>/<name>/``: a one-row ``_meta`` table
-(name, dim, distance) and ``data/`` partitioned by ``bucket`` = a hash of the
+(name, dim, distance, buckets) and ``data/`` partitioned by ``bucket`` = a hash of the
 file name. An upsert touches only the buckets of its new points: it reads
 those partitions (partition pruning), keeps the latest row per id, stages the
 result in the shared checkpoint folder and replaces just those partitions
@@ -41,21 +41,33 @@ def collection_exists(spark: SparkSession, root: str, name: str) -> bool:
 
 
 def create_collection(spark: SparkSession, root: str, name: str, dim: int,
-                      distance: str = "Cosine") -> bool:
-    """Create the collection if absent; an existing one is left alone. Returns True if created."""
+                      distance: str = "Cosine", buckets: int = 64) -> bool:
+    """Create the collection if absent; an existing one is left alone. Returns True if created.
+
+    ``buckets`` is kept with the collection: every write uses that number.
+    """
     if not _NAME_RULE.match(name):
         raise ValueError(f"invalid collection name: {name!r}")
     if distance not in DISTANCES:
         raise ValueError(f"distance must be one of {DISTANCES}")
     if collection_exists(spark, root, name):
         return False
-    meta = spark.createDataFrame([(name, int(dim), distance)], "name string, dim int, distance string")
+    meta = spark.createDataFrame([(name, int(dim), distance, int(buckets))],
+                                 "name string, dim int, distance string, buckets int")
     meta.coalesce(1).write.mode("errorifexists").parquet(collection_path(root, name) + "/_meta")
     return True
 
 
 def collection_meta(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(collection_path(root, name) + "/_meta")
+    return spark.read.parquet(collection_path(root, name) + "/_meta").select("name", "dim", "distance")
+
+
+def bucket_count(spark: SparkSession, root: str, name: str) -> int:
+    """The collection's own number of buckets (``DEFAULT_BUCKETS`` where it was never created explicitly)."""
+    if not collection_exists(spark, root, name):
+        return DEFAULT_BUCKETS
+    meta = spark.read.parquet(collection_path(root, name) + "/_meta")
+    return meta.first()["buckets"] if "buckets" in meta.columns else DEFAULT_BUCKETS
 
 
 def list_collections(spark: SparkSession, root: str) -> list[str]:
@@ -106,12 +118,13 @@ DEFAULT_BUCKETS = 64
 
 
 def write_points(spark: SparkSession, root: str, name: str, points: DataFrame,
-                 bucket_col: str = "filename", buckets: int = DEFAULT_BUCKETS) -> str:
+                 bucket_col: str = "filename") -> str:
     """Upsert ``points`` into the collection, rewriting only the touched buckets."""
     import time
     import uuid as _uuid
 
-    from corpusflow.session import scratch_path
+    from corpusflow.session import remove_path, scratch_path
+    buckets = bucket_count(spark, root, name)
     seq = int(time.time() * 1000)
     new = (points.withColumn("version", F.lit(seq).cast("long"))
            .withColumn("bucket", F.pmod(F.xxhash64(bucket_col), F.lit(buckets)).cast("int")))
@@ -131,4 +144,5 @@ def write_points(spark: SparkSession, root: str, name: str, points: DataFrame,
     merged.sortWithinPartitions(*order).write.mode("overwrite").partitionBy("bucket").parquet(stage)
     (spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("bucket").parquet(path))
+    remove_path(spark, stage)
     return path

@@ -102,8 +102,9 @@ def replace_ledger(spark: SparkSession, df: DataFrame, root: str, name: str) ->
     checkpoint location, then copied over, so a path is never overwritten
     while it is being read.
     """
-    from corpusflow.session import scratch_path
+    from corpusflow.session import remove_path, scratch_path
     import uuid as _uuid
     staged = scratch_path(spark, f"ledger-{name}-{_uuid.uuid4().hex}")
     conform(df, name).write.mode("overwrite").parquet(staged)
     spark.read.schema(SCHEMAS[name]).parquet(staged).write.mode("overwrite").parquet(ledger_path(root, name))
+    remove_path(spark, staged)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow.functions import paths as P
-from corpusflow.session import scratch_path
+from corpusflow.session import remove_path, scratch_path
 from corpusflow.sources.ledgers import _exists
 
 
@@ -23,6 +23,7 @@ def write_markdown(df: DataFrame, path: str, key: str = "markdown_key") -> None:
     out = df.select(F.col(key).alias("markdown_key"), "source_key", "text",
                     F.coalesce(P.top_directory(key), F.lit("_root")).alias("top_dir")).dropDuplicates(["markdown_key"])
     spark = df.sparkSession
+    staged = None
     if _exists(spark, path):
         old = spark.read.parquet(path)
         kept = (old.join(out.select("top_dir").distinct(), "top_dir", "left_semi")
@@ -32,6 +33,8 @@ def write_markdown(df: DataFrame, path: str, key: str = "markdown_key") -> None:
         out = spark.read.parquet(staged)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("top_dir").parquet(path))
+    if staged:
+        remove_path(spark, staged)
 
 
 def read_markdown(spark: SparkSession, path: str) -> DataFrame:
