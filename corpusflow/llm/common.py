@@ -11,6 +11,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusflow.operators.chunking import ensure_parallelism
 from corpusflow.session import scratch_path
 
 _RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -64,11 +65,9 @@ def ids_repeat(df: DataFrame, column: str = "doc_id") -> bool:
     return bool(df.groupBy(column).agg(F.count("*").alias("n")).where("n > 1").limit(1).count())
 
 
-def ensure_parallel(df: DataFrame, rows_per_task: int = 4000) -> DataFrame:
-    """Spread a scan that has fewer splits than the cluster has cores.
+def ensure_parallel(df: DataFrame) -> DataFrame:
+    """Spread a bare scan that has fewer splits than the cluster has cores, round-robin, so that equal rows spread as well.
 
     A table of one small file would otherwise run its per-row work in one task.
-    Round-robin, so that equal rows spread as well.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return ensure_parallelism(df, df.sparkSession.sparkContext.defaultParallelism)
