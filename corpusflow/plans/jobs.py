@@ -94,13 +94,18 @@ def full_ingest(files: DataFrame, upload_ledger: DataFrame, embedding_ledger: Da
     """
     embed = embed or EM.HashingEmbedder(64)
     filename_embed = filename_embed or EM.HashingEmbedder(32)
-    f = files.select(F.col("key"), F.col("text"), H.text_md5("text").alias("hash"))
+    # decided on keys and hashes alone: no text goes through an exchange keyed by a hash that many files may share
+    f = files.select(F.col("key"), H.text_md5("text").alias("hash"))
     if not force:
         done = upload_ledger.select(F.col("hash").alias("__h")).where(F.col("__h").isNotNull()).distinct()
         f = f.join(done, f["hash"] == done["__h"], "left_anti")
     f = f.withColumn("filename", P.basename("key"))
     dec = DD.dedup_decision(f, embedding_ledger, resident, key_col="key", collection=collection, force=force)
-    todo = dec.where(F.col("action") == "process").select("key", "filename", "hash", "text")
+    spark = files.sparkSession
+    spread = min_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    # a broadcast join leaves the rows where the scan put them, so they are dealt out before the heavy steps
+    todo = (files.select("key", "text").join(dec.where(F.col("action") == "process").select("key", "filename", "hash"), "key")
+            .select("key", "filename", "hash", "text").repartition(spread))
     return IngestOutputs(dec, todo, collection, embed, filename_embed, chunk_tokens, overlap_tokens,
                          batch_size, min_partitions, model_name)
 
