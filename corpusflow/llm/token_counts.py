@@ -23,9 +23,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusflow.llm import tokens
+from corpusflow.llm.common import stage
 
 END_ID = 50256
 BLOCK_TOKENS = 1 << 18
+_SPLITS = "spark.sql.files.minPartitionNum"
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = END_ID, compression: str = "gzip") -> None:
@@ -103,12 +105,19 @@ def document_counts(spark: SparkSession, docs: DataFrame, path: str) -> DataFram
     """Write ``docs`` as token files below ``path``, scan these, and name the documents again.
 
     ``doc_id, file_no, ordinal, start, n_tokens``. ``docs`` must be a table as it
-    was read, so that both passes see the same partitions in the same order. A
-    null text is an empty document; repeated rows are documents of their own;
+    was read, so that both passes see the same partitions in the same order; the
+    number of splits is held over both, as it else follows the executors that
+    happen to be there, and the rows' numbers are staged. A null text is an empty document; repeated rows are documents of their own;
     null doc_ids stay null; an empty table gives an empty result.
     """
-    write_token_files(docs, path)
-    low = F.monotonically_increasing_id()
-    named = docs.select("doc_id", F.shiftright(low, 33).alias("file_no"), low.bitwiseAND((1 << 33) - 1).alias("ordinal"))
+    spark_splits, cores = spark.conf.get(_SPLITS, None), spark.sparkContext.defaultParallelism
+    spark.conf.set(_SPLITS, spark_splits or cores)
+    try:
+        write_token_files(docs, path)
+        low = F.monotonically_increasing_id()
+        named, _ = stage(docs.select("doc_id", F.shiftright(low, 33).alias("file_no"), low.bitwiseAND((1 << 33) - 1).alias("ordinal")),
+                         "token-rows")
+    finally:
+        spark.conf.unset(_SPLITS) if spark_splits is None else spark.conf.set(_SPLITS, spark_splits)
     counted = scan_token_files(spark, path).select(file_number(F.col("file")).alias("file_no"), "ordinal", "start", "n_tokens")
     return named.join(counted, ["file_no", "ordinal"]).select("doc_id", "file_no", "ordinal", "start", "n_tokens")
