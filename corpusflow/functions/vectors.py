@@ -35,7 +35,9 @@ def norm(a) -> Column:
 
 
 def cosine(a, b) -> Column:
-    return dot(a, b) / (norm(a) * norm(b))
+    """Cosine similarity; 0 where a vector has no length."""
+    n = norm(a) * norm(b)
+    return F.when(n == 0, F.lit(0.0)).otherwise(dot(a, b) / n)
 
 
 def euclid(a, b) -> Column:

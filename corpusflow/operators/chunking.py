@@ -1,31 +1,35 @@
-"""Recursive token-bounded chunking (O-27 … O-32) as one native expression.
+"""Recursive token-bounded chunking (O-27 … O-32) as one linear pass per text.
 
 Definition (the recursive character splitter with a token length function):
 
-* ``level(t, i)`` cuts ``t`` before every non-overlapping occurrence of
+* ``level(span, i)`` cuts a span before every non-overlapping occurrence of
   separator ``i`` (the separator stays with the following piece); the last,
   empty separator cuts into characters. Empty pieces are dropped.
-* Pieces are scanned left to right with state ``(out, buf, n)``. A piece of
-  ``k >= N`` tokens flushes ``buf`` and is split at the next level. Otherwise,
-  if ``n + k > N`` the buffer is flushed and restarted (keeping a tail of at
-  most ``overlap`` tokens); else the piece is appended, ``n += k``.
-* A flush joins the buffer, strips ``[ \\t\\n\\r\\f]`` at both ends and drops
-  empties. Sizes add over pieces.
+* Pieces are scanned left to right. A piece of ``k >= N`` tokens flushes the
+  open chunk and is split at the next level. Otherwise, if ``n + k > N`` the
+  chunk is flushed and restarted (keeping a tail of at most ``overlap``
+  tokens); else the piece joins it, ``n += k``.
+* A flush strips ``[ \\t\\n\\r\\f]`` at both ends and drops empties.
 
 An absent separator yields one piece, which either fits or falls through to
 the next level — the same result as skipping to the first present separator,
 except for a text with no non-empty separator at all: that one is split into
-characters at once (handled in ``chunk_texts``).
+characters at once.
 
-The fold is a nest of ``aggregate`` lambdas evaluated inside the JVM; no
-Python runs per row. Chunking is a narrow (per-document) transformation:
-it never shuffles, so it scales with the number of input splits.
+Pieces of a chunk are neighbours, so a chunk is a span of the text and the
+state is two positions and a token count; strings are cut out only at a flush.
+Separators never cut a token, so tokens are located once per text and a piece's
+count is a difference of two ranks. The pass runs in an Arrow function, batch by
+batch; chunking never shuffles, so it scales with the number of input splits.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+from bisect import bisect_left
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,128 +43,86 @@ SEPARATORS = ("\n\n\n", "\n\n", "\n", ". ", " ", "")
 DEFAULT_CHUNK_TOKENS = 500
 DEFAULT_OVERLAP_TOKENS = 0
 
-_MARK = "\u0001"
-_BUF_TYPE = "array<struct<p:string,k:int>>"
-
-
-def _java_literal(sep: str) -> str:
-    return "".join("\\" + c if c in r".[]{}()\*+-?^$|" else c for c in sep)
-
-
-def _pieces(text: Column, sep: str) -> Column:
-    if sep == "":
-        arr = F.split(text, "")
-    else:
-        arr = F.split(F.regexp_replace(text, _java_literal(sep), _MARK + sep), _MARK)
-    return F.filter(arr, lambda p: p != "")
-
-
-_OUT_TYPE = "array<struct<t:string,n:int>>"
-
-
-def _emit(buf: Column, exact: bool) -> Column:
-    """Flush: joined, stripped text with its token count (sum of the pieces'
-    counts, exact above the character level; -1 = count again)."""
-    joined = T.strip_ws(F.array_join(F.transform(buf, lambda x: x["p"]), ""))
-    n = _buf_sum(buf) if exact else F.lit(-1)
-    return F.when(joined != "", F.array(F.struct(joined.alias("t"), n.alias("n")))).otherwise(
-        F.array().cast(_OUT_TYPE))
-
-
-def _buf_sum(buf: Column) -> Column:
-    return F.aggregate(buf, F.lit(0), lambda a, x: a + x["k"])
-
-
-def _tail(buf: Column, k: Column, size: int, overlap: int) -> Column:
-    """Longest suffix of ``buf`` that may be carried into the next chunk."""
-    def keep(x, j):
-        s = _buf_sum(F.slice(buf, j + 1, F.size(buf) - j))
-        return (s <= overlap) & ((s + k <= size) | (s == 0))
-    return F.filter(buf, keep)
-
-
-def _fold(text: Column, level: int, size: int, overlap: int,
-          counter: Callable[[Column], Column], k_text: Column | None = None) -> Column:
-    sep = SEPARATORS[level]
-    items = F.transform(_pieces(text, sep), lambda p: F.struct(p.alias("p"), counter(p).alias("k")))
-    if sep and k_text is not None:
-        # separator absent: the only piece is the text itself, whose token
-        # count the caller already knows — no second pass over the text
-        items = F.when(text.contains(sep), items).otherwise(
-            F.array(F.struct(text.alias("p"), k_text.alias("k"))))
-    empty_buf = F.array().cast(_BUF_TYPE)
-    exact = sep != ""
-    init = F.struct(F.array().cast(_OUT_TYPE).alias("out"),
-                    empty_buf.alias("buf"), F.lit(0).alias("n"))
-
-    def step(acc, it):
-        out, buf, n = acc["out"], acc["buf"], acc["n"]
-        k = it["k"]
-        flushed = F.concat(out, _emit(buf, exact))
-        if level + 1 < len(SEPARATORS):
-            deeper = _fold(it["p"], level + 1, size, overlap, counter, k)
-        else:
-            deeper = _emit(F.array(it), False)
-        recurse = F.struct(F.concat(flushed, deeper).alias("out"), empty_buf.alias("buf"),
-                           F.lit(0).alias("n"))
-        if overlap > 0:
-            kept = _tail(buf, k, size, overlap)
-            restart = F.struct(flushed.alias("out"), F.concat(kept, F.array(it)).alias("buf"),
-                               (_buf_sum(kept) + k).alias("n"))
-        else:
-            restart = F.struct(flushed.alias("out"), F.array(it).alias("buf"), k.alias("n"))
-        append = F.struct(out.alias("out"), F.concat(buf, F.array(it)).alias("buf"),
-                          (n + k).alias("n"))
-        return (F.when(k >= size, recurse)
-                .when((n + k > size) & (F.size(buf) > 0), restart)
-                .otherwise(append))
-
-    return F.aggregate(items, init, step, lambda acc: F.concat(acc["out"], _emit(acc["buf"], exact)))
-
-
-_TEXT_COL = "__cf_chunk_text"
-_EXPR_CACHE: dict = {}
-
-
-def chunk_texts(text, chunk_tokens: int = DEFAULT_CHUNK_TOKENS,
-                overlap_tokens: int = DEFAULT_OVERLAP_TOKENS,
-                counter: Callable[[Column], Column] = T.token_count) -> Column:
+_SEPARATORS = [re.compile(re.escape(s)) for s in SEPARATORS[:-1]]
+# the token pattern of functions.text in Python's classes: letters and digits are \w without the underscore
+_TOKEN = re.compile(r"[^\W_]+|[^ \t\n\r\f\w]|_")
+_WS = " \t\n\r\f"
+
+
+class _Splitter:
+    """Chunks of one text as ``(chunk, tokens)``; ``counter`` counts the tokens of a string (None: the default tokens)."""
+
+    def __init__(self, text: str, size: int, overlap: int, counter: Callable[[str], int] | None) -> None:
+        self.text, self.size, self.overlap, self.counter = text, size, overlap, counter
+        self.starts = [m.start() for m in _TOKEN.finditer(text)] if counter is None else []
+
+    def ranks(self, bounds: list[int], chars: bool) -> list[int]:
+        """Tokens before each bound, as the pieces' counts add up."""
+        if self.counter is None and not chars:
+            return [bisect_left(self.starts, b) for b in bounds]
+        out = [0]
+        for a, b in zip(bounds, bounds[1:]):
+            piece = self.text[a:b]
+            out.append(out[-1] + (self.counter(piece) if self.counter else piece not in _WS))
+        return out
+
+    def chunk(self, a: int, b: int, n: int | None) -> Iterator[tuple[str, int]]:
+        found = self.text[a:b].strip(_WS)
+        if found:
+            yield found, n if n is not None else self.counter(found) if self.counter else len(_TOKEN.findall(found))
+
+    def split(self, a: int, b: int, level: int) -> Iterator[tuple[str, int]]:
+        chars = level == len(_SEPARATORS)
+        bounds = list(range(a, b + 1)) if chars else [a, *(m.start() for m in _SEPARATORS[level].finditer(self.text, a, b) if m.start() > a), b]
+        rank = self.ranks(bounds, chars)
+        # single characters of one token and custom counts do not add up to the chunk's count
+        counted = self.counter is None and not chars
+        first = 0
+        for i in range(len(bounds) - 1):
+            k = rank[i + 1] - rank[i]
+            if k >= self.size:
+                yield from self.chunk(bounds[first], bounds[i], rank[i] - rank[first] if counted else None)
+                if chars:
+                    yield from self.chunk(bounds[i], bounds[i + 1], None)
+                else:
+                    yield from self.split(bounds[i], bounds[i + 1], level + 1)
+                first = i + 1
+            elif rank[i + 1] - rank[first] > self.size and first < i:
+                yield from self.chunk(bounds[first], bounds[i], rank[i] - rank[first] if counted else None)
+                while rank[i] > rank[first] and (rank[i] - rank[first] > self.overlap or rank[i + 1] - rank[first] > self.size):
+                    first += 1
+        yield from self.chunk(bounds[first], b, rank[-1] - rank[first] if counted else None)
+
+
+def split_text(text: str, size: int, overlap: int = 0, counter: Callable[[str], int] | None = None) -> list[tuple[str, int]]:
+    """Chunks of ``text`` with their token counts, in order."""
+    if not text:
+        return []
+    plain = not any(s in text for s in SEPARATORS[:-1])
+    return list(_Splitter(text, size, overlap, counter).split(0, len(text), len(_SEPARATORS) if plain else 0))
+
+
+_CHUNKS = pa.list_(pa.struct([("t", pa.string()), ("n", pa.int32())]))
+
+
+def chunk_texts(text, chunk_tokens: int = DEFAULT_CHUNK_TOKENS, overlap_tokens: int = DEFAULT_OVERLAP_TOKENS,
+                counter: Callable[[str], int] | None = None) -> Column:
     """array<string> of chunks of ``text`` (O-27, O-28)."""
     return F.transform(chunk_texts_counted(text, chunk_tokens, overlap_tokens, counter), lambda x: x["t"])
 
 
-def chunk_texts_counted(text, chunk_tokens: int = DEFAULT_CHUNK_TOKENS,
-                        overlap_tokens: int = DEFAULT_OVERLAP_TOKENS,
-                        counter: Callable[[Column], Column] = T.token_count) -> Column:
-    """array<struct<t, n>>: chunks with their token counts (n = -1 where the
-    count must be taken again, i.e. chunks merged from single characters).
-
-    The expression is large (six nested folds); building it through the
-    Python API costs seconds, so the version over the fixed input column used
-    by ``chunk_documents`` is built once per process and reused.
-    """
+def chunk_texts_counted(text, chunk_tokens: int = DEFAULT_CHUNK_TOKENS, overlap_tokens: int = DEFAULT_OVERLAP_TOKENS,
+                        counter: Callable[[str], int] | None = None) -> Column:
+    """array<struct<t, n>>: chunks with their token counts; null for a null text."""
     if overlap_tokens >= chunk_tokens:
         raise ValueError("overlap must be smaller than the chunk size")
-    if isinstance(text, str) and text == _TEXT_COL:  # cached: built once per process
-        from pyspark import SparkContext
-        key = (id(SparkContext._gateway), chunk_tokens, overlap_tokens, counter)
-        if key not in _EXPR_CACHE:
-            _EXPR_CACHE[key] = _chunk_expr(F.col(_TEXT_COL), chunk_tokens, overlap_tokens, counter)
-        return _EXPR_CACHE[key]
-    return _chunk_expr(col(text), chunk_tokens, overlap_tokens, counter)
-
-
-def _chunk_expr(text: Column, chunk_tokens: int, overlap_tokens: int,
-                counter: Callable[[Column], Column]) -> Column:
-    clean = F.regexp_replace(text, _MARK, "")
-    # A text holding none of the non-empty separators is split into characters
-    # right away (even when it fits), as the splitter picks the first separator
-    # present; per-character token counts then decide the merge.
-    has_sep = F.lit(False)
-    for s in SEPARATORS[:-1]:
-        has_sep = has_sep | clean.contains(s)
-    return F.when(has_sep, _fold(clean, 0, chunk_tokens, overlap_tokens, counter, counter(clean))).otherwise(
-        _fold(clean, len(SEPARATORS) - 1, chunk_tokens, overlap_tokens, counter))
+
+    @F.arrow_udf("array<struct<t:string,n:int>>")
+    def chunks(texts: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else [{"t": c, "n": n} for c, n in split_text(t, chunk_tokens, overlap_tokens, counter)]
+                         for t in texts.to_pylist()], _CHUNKS)
+
+    return chunks(col(text))
 
 
 # Logical operators after which the data is already spread by a shuffle (or
@@ -206,7 +168,7 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
 def chunk_documents(docs: DataFrame, text_col: str = "text", filename_col: str = "filename",
                     chunk_tokens: int = DEFAULT_CHUNK_TOKENS,
                     overlap_tokens: int = DEFAULT_OVERLAP_TOKENS,
-                    counter: Callable[[Column], Column] = T.token_count,
+                    counter: Callable[[str], int] | None = None,
                     keep: tuple[str, ...] = (),
                     min_partitions: int | None = None) -> DataFrame:
     """One row per chunk: filename, chunk_number (1-based), text, element_type,
@@ -215,25 +177,15 @@ def chunk_documents(docs: DataFrame, text_col: str = "text", filename_col: str =
     chunks = docs.select(
         *[col(c) for c in keep if c != filename_col],
         col(filename_col).alias("filename"),
-        col(text_col).alias(_TEXT_COL),
-    ).select(
-        *[c for c in keep if c != filename_col], "filename",
-        F.posexplode(chunk_texts_counted(_TEXT_COL, chunk_tokens, overlap_tokens, counter)).alias("pos", "c"),
+        F.posexplode(chunk_texts_counted(text_col, chunk_tokens, overlap_tokens, counter)).alias("pos", "c"),
     )
-    # Piece counts add up exactly for the default counter (separators start with
-    # whitespace or '.', a token of its own); a custom counter is applied again.
-    n = F.col("c.n") if counter is T.token_count else F.lit(-1)
     return chunks.select(
-        *keep_cols(keep, filename_col),
-        "filename",
+        *keep_cols(keep, filename_col), "filename",
         (F.col("pos") + 1).cast("int").alias("chunk_number"),
         F.col("c.t").alias("text"),
-        n.alias("__n"),
-    ).select(
-        *keep_cols(keep, filename_col), "filename", "chunk_number", "text",
-        T.element_type("text").alias("element_type"),
-        H.text_md5("text").alias("md5_hash"),
-        F.when(F.col("__n") >= 0, F.col("__n")).otherwise(counter(F.col("text"))).cast("int").alias("n_tokens"),
+        T.element_type("c.t").alias("element_type"),
+        H.text_md5("c.t").alias("md5_hash"),
+        F.col("c.n").alias("n_tokens"),
     )
 
 

@@ -31,10 +31,10 @@ from pyspark.sql import types as T
 from corpusflow.functions import text as TX
 from corpusflow.functions import vectors as V
 
-# Fixed values from the reference's collection settings: brute force below
-# this many points; above it an index (here LSH) may be used.
+#: query rows and bytes shipped to executors at once, and scores held at once by a task
 MAX_QUERIES_PER_SCAN = 4096
 MAX_QUERY_BYTES = 64 << 20
+SCORES_AT_ONCE = 4_000_000
 SCORE_DECIMALS = 6
 
 
@@ -49,27 +49,25 @@ def _collect_bounded(df: DataFrame, max_rows: int, what: str) -> list:
     return rows
 
 
-def _query_blocks(queries: DataFrame, query_id: str, dim_hint: int | None,
-                  max_queries: int, depth: int = 0) -> list[DataFrame]:
+def _query_blocks(queries: DataFrame, query_id: str, vector: str, max_queries: int, depth: int = 0) -> list[DataFrame]:
     """Split the query set into blocks within the row and byte budget.
 
-    A block that is still too large (uneven hashing) is split again with a
-    different salt, so every block is provably bounded before it is shipped.
+    One pass counts the queries and finds their dimension. A block that is still
+    too large (uneven hashing) is split again with a different salt, so every
+    block is provably bounded before it is shipped.
     """
-    per_block = max_queries
-    if dim_hint:
-        per_block = max(1, min(max_queries, MAX_QUERY_BYTES // (8 * dim_hint + 64)))
-    if queries.limit(per_block + 1).count() <= per_block:
+    n, dim = queries.agg(F.count(F.lit(1)), F.max(F.size(vector))).first()
+    per_block = max(1, min(max_queries, MAX_QUERY_BYTES // (8 * max(dim or 0, 0) + 64)))
+    if n <= per_block:
         return [queries]
     if depth >= 8:
         raise OverflowError("query ids are not distinct enough to split into bounded blocks")
-    n_blocks = math.ceil(queries.count() / per_block) * 2
+    n_blocks = math.ceil(n / per_block) * 2
     salt = F.concat(F.col(query_id).cast("string"), F.lit(f"#{depth}"))
     keyed = queries.withColumn("__blk", F.pmod(F.xxhash64(salt), F.lit(n_blocks)))
     out = []
     for b in range(n_blocks):
-        out += _query_blocks(keyed.where(F.col("__blk") == b).drop("__blk"), query_id, dim_hint,
-                             max_queries, depth + 1)
+        out += _query_blocks(keyed.where(F.col("__blk") == b).drop("__blk"), query_id, vector, max_queries, depth + 1)
     return out
 
 
@@ -82,59 +80,51 @@ def _partition_topk(points: DataFrame, qids: list, qmat: np.ndarray, k: int, met
                               + list(schema.fields)
                               + [T.StructField("score", T.DoubleType(), True)])
     q = qmat.astype(np.float64)
-    qnorm = np.linalg.norm(q, axis=1)
-    qids_s = [str(x) for x in qids]
+    qids_s = np.array([str(x) for x in qids], dtype=object)
+
+    def scores(vmat: np.ndarray) -> np.ndarray:
+        if metric == "dot":
+            return vmat @ q.T
+        if metric == "cosine":
+            norms = np.outer(np.linalg.norm(vmat, axis=1), np.linalg.norm(q, axis=1))
+            return np.divide(vmat @ q.T, norms, out=np.zeros_like(norms), where=norms > 0)
+        if metric == "euclid":
+            return np.stack([np.sqrt(((vmat - q[j]) ** 2).sum(axis=1)) for j in range(len(q))], axis=1)
+        return np.stack([np.abs(vmat - q[j]).sum(axis=1) for j in range(len(q))], axis=1)
+
+    def best_of(pdf: pd.DataFrame) -> pd.DataFrame:
+        """The k best rows of a batch for every query at once; ties at the boundary are kept."""
+        s = scores(np.stack(pdf[vector_col].to_numpy()).astype(np.float64))
+        key = np.round(s, SCORE_DECIMALS)
+        key = -key if larger else key
+        if allowed is not None:
+            codes, values = pd.factorize(pdf[allowed[0]])
+            of_query = np.array([np.isin(values, list(allowed[1].get(x, ()))) for x in qids_s])
+            # the added column, all false, is that of rows without a value (code -1)
+            key = np.where(np.pad(of_query, ((0, 0), (0, 1))).T[codes], key, np.inf)
+        near = np.isfinite(key)
+        if len(key) > k:
+            near &= key <= np.partition(key, k - 1, axis=0)[k - 1]
+        at, query = np.nonzero(near)
+        return pdf[[id_col, *carry]].iloc[at].reset_index(drop=True).assign(score=s[at, query], query_id=query)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         best: list[pd.DataFrame] = []
-        held = 0
+        held, step = 0, max(1, SCORES_AT_ONCE // len(q))
         for pdf in batches:
             pdf = pdf[pdf[vector_col].notna()]
-            if pdf.empty:
-                continue
-            vmat = np.stack(pdf[vector_col].to_numpy()).astype(np.float64)
-            if metric == "dot":
-                s = vmat @ q.T
-            elif metric == "cosine":
-                vn = np.linalg.norm(vmat, axis=1)
-                s = (vmat @ q.T) / np.outer(vn, qnorm)
-            elif metric == "euclid":
-                s = np.stack([np.sqrt(((vmat - q[j]) ** 2).sum(axis=1)) for j in range(len(q))], axis=1)
-            else:
-                s = np.stack([np.abs(vmat - q[j]).sum(axis=1) for j in range(len(q))], axis=1)
-            key = np.round(s, SCORE_DECIMALS)
-            key = -key if larger else key
-            base = pdf[[id_col, *carry]].reset_index(drop=True)
-            for j, qid in enumerate(qids_s):
-                col = key[:, j]
-                if allowed is not None:
-                    ok = pdf[allowed[0]].isin(allowed[1].get(qid, ())).to_numpy()
-                    col = np.where(ok, col, np.inf)
-                if len(col) > k:
-                    kth = np.partition(col, k - 1)[k - 1]
-                    idx = np.nonzero(col <= kth)[0]  # ties at the boundary are kept
-                else:
-                    idx = np.arange(len(col))
-                idx = idx[np.isfinite(col[idx])]
-                cand = base.iloc[idx].copy()
-                cand["score"] = s[idx, j]
-                cand["query_id"] = qid
-                best.append(cand)
-                held += len(cand)
-            if held > 8 * k * len(qids_s):
-                best = [_keep_k(pd.concat(best, ignore_index=True), k, larger, id_col)]
-                held = len(best[0])
+            for a in range(0, len(pdf), step):
+                best.append(best_of(pdf.iloc[a:a + step]))
+                held += len(best[-1])
+                if held > 8 * k * len(q):
+                    best = [_keep_k(pd.concat(best, ignore_index=True), k, larger, id_col)]
+                    held = len(best[0])
         if best:
             out = _keep_k(pd.concat(best, ignore_index=True), k, larger, id_col)
-            yield out[["query_id", id_col, *carry, "score"]]
+            yield out.assign(query_id=qids_s[out["query_id"].to_numpy()])[["query_id", id_col, *carry, "score"]]
 
     extra = [allowed[0]] if allowed is not None and allowed[0] not in (id_col, *carry) else []
-
-    def run_proj(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for out in run(batches):
-            yield out[["query_id", id_col, *carry, "score"]]
-
-    return points.select(id_col, vector_col, *carry, *extra).mapInPandas(run_proj, out_schema)
+    return points.select(id_col, vector_col, *carry, *extra).mapInPandas(run, out_schema)
 
 
 def _keep_k(df: pd.DataFrame, k: int, larger: bool, id_col: str) -> pd.DataFrame:
@@ -175,6 +165,9 @@ def topk(points: DataFrame, queries: DataFrame, k: int = 10, metric: str = "cosi
          max_queries: int = MAX_QUERIES_PER_SCAN, allowed: tuple[str, dict] | None = None) -> DataFrame:
     """Exact top-k per query (O-81 … O-85). Output: query_id, id, carry…, score, rank.
 
+    A zero vector has the cosine 0 to everything. Points without a vector have
+    no score; a query without a vector has no hits.
+
     ``allowed=(column, {query_id: set of values})`` restricts each query to
     points whose ``column`` is in its own set (used by the two-stage search).
     """
@@ -182,10 +175,8 @@ def topk(points: DataFrame, queries: DataFrame, k: int = 10, metric: str = "cosi
         raise ValueError(f"metric must be one of {list(V.METRICS)}")
     queries = queries.select(F.col(query_id).cast("string").alias("query_id"),
                              F.col(query_vector).alias("__qv"))
-    first = queries.where(F.col("__qv").isNotNull()).select(F.size("__qv")).first()
-    dim = first[0] if first else None
     results = []
-    for block in _query_blocks(queries, "query_id", dim, max_queries):
+    for block in _query_blocks(queries, "query_id", "__qv", max_queries):
         rows = _collect_bounded(block, max_queries, "query block")
         rows = [r for r in rows if r["__qv"] is not None]
         if not rows:
@@ -231,9 +222,8 @@ def two_stage(file_points: DataFrame, content_points: DataFrame, queries: DataFr
     Output: query_id, id, filename, page_number, score, rank.
     """
     qs = queries.select(F.col("query_id").cast("string").alias("query_id"), F.col("vector"))
-    first = qs.where(F.col("vector").isNotNull()).select(F.size("vector")).first()
     results = []
-    for block in _query_blocks(qs, "query_id", first[0] if first else None, max_queries):
+    for block in _query_blocks(qs, "query_id", "vector", max_queries):
         stage1 = topk(file_points, block, k_files, metric, carry=(file_col,), max_queries=max_queries)
         pairs = _collect_bounded(stage1.select("query_id", file_col), max_queries * k_files, "stage-1 pairs")
         allowed: dict = {}
@@ -359,7 +349,8 @@ def approx_topk(points: DataFrame, queries: DataFrame, k: int = 10, metric: str
     """LSH candidates re-ranked exactly, at every size; ``topk`` is the exact search.
 
     Candidates are all points sharing a bucket with the query in any table —
-    uncapped. The query side of the bucket join is the bounded broadcast.
+    uncapped. The query side of the bucket join is broadcast; its bound counts
+    the ``tables`` rows that each query becomes.
     """
     probe = points.select("vector").where(F.col("vector").isNotNull()).first()
     if probe is None:
@@ -370,7 +361,7 @@ def approx_topk(points: DataFrame, queries: DataFrame, k: int = 10, metric: str
     qs = queries.select(F.col("query_id").cast("string").alias("query_id"), F.col("vector").alias("query_vector"))
     out = None
     # the query side is broadcast, so it is processed in blocks with a proven bound
-    for block in _query_blocks(qs, "query_id", dim, MAX_QUERIES_PER_SCAN):
+    for block in _query_blocks(qs, "query_id", "query_vector", max(1, MAX_QUERIES_PER_SCAN // tables)):
         qsig = lsh_signatures(block, "query_vector", planes, bits, tables)
         pairs = psig.join(F.broadcast(qsig), ["lsh_table", "lsh_bucket"]).select(
             "query_id", id_col, "vector", "query_vector", *carry).dropDuplicates(["query_id", id_col])

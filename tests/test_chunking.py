@@ -1,6 +1,7 @@
-"""The native chunk expression against the plain-Python splitter (brute force)."""
+"""The linear splitter against the plain statement of the recursive one (brute force)."""
 
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 import python_splitter as PS
@@ -78,3 +79,25 @@ def test_chunking_is_narrow(spark):
     # a single-split input is only spread round-robin in front of the fold, never hashed
     spread = CH.chunk_documents(df)._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning" not in spread
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["a", "bc", "\n", "\n\n", "\n\n\n", ". ", " ", "!", "é", "_", "漢", "\u0001", "\xa0", "."]), max_size=60),
+       st.sampled_from([1, 2, 3, 5, 8, 20]), st.integers(0, 4))
+def test_any_text(parts, size, overlap):
+    text, overlap = "".join(parts), min(overlap, size - 1)
+    got = CH.split_text(text, size, overlap)
+    assert [c for c, _ in got] == PS.split_text(text, size, overlap)
+    assert all(n == PS.count_tokens(c) for c, n in got)
+
+
+def test_overlap_opens_chunks_with_the_kept_tail():
+    words = [f"w{i}" for i in range(300)]
+    got = [c.split() for c, _ in CH.split_text(" ".join(words), 50, 10)]
+    assert all(b[:10] == a[-10:] for a, b in zip(got, got[1:])) and len(got) > 5
+
+
+def test_custom_counter_and_null(spark):
+    df = spark.createDataFrame([("a b c d e",), (None,), ("",)], "t string")
+    rows = df.select(CH.chunk_texts_counted("t", 4, 0, counter=len).alias("c")).collect()
+    assert [r.c if r.c is None else [(x.t, x.n) for x in r.c] for r in rows] == [[("a b", 3), ("c d", 3), ("e", 1)], None, []]

@@ -125,3 +125,27 @@ def test_filter_pushdown_reaches_scan(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(lang), EqualTo(lang,en)]" in plan
     assert "ReadSchema: struct<doc_id:bigint,lang:string>" in plan
+
+
+@pytest.mark.parametrize("max_queries", [2, 100])
+def test_zero_vectors_are_ranked(spark, max_queries):
+    pts = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [0.0, 0.0]), ("c", [-1.0, 0.0]), ("d", None)], "id string, vector array<double>")
+    qs = spark.createDataFrame([("q", [1.0, 0.0]), ("z", [0.0, 0.0]), ("n", None)], "query_id string, vector array<double>")
+    got = {q: [] for q in "qzn"}
+    for r in S.topk(pts, qs, 3, "cosine", max_queries=max_queries).orderBy("rank").collect():
+        got[r.query_id].append((r.id, r.score))
+    assert got == {"q": [("a", 1.0), ("b", 0.0), ("c", -1.0)], "z": [("a", 0.0), ("b", 0.0), ("c", 0.0)], "n": []}
+
+
+def test_topk_keeps_to_each_querys_files(spark):
+    pts = spark.createDataFrame([(f"p{i}", f"f{i % 3}" if i % 4 else None, [float(i), 1.0]) for i in range(24)],
+                                "id string, filename string, vector array<double>")
+    qs = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [-1.0, 0.0])], "query_id string, vector array<double>")
+    got = S.topk(pts, qs, 2, "dot", carry=("filename",), allowed=("filename", {"a": {"f0"}, "b": {"f1", "f2"}})).collect()
+    assert {(r.query_id, r.id) for r in got} == {("a", "p21"), ("a", "p18"), ("b", "p1"), ("b", "p2")}
+
+
+def test_topk_without_any_file_name(spark):
+    pts = spark.createDataFrame([("p", None, [1.0])], "id string, filename string, vector array<double>")
+    qs = spark.createDataFrame([("a", [1.0])], "query_id string, vector array<double>")
+    assert S.topk(pts, qs, 2, "dot", carry=("filename",), allowed=("filename", {"a": {"f0"}})).count() == 0
