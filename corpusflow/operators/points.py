@@ -80,46 +80,43 @@ def length_agreement(chunks: DataFrame, vectors: DataFrame, file_col: str = "fil
     return j.withColumn("lengths_agree", F.col("n_chunks") == F.col("n_vectors"))
 
 
-def write_batches(points: DataFrame, batch_size: int, file_col: str = "filename",
-                  order_col: str = "page_number", dense: bool = True) -> DataFrame:
-    """Batch number (1-based) and batch count per file for slices of ``batch_size`` (O-63).
-
-    Chunk numbers are dense (1..n per file), so a point's batch is plain
-    arithmetic and the count per file a partial aggregate: no window has to
-    hold a whole file, however many chunks one file has. ``dense=False``
-    numbers rows by ``order_col`` with a window instead.
+PAGES_AT_ONCE = 4096
+
+
+def write_batches(points: DataFrame, batch_size: int, file_col: str = "filename", order_col: str = "page_number") -> DataFrame:
+    """Batch number (1-based) and batch count per file for slices of ``batch_size`` of the points there are (O-63).
+
+    Rows are numbered inside blocks of page numbers and shifted by the counts of
+    the file's earlier blocks, so no window has to hold a whole file and pages
+    that were dropped leave no holes.
     """
-    if dense:
-        counts = points.groupBy(file_col).agg(F.count(F.lit(1)).alias("__n"))
-        return (points.withColumn("batch_number", (F.floor((F.col(order_col) - 1) / batch_size) + 1).cast("int"))
-                .join(counts, file_col)
-                .withColumn("batch_count", F.ceil(F.col("__n") / batch_size).cast("int")).drop("__n"))
-    w = Window.partitionBy(file_col).orderBy(order_col, "id")
-    n = Window.partitionBy(file_col)
-    return (points.withColumn("__rn", F.row_number().over(w))
-            .withColumn("batch_number", (F.floor((F.col("__rn") - 1) / batch_size) + 1).cast("int"))
-            .withColumn("batch_count", F.ceil(F.count(F.lit(1)).over(n) / batch_size).cast("int"))
-            .drop("__rn"))
+    block = F.floor((F.col(order_col) - 1) / PAGES_AT_ONCE)
+    rows = points.withColumn("__block", block)
+    by_block = Window.partitionBy(file_col).orderBy("__block")
+    shifts = rows.groupBy(file_col, "__block").agg(F.count(F.lit(1)).alias("__n")).select(
+        file_col, "__block", (F.sum("__n").over(by_block) - F.col("__n")).alias("__before"),
+        F.sum("__n").over(Window.partitionBy(file_col)).alias("__all"))
+    inside = Window.partitionBy(file_col, "__block").orderBy(order_col, "id")
+    return (rows.withColumn("__rn", F.row_number().over(inside)).join(shifts, [file_col, "__block"])
+            .withColumn("batch_number", (F.floor((F.col("__before") + F.col("__rn") - 1) / batch_size) + 1).cast("int"))
+            .withColumn("batch_count", F.ceil(F.col("__all") / batch_size).cast("int"))
+            .drop("__block", "__rn", "__before", "__all"))
+
+
+def upload_point_ids(points: DataFrame, file_col: str = "filename") -> DataFrame:
+    """Every uploaded point of every file, one row each: what the ledger's id list is a view of (O-64)."""
+    return points.select(file_col, "page_number", F.col("id").alias("point_id"))
 
 
 def upload_ledger_rows(points: DataFrame, batch_size: int, collection: str,
                        file_col: str = "filename", hash_col: str = "file_hash") -> DataFrame:
-    """Per file: points uploaded, first 10 ids in chunk order, batch size (O-64).
-
-    The id list is built from the first 10 chunks only (a ``row_number <= 10``
-    window, limited before its shuffle), so no file's full id list is ever
-    collected; counts are partial aggregates.
-    """
-    w = Window.partitionBy(file_col).orderBy("page_number", "id")
-    first10 = (points.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= 10)
-               .groupBy(file_col).agg(F.array_sort(F.collect_list(F.struct("page_number", "id"))).alias("__ids")))
+    """Per file: points uploaded and batch size (O-64); the ids are the rows of ``upload_point_ids``."""
     agg = points.groupBy(file_col).agg(
         F.count(F.lit(1)).cast("int").alias("points_uploaded"),
-        F.min(hash_col).alias("md5_hash")).join(first10, file_col)
+        F.min(hash_col).alias("md5_hash"))
     return agg.select(
         F.current_timestamp().alias("timestamp"), F.col(file_col).alias("filename"), "md5_hash",
         F.lit(collection).alias("collection_name"), "points_uploaded",
-        F.transform("__ids", lambda x: x["id"]).alias("point_ids"),
         F.lit(batch_size).cast("int").alias("batch_size"),
         F.lit(None).cast("double").alias("upload_time_seconds"), F.lit("success").alias("status"))
 

@@ -336,16 +336,19 @@ def write_batches(spark, d):
     return PT.write_batches(FX.fx_points(spark, d), 4).select("id", "filename", "batch_number", "batch_count")
 
 
-@query("upload_ledger_rows", f"""
-SELECT filename, CAST(count(*) AS INTEGER) AS points_uploaded,
-  array_to_string(list_slice(list(pid ORDER BY page_number), 1, 10), ',') AS point_ids, 100 AS batch_size
-FROM (SELECT filename, page_number, {_SQL_UUID5.format(h='h')} AS pid FROM (
-  SELECT *, sha1(unhex('6ba7b8109dad11d180b400c04fd430c8') || encode(filename || '_' || CAST(page_number AS VARCHAR))) AS h FROM fx_points))
-GROUP BY filename""", "O-64")
+@query("upload_ledger_rows", """
+SELECT filename, CAST(count(*) AS INTEGER) AS points_uploaded, 100 AS batch_size FROM fx_points GROUP BY filename""", "O-64")
 def upload_ledger_rows(spark, d):
     pts = PT.content_points(_chunks_from_points(spark, d))
-    rows = PT.upload_ledger_rows(pts, 100, "content")
-    return rows.select("filename", "points_uploaded", F.array_join("point_ids", ",").alias("point_ids"), "batch_size")
+    return PT.upload_ledger_rows(pts, 100, "content").select("filename", "points_uploaded", "batch_size")
+
+
+@query("upload_point_ids", f"""
+SELECT filename, page_number, {_SQL_UUID5.format(h='h')} AS point_id FROM (
+  SELECT *, sha1(unhex('6ba7b8109dad11d180b400c04fd430c8') || encode(filename || '_' || CAST(page_number AS VARCHAR))) AS h FROM fx_points)""", "O-64")
+def upload_point_ids(spark, d):
+    """All ids of every file, not its first few."""
+    return PT.upload_point_ids(PT.content_points(_chunks_from_points(spark, d)))
 
 
 @query("collection_info", """

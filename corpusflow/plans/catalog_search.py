@@ -446,13 +446,25 @@ def stream_ingest(spark, d):
 SELECT CAST(date_trunc('hour', ts) AS VARCHAR) AS window_start, event_type, CAST(count(*) AS BIGINT) AS n_files,
   CAST(count_if(event_type = 'error') AS BIGINT) AS n_failed FROM events GROUP BY 1, 2""", "O-111")
 def stream_monitoring(spark, d):
-    from corpusflow.session import scratch_path
-    from corpusflow.streaming.ingest import run_to_memory, stream_rates
-    import uuid
+    return _streamed_rates(spark, d, "complete")
+
+
+@query("stream_monitoring_append", """
+SELECT CAST(date_trunc('hour', ts) AS VARCHAR) AS window_start, event_type, CAST(count(*) AS BIGINT) AS n_files,
+  CAST(count_if(event_type = 'error') AS BIGINT) AS n_failed FROM events
+WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT date_trunc('milliseconds', max(ts)) FROM events) - INTERVAL 10 MINUTE
+GROUP BY 1, 2""", "O-111")
+def stream_monitoring_append(spark, d):
+    """Append mode: the windows that the watermark (10 minutes behind the newest event) has closed."""
+    return _streamed_rates(spark, d, "append")
+
+
+def _streamed_rates(spark, d, mode):
+    from corpusflow.streaming.ingest import run_to_files, stream_rates
     schema = FX.table(spark, d, "events").schema
     ev = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
     rates = stream_rates(ev, "ts", failed=F.col("event_type") == "error", group_col="event_type")
-    tab = run_to_memory(rates, scratch_path(spark, f"monitor-ckpt-{uuid.uuid4().hex[:10]}"))
+    tab = run_to_files(rates, _scratch(spark, "monitor"), _scratch(spark, "monitor-ckpt"), mode)
     return tab.select(F.col("w.start").cast("string").alias("window_start"), "event_type",
                       F.col("n_files").cast("bigint").alias("n_files"), F.col("n_failed").cast("bigint").alias("n_failed"))
 

@@ -13,8 +13,6 @@
 
 from __future__ import annotations
 
-import uuid as _uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -98,10 +96,18 @@ def stream_dedup(files: DataFrame, ts_col: str, text_col: str = "text", delay: s
             .dropDuplicatesWithinWatermark(["hash"]))
 
 
-def run_to_memory(df: DataFrame, checkpoint: str, mode: str = "complete") -> DataFrame:
-    """Drain a streaming DataFrame with availableNow into a memory table and return it as a batch table."""
-    name = f"cf_stream_{_uuid.uuid4().hex[:12]}"
-    q = (df.writeStream.format("memory").queryName(name).outputMode(mode)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return df.sparkSession.table(name)
+def run_to_files(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> DataFrame:
+    """Drain a streaming DataFrame with availableNow into Parquet files and return these as a table.
+
+    ``append`` writes each window once, when the watermark has passed its end;
+    ``complete`` replaces the table by all windows after every batch. No result
+    passes through the driver.
+    """
+    out = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    if mode == "complete":
+        def replace(batch: DataFrame, epoch_id: int) -> None:
+            batch.write.mode("overwrite").parquet(path)
+        out.foreachBatch(replace).start().awaitTermination()
+    else:
+        out.format("parquet").option("path", path).start().awaitTermination()
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -67,13 +67,13 @@ def test_markdown_store_roundtrip(spark, scratch):
 def test_stream_rates_and_dedup(spark, scratch):
     schema = spark.read.parquet(f"{SF_SMALL}/events.parquet").schema
     ev = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(SF_SMALL)
-    tab = ST.run_to_memory(ST.stream_rates(ev, failed=F.col("event_type") == "error"), os.path.join(scratch, "c1"))
+    tab = ST.run_to_files(ST.stream_rates(ev, failed=F.col("event_type") == "error"), os.path.join(scratch, "o1"), os.path.join(scratch, "c1"), "complete")
     static = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     assert tab.agg(F.sum("n_files")).first()[0] == static.count()
     docs_schema = spark.read.parquet(f"{SF_SMALL}/documents.parquet").schema
     ds = (spark.readStream.schema(docs_schema).option("pathGlobFilter", "documents.parquet").parquet(SF_SMALL)
           .withColumn("ts", F.current_timestamp()))
-    dd = ST.run_to_memory(ST.stream_dedup(ds, "ts").select("doc_id", "hash"), os.path.join(scratch, "c2"), mode="append")
+    dd = ST.run_to_files(ST.stream_dedup(ds, "ts").select("doc_id", "hash"), os.path.join(scratch, "o2"), os.path.join(scratch, "c2"))
     distinct = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select(F.md5("text")).distinct().count()
     assert dd.count() == distinct
 
@@ -91,3 +91,29 @@ def test_stream_ingest_ledgers_skips_across_batches(spark, scratch):
     distinct = docs.select(F.md5("text")).distinct().count()
     assert emb.select("md5_hash").distinct().count() == distinct
     assert emb.count() == distinct  # nothing embedded twice, across the two micro-batches
+
+
+def test_late_rows_are_dropped_in_append_mode(spark, scratch):
+    """One file per batch; the row of 08:20 arrives when the watermark has closed its window (Spark tests late rows
+    against the watermark that the batch before it used)."""
+    src = os.path.join(scratch, "events")
+    for i, hours in enumerate([["2024-01-01 08:10:00", "2024-01-01 09:00:00"], ["2024-01-01 12:00:00"],
+                               ["2024-01-01 13:00:00"], ["2024-01-01 08:20:00", "2024-01-01 15:00:00"]]):
+        df = spark.createDataFrame([(h,) for h in hours], "ts string").select(F.to_timestamp("ts").alias("ts"))
+        df.coalesce(1).write.parquet(f"{src}/b{i}")
+        for f in os.listdir(f"{src}/b{i}"):
+            if f.endswith(".parquet"):
+                os.utime(f"{src}/b{i}/{f}", (1_700_000_000 + 100 * i,) * 2)
+    ev = (spark.readStream.schema("ts timestamp").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+          .option("maxFilesPerTrigger", 1).parquet(src))
+    out = ST.run_to_files(ST.stream_rates(ev), os.path.join(scratch, "out"), os.path.join(scratch, "ck"))
+    got = {str(r.w.start): r.n_files for r in out.collect()}
+    assert got == {"2024-01-01 08:00:00": 1, "2024-01-01 09:00:00": 1, "2024-01-01 12:00:00": 1,
+                   "2024-01-01 13:00:00": 1}
+
+
+def test_batch_numbers_without_holes(spark):
+    from corpusflow.operators import points as PT
+    pts = spark.createDataFrame([("f", p, f"i{p}") for p in (1, 2, 7, 8, 9, 5000, 9000)], "filename string, page_number int, id string")
+    rows = PT.write_batches(pts, 2).orderBy("page_number").collect()
+    assert [(r.batch_number, r.batch_count) for r in rows] == [(1, 4), (1, 4), (2, 4), (2, 4), (3, 4), (3, 4), (4, 4)]
