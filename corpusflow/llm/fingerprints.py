@@ -6,11 +6,14 @@ digest falls into one cell of each, which counts it and keeps the XOR of its
 digests and of their check values. Sketches subtract cell by cell, and what two
 versions share cancels. Peeling recovers the rest: a cell whose count is 1 or -1
 and whose check fits holds one digest, which is taken out of its other cells.
-Sub-tables are peeled in turn, so no digest is taken out twice in a round. Pairs
-that don't decode are sketched again with four times the cells until all do.
-
-Everything is rows of (pair, cell) that stay in the partition of their document:
-no per-document loop and no array that grows with a text.
+Sub-tables are peeled in turn, so no digest is taken out twice in a round. The
+published fingerprints have ``CELLS`` cells. To compare two sets, sketches get as
+many cells a sub-table as both have digests; pairs that don't decode are sketched
+again with four times the cells until all do.
+
+Everything is rows of (pair, cell) that stay in the partition of their document.
+Only texts are shuffled, and digests are made anew where they are needed: they
+take half the room of a text and don't compress.
 """
 
 from __future__ import annotations
@@ -23,8 +26,8 @@ from pyspark.sql import functions as F
 from corpusflow.llm.common import stage, text_or_empty, unstage
 from corpusflow.llm.ranges import MAX_RANGES, range_of, splitters
 
-CELLS, GROWTH, ROUNDS, CUT = 36, 4, 12, 200
-BYTES_PER_RANGE = 16 << 20
+CELLS, GROWTH, ROUNDS, CUT = 36, 4, 12, 16
+BYTES_PER_RANGE = 1 << 20
 
 
 def digests(text: Column) -> Column:
@@ -36,90 +39,91 @@ def check(digest: Column | str) -> Column:
     return F.xxhash64(F.lit(99), digest)
 
 
-def cell(digest: Column | str, table: int, cells: int) -> Column:
-    """The digest's cell in sub-table 0, 1 or 2 of a sketch of ``cells`` cells."""
-    return (F.pmod(F.xxhash64(F.lit(table), digest), F.lit(cells // 3)) + table * (cells // 3)).cast("int")
+def cell(digest: Column | str, table: int, third: Column) -> Column:
+    """The digest's cell in sub-table 0, 1 or 2 of a sketch of ``third`` cells a sub-table."""
+    return F.pmod(F.xxhash64(F.lit(table), digest), third) + table * third
 
 
-def _entries(rows: DataFrame, cells: int, *keep: str) -> DataFrame:
+def _entries(rows: DataFrame, third: Column, *keep: str) -> DataFrame:
     """``rows(..., digest, n)`` with one row for each of the digest's three cells."""
-    spots = F.array(*[cell("digest", t, cells) for t in range(3)])
+    spots = F.array(*[cell("digest", t, third) for t in range(3)])
     return rows.select(*keep, "n", "digest", check("digest").alias("chk"), F.explode(spots).alias("cell"))
 
 
-def sketch(rows: DataFrame, key: str, digest_array: str, cells: int = CELLS) -> DataFrame:
-    """``key, fingerprint``: the sketch of each row's digests as text, cell by cell count, XOR and check (hex)."""
-    one = rows.select(key, F.explode(digest_array).alias("digest"), F.lit(1).alias("n"))
-    filled = _entries(one, cells, key).groupBy(key, "cell").agg(
+def sketch(rows: DataFrame, keys: list[str], digest_array: str, cells: int = CELLS) -> DataFrame:
+    """``*keys, fingerprint``: the sketch of each row's digests as text, cell by cell count, XOR and check (hex)."""
+    one = rows.select(*keys, F.explode(digest_array).alias("digest"), F.lit(1).alias("n"))
+    filled = _entries(one, F.lit(cells // 3), *keys).groupBy(*keys, "cell").agg(
         F.sum("n").alias("n"), F.bit_xor("digest").alias("x"), F.bit_xor("chk").alias("c"))
     text = F.format_string("%d:%x:%x:%s", "cell", "n", "x", F.substring(F.lpad(F.hex("c"), 16, "0"), 9, 8))
-    return (filled.select(key, F.struct("cell", text.alias("t")).alias("s")).groupBy(key)
+    return (filled.select(*keys, F.struct("cell", text.alias("t")).alias("s")).groupBy(*keys)
             .agg(F.concat_ws(",", F.transform(F.array_sort(F.collect_list("s")), lambda s: s["t"])).alias("fingerprint")))
 
 
-def difference(pairs: DataFrame, cells: int = CELLS) -> DataFrame:
+def difference(pairs: DataFrame, growth: int = 1, part: str = "row") -> DataFrame:
     """Recovered digests of ``pairs(row, a, b)``, arrays of distinct digests.
 
     Rows ``row, cell, n, digest``: a recovered digest has cell -1, and n is 1 if
     only ``a`` has it, -1 if only ``b``. Rows with a cell from 0 are what could
-    not be peeled; a pair that has one isn't decoded.
+    not be peeled; a pair that has one isn't decoded. A sub-table has ``growth``
+    cells for each digest of both sets. Nothing is shuffled if ``pairs`` is
+    partitioned by its column ``part``.
     """
     sides = F.array(F.struct(F.lit(1).alias("n"), F.col("a").alias("d")), F.struct(F.lit(-1).alias("n"), F.col("b").alias("d")))
-    one = (pairs.select("row", F.explode(sides).alias("s")).select("row", F.col("s.n").alias("n"), F.explode("s.d").alias("digest")))
-    state = _merge(_entries(one, cells, "row"))
-    third = cells // 3
+    keys = list(dict.fromkeys([part, "row"])) + ["third"]
+    third = F.greatest(F.lit(CELLS // 3), F.size("a") + F.size("b")).cast("long") * growth
+    one = (pairs.select(*keys[:-1], third.alias("third"), F.explode(sides).alias("s"))
+           .select(*keys, F.col("s.n").alias("n"), F.explode("s.d").alias("digest")))
+    state = _merge(_entries(one, F.col("third"), *keys), keys)
     for r in range(ROUNDS):
         t = r % 3
-        pure = ((F.col("cell") >= t * third) & (F.col("cell") < (t + 1) * third) & (F.abs("n") == 1)
+        pure = ((F.col("cell") >= F.col("third") * t) & (F.col("cell") < F.col("third") * (t + 1)) & (F.abs("n") == 1)
                 & (F.col("chk") == check("digest")))
         same = F.struct("cell", "n")
-        found = F.struct((-F.col("cell") - 1 - r * cells).alias("cell"), F.col("n").alias("n"))
-        out = [F.struct(cell("digest", u, cells).alias("cell"), (-F.col("n")).alias("n")) for u in range(3) if u != t]
-        state = _merge(state.select("row", "digest", "chk", F.explode(F.when(pure, F.array(found, *out)).otherwise(F.array(same))).alias("e"))
-                       .select("row", F.col("e.n").alias("n"), "digest", "chk", F.col("e.cell").alias("cell")))
-    return state.select("row", F.greatest("cell", F.lit(-1)).alias("cell"), "n", "digest")
+        found = F.struct((-F.col("cell") - 1 - F.col("third") * (3 * r)).alias("cell"), F.col("n").alias("n"))
+        out = [F.struct(cell("digest", u, F.col("third")).alias("cell"), (-F.col("n")).alias("n")) for u in range(3) if u != t]
+        state = _merge(state.select(*keys, "digest", "chk", F.explode(F.when(pure, F.array(found, *out)).otherwise(F.array(same))).alias("e"))
+                       .select(*keys, F.col("e.n").alias("n"), "digest", "chk", F.col("e.cell").alias("cell")), keys)
+    return state.select(*keys[:-1], F.greatest("cell", F.lit(-1)).alias("cell"), "n", "digest")
 
 
-def _merge(entries: DataFrame) -> DataFrame:
+def _merge(entries: DataFrame, keys: list[str]) -> DataFrame:
     """Sum up the entries of each cell; cells that cancelled are left out."""
-    state = entries.groupBy("row", "cell").agg(
+    state = entries.groupBy(*keys, "cell").agg(
         F.sum("n").alias("n"), F.bit_xor("digest").alias("digest"), F.bit_xor("chk").alias("chk"))
     return state.where((F.col("n") != 0) | (F.col("digest") != 0))
 
 
-def differing(pairs: DataFrame) -> DataFrame:
+def differing(pairs: DataFrame, part: str = "row") -> DataFrame:
     """``row, only_a, only_b`` of ``pairs(row, a, b)``: how many digests either side has alone.
 
-    Staged ladder of sketches: each round takes the pairs that did not decode,
-    with ``GROWTH`` times the cells. A pair decodes as soon as the cells are about
-    1.3 times its difference, so the number of rounds grows with the logarithm of
-    the longest text.
+    Pairs that did not decode are sketched again with ``GROWTH`` times the cells,
+    until all have. The first sketches have three times as many cells as a pair
+    has digests, so few are left. ``pairs`` must give the same rows each time.
     """
-    todo, cells, done = pairs, CELLS, None
-    paths: list[str] = []
+    todo, growth, done = pairs, 1, None
     while True:
-        own = todo.repartition("row")  # the arrays are moved once; all cells of a pair then stay where they are
-        peeled = difference(own, cells).groupBy("row").agg(
+        peeled = difference(todo, growth, part).groupBy(*dict.fromkeys([part, "row"])).agg(
             F.sum(F.when(F.col("cell") < 0, (F.col("n") == 1).cast("long")).otherwise(0)).alias("only_a"),
             F.sum(F.when(F.col("cell") < 0, (F.col("n") == -1).cast("long")).otherwise(0)).alias("only_b"),
             F.max((F.col("cell") >= 0).cast("int")).alias("stuck"))
         level, _ = stage(peeled, "peeled")
-        good = level.where("stuck = 0").drop("stuck")
+        good = level.where("stuck = 0").select("row", "only_a", "only_b")
         done = good if done is None else done.union(good)
         stuck = level.where("stuck = 1").select("row")
         if not stuck.limit(1).count():
             return done
-        todo, path = stage(todo.join(stuck, "row", "left_semi"), "retry")
-        paths.append(path)
-        cells *= GROWTH
+        todo, _ = stage(todo.join(stuck, "row", "left_semi"), "retry")
+        growth *= GROWTH
 
 
 def with_next(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``row, doc_id, text, digests, next_text, next_digests``: each document beside the next by ascending doc_id.
+    """``row, range, doc_id, text, next_text``: each document beside the next by ascending doc_id.
 
     After the last comes the first. Documents are cut into doc_id ranges of
     about ``BYTES_PER_RANGE`` by a size-weighted sample; the first document of a
-    range also goes to the range before it, so one shuffle is enough. Null
+    range also goes to the range before it, so one shuffle is enough. The result
+    is partitioned by ``range``, about two ranges a task. Null
     doc_ids come last; equal ones are ordered by their text's hash.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(F.col(text)).alias("text"))
@@ -135,13 +139,12 @@ def with_next(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Da
         starts = F.array_contains(F.lit(bounds), F.col("doc_id")) if last <= 64 else _is_bound(F.col("doc_id"), bounds)
         spots.append(F.when(starts, spot(own - 1, 0 + 1)))
     spots.append(F.when(F.col("doc_id").eqNullSafe(F.lit(low)), spot(F.lit(last), 2)))
-    dealt = (rows.withColumn("digests", digests(F.col("text")))
-             .select("doc_id", "text", "digests", F.explode(F.array_compact(F.array(*spots))).alias("s"))
-             .select("s.range", "s.guest", "doc_id", "text", "digests"))
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, (last + 2) // 2)
+    dealt = (rows.select("doc_id", "text", F.explode(F.array_compact(F.array(*spots))).alias("s"))
+             .select("s.range", "s.guest", "doc_id", "text").repartition(tasks, "range"))
     w = Window.partitionBy("range").orderBy("guest", F.asc_nulls_last("doc_id"), F.xxhash64("text"))
     return (dealt.select(
-        "*", F.row_number().over(w).alias("rn"), F.lead("text").over(w).alias("next_text"),
-        F.lead("digests").over(w).alias("next_digests")).where("guest = 0")
+        "*", F.row_number().over(w).alias("rn"), F.lead("text").over(w).alias("next_text")).where("guest = 0")
         .withColumn("row", F.col("range").cast("long") * (1 << 40) + F.col("rn")))
 
 
@@ -174,21 +177,21 @@ def edited_likeness(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.expr("left(text, length(text) - CAST(floor(length(text) / 2) AS INT))"),
                       F.substring("next_text", F.lit(1), half))
-    rows, _ = stage(
-        beside.withColumn("edited", edited).select(
-            "row", "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-            F.col("digests").alias("own"), digests(F.col("edited")).alias("edited"), F.col("next_digests").alias("next")), "versions")
-    versions = lambda *names: F.explode(F.array(*[F.struct(F.lit(i).alias("v"), F.col(c).alias("d")) for i, c in enumerate(names)]))
+    beside = beside.withColumn("edited", edited)
+    rows, _ = stage(beside.select(
+        "row", "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        *[F.size(digests(F.col(c))).alias(name) for c, name in (("text", "own"), ("edited", "edited"), ("next_text", "next"))]), "versions")
+    versions = lambda *names: F.explode(F.array(*[F.struct(F.lit(i).alias("v"), F.col(c).alias("t")) for i, c in enumerate(names)]))
     # version 0 is the document, 1 its edited text; pair 0 compares those, 1 the document and the next
-    both = (rows.repartition("row").select("row", versions("own", "edited").alias("x"))
-            .select((F.col("row") * 2 + F.col("x.v")).alias("row"), F.col("x.d").alias("d")))
-    prints = sketch(both.repartition("row"), "row", "d")
-    pairs = (rows.select("row", "own", versions("edited", "next").alias("x"))
-             .select((F.col("row") * 2 + F.col("x.v")).alias("row"), F.col("own").alias("a"), F.col("x.d").alias("b")))
-    apart = differing(pairs)
+    both = (beside.select("range", "row", versions("text", "edited").alias("x"))
+            .select("range", (F.col("row") * 2 + F.col("x.v")).alias("row"), digests(F.col("x.t")).alias("d")))
+    prints, _ = stage(sketch(both, ["range", "row"], "d"), "prints")
+    pairs = (beside.select("range", "row", "text", versions("edited", "next_text").alias("x"))
+             .select("range", (F.col("row") * 2 + F.col("x.v")).alias("row"), digests(F.col("text")).alias("a"), digests(F.col("x.t")).alias("b")))
+    apart = differing(pairs, "range")
     side = lambda df, i, *cols: df.where(F.col("row") % 2 == i).select(F.floor(F.col("row") / 2).alias("row"), *cols)
     none = F.lit(0).cast("long")
-    out = (rows.select("row", "doc_id", "n_chars", "edited_sha256", *[F.size(c).alias(c) for c in ("own", "edited", "next")])
+    out = (rows.select("row", "doc_id", "n_chars", "edited_sha256", "own", "edited", "next")
            .join(side(prints, 0, "fingerprint"), "row", "left")
            .join(side(prints, 1, F.col("fingerprint").alias("edited_fingerprint")), "row", "left")
            .join(side(apart, 0, F.col("only_a").alias("ea"), F.col("only_b").alias("eb")), "row", "left")

@@ -376,6 +376,14 @@ def test_fingerprints(docs, make):
     assert one[0]["edited_sha256"] == hashlib.sha256(b"abab").hexdigest() and one[0]["near_next"] == 1.0
 
 
+def test_fingerprints_of_short_single_lines(make):
+    line = "a line of its own without any break, number %d of those that tell one half from another, and so on to the end"
+    rows = [(i, (line % i)[i % 7:i % 7 + n]) for i, n in enumerate([32, 33, 47, 64, 80, 99, 100] * 3)]
+    rows += [(100 + i, f"{i} " + " ".join(hashlib.md5(f"{i}-{k}".encode()).hexdigest() for k in range(9))) for i in range(6)]
+    for r in fingerprints.edited_likeness(make(rows)).collect():
+        assert 0 < r.near_edited < 1 and (r.doc_id < 100 or r.near_edited > r.near_next)
+
+
 def test_peeling_recovers_the_difference(spark):
     df = spark.createDataFrame([(1, [1, 2, 3, 4], [3, 4, 5]), (2, [], [7]), (3, [8], [8])], "row long, a array<long>, b array<long>")
     got = {(r.row, r.digest, r.n) for r in fingerprints.difference(df).where("cell < 0").collect()}
