@@ -39,14 +39,14 @@ def tokenise(docs: DataFrame, tokenizer: str | None = None, end_id: int = 2, cap
              keep_ids: bool = False) -> DataFrame:
     """Pieces of all documents: ``doc_id, piece, start, length, ids_crc32`` (and ``ids`` if asked for).
 
-    A document's ids end with ``end_id``. More than ``capacity`` ids are cut into
+    Ids are the library's; an added token's string is that token. A document's ids end with ``end_id``. More than ``capacity`` ids are cut into
     full pieces, the first of which is shorter unless the capacity divides them.
     A null text is an empty one: its piece is ``end_id`` alone.
     """
     path, end = tokenizer or tokens.default_path(), int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokens.encoder(path).ids
+        encode = tokens.encoder(path).with_added
         for batch in batches:
             out: list[list] = [[], [], [], [], [], []]
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):

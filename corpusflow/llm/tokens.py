@@ -3,7 +3,9 @@
 Pre-tokens of this vocabulary never reach across a single space before a word,
 so a text is cut there and each piece is looked up; unseen pieces are cut by the
 published pre-token pattern and only unseen pre-tokens are merged. Ids equal
-those of encoding the text as a whole (tests/llm checks this).
+those of encoding the text as a whole (tests/llm checks this). ``with_added``
+first cuts a text at the tokenizer's added tokens, as the library does by default;
+``ids`` takes their strings for ordinary text.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ _HARD = re.compile(f"[{_WS}] (?=[{_WS}])|^ (?=[{_WS}])")
 
 
 class Encoder:
-    """``ids(text)``: little-endian unsigned 32-bit ids of a text, as bytes."""
+    """``ids(text)`` and ``with_added(text)``: little-endian unsigned 32-bit ids of a text, as bytes."""
 
     CACHE = 400_000  # entries; a full cache is emptied, so a worker's memory stays bounded
 
@@ -26,7 +28,16 @@ class Encoder:
         import public_tokenizers
         import regex
         from tokenizers import Tokenizer
-        self.model = Tokenizer.from_file(path).model
+        whole = Tokenizer.from_file(path)
+        self.model = whole.model
+        added = whole.get_added_tokens_decoder()
+        for t in added.values():
+            if t.single_word or t.lstrip or t.rstrip or (t.normalized and whole.normalizer):
+                raise ValueError(f"added token with rules of its own: {t.content!r}")
+        self.added = {t.content: array("I", [i]).tobytes() for i, t in added.items()}
+        # as in the library, the leftmost match counts and of those the longest
+        longest = sorted(self.added, key=len, reverse=True)
+        self.cuts = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None
         self.pattern = regex.compile(public_tokenizers.PATTERN)
         # the vocabulary's printable stand-ins for bytes, by its published rule
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -62,6 +73,12 @@ class Encoder:
             self.pieces[piece] = found
         return found
 
+    def with_added(self, text: str) -> bytes:
+        """Ids as ``Tokenizer.encode(text, add_special_tokens=False)`` gives them."""
+        if self.cuts is None or not self.cuts.search(text):
+            return self.ids(text)
+        return b"".join(self.added[p] if k % 2 else self.ids(p) for k, p in enumerate(self.cuts.split(text)))
+
     def ids(self, text: str) -> bytes:
         if not text:
             return b""

@@ -84,6 +84,28 @@ def test_token_ids_equal_the_library(docs):
         assert np.frombuffer(own.ids(t), "<u4").tolist() == want.ids
 
 
+def test_added_tokens_as_the_library_by_default(make):
+    from tokenizers import Tokenizer
+    whole = Tokenizer.from_file(tokens.default_path())
+    own = tokens.encoder(tokens.default_path())
+    assert np.frombuffer(own.with_added("a <|endoftext|> b"), "<u4").tolist() == [64, 220, 50256, 275]
+    parts = [" ", "  ", "a", "'s", "\n", "1", "<|endoftext|>", "<|endoftext|>", "<|endof", "|>", "<", " the", "\xa0", "é"]
+    rng = np.random.default_rng(3)
+    texts = ["", "<|endoftext|>", *("".join(rng.choice(parts, 9)) for _ in range(2000)), "<|endoftext|> b" * 700]
+    want = [w.ids for w in whole.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(own.with_added(t), "<u4").tolist() for t in texts] == want
+    some = [*range(40), len(texts) - 1]
+    pieces = defaultdict(list)
+    for r in packing.packed_documents(make([(i, texts[i]) for i in some])).collect():
+        pieces[r.doc_id].append((r.start, r.length, r.ids_crc32))
+    for i in some:
+        ids, at = np.array([*want[i], 2], "<u4"), 0
+        for start, length, crc in sorted(pieces[i]):
+            assert start == at and crc == zlib.crc32(ids[start:start + length].tobytes())
+            at += length
+        assert at == len(ids)
+
+
 # --- op 1
 
 
