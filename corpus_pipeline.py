@@ -1,7 +1,6 @@
 """The corpus pipeline: STAGES over ``documents``, each written and reread as the next one's input.
 
-Every stage works on all rows its predecessor kept. Rows without a doc_id count
-as one document where a stage needs the id. A missing source is a source of its
+Every stage works on all rows its predecessor kept. A missing source is a source of its
 own, an empty table passes through all stages, and columns besides those of
 ``documents`` are carried to the packing stage.
 """
@@ -12,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow.llm import mixing, near_dedup, packing, quality_rules, substring_dedup
-from corpusflow.llm.common import documents, ids_repeat, stage
+from corpusflow.llm.common import documents, stage
 
 #: The fitted rules, similarity, mixing order and packing have no SQL form; tests/llm checks each stage by brute force.
 ORACLE_SQL = None
@@ -24,11 +23,19 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays, that of the smallest doc_id; rows of one doc_id are one document."""
-    groups, _ = stage(near_dedup.near_duplicates(docs), "groups")
-    ids = groups.where("kept").select(F.col("doc_id").alias("__id"))
-    kept = docs.join(ids, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left_semi")
-    return kept.dropDuplicates(["doc_id"]) if ids_repeat(groups) else kept
+    """One row of each near-duplicate group stays, that of the smallest doc_id and text hash; rows without words all stay."""
+    firsts, _ = stage(near_dedup.grouped_rows(docs).where("stays").select(
+        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), (F.col("n_shingles") > 0).alias("__words")), "groups")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (near_dedup.text_hash("text") == F.col("__hash"))
+    kept = docs.join(firsts, same, "left_semi")
+    copies = firsts.where("__words").groupBy("__id", "__hash").agg(F.count("*").alias("n")).where("n > 1")
+    if not copies.limit(1).count():
+        return kept
+    # true copies: one row of each, by the hash of all its columns
+    row = F.struct(*[F.col(c) for c in docs.columns])
+    one = (docs.join(copies, same, "left_semi").groupBy(F.col("doc_id").alias("__id"), near_dedup.text_hash("text").alias("__hash"))
+           .agg(F.min_by(row, F.xxhash64(*docs.columns)).alias("row")).select("row.*"))
+    return kept.join(copies, same, "left_anti").union(one)
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -75,8 +75,8 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 count[row], lo[row], hi[row] = len(s), s.sum(dtype=np.uint64), H.mix(s).sum(dtype=np.uint64)
                 bands[row] = H.signed(band_values(s))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(count), pa.array(H.signed(lo)), pa.array(H.signed(hi)),
-             pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "lo", "hi", "bands"])
+            [batch.column("doc_id"), batch.column("text_hash"), pa.array(count), pa.array(H.signed(lo)), pa.array(H.signed(hi)),
+             pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "text_hash", "n_shingles", "lo", "hi", "bands"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,15 +121,33 @@ def near_duplicates(docs: DataFrame, text: str | Column = "text", doc_id: str |
     none, and then ``kept`` is true). Other columns are ignored; an empty table
     gives an empty result.
     """
+    return grouped_rows(docs, text, doc_id, min_percent).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def text_hash(text: str | Column) -> Column:
+    return F.xxhash64((F.col(text) if isinstance(text, str) else text).cast("string"))
+
+
+def grouped_rows(docs: DataFrame, text: str | Column = "text", doc_id: str | Column = "doc_id",
+                 min_percent: int = MIN_PERCENT) -> DataFrame:
+    """``near_duplicates`` with each row's ``text_hash``, and ``stays``: whether it is its component's first row.
+
+    First is the smallest (doc_id, text_hash), null ids last. Rows with equal
+    values of both are true copies and marked alike. A row without shingles is a
+    component of its own.
+    """
     spark = docs.sparkSession
     text, doc_id = (F.col(c) if isinstance(c, str) else c for c in (text, doc_id))
     rows = docs.select(doc_id.cast("long").alias("doc_id"), text.cast("string").alias("text"))
-    sig, sig_path = stage(ensure_parallel(rows).mapInArrow(
-        _signatures, "doc_id long, n_shingles long, lo long, hi long, bands array<long>"), "minhash")
+    hashed = rows.withColumn("text_hash", text_hash("text"))
+    sig, sig_path = stage(ensure_parallel(hashed).mapInArrow(
+        _signatures, "doc_id long, text_hash long, n_shingles long, lo long, hi long, bands array<long>"), "minhash")
 
     # equal sets become one class; bands of the class are those of any member
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
     classes, _ = stage(
-        sig.where("n_shingles > 0").groupBy("lo", "hi").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
+        sig.where("n_shingles > 0").groupBy("lo", "hi")
+        .agg(F.min("doc_id").alias("rep"), F.min(first).alias("first"), F.first("bands").alias("bands"))
         .withColumn("class", F.monotonically_increasing_id()), "classes")
     member = classes.select("class", F.explode("bands").alias("bucket"))
     shared = (member.groupBy("bucket").agg(F.min("class").alias("first"), F.max("class").alias("last"), F.count("*").alias("size"))
@@ -157,14 +175,16 @@ def near_duplicates(docs: DataFrame, text: str | Column = "text", doc_id: str |
         unstage(spark, more_path)
     unstage(spark, crowd_path, sets_path, open_path)
 
-    named = (classes.select("class", "rep", "lo", "hi")
+    named = (classes.select("class", "rep", "first", "lo", "hi")
              .join(labels.withColumnRenamed("node", "class"), "class", "left")
              .withColumn("component", F.coalesce("component", "class")))
-    names = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    of_class = named.join(names, "component").select("lo", "hi", "component_id")
-    out = (sig.select("doc_id", "n_shingles", "lo", "hi").where("n_shingles > 0").join(of_class, ["lo", "hi"])
-           .select("doc_id", "n_shingles", "component_id")
-           .union(sig.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))))
+    names = named.groupBy("component").agg(F.min("rep").alias("component_id"), F.min("first").alias("of"))
+    of_class = named.select("component", "lo", "hi").join(names, "component").select("lo", "hi", "component_id", "of")
+    stays = F.col("doc_id").eqNullSafe(F.col("of.doc_id")) & (F.col("text_hash") == F.col("of.text_hash"))
+    out = (sig.select("doc_id", "text_hash", "n_shingles", "lo", "hi").where("n_shingles > 0").join(of_class, ["lo", "hi"])
+           .select("doc_id", "n_shingles", "component_id", "text_hash", stays.alias("stays"))
+           .union(sig.where("n_shingles = 0").select(
+               "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "text_hash", F.lit(True))))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 

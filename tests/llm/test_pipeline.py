@@ -33,3 +33,16 @@ def test_stages(spark, make, scratch, kind):
     assert Counter(r.doc_id for r in after.collect()) == Counter({i: n for i, n in takes.items() if n})
     before, after = seen["best_fit_packing"]
     packed_ok([r.asDict() for r in after.collect()], [(r.doc_id, r.text) for r in before.collect()])
+
+
+def test_near_dedup_keeps_one_row_of_each_component(spark, make):
+    text = lambda k: " ".join(f"{k}w{i}" for i in range(60))
+    rows = [(3, text("c")), (5, text("a")), (5, text("c") + " more"), (5, text("a") + " end"), (7, text("b")), (7, text("b"), "src1"),
+            (7, text("d")), (None, text("e")), (None, text("f")), (None, text("f")), (None, text("a") + " tail"), (None, None),
+            (8, ""), (8, "")]
+    kept = lambda df: Counter((r.doc_id, r.text) for r in corpus_pipeline.near_dedup_stage(spark, df, SF_SMALL).collect())
+    got = kept(make(rows))
+    a = [x for x in got if x[0] == 5]
+    assert len(a) == 1 and a[0][1] in (text("a"), text("a") + " end")
+    want = [(3, text("c")), a[0], (7, text("b")), (7, text("d")), (None, text("e")), (None, text("f")), (None, None), (8, ""), (8, "")]
+    assert got == Counter(want)
