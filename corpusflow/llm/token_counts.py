@@ -2,10 +2,13 @@
 
 A file is a stream of little-endian unsigned 16-bit ids; a document ends with the
 end-of-document id, and nothing else says where it starts. Files are read in
-blocks. A vectorised search gives each block's separators; a document that began
-in an earlier block is stitched by a prefix scan over the blocks' summaries: the
-running maximum of the last separator's position, and the running sum of the
-separator counts. One row per block and one per document are shuffled, no ids.
+byte ranges (splits), each by its own task, by Spark's text reader with the
+separator's two bytes as the line end. A prefix scan over the splits' byte
+counts gives each line's position in its file; a line end at an odd position lies
+across two ids and is none. A document that began in an earlier split is stitched
+by a second prefix scan: the running maximum of the last separator's position,
+and the running sum of the separator counts. One row per split and one per line
+are shuffled, no ids.
 
 Files are streams of their own: a document does not reach into the next file.
 ``write_token_files`` writes through Spark's text writer, whose line separator is
@@ -14,7 +17,6 @@ the end-of-document id's two bytes, so it reaches any file system Spark can.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,12 +28,13 @@ from corpusflow.llm import tokens
 from corpusflow.llm.common import stage
 
 END_ID = 50256
-BLOCK_TOKENS = 1 << 18
+LEAST_SPLIT = 2048
 _SPLITS = "spark.sql.files.minPartitionNum"
+_SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
 
 
-def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = END_ID, compression: str = "gzip") -> None:
-    """Write each partition of ``docs(text)`` as one flat token file, in row order; a null text is an empty document.
+def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = END_ID) -> None:
+    """Write each partition of ``docs(text)`` as one flat token file, not compressed so that it can be split, in row order; a null text is an empty document.
 
     Ids must be below 65536 and differ from ``end_id``, which holds for texts of
     the 50k byte-level vocabulary (special tokens' strings are ordinary text).
@@ -46,40 +49,52 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None,
 
     flat = docs.select(F.col("text").cast("string")).mapInArrow(run, "ids binary").select(F.col("ids").cast("string").alias("value"))
     end = int(end_id).to_bytes(2, "little").decode("latin-1")
-    flat.write.option("lineSep", end).option("encoding", "ISO-8859-1").option("compression", compression).text(path)
+    flat.write.option("lineSep", end).option("encoding", "ISO-8859-1").option("compression", "none").text(path)
 
 
-def _separators(end_id: int, block_tokens: int):
-    """Rows ``file, block, k, at, n``: separator k of a block is at position ``at`` of its file; k = -1 carries the block's end."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for path, content in zip(batch.column("path"), batch.column("content")):
-                data = content.as_py()
-                if data[:2] == b"\x1f\x8b":
-                    data = zlib.decompress(data, 31)
-                ids = np.frombuffer(data, "<u2")
-                for b in range(0, max(len(ids), 1), block_tokens):
-                    found = np.flatnonzero(ids[b:b + block_tokens] == end_id) + b
-                    n = len(found) + 1
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([path.as_py()] * n), pa.array(np.full(n, b // block_tokens)), pa.array(np.arange(-1, n - 1)),
-                         pa.array(np.append(min(b + block_tokens, len(ids)), found))], names=["file", "block", "k", "at"])
-    return run
-
-
-def scan_token_files(spark: SparkSession, path: str, end_id: int = END_ID, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+def _lines(spark: SparkSession, path: str, end_id: int) -> DataFrame:
+    """``file, size, block, line, bytes``: the lines between the separator's bytes, by split (``block`` is where it starts)."""
+    end = int(end_id).to_bytes(2, "little").decode("latin-1")
+    # the encoding is that of the separator; the reader takes a line's bytes as they are
+    text = (spark.read.option("lineSep", end).option("encoding", "ISO-8859-1").option("pathGlobFilter", "part-*")
+            .schema("value string").text(path))
+    return text.select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"),
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"),
+        F.octet_length("value").cast("long").alias("bytes"))
+
+
+def scan_token_files(spark: SparkSession, path: str, end_id: int = END_ID, block_tokens: int | None = None) -> DataFrame:
     """``file, ordinal, start, n_tokens, ended`` per document of the token files below ``path``.
 
     ``start`` and ``n_tokens`` (separator not counted) are in ids; ``ordinal``
     counts a file's documents from 0. Ids after the last separator are a document
-    with ``ended`` false. An empty file has no documents.
+    with ``ended`` false. An empty file has no documents. ``block_tokens`` is the
+    largest split, of ``LEAST_SPLIT`` bytes at least; by default the session's.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
-    rows = files.mapInArrow(_separators(end_id, block_tokens), "file string, block long, k long, at long")
-    marks = rows.where("k >= 0")
+    before_ = spark.conf.get(_SPLIT_BYTES)
+    if block_tokens:
+        spark.conf.set(_SPLIT_BYTES, str(max(2 * block_tokens, LEAST_SPLIT)))
+    try:
+        lines, _ = stage(_lines(spark, path, end_id), "token-lines")
+    finally:
+        spark.conf.set(_SPLIT_BYTES, before_)
+    splits = lines.groupBy("file", "block").agg(F.max("size").alias("size"), F.sum(F.col("bytes") + 2).alias("bytes"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    total = F.sum("bytes").over(Window.partitionBy("file"))
+    # the reader leaves out three bytes at a file's start that look like a byte order mark; only then the lines are too short
+    at0 = splits.select("file", "block", (F.coalesce(F.sum("bytes").over(earlier), F.lit(0))
+                                          + F.when(total < F.col("size"), 3).otherwise(0)).alias("at0"))
+    ends = F.sum(F.col("bytes") + 2).over(Window.partitionBy("file", "block").orderBy("line")) + F.col("at0") - 2
+    # the last line of a file may end without a separator
+    rows, _ = stage(lines.join(at0, ["file", "block"]).withColumn("byte", ends)
+                    .select("file", "block", "line", "byte", (F.col("byte") / 2).cast("long").alias("at"),
+                            ((F.col("byte") % 2 == 0) & (F.col("byte") < F.col("size"))).alias("mark"),
+                            (F.col("size") / 2).cast("long").alias("ids")), "token-marks")
+    by_line = Window.partitionBy("file", "block").orderBy("line")
+    marks = rows.where("mark").withColumn("k", F.row_number().over(by_line) - 1)
     blocks = rows.groupBy("file", "block").agg(
-        F.max(F.when(F.col("k") >= 0, F.col("at"))).alias("last"), F.count_if(F.col("k") >= 0).alias("n"),
-        F.max(F.when(F.col("k") < 0, F.col("at"))).alias("end"))
+        F.max(F.when(F.col("mark"), F.col("at"))).alias("last"), F.count_if("mark").alias("n"), F.max("ids").alias("end"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     scan = blocks.select("file", "block", F.coalesce(F.max("last").over(before), F.lit(-1)).alias("carry"),
                          F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
@@ -120,4 +135,7 @@ def document_counts(spark: SparkSession, docs: DataFrame, path: str) -> DataFram
     finally:
         spark.conf.unset(_SPLITS) if spark_splits is None else spark.conf.set(_SPLITS, spark_splits)
     counted = scan_token_files(spark, path).select(file_number(F.col("file")).alias("file_no"), "ordinal", "start", "n_tokens")
-    return named.join(counted, ["file_no", "ordinal"]).select("doc_id", "file_no", "ordinal", "start", "n_tokens")
+    both = named.withColumn("row", F.lit(1)).join(counted, ["file_no", "ordinal"], "full")
+    lost = F.col("row").isNull() | F.col("n_tokens").isNull()
+    n_tokens = F.when(lost, F.raise_error(F.lit("token files and rows differ in their documents")).cast("long")).otherwise(F.col("n_tokens"))
+    return both.select("doc_id", "file_no", "ordinal", "start", n_tokens.alias("n_tokens"))

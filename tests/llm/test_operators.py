@@ -439,3 +439,33 @@ def test_token_counts(spark, docs, make, scratch):
     got = rows_of(token_counts.document_counts(spark, odd, f"{scratch}/c"))
     assert sorted(((r["doc_id"], r["n_tokens"]) for r in got), key=str) == sorted(((r[0], len(encode(r[1] or "")) // 4) for r in ODD), key=str)
     assert rows_of(token_counts.document_counts(spark, odd.limit(0), f"{scratch}/d")) == []
+
+
+def test_token_files_are_read_in_ranges(spark, docs, scratch):
+    rng = np.random.default_rng(4)
+    end = 50256
+    ids = rng.integers(0, 50256, 5000).astype("<u2")
+    ids[rng.integers(0, 5000, 300)] = end
+    ids[100:104] = [0x5000, 0x11C4, 0x5011, end]  # the separator's bytes across two ids
+    marked = np.array([0xBBEF, 0x11BF, 7, end, 8, end], "<u2")  # begins like a byte order mark
+    (folder := __import__("pathlib").Path(scratch, "a")).mkdir()
+    files = {"part-0": ids, "part-1": marked, "part-2": marked[:3], "part-3": ids[::-1]}
+    for name, x in files.items():
+        folder.joinpath(name).write_bytes(x.tobytes())
+    want = set()
+    for name, x in files.items():
+        stops, start = np.flatnonzero(x == end).tolist(), 0
+        for k, stop in enumerate(stops + ([len(x)] if x[-1] != end else [])):
+            want.add((name, k, start, stop - start, stop < len(x)))
+            start = stop + 1
+    for block in (None, 64):
+        got = token_counts.scan_token_files(spark, str(folder), block_tokens=block).collect()
+        assert Counter((r.file.rsplit("/", 1)[1], *r[1:]) for r in got) == Counter(want)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "128")
+    try:
+        assert token_counts._lines(spark, str(folder), end).rdd.getNumPartitions() > 20
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    token_counts.write_token_files(docs[0], f"{scratch}/b")
+    assert not [p for p in __import__("pathlib").Path(scratch, "b").glob("part-*") if p.suffix == ".gz"]
