@@ -60,9 +60,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def ids_repeat(df: DataFrame, column: str = "doc_id") -> bool:
-    """Whether some id stands on several rows; then rows found by id need a second look at their content."""
-    return bool(df.groupBy(column).agg(F.count("*").alias("n")).where("n > 1").limit(1).count())
+def rows_repeat(df: DataFrame, *columns: str) -> bool:
+    """Whether some values of ``columns`` stand on several rows."""
+    return bool(df.groupBy(*columns).agg(F.count("*").alias("n")).where("n > 1").limit(1).count())
 
 
 def ensure_parallel(df: DataFrame) -> DataFrame:

@@ -131,8 +131,22 @@ def _fill(rows: DataFrame, part: str, left: DataFrame) -> DataFrame:
     return hit.select("s", F.col(part).alias("at"), (F.col("left") - F.col("upto") + F.col("bytes")).alias("left"))
 
 
-def materialise(docs: DataFrame, mixed: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """The mix itself: each document as many times as it is taken, with the columns of ``docs``."""
-    takes = (mixed.where("repeats > 0").groupBy(F.col("doc_id").alias("__id")).agg(F.max("repeats").alias("__times")))
-    return (docs.join(takes, F.col(doc_id).eqNullSafe(F.col("__id")))
-            .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*docs.columns))
+def materialise(docs: DataFrame, mixed: DataFrame, doc_id: str = "doc_id", source: str = "source", size: Column | None = None) -> DataFrame:
+    """The mix itself: each row of ``docs`` as many times as it is taken, with its columns.
+
+    ``mixed`` is ``mix`` of ``docs`` with the same ``size`` (default: words). A row is
+    known by doc_id, source and size. Rows equal in these are taken equally often,
+    but for those at the point where their source runs full, some of which are taken
+    once more; these are numbered, any order doing.
+    """
+    size = word_count() if size is None else size
+    takes = (mixed.groupBy(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"))
+             .agg(F.min("repeats").alias("__times"), F.sum(F.col("repeats")).alias("__sum"), F.count("*").alias("__rows"))
+             .where("__sum > 0").withColumn("__more", F.col("__sum") - F.col("__times") * F.col("__rows")))
+    same = (F.col(doc_id).eqNullSafe(F.col("__id")) & F.col(source).cast("string").eqNullSafe(F.col("__source"))
+            & (F.coalesce(size, F.lit(0)).cast("long") == F.col("__size")))
+    found = docs.join(takes, same)
+    number = F.row_number().over(Window.partitionBy("__id", "__source", "__size").orderBy(F.lit(0)))
+    partly = found.where("__more > 0").withColumn("__times", F.col("__times") + (number <= F.col("__more")).cast("long"))
+    return (found.where("__more = 0").unionByName(partly)
+            .where("__times > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__times")))).select(*docs.columns))

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusflow.llm import texthash as H
-from corpusflow.llm.common import ensure_parallel, ids_repeat, stage, unstage
+from corpusflow.llm.common import ensure_parallel, rows_repeat, stage, unstage
 from corpusflow.llm.components import connected_components
 
 BANDS, ROWS, SHINGLE = 40, 5, 5
@@ -157,11 +157,13 @@ def grouped_rows(docs: DataFrame, text: str | Column = "text", doc_id: str | Col
     center = (crowd.select("bucket", "class").join(score, "class").groupBy("bucket")
               .agg(F.max_by("class", F.struct("score", -F.col("class"))).alias("center")))
 
-    wanted = (crowd.select("class").distinct()
-              .join(classes.select("class", "rep", "lo", "hi"), "class"))
-    found = (rows.join(wanted, rows.doc_id.eqNullSafe(wanted.rep)).select("class", "lo", "hi", "text")
+    # a class's text is found by row: two rows of one id and text hash are true copies
+    wanted = (crowd.select("class").distinct().join(classes.select("class", "first", "lo", "hi"), "class")
+              .select("class", "lo", "hi", F.col("first.doc_id").alias("of"), F.col("first.text_hash").alias("of_hash")))
+    same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("of_hash"))
+    found = (hashed.join(wanted, same).select("class", "lo", "hi", "text")
              .mapInArrow(_sets, "class long, shingles array<long>"))
-    sets, sets_path = stage(found.dropDuplicates(["class"]) if ids_repeat(sig) else found, "sets")
+    sets, sets_path = stage(found.dropDuplicates(["class"]) if rows_repeat(sig, "doc_id", "text_hash") else found, "sets")
 
     edges = (crowd.select("bucket", "class").join(center.select("bucket", "center"), "bucket").where("class <> center")
              .select(F.greatest("class", "center").alias("a"), F.least("class", "center").alias("b")).distinct())

@@ -4,18 +4,23 @@ Each rule reads counts of the whole text and votes good (1), bad (-1) or
 abstains (0). Expectation-maximisation over the vote patterns estimates, without
 labels, how often each rule votes either way on good and on bad documents; the
 posterior probability of *good* replaces a filter in which every rule must pass.
-Patterns are counted once (3**rules rows at most) and each round is one
-aggregate over that table, so the cost of a round does not depend on the corpus.
+Patterns are counted once, by one aggregate over the corpus. There are 3**rules of
+them at most (``MAX_RULES`` bounds that), so their counts are fetched and the rounds
+run on this small table; their cost does not depend on the corpus.
 """
 
 from __future__ import annotations
 
+from math import exp, log
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.llm.common import stage, text_or_empty, words
 
 MAX_ROUNDS, CLOSE = 40, 1e-4
+#: most rules; their vote patterns, 3**rules at most, are fetched by the driver
+MAX_RULES = 9
 THRESHOLD = 0.5
 
 #: Frequent function words of English, German, French and Spanish (fixed values).
@@ -110,24 +115,28 @@ def fit(votes: DataFrame, names: list[str]) -> dict:
     and a good vote for weak (a bad document passes seven rules in ten). The
     smoothing, a thousandth of a class's votes, keeps an unseen vote possible.
     """
-    counts, _ = stage(votes.groupBy(*names).agg(F.count("*").cast("double").alias("n")), "votes")
-    total = counts.agg(F.sum("n")).first()[0] or 0.0
+    if len(names) > MAX_RULES:
+        raise ValueError(f"at most {MAX_RULES} rules")
+    patterns = votes.groupBy(*names).agg(F.count("*").alias("n")).collect()
+    total = sum(p["n"] for p in patterns)
     model = {"good": 0.85, "right": {r: (0.998, 0.3) for r in names}}
     for _ in range(MAX_ROUNDS if total else 0):
-        p = posterior(model, names)
-        sums = [F.sum(F.col("n") * p).alias("good")]
-        for r in names:
-            for v, c in ((1, "up"), (-1, "down")):
-                hit = F.when(F.col(r) == v, F.col("n")).otherwise(0.0)
-                sums += [F.sum(hit * p).alias(f"{r}_{c}_g"), F.sum(hit * (1 - p)).alias(f"{r}_{c}_b")]
-        s = counts.agg(*sums).first()
+        start, weights = _weights(model, names)
+        good, seen = 0.0, {(r, v): [0.0, 0.0] for r in names for v in (1, -1)}
+        for pattern in patterns:
+            p = 1 / (1 + exp(-(start + sum(weights[r].get(pattern[r], 0.0) for r in names))))
+            good += pattern["n"] * p
+            for r in names:
+                if pattern[r]:
+                    seen[r, pattern[r]][0] += pattern["n"] * p
+                    seen[r, pattern[r]][1] += pattern["n"] * (1 - p)
 
         def share(hit: float, miss: float) -> float:
             slack = 0.001 * (hit + miss) + 1e-9
             return (hit + slack) / (hit + miss + 2 * slack)
 
-        new = {"good": share(s["good"], total - s["good"]), "right": {
-            r: (share(s[f"{r}_up_g"], s[f"{r}_down_g"]), share(s[f"{r}_down_b"], s[f"{r}_up_b"])) for r in names}}
+        new = {"good": share(good, total - good), "right": {
+            r: (share(seen[r, 1][0], seen[r, -1][0]), share(seen[r, -1][1], seen[r, 1][1])) for r in names}}
         moved = max([abs(new["good"] - model["good"]), *(abs(x - y) for r in names for x, y in zip(new["right"][r], model["right"][r]))])
         model = new
         if moved < CLOSE:
@@ -135,14 +144,21 @@ def fit(votes: DataFrame, names: list[str]) -> dict:
     return model
 
 
+def _weights(model: dict, names: list[str]) -> tuple[float, dict[str, dict[int, float]]]:
+    """Log odds of *good* before any vote, and what each rule's votes add."""
+    votes = {}
+    for r in names:
+        on_good, on_bad = model["right"][r]
+        votes[r] = {1: log(on_good / (1 - on_bad)), -1: log((1 - on_good) / on_bad)}
+    return log(model["good"] / (1 - model["good"])), votes
+
+
 def posterior(model: dict, names: list[str]) -> Column:
     """Probability of *good* given the vote columns, under independent votes."""
-    from math import log
-    odds = F.lit(log(model["good"] / (1 - model["good"])))
+    start, weights = _weights(model, names)
+    odds = F.lit(start)
     for r in names:
-        on_good, on_bad = model["right"][r]
-        odds = odds + (F.when(F.col(r) == 1, log(on_good / (1 - on_bad)))
-                       .when(F.col(r) == -1, log((1 - on_good) / on_bad)).otherwise(0.0))
+        odds = odds + F.when(F.col(r) == 1, weights[r][1]).when(F.col(r) == -1, weights[r][-1]).otherwise(0.0)
     return 1 / (1 + F.exp(-odds))
 
 

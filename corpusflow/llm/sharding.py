@@ -28,19 +28,20 @@ def record_size(text: str | Column = "text") -> Column:
     return (F.octet_length(text_or_empty(F.col(text) if isinstance(text, str) else text)) + 8).cast("long")
 
 
-def shard(docs: DataFrame, shards: int = SHARDS, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def shard(docs: DataFrame, shards: int = SHARDS, text: str = "text", doc_id: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, size, text_crc32, law, shard, slot, grown_shard`` per row; law is ``bytes``, grown_shard null.
 
     ``slot`` counts a shard's records from 0 in their order. A null text is an
     empty one. Null doc_ids and repeated rows are placed like others; which of
     several equal rows comes first does not show in the result. An empty table
     gives an empty result; with fewer records than shards some shards stay empty.
+    ``keep`` names further columns to carry.
     """
     t = text_or_empty(F.col(text))
     rows, rows_path = stage(docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), record_size(text).alias("size"),
         F.crc32(t.cast("binary")).alias("text_crc32"), F.xxhash64(t).alias("key"),
-        F.xxhash64(F.col(doc_id).cast("long"), F.monotonically_increasing_id()).alias("h2")), "shard-rows")
+        F.xxhash64(F.col(doc_id).cast("long"), F.monotonically_increasing_id()).alias("h2"), *keep), "shard-rows")
     n, total = rows.agg(F.count("*"), F.sum("size")).first()
     bounds = splitters(rows, "key", "size", min(MAX_RANGES, max(4 * shards, ceil(n / ROWS_PER_RANGE))), float(total or 0))
     ranged = rows.withColumn("range", range_of(F.col("key"), bounds))
@@ -67,16 +68,21 @@ def shard(docs: DataFrame, shards: int = SHARDS, text: str = "text", doc_id: str
         ranged.withColumn("upto", upto).withColumn("rn", F.row_number().over(order)).join(offsets, ["range", "part"])
         .select("doc_id", "size", "text_crc32", F.least(F.lit(shards - 1), F.floor(
             middle.cast("double") * shards / float(2 * total))).cast("int").alias("shard"),
-            (F.col("rows_before") + F.col("rn") - 1).alias("rank")), "placed")
+            (F.col("rows_before") + F.col("rn") - 1).alias("rank"), *keep), "placed")
     unstage(docs.sparkSession, rows_path, ranged_path)
     first = placed.groupBy("shard").agg(F.min("rank").alias("first"))  # one row per shard
     return placed.join(F.broadcast(first), "shard").select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("rank") - F.col("first")).alias("slot"),
-        F.lit(None).cast("int").alias("grown_shard"))
+        F.lit(None).cast("int").alias("grown_shard"), *keep)
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:
-    """Write ``docs`` as ``path/shard=N/``, each shard's records in slot order. doc_id must name its row."""
-    at = shard(docs, shards).select(F.col("doc_id").alias("__id"), "shard", "slot")
-    (docs.join(at, docs.doc_id == at["__id"]).drop("__id").repartition(shards, "shard").sortWithinPartitions("shard", "slot")
+    """Write ``docs`` as ``path/shard=N/``, each shard's records in slot order.
+
+    Rows are numbered and staged first, so null and repeated ids are written once each.
+    """
+    numbered, staged = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    at = shard(numbered, shards, keep=("__row",)).select("__row", "shard", "slot")
+    (numbered.join(at, "__row").drop("__row").repartition(shards, "shard").sortWithinPartitions("shard", "slot")
      .drop("slot").write.partitionBy("shard").parquet(path))
+    unstage(docs.sparkSession, staged)

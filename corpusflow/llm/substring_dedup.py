@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.llm import texthash as H
-from corpusflow.llm.common import ensure_parallel, ids_repeat, stage, unstage, words
+from corpusflow.llm.common import ensure_parallel, rows_repeat, stage, unstage, words
 
 WINDOW, RUN = 35, 8
 _EMPTY = hashlib.sha256(b"").digest()
@@ -73,9 +73,9 @@ def _profiles(window: int):
                     value, times = np.unique(g[smallest], return_counts=True)
                     anchors[row], again[row] = H.signed(value), H.signed(value[times > 1])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(count), pa.array(H.signed(lo)), pa.array(H.signed(hi)),
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(count), pa.array(H.signed(lo)), pa.array(H.signed(hi)),
                  pa.array(sha, pa.binary()), pa.array(anchors, pa.list_(pa.int64())), pa.array(again, pa.list_(pa.int64()))],
-                names=["doc_id", "n_words", "lo", "hi", "sha", "anchors", "again"])
+                names=["doc_id", "text_hash", "n_words", "lo", "hi", "sha", "anchors", "again"])
     return run
 
 
@@ -152,14 +152,14 @@ def parse(docs: DataFrame, text: str | Column = "text", doc_id: str | Column = "
     spans is one factor over all words.
     """
     text, doc_id = (F.col(c) if isinstance(c, str) else c for c in (text, doc_id))
-    rows = docs.select(doc_id.cast("long").alias("doc_id"), text.cast("string").alias("text"))
+    rows = docs.select(doc_id.cast("long").alias("doc_id"), text.cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
     wide, wide_path = stage(ensure_parallel(rows).mapInArrow(
-        _profiles(window), "doc_id long, n_words long, lo long, hi long, sha binary, anchors array<long>, again array<long>"),
+        _profiles(window), "doc_id long, text_hash long, n_words long, lo long, hi long, sha binary, anchors array<long>, again array<long>"),
         "wide")
-    profiles, _ = stage(wide.select("doc_id", "n_words", "lo", "hi", "sha"), "profiles")
+    profiles, _ = stage(wide.select("doc_id", "text_hash", "n_words", "lo", "hi", "sha"), "profiles")
     classes, _ = stage(
         wide.where(F.col("n_words") >= window).groupBy("lo", "hi")
-        .agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n_words").alias("n_words"),
+        .agg(F.min(F.struct("doc_id", "text_hash")).alias("rep"), F.count("*").alias("copies"), F.first("n_words").alias("n_words"),
              F.first("anchors").alias("anchors"), F.first("again").alias("again"))
         .withColumn("class", F.monotonically_increasing_id()), "classes")
     unstage(docs.sparkSession, wide_path)
@@ -171,10 +171,11 @@ def parse(docs: DataFrame, text: str | Column = "text", doc_id: str | Column = "
                 .unionByName(classes.where("copies = 1").select("class", F.explode("again").alias("value")))
                 .groupBy("class").agg(F.collect_set("value").alias("repeated")))
     wanted = classes.select("class", "rep", "lo", "hi", "copies").join(repeated, "class")
-    held = (rows.join(wanted, rows.doc_id.eqNullSafe(wanted.rep))
+    # a class's text is found by row: two rows of one id and text hash are true copies
+    held = (rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("rep.doc_id")) & (F.col("text_hash") == F.col("rep.text_hash")))
             .select("class", "copies", "lo", "hi", "repeated", "text"))
     own = held.mapInArrow(_own_text, held.schema)
-    held, held_path = stage(own.dropDuplicates(["class"]) if ids_repeat(profiles) else own, "candidates")
+    held, held_path = stage(own.dropDuplicates(["class"]) if rows_repeat(profiles, "doc_id", "text_hash") else own, "candidates")
 
     # computed anew for each of its two uses: hashing is cheaper than keeping a row for every start
     starts = held.mapInArrow(_starts(window), "class long, copies long, start int, h1 long, h2 int")
@@ -196,7 +197,7 @@ def parse(docs: DataFrame, text: str | Column = "text", doc_id: str | Column = "
 
 
 def _own_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows whose text is their class's (a doc_id may stand for several texts)."""
+    """Rows whose text is their class's (texts of one hash may differ)."""
     for batch in batches:
         lo, hi = (batch.column(c).to_numpy().view(np.uint64) for c in ("lo", "hi"))
         keep = [row for row, h in H.texts(batch.column("text"))

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from test_operators import ODD, SF_SMALL, make, rows_of  # noqa: F401
 
-from corpusflow.llm import common, exact_dedup, periodic_runs, spelling_variants, texthash
+from corpusflow.llm import common, exact_dedup, mixing, near_dedup, periodic_runs, sharding, spelling_variants, substring_dedup, texthash
 
 LONG = "".join(f"word{i % 997} " for i in range(160_000))  # over 1 MB
 REPEATS = [(i if i % 3 else None, f"text {i % 4}") for i in range(60)] + [(7, "same  row"), (7, "same row"), (7, "same\trow")]
@@ -224,3 +224,52 @@ def test_variants_of_documents(spark, make, edit):
         got = [tuple(r) for r in spelling_variants.spelling_variants(df, edit=edit).collect()]
         want = variants_brute(count_brute(rows, edit))
         assert len(got) == len(want) and set(got) == want
+
+
+# --- rows without an id of their own
+
+
+@pytest.fixture(scope="module")
+def anonymous(make):
+    """1,000 different texts without an id, and 1,000 under one id."""
+    text = lambda k: " ".join(f"{k}x{j}" for j in range(40))
+    return make([(None, text(i), f"src{i % 3}") for i in range(1000)] + [(5, text(2000 + i), f"src{i % 3}") for i in range(1000)]
+                + [(5, text(7) + " end"), (None, text(2003) + " end")])
+
+
+def test_rows_of_one_id_are_joined_by_row(anonymous, monkeypatch):
+    """No stage of near-duplicate search or passage removal multiplies rows that share an id."""
+    seen = Counter()
+    real = common.stage
+
+    def counting(df, name):
+        out, path = real(df, name)
+        seen[name] = max(seen[name], out.count())
+        return out, path
+    for module in (near_dedup, substring_dedup):
+        monkeypatch.setattr(module, "stage", counting)
+    got = near_dedup.near_duplicates(anonymous).collect()
+    assert len(got) == 2002 and Counter(r.n_shingles for r in got) == {36: 2000, 37: 2}
+    assert seen["sets"] <= 2002
+    report = substring_dedup.removal_report(anonymous).collect()
+    assert Counter(r.n_removed for r in report) == {0: 1998, 40: 4}
+    assert seen["candidates"] <= 2002
+
+
+def test_mix_takes_rows_of_one_id_apart(make):
+    docs = make([(None, "a b c", "s1")] * 5 + [(None, "d e f", "s2")] * 40 + [(None, "x y", "s1"), (3, "a b", "s2"), (3, "a b c d", "s1"), (None, None, None)])
+    mixed = mixing.mix(docs, mixing.word_count())
+    key = lambda r: (r["doc_id"], r["source"])
+    want, got = Counter(), Counter()
+    for r in rows_of(mixed):
+        want[key(r)] += r["taken"]
+    for r in rows_of(mixing.materialise(docs, mixed)):
+        got[key(r)] += len(r["text"].split())
+    assert got == +want and set(mixing.materialise(docs, mixed).columns) == set(docs.columns)
+
+
+def test_shards_are_written_row_by_row(spark, make, scratch):
+    rows = [(None, "a"), (None, "a"), (None, "b"), (4, "c"), (4, "c"), (4, "d"), (5, None)] + [(i, f"text {i}") for i in range(10, 60)]
+    sharding.write_shards(make(rows), f"{scratch}/shards", 3)
+    back = spark.read.parquet(f"{scratch}/shards")
+    assert Counter((r.doc_id, r.text) for r in back.collect()) == Counter(rows) and set(back.columns) == {*make(rows).columns, "shard"}

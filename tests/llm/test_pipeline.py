@@ -19,8 +19,9 @@ def test_stages(spark, make, scratch, kind):
     for name, (before, after) in list(seen.items())[:-1]:
         assert after.columns == columns, name
     before, after = seen["quality_rules"]
-    key = lambda df: Counter((r.doc_id, r.text) for r in df.collect())
-    assert key(after) == key(quality_rules.judge(before).where("kept").join(before, "doc_id")) if kind == "table" else True
+    n_words = lambda t: len((t or "").encode().split())
+    judged = Counter((r.doc_id, r.n_words) for r in quality_rules.judge(before).where("kept").collect())
+    assert Counter((r.doc_id, n_words(r.text)) for r in after.collect()) == judged
     before, after = seen["minhash_near_dedup"]
     brute = near_brute([(r.doc_id, r.text) for r in before.collect()])
     assert {r.doc_id for r in after.collect()} == {i for i, _, c in brute if i == c}
@@ -29,8 +30,10 @@ def test_stages(spark, make, scratch, kind):
     for r in after.collect():
         assert len((r.text or "").encode().split()) == report[r.doc_id].n_words - report[r.doc_id].n_removed
     before, after = seen["mixing"]
-    takes = {r.doc_id: r.repeats for r in mixing.mix(before, mixing.word_count()).collect()}
-    assert Counter(r.doc_id for r in after.collect()) == Counter({i: n for i, n in takes.items() if n})
+    takes = Counter()
+    for r in mixing.mix(before, mixing.word_count()).collect():
+        takes[r.doc_id, r.source, r.size] += r.repeats
+    assert Counter((r.doc_id, r.source, n_words(r.text)) for r in after.collect()) == +takes
     before, after = seen["best_fit_packing"]
     packed_ok([r.asDict() for r in after.collect()], [(r.doc_id, r.text) for r in before.collect()])
 
