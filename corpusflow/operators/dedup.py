@@ -80,11 +80,13 @@ def first_in_run(files: DataFrame, hash_col: str, key_col: str, group_cols: tupl
     """True for the first key (in key order) of each content hash in this run (O-46).
 
     The first key per hash is a grouped min (map-side partial aggregation);
-    joining back on (hash, key) spreads a hot hash over many partitions.
+    joining back on (hash, key) spreads a hot hash over many partitions. A file
+    without a hash (its content could not be read) is equal to no other, so it is
+    a first as well.
     """
     keys = [hash_col, *group_cols]
-    firsts = files.groupBy(*keys).agg(F.min(key_col).alias(key_col))
-    return _flag(files, firsts, [(c, c) for c in [*keys, key_col]], flag)
+    firsts = files.where(F.col(hash_col).isNotNull()).groupBy(*keys).agg(F.min(key_col).alias(key_col))
+    return _flag(files, firsts, [(c, c) for c in [*keys, key_col]], flag).withColumn(flag, F.col(flag) | F.col(hash_col).isNull())
 
 
 def dedup_decision(files: DataFrame, embedding_ledger: DataFrame, points: DataFrame | None,

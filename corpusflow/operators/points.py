@@ -39,8 +39,8 @@ def filename_points(files: DataFrame, key_col: str = "key", hash_col: str | None
 
 def content_points(chunks: DataFrame, vectors: DataFrame | None = None,
                    vector_col: str = "vector", file_hash_col: str | None = "file_hash",
-                   id_scope: str = "name", key_col: str = "key") -> DataFrame:
-    """One point per chunk with a vector (O-60); chunks without one are dropped.
+                   id_scope: str = "name", key_col: str = "key", keep: tuple[str, ...] = ()) -> DataFrame:
+    """One point per chunk with a vector (O-60); chunks without one are dropped. ``keep`` names further columns.
 
     ``chunks`` has filename, chunk_number, text, element_type, md5_hash (and
     optionally the vector already); ``vectors`` is joined on
@@ -61,6 +61,7 @@ def content_points(chunks: DataFrame, vectors: DataFrame | None = None,
         "element_type",
         "md5_hash",
         (F.col(file_hash_col) if file_hash_col and file_hash_col in df.columns else F.lit(None).cast("string")).alias("file_hash"),
+        *keep,
     )
     return out
 

@@ -1,20 +1,16 @@
 """Whole jobs (O-106 … O-109) as DataFrame plans.
 
-Each job is a function of input DataFrames returning output DataFrames; the
-``run_*`` wrappers persist them. Cheap membership tests (ledger anti joins,
+Each job is a function of input DataFrames returning output DataFrames;
+``ingest_run`` persists runs. Cheap membership tests (ledger anti joins,
 dedup decision) are placed *before* chunking and the embedder, because
-Catalyst cannot push a join below a Python stage. Embedded chunks are
-written once to a staging table in the shared checkpoint folder so points
-and ledger rows are derived without re-running the embedder, and a lost
-executor only re-runs its own tasks.
+Catalyst cannot push a join below a Python stage.
 """
 
 from __future__ import annotations
 
-import uuid as _uuid
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.functions import hashing as H
@@ -36,11 +32,12 @@ class IngestOutputs:
     decisions never builds the chunk, embedding or point plans."""
 
     def __init__(self, decisions: DataFrame, todo: DataFrame, collection: str, embed, filename_embed,
-                 chunk_tokens: int, overlap_tokens: int, batch_size: int, min_partitions, model_name: str):
+                 chunk_tokens: int, overlap_tokens: int, batch_size: int, min_partitions, model_name: str, id_scope: str = "name"):
         self.decisions = decisions
         self._todo = todo
         self._args = (collection, embed, filename_embed, chunk_tokens, overlap_tokens, batch_size,
                       min_partitions, model_name)
+        self._scope = id_scope
 
     @cached_property
     def chunks(self) -> DataFrame:
@@ -56,13 +53,13 @@ class IngestOutputs:
 
     @cached_property
     def content_points(self) -> DataFrame:
-        return PT.content_points(self.embedded, file_hash_col="file_hash")
+        return PT.content_points(self.embedded, file_hash_col="file_hash", id_scope=self._scope)
 
     @cached_property
     def filename_points(self) -> DataFrame:
         names = EM.batch_embed(self._todo.select("key", "hash", "filename"), self._args[2], text_col="filename",
                                keep=("key", "hash"), batch_size=self._args[5])
-        return PT.filename_points(names, "key", hash_col="hash", vector_col="vector")
+        return PT.filename_points(names, "key", hash_col="hash", vector_col="vector", id_scope=self._scope)
 
     @cached_property
     def embedding_rows(self) -> DataFrame:
@@ -85,7 +82,7 @@ def full_ingest(files: DataFrame, upload_ledger: DataFrame, embedding_ledger: Da
                 collection: str = "content", chunk_tokens: int = CH.DEFAULT_CHUNK_TOKENS,
                 overlap_tokens: int = CH.DEFAULT_OVERLAP_TOKENS, force: bool = False,
                 batch_size: int = EM.DEFAULT_BATCH_SIZE, min_partitions: int | None = None,
-                model_name: str = "hashing-64") -> IngestOutputs:
+                model_name: str = "hashing-64", id_scope: str = "name") -> IngestOutputs:
     """List -> anti join -> convert -> dedup -> chunk -> embed -> points (O-106).
 
     ``files``: key, text (markdown or plain text; binary inputs go through
@@ -103,11 +100,13 @@ def full_ingest(files: DataFrame, upload_ledger: DataFrame, embedding_ledger: Da
     dec = DD.dedup_decision(f, embedding_ledger, resident, key_col="key", collection=collection, force=force)
     spark = files.sparkSession
     spread = min_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
-    # a broadcast join leaves the rows where the scan put them, so they are dealt out before the heavy steps
-    todo = (files.select("key", "text").join(dec.where(F.col("action") == "process").select("key", "filename", "hash"), "key")
-            .select("key", "filename", "hash", "text").repartition(spread))
+    # a file is its key and content, so equal keys keep their own texts; a broadcast join leaves the rows where
+    # the scan put them, so they are dealt out before the heavy steps
+    wanted = dec.where(F.col("action") == "process").select("key", "hash").distinct()
+    todo = (files.select("key", "text", H.text_md5("text").alias("hash")).join(wanted, ["key", "hash"], "left_semi")
+            .select("key", P.basename("key").alias("filename"), "hash", "text").repartition(spread))
     return IngestOutputs(dec, todo, collection, embed, filename_embed, chunk_tokens, overlap_tokens,
-                         batch_size, min_partitions, model_name)
+                         batch_size, min_partitions, model_name, id_scope)
 
 
 def convert_only(pages: DataFrame, key_col: str = "key", html_col: str = "html",
@@ -124,19 +123,31 @@ def convert_only(pages: DataFrame, key_col: str = "key", html_col: str = "html",
 def markdown_to_points(markdown: DataFrame, embedding_ledger: DataFrame, resident: DataFrame | None,
                        embed=None, collection: str = "content", force: bool = False,
                        chunk_tokens: int = CH.DEFAULT_CHUNK_TOKENS, min_partitions: int | None = None) -> IngestOutputs:
-    """Pipeline B (O-108): markdown store -> '.md' keys -> original names -> points."""
-    md = markdown.where(P.is_markdown("key")).select(
-        F.col("key"), P.original_name("key").alias("name"), F.col("text"))
-    files = md.select(F.concat(F.lit("restored/"), F.col("name")).alias("key"), "text")
+    """Pipeline B (O-108): markdown store -> '.md' keys -> original names -> points.
+
+    The restored key keeps the directory of the markdown key, and ids follow the key,
+    so equal base names in two directories stay two files.
+    """
+    md = markdown.where(P.is_markdown("key"))
+    restored = F.concat(F.lit("restored/"), F.regexp_replace("key", "[^/]*$", ""), P.original_name("key"))
+    files = md.select(restored.alias("key"), "text")
     empty_upload = embedding_ledger.sparkSession.createDataFrame([], "hash string")
     return full_ingest(files, empty_upload, embedding_ledger, resident, embed=embed, collection=collection,
-                       force=force, chunk_tokens=chunk_tokens, min_partitions=min_partitions)
+                       force=force, chunk_tokens=chunk_tokens, min_partitions=min_partitions, id_scope="key")
 
 
 def retry_failed(failed: DataFrame, source_files: DataFrame, markdown: DataFrame, embedding_ledger: DataFrame,
                  resident: DataFrame | None, embed=None, min_partitions: int | None = None):
     """O-109: locate each failed name, re-run the matching pipeline with force,
-    and return (points, remaining failed rows, summary)."""
+    and return (points, remaining failed rows, summary).
+
+    The points are written to the shared scratch folder once, so the embedder runs
+    once for all three results.
+    """
+    import uuid
+
+    from corpusflow.session import scratch_path
+    spark = failed.sparkSession
     work = RP.retry_worklist(failed, source_files.select("key"), markdown.select("key"))
     src = work.where(F.col("type") == "source").select(F.col("found_key").alias("key")).distinct() \
         .join(source_files.select("key", "text"), "key")
@@ -144,55 +155,12 @@ def retry_failed(failed: DataFrame, source_files: DataFrame, markdown: DataFrame
         .join(markdown.select("key", "text"), "key")
     empty_upload = embedding_ledger.sparkSession.createDataFrame([], "hash string")
     a = full_ingest(src, empty_upload, embedding_ledger, resident, embed=embed, force=True,
-                    min_partitions=min_partitions)
+                    min_partitions=min_partitions, id_scope="key")
     b = markdown_to_points(mdk, embedding_ledger, resident, embed=embed, force=True, min_partitions=min_partitions)
-    points = a.content_points.unionByName(b.content_points)
+    made = a.content_points.unionByName(b.content_points)
+    path = scratch_path(spark, f"retried-{uuid.uuid4().hex}")
+    made.write.parquet(path)
+    points = spark.read.schema(made.schema).parquet(path)
     ok_hashes = points.select(F.col("file_hash").alias("hash")).distinct()
     remaining = RP.clear_resolved(failed, ok_hashes)
     return points, remaining, RP.retry_summary(work, ok_hashes)
-
-
-def run_full_ingest(spark: SparkSession, files: DataFrame, ledger_root: str, collection_root: str,
-                    collection: str = "content", **kw) -> dict:
-    """Persist one ingest run: stage embedded chunks once, then upsert points and append ledgers."""
-    from corpusflow.session import scratch_path
-    from corpusflow.sources import collections as C
-    from corpusflow.sources import ledgers as L
-    out = full_ingest(files, L.read_ledger(spark, ledger_root, "upload"),
-                      L.read_ledger(spark, ledger_root, "embedding"),
-                      _resident(spark, collection_root, collection), collection=collection, **kw)
-    stage = scratch_path(spark, f"ingest-{_uuid.uuid4().hex}")
-    # Decisions read the collection; stage them (and the embedded chunks) before
-    # any point is written, so nothing is recomputed from replaced files.
-    out.decisions.select("key", "hash", "collection_name", "action", "skip_reason", "found_in",
-                         "original_processing_date").write.mode("overwrite").parquet(stage + "/decisions")
-    decisions = spark.read.parquet(stage + "/decisions")
-    out.embedded.write.mode("overwrite").parquet(stage + "/embedded")
-    embedded = spark.read.parquet(stage + "/embedded")
-    # a file is done only if every chunk has a vector; the others stay out of the collection and of the
-    # ledgers of finished work, and are listed as failed, so that the next run tries them again
-    verdict = embedded.groupBy("key", "file_hash").agg(
-        F.count_if(F.col("vector").isNull()).alias("__bad"), F.max("embed_error").alias("error"))
-    failed = verdict.where("__bad > 0")
-    whole = embedded.join(failed.select("key", "file_hash"), ["key", "file_hash"], "left_anti")
-    content = PT.content_points(whole, file_hash_col="file_hash")
-    C.create_collection(spark, collection_root, collection, dim=getattr(kw.get("embed"), "dim", 64))
-    C.write_points(spark, collection_root, collection, content)
-    emb_rows = EM.embedding_ledger_rows(whole, "key", "file_hash", collection, kw.get("model_name", "hashing-64"))
-    L.append_ledger(emb_rows, ledger_root, "embedding")
-    L.append_ledger(DD.skip_rows(decisions, key_col="key"), ledger_root, "skipped")
-    L.append_ledger(failed.select(
-        F.col("key").alias("filename"), F.col("file_hash").alias("hash"), F.current_timestamp().alias("datetime"),
-        F.coalesce("error", F.lit("no vector")).alias("error"), F.lit("embedding").alias("stage")), ledger_root, "failed")
-    uploaded = whole.groupBy(F.col("key").alias("filename"), F.col("file_hash").alias("hash")).agg(
-        F.current_timestamp().alias("datetime"))
-    L.append_ledger(uploaded, ledger_root, "upload")
-    return {"staged": stage, "points": C.read_points(spark, collection_root, collection)}
-
-
-def _resident(spark: SparkSession, root: str, name: str):
-    from corpusflow.sources import collections as C
-    if not C.collection_exists(spark, root, name):
-        return None
-    pts = C.read_points(spark, root, name, schema="file_hash string, collection_name string")
-    return pts.select("file_hash", F.lit(name).alias("collection_name"))

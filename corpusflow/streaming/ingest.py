@@ -1,10 +1,12 @@
 """Structured Streaming forms of ingest and monitoring (O-110, O-111).
 
-* ``stream_ingest`` — a file-source stream of documents; each micro-batch runs
-  the ingest plan and writes its points to ``<out>/epoch=<id>`` with
-  overwrite, so a re-executed batch replaces its own output (idempotent sink;
-  point ids are deterministic). The checkpoint replaces the listing prefilter
-  for file discovery; the ledgers still decide by content.
+* ``stream_to_store`` — a file-source stream of documents; each micro-batch is one
+  run of a ``RunStore``, named after the stream and the batch. A batch that is
+  executed again, as after a failure, replaces what it had written of its run, or
+  writes nothing if the run already counts: every file is in every ledger once.
+* ``stream_ingest`` — the same against fixed ledgers; each micro-batch writes its
+  points to ``<out>/epoch=<id>`` with overwrite. The checkpoint replaces the listing
+  prefilter for file discovery; the ledgers still decide by content.
 * ``stream_rates`` — hourly counts with a watermark; late rows beyond the
   watermark are dropped by Spark's state store.
 * ``stream_dedup`` — ``dropDuplicatesWithinWatermark`` on the content hash,
@@ -19,30 +21,21 @@ from pyspark.sql import functions as F
 from corpusflow.functions import hashing as H
 
 
-def stream_ingest_ledgers(spark: SparkSession, source_dir: str, schema, checkpoint: str,
-                          ledger_root: str, collection_root: str, collection: str = "content",
-                          text_col: str = "text", key_expr=None, max_files_per_trigger: int | None = None,
-                          glob: str | None = None, **ingest_kw) -> None:
-    """Ledger-backed stream: every micro-batch reads the ledgers and the
-    collection as the previous batch left them, so content seen in an earlier
-    batch is skipped (the streaming form of the repeat run). Points are upserts
-    by deterministic id, so a re-executed batch leaves the collection unchanged."""
-    from corpusflow.plans.jobs import run_full_ingest
-    reader = spark.readStream.schema(schema)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.parquet(source_dir)
-    key = key_expr if key_expr is not None else F.concat(F.lit("stream/doc_"), F.col("doc_id").cast("string"), F.lit(".md"))
-    files = stream.select(key.alias("key"), F.col(text_col).alias("text"))
+def stream_to_store(store, name: str, files: DataFrame, checkpoint: str, **ingest_kw) -> None:
+    """Drain a stream of ``files(key, text | content)`` into a store (O-110), one run ``<name>-<batch>`` per micro-batch.
+
+    Each batch reads the ledgers and collections as the batch before left them, so
+    content that an earlier batch brought is known. ``ingest_kw`` goes to
+    ``ingest_run.ingest``. Runs are keyed by (name, batch): a stream that starts over
+    with a new checkpoint needs a new name if its batches are cut differently.
+    """
+    from corpusflow.plans.ingest_run import ingest
 
     def run_batch(batch: DataFrame, epoch_id: int) -> None:
-        run_full_ingest(batch.sparkSession, batch, ledger_root, collection_root, collection, **ingest_kw)
+        ingest(store, batch, run_id=f"{name}-{epoch_id}", **ingest_kw)
 
-    q = (files.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    (files.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
+     .trigger(availableNow=True).start().awaitTermination())
 
 
 def stream_ingest(spark: SparkSession, source_dir: str, schema, out_path: str, checkpoint: str,

@@ -1,11 +1,18 @@
 """Writes neither lose nor falsify rows."""
 
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
 from corpusflow.operators import dedup as DD
 from corpusflow.operators import embedding as EM
 from corpusflow.plans import jobs
+from corpusflow.plans.ingest_run import ingest
 from corpusflow.sources import collections as C
 from corpusflow.sources import ledgers as L
 from corpusflow.sources import markdown_store as MS
+from corpusflow.sources.run_store import RunStore
 
 
 def _keys(df, col="filename"):
@@ -41,17 +48,91 @@ class Failing:
         return self.inner(texts)
 
 
-def test_failed_files_come_back(spark, scratch, monkeypatch):
-    monkeypatch.setattr(EM.time, "sleep", lambda s: None, raising=False)
-    files = spark.createDataFrame([("a/good.pdf", "some text here"), ("a/bad.pdf", "a broken text")], "key string, text string")
-    jobs.run_full_ingest(spark, files, f"{scratch}/l", f"{scratch}/c", embed=Failing())
-    assert _keys(L.read_ledger(spark, f"{scratch}/l", "upload")) == ["a/good.pdf"]
-    assert _keys(L.read_ledger(spark, f"{scratch}/l", "embedding")) == ["a/good.pdf"]
-    failed = L.read_ledger(spark, f"{scratch}/l", "failed").collect()
-    assert [(r.filename, r.stage) for r in failed] == [("a/bad.pdf", "embedding")] and failed[0].error
-    jobs.run_full_ingest(spark, files, f"{scratch}/l", f"{scratch}/c", embed=EM.HashingEmbedder(8))
-    assert _keys(L.read_ledger(spark, f"{scratch}/l", "upload")) == ["a/bad.pdf", "a/good.pdf"]
-    assert len(_keys(C.read_points(spark, f"{scratch}/c", "content"))) == 2
+def states(df):
+    return {r.key: r.stage or r.state for r in df.collect()}
+
+
+def test_every_file_ends_in_a_state(spark, scratch):
+    """Each failing stage, a copy of a failing file, and a second run that takes exactly what failed."""
+    store = RunStore(spark, f"{scratch}/store")
+    rows = [("s/good.pdf", "some text here"), ("s/copy.pdf", "some text here"), ("s/bad.pdf", "a broken text"), ("s/bad2.pdf", "a broken text"),
+            ("s/empty.pdf", " \n"), ("s/gone.pdf", None), ("s/odd.xyz", "not read"), ("s/broken.pdf", "fine text")]
+    files = spark.createDataFrame([(k, None if t is None else t.encode()) for k, t in rows], "key string, content binary")
+
+    def convert(content, name):
+        return (None, "unsupported") if name.endswith(".xyz") else (content.decode() if content else None, None)
+    got = states(ingest(store, files, convert=convert, embed=Failing(), name_embed=Failing(), attempts=1))
+    assert got == {"s/good.pdf": "skipped", "s/copy.pdf": "processed", "s/bad.pdf": "qdrant", "s/bad2.pdf": "qdrant", "s/empty.pdf": "chunker",
+                   "s/gone.pdf": "pipeline", "s/odd.xyz": "docling", "s/broken.pdf": "ollama"}
+    failed = {r.filename: (r.stage, r.error) for r in store.ledger("failed").collect()}
+    assert failed["s/odd.xyz"] == ("docling", "unsupported") and failed["s/broken.pdf"][1].startswith("Filename embedding failed: RuntimeError")
+    assert _keys(store.ledger("upload")) == ["s/copy.pdf", "s/good.pdf"]
+    assert _keys(store.points("content"), "file") == _keys(store.points("filenames"), "file") == ["s/copy.pdf"]
+    again = states(ingest(store, files, convert=convert, embed=EM.HashingEmbedder(8), name_embed=EM.HashingEmbedder(8)))
+    assert again == {"s/good.pdf": "known", "s/copy.pdf": "known", "s/bad.pdf": "processed", "s/bad2.pdf": "skipped", "s/empty.pdf": "chunker",
+                     "s/gone.pdf": "pipeline", "s/odd.xyz": "docling", "s/broken.pdf": "processed"}
+    m = {r.seq: (r.n_files, r.n_processed, r.n_skipped, r.n_failed) for r in store.manifests().collect()}
+    assert m == {1: (8, 1, 1, 6), 2: (8, 2, 3, 3)}
+
+
+def test_chunks_without_a_vector_are_dropped(spark, scratch):
+    store = RunStore(spark, f"{scratch}/store")
+    text = "\n\n".join(["good words " * 30, "broken words " * 30, "more words " * 30])
+    files = spark.createDataFrame([("a.pdf", text)], "key string, text string")
+    assert states(ingest(store, files, embed=Failing(), chunk_tokens=60, attempts=1)) == {"a.pdf": "processed"}
+    assert sorted(r.page_number for r in store.points("content").collect()) == [1, 3]
+    status = {r.collection_name: (r.status, r.chunks_created) for r in store.ledger("embedding").collect()}
+    assert status == {"content": ("partial", 3), "filenames": ("success", 1)}
+
+
+def test_shortened_file_keeps_no_old_chunk(spark, scratch):
+    store = RunStore(spark, f"{scratch}/store")
+    for text in ("\n\n".join(f"part {i} " * 40 for i in range(3)), "short now"):
+        ingest(store, spark.createDataFrame([("a/f.pdf", text), ("b/f.pdf", text + " b")], "key string, text string"), chunk_tokens=60)
+    got = [(r.file, r.pagecontent) for r in store.points("content").collect()]
+    assert sorted(got) == [("a/f.pdf", "short now"), ("b/f.pdf", "short now b")]
+    assert store.files("content").where("n_points = 1").count() == 2
+
+
+def test_files_of_one_name(spark, scratch):
+    files = spark.createDataFrame([("a/f.pdf", "text of a"), ("b/f.pdf", "text of b")], "key string, text string")
+    store = RunStore(spark, f"{scratch}/store")
+    ingest(store, files, id_scope="name")
+    assert [(r.file, r.pagecontent) for r in store.points("content").collect()] == [("f.pdf", "text of b")]
+    assert [r.source for r in store.points("filenames").select(F.col("pagecontent").alias("source")).collect()] == ["f.pdf"]
+
+
+def test_run_counts_wholly_or_not_at_all(spark, scratch):
+    store = RunStore(spark, f"{scratch}/store")
+    rows = lambda *k: spark.createDataFrame([(x, "h" + x) for x in k], "filename string, hash string")
+    run = store.begin("batch-0")
+    store.write_ledger(run, "upload", rows("a", "b", "lost"))
+    assert store.ledger("upload").count() == 0
+    run = store.begin("batch-0")
+    store.write_ledger(run, "upload", rows("a", "b"))
+    store.commit(run, 2)
+    assert store.begin("batch-0") is None and _keys(store.ledger("upload")) == ["a", "b"]
+    assert store.begin("batch-1").seq == 2
+    files = spark.createDataFrame([("k", "t"), ("k", "u")], "key string, text string")
+    for bad in (files, spark.createDataFrame([(None, "t")], "key string, text string")):
+        with pytest.raises(ValueError):
+            ingest(store, bad)
+    assert ingest(store, files, run_id="batch-0").count() == 0
+    assert ingest(store, files.limit(0)).count() == 0 and store.manifests().count() == 2
+
+
+def test_equal_names_in_two_directories(spark, scratch):
+    md = spark.createDataFrame([("markdown/a/f.md", "text of a"), ("markdown/b/f.md", "text of b")], "key string, text string")
+    empty = L.empty(spark, "embedding")
+    points = jobs.markdown_to_points(md, empty, None).content_points.collect()
+    assert len({p.id for p in points}) == 2
+    assert {(p.pagecontent, p.file_hash) for p in points} == {(t, hashlib.md5(t.encode()).hexdigest()) for t in ("text of a", "text of b")}
+
+
+def test_null_content_is_not_a_duplicate(spark):
+    files = spark.createDataFrame([("a", None), ("b", None), ("c", "h"), ("d", "h")], "key string, hash string")
+    got = {r.key: r.action for r in DD.dedup_decision(files, L.empty(spark, "embedding"), None, key_col="key", collection="content").collect()}
+    assert got == {"a": "process", "b": "process", "c": "process", "d": "skip"}
 
 
 def test_ledger_row_without_a_date_counts(spark):

@@ -1,26 +1,36 @@
 """The eight dedup scenarios as ledger/collection state transitions, plus ledger I/O."""
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
 from corpusflow.plans import jobs as J
+from corpusflow.plans.ingest_run import ingest
+from corpusflow.session import remove_path
 from corpusflow.sources import collections as C
 from corpusflow.sources import ledgers as L
+from corpusflow.sources.run_store import RunStore
 from conftest import SF_SMALL
 
 
 @pytest.fixture()
 def corpus(spark):
-    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(40)
-    return docs.select(F.concat(F.lit("source/a/doc_"), F.col("doc_id").cast("string"), F.lit(".pdf")).alias("key"), "text")
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").where("doc_id < 40")
+    key = lambda top: F.concat(F.lit(f"source/{top}/doc_"), F.col("doc_id").cast("string"), F.lit(".pdf")).alias("key")
+    return docs.select(key("a"), "text").union(docs.where("doc_id < 3").select(key("copies"), "text"))
+
+
+def _store(spark, root):
+    return RunStore(spark, f"{root}/store")
 
 
-def _run(spark, files, root, **kw):
-    return J.run_full_ingest(spark, files, f"{root}/ledgers", f"{root}/collections", chunk_tokens=120, **kw)
+def _run(store, files, **kw):
+    return {r.key: r for r in ingest(store, files, chunk_tokens=120, **kw).collect()}
 
 
-def _counts(spark, root):
-    return {n: L.read_ledger(spark, f"{root}/ledgers", n).count() for n in ("embedding", "skipped", "upload")}
+def _counts(store):
+    return {n: store.ledger(n).count() for n in ("embedding", "skipped", "upload")}
 
 
 def test_ledger_roundtrip_and_missing(spark, scratch):
@@ -33,41 +43,45 @@ def test_ledger_roundtrip_and_missing(spark, scratch):
 
 
 def test_scenarios(spark, scratch, corpus):
-    distinct = corpus.select(F.md5("text")).distinct().count()
-    # 1. first run processes all distinct contents
-    first = _run(spark, corpus, scratch)
-    pts1 = first["points"].count()
-    c1 = _counts(spark, scratch)
-    assert c1["embedding"] == distinct and pts1 > 0
-    # 7. duplicates inside one run: one processed, the rest skipped
-    assert c1["skipped"] == corpus.count() - distinct
-    # 2. second run: everything already uploaded -> nothing new, points unchanged
-    second = _run(spark, corpus, scratch)
-    assert second["points"].count() == pts1
-    assert _counts(spark, scratch)["embedding"] == distinct
+    n, distinct = corpus.count(), corpus.select(F.md5("text")).distinct().count()
+    store = _store(spark, scratch)
+    # 1. first run processes all distinct contents; 7. duplicates inside one run: one processed, the rest skipped
+    first = Counter(r.state for r in _run(store, corpus).values())
+    assert first == {"processed": distinct, "skipped": n - distinct}
+    points = store.points("content").count()
+    assert _counts(store) == {"embedding": 2 * distinct, "skipped": n - distinct, "upload": n} and points > 0
+    # 2. second run: everything already uploaded -> nothing new, no ledger grows
+    assert Counter(r.state for r in _run(store, corpus).values()) == {"known": n}
+    assert _counts(store)["upload"] == n and store.points("content").count() == points
     # 3. force: processed again (in-run duplicates too); 8. a second upsert keeps the point count
-    forced = _run(spark, corpus, scratch, force=True)["points"].count()
-    assert forced >= pts1
-    assert _run(spark, corpus, scratch, force=True)["points"].count() == forced
-    # 4. ledgers deleted but points kept -> skipped as already in the collection
-    other = f"{scratch}/fresh"
-    J.run_full_ingest(spark, corpus, f"{other}/ledgers", f"{scratch}/collections", chunk_tokens=120)
-    sk = L.read_ledger(spark, f"{other}/ledgers", "skipped")
-    reasons = {r.skip_reason for r in sk.collect()}
-    assert reasons <= {"already_in_qdrant", "already_embedded"} and "already_in_qdrant" in reasons
-    assert sk.where("skip_reason = 'already_in_qdrant'").count() == corpus.count()
+    assert Counter(r.state for r in _run(store, corpus, force=True).values()) == {"processed": n}
+    forced = store.points("content").count()
+    assert forced >= points
+    _run(store, corpus, force=True)
+    assert store.points("content").count() == forced
+
+
+def test_ledgers_lost_but_points_kept(spark, scratch, corpus):
+    """4. Without its ledgers a store still knows what its collection holds, and enters it in the upload ledger."""
+    store = _store(spark, scratch)
+    _run(store, corpus)
+    for name in ("embedding", "upload"):
+        remove_path(spark, f"{store.root}/ledger_{name}")
+    got = _run(store, corpus)
+    assert {(r.state, r.reason) for r in got.values()} == {("skipped", "already_in_qdrant")}
+    assert {r.state for r in _run(store, corpus).values()} == {"known"}
 
 
 def test_pipeline_b_after_ingest_skips(spark, scratch, corpus):
-    _run(spark, corpus, scratch)
-    md = corpus.select(F.regexp_replace("key", r"^source/(.*)\.pdf$", "markdown/$1.md").alias("key"), "text")
-    emb = L.read_ledger(spark, f"{scratch}/ledgers", "embedding")
-    res = J._resident(spark, f"{scratch}/collections", "content")
+    store = _store(spark, scratch)
+    _run(store, corpus)
+    md = store.markdown().select(F.col("markdown_key").alias("key"), "text")
+    assert md.count() == corpus.count()
     # 5. same bytes -> every file skipped
-    out = J.markdown_to_points(md, emb, res, chunk_tokens=120)
+    out = J.markdown_to_points(md, store.ledger("embedding"), store.resident("content"), chunk_tokens=120)
     assert out.content_points.count() == 0
     # 6. with force -> processed
-    forced = J.markdown_to_points(md, emb, res, chunk_tokens=120, force=True)
+    forced = J.markdown_to_points(md, store.ledger("embedding"), store.resident("content"), chunk_tokens=120, force=True)
     assert forced.content_points.count() > 0
 
 

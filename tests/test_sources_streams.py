@@ -78,19 +78,26 @@ def test_stream_rates_and_dedup(spark, scratch):
     assert dd.count() == distinct
 
 
-def test_stream_ingest_ledgers_skips_across_batches(spark, scratch):
-    from corpusflow.sources import ledgers as L
+def test_stream_to_store_across_batches(spark, scratch):
+    from corpusflow.sources.run_store import RunStore
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
-    src = os.path.join(scratch, "in")
+    src, store = os.path.join(scratch, "in"), RunStore(spark, os.path.join(scratch, "store"))
     # two input files: the second repeats some texts of the first
     docs.where("doc_id < 120").coalesce(1).write.parquet(src)
     docs.where("doc_id >= 80").coalesce(1).write.mode("append").parquet(src)
-    ST.stream_ingest_ledgers(spark, src, docs.schema, os.path.join(scratch, "ckpt"), os.path.join(scratch, "led"),
-                             os.path.join(scratch, "col"), max_files_per_trigger=1, chunk_tokens=200)
-    emb = L.read_ledger(spark, os.path.join(scratch, "led"), "embedding")
+
+    def drain(checkpoint):
+        stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(src)
+        files = stream.select(F.concat(F.lit("in/doc_"), F.col("doc_id").cast("string"), F.lit(".md")).alias("key"), "text")
+        ST.stream_to_store(store, "docs", files, os.path.join(scratch, checkpoint), chunk_tokens=200)
+    drain("ckpt")
     distinct = docs.select(F.md5("text")).distinct().count()
-    assert emb.select("md5_hash").distinct().count() == distinct
-    assert emb.count() == distinct  # nothing embedded twice, across the two micro-batches
+    emb = store.ledger("embedding").where("collection_name = 'content'")
+    assert emb.count() == emb.select("md5_hash").distinct().count() == distinct  # nothing embedded twice
+    assert store.manifests().count() == 2
+    before = {n: store.ledger(n).count() for n in ("conversion", "upload", "embedding", "qdrant_upload", "skipped", "failed")}
+    drain("another")  # both batches again
+    assert before == {n: store.ledger(n).count() for n in before} and store.manifests().count() == 2
 
 
 def test_late_rows_are_dropped_in_append_mode(spark, scratch):
