@@ -1,12 +1,13 @@
 """Vector expressions (native higher-order functions) and the metric table.
 
 Used where a score is needed per row (hybrid search re-rank, context checks).
-The bulk top-k scan uses the Arrow/NumPy partition scorer in
-``operators.search`` instead, which is much faster than interpreted lambdas.
+The bulk top-k scans score Arrow batches with ``score_matrix`` instead, which is
+much faster than interpreted lambdas.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -53,3 +54,15 @@ SCORERS = {"cosine": cosine, "dot": dot, "euclid": euclid, "manhattan": manhatta
 
 def score(metric: str, a, b) -> Column:
     return SCORERS[metric](a, b)
+
+
+def score_matrix(metric: str, points: np.ndarray, queries: np.ndarray) -> np.ndarray:
+    """Scores of all rows of ``points`` against all rows of ``queries`` (points x queries)."""
+    if metric == "dot":
+        return points @ queries.T
+    if metric == "cosine":
+        norms = np.outer(np.linalg.norm(points, axis=1), np.linalg.norm(queries, axis=1))
+        return np.divide(points @ queries.T, norms, out=np.zeros_like(norms), where=norms > 0)
+    if metric == "euclid":
+        return np.stack([np.sqrt(((points - q) ** 2).sum(axis=1)) for q in queries], axis=1)
+    return np.stack([np.abs(points - q).sum(axis=1) for q in queries], axis=1)

@@ -1,4 +1,4 @@
-"""Vector and keyword search (O-81 … O-91).
+"""Vector and keyword search (O-81 … O-86, O-88 … O-91); ``vector_index`` is the approximate search.
 
 Exact top-k plan, for any number of points:
 
@@ -72,8 +72,7 @@ def _query_blocks(queries: DataFrame, query_id: str, vector: str, max_queries: i
 
 
 def _partition_topk(points: DataFrame, qids: list, qmat: np.ndarray, k: int, metric: str,
-                    id_col: str, vector_col: str, carry: list[str],
-                    allowed: tuple[str, dict] | None = None) -> DataFrame:
+                    id_col: str, vector_col: str, carry: list[str]) -> DataFrame:
     larger = _larger_is_closer(metric)
     schema = points.select(id_col, *carry).schema
     out_schema = T.StructType([T.StructField("query_id", T.StringType(), False)]
@@ -82,29 +81,12 @@ def _partition_topk(points: DataFrame, qids: list, qmat: np.ndarray, k: int, met
     q = qmat.astype(np.float64)
     qids_s = np.array([str(x) for x in qids], dtype=object)
 
-    def scores(vmat: np.ndarray) -> np.ndarray:
-        if metric == "dot":
-            return vmat @ q.T
-        if metric == "cosine":
-            norms = np.outer(np.linalg.norm(vmat, axis=1), np.linalg.norm(q, axis=1))
-            return np.divide(vmat @ q.T, norms, out=np.zeros_like(norms), where=norms > 0)
-        if metric == "euclid":
-            return np.stack([np.sqrt(((vmat - q[j]) ** 2).sum(axis=1)) for j in range(len(q))], axis=1)
-        return np.stack([np.abs(vmat - q[j]).sum(axis=1) for j in range(len(q))], axis=1)
-
     def best_of(pdf: pd.DataFrame) -> pd.DataFrame:
         """The k best rows of a batch for every query at once; ties at the boundary are kept."""
-        s = scores(np.stack(pdf[vector_col].to_numpy()).astype(np.float64))
+        s = V.score_matrix(metric, np.stack(pdf[vector_col].to_numpy()).astype(np.float64), q)
         key = np.round(s, SCORE_DECIMALS)
         key = -key if larger else key
-        if allowed is not None:
-            codes, values = pd.factorize(pdf[allowed[0]])
-            of_query = np.array([np.isin(values, list(allowed[1].get(x, ()))) for x in qids_s])
-            # the added column, all false, is that of rows without a value (code -1)
-            key = np.where(np.pad(of_query, ((0, 0), (0, 1))).T[codes], key, np.inf)
-        near = np.isfinite(key)
-        if len(key) > k:
-            near &= key <= np.partition(key, k - 1, axis=0)[k - 1]
+        near = key <= np.partition(key, k - 1, axis=0)[k - 1] if len(key) > k else np.ones_like(key, bool)
         at, query = np.nonzero(near)
         return pdf[[id_col, *carry]].iloc[at].reset_index(drop=True).assign(score=s[at, query], query_id=query)
 
@@ -123,8 +105,7 @@ def _partition_topk(points: DataFrame, qids: list, qmat: np.ndarray, k: int, met
             out = _keep_k(pd.concat(best, ignore_index=True), k, larger, id_col)
             yield out.assign(query_id=qids_s[out["query_id"].to_numpy()])[["query_id", id_col, *carry, "score"]]
 
-    extra = [allowed[0]] if allowed is not None and allowed[0] not in (id_col, *carry) else []
-    return points.select(id_col, vector_col, *carry, *extra).mapInPandas(run, out_schema)
+    return points.select(id_col, vector_col, *carry).mapInPandas(run, out_schema)
 
 
 def _keep_k(df: pd.DataFrame, k: int, larger: bool, id_col: str) -> pd.DataFrame:
@@ -162,14 +143,11 @@ def rank_per_query(cands: DataFrame, k: int, metric: str, id_col: str = "id",
 def topk(points: DataFrame, queries: DataFrame, k: int = 10, metric: str = "cosine",
          id_col: str = "id", vector_col: str = "vector", query_id: str = "query_id",
          query_vector: str = "vector", carry: tuple[str, ...] = (),
-         max_queries: int = MAX_QUERIES_PER_SCAN, allowed: tuple[str, dict] | None = None) -> DataFrame:
+         max_queries: int = MAX_QUERIES_PER_SCAN) -> DataFrame:
     """Exact top-k per query (O-81 … O-85). Output: query_id, id, carry…, score, rank.
 
     A zero vector has the cosine 0 to everything. Points without a vector have
     no score; a query without a vector has no hits.
-
-    ``allowed=(column, {query_id: set of values})`` restricts each query to
-    points whose ``column`` is in its own set (used by the two-stage search).
     """
     if metric not in V.METRICS:
         raise ValueError(f"metric must be one of {list(V.METRICS)}")
@@ -183,7 +161,7 @@ def topk(points: DataFrame, queries: DataFrame, k: int = 10, metric: str = "cosi
             continue
         qmat = np.asarray([list(r["__qv"]) for r in rows], dtype=np.float64)
         cands = _partition_topk(points, [r["query_id"] for r in rows], qmat, k, metric,
-                                id_col, vector_col, list(carry), allowed)
+                                id_col, vector_col, list(carry))
         results.append(rank_per_query(cands, k, metric, id_col))
     if not results:
         schema = points.select(id_col, *carry).schema
@@ -211,36 +189,30 @@ def pair_topk(pairs: DataFrame, k: int, metric: str, id_col: str = "id",
 def two_stage(file_points: DataFrame, content_points: DataFrame, queries: DataFrame,
               k_files: int = 5, k_chunks: int = 5, metric: str = "cosine",
               file_col: str = "filename", page_col: str = "page_number",
-              max_queries: int = MAX_QUERIES_PER_SCAN) -> DataFrame:
+              max_queries: int = MAX_QUERIES_PER_SCAN, salts: int = 16) -> DataFrame:
     """Stage 1: top files by name vector; stage 2: top chunks within them (O-90).
 
-    Stage 1 yields at most ``queries x k_files`` (query, file) pairs, a
-    checked bound, held by the driver per query block. Stage 2 is one more
-    partition-local scoring scan over the content points of those files only
-    (an ``isin`` filter that reaches the scan), each query masked to its own
-    files. A hot file is therefore scanned once, never joined once per query.
+    Stage 1 is written to the shared scratch folder as (query, file) rows and joined
+    with the content points on the file, salted by point id, so a file with a third
+    of all points is dealt over ``salts`` tasks. Points of files that no query found
+    are dropped by a semi-join on the files alone before any vector is shuffled.
     Output: query_id, id, filename, page_number, score, rank.
     """
+    import uuid
+
+    from corpusflow.session import scratch_path
+    spark = queries.sparkSession
     qs = queries.select(F.col("query_id").cast("string").alias("query_id"), F.col("vector"))
-    results = []
-    for block in _query_blocks(qs, "query_id", "vector", max_queries):
-        stage1 = topk(file_points, block, k_files, metric, carry=(file_col,), max_queries=max_queries)
-        pairs = _collect_bounded(stage1.select("query_id", file_col), max_queries * k_files, "stage-1 pairs")
-        allowed: dict = {}
-        for r in pairs:
-            allowed.setdefault(r["query_id"], set()).add(r[file_col])
-        if not allowed:
-            continue
-        files = sorted({f for v in allowed.values() for f in v})
-        cand = content_points.where(F.col(file_col).isin(files))
-        results.append(topk(cand, block.where(F.col("query_id").isin(list(allowed))), k_chunks, metric,
-                            carry=(file_col, page_col), max_queries=max_queries, allowed=(file_col, allowed)))
-    if not results:
-        return topk(content_points.limit(0), qs.limit(0), k_chunks, metric, carry=(file_col, page_col))
-    out = results[0]
-    for r in results[1:]:
-        out = out.unionByName(r)
-    return out
+    first = topk(file_points, qs, k_files, metric, carry=(file_col,), max_queries=max_queries).select("query_id", file_col)
+    path = scratch_path(spark, f"stage1-{uuid.uuid4().hex}")
+    first.distinct().write.parquet(path)
+    files = spark.read.schema(first.schema).parquet(path)
+    asked = (files.join(qs.withColumnRenamed("vector", "query_vector"), "query_id")
+             .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
+    points = (content_points.select("id", "vector", file_col, page_col).join(files.select(file_col).distinct(), file_col, "left_semi")
+              .withColumn("__salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int")))
+    pairs = points.where("vector is not null").join(asked, [file_col, "__salt"])
+    return pair_topk(pairs, k_chunks, metric).select("query_id", "id", file_col, page_col, "score", "rank")
 
 
 def context_window(hits: DataFrame, content_points: DataFrame, window: int,
@@ -271,30 +243,17 @@ def keyword_search(points: DataFrame, queries: DataFrame, field: str, query_text
     ``mode='prefix'`` matches a query token against every prefix of the
     field's words (partial match), ``'word'`` needs whole words. Case is
     folded. A query token outside the length bounds (none above by default)
-    is in no posting list, so its query has no hits. Inverted-index plan: each query is driven by its *rarest* token
-    (smallest posting list), candidates come from that token's postings only,
-    and the remaining tokens are verified per candidate. A common token
-    ('doc', 'pdf') therefore never pairs every query with every point.
+    is in no posting list, so its query has no hits. The field is tokenised once, into
+    postings in the shared scratch folder; with an index written before, use
+    ``text_index.token_search`` on it.
     """
-    if mode == "prefix":
-        ftoks = TX.prefix_tokens(field, min_len, max_len)
-    else:
-        ftoks = TX.normalise_tokens(TX.word_tokens(field), min_len, max_len)
-    fields = points.select(id_col, F.array_distinct(ftoks).alias("__ft"))
-    index = fields.select(id_col, F.explode("__ft").alias("token"))
-    qt = queries.select(F.col(query_id).alias("query_id"),
-                        F.array_distinct(TX.normalise_tokens(TX.word_tokens(query_text))).alias("__qt"))
-    qtok = qt.select("query_id", F.explode("__qt").alias("token"))
-    wanted = qtok.select("token").distinct()
-    freq = index.join(wanted, "token", "left_semi").groupBy("token").agg(F.count(F.lit(1)).alias("__df"))
-    rarest = (qtok.join(freq, "token").groupBy("query_id")
-              .agg(F.min_by("token", F.struct("__df", "token")).alias("token"), F.count(F.lit(1)).alias("__have"))
-              .join(qt, "query_id").where(F.col("__have") == F.size("__qt")))
-    cand = index.join(rarest.select("query_id", "token", "__qt"), "token")
-    # only candidate points' token arrays take part in the verification join
-    cand_fields = fields.join(cand.select(id_col).distinct(), id_col, "left_semi")
-    hits = cand.join(cand_fields, id_col).where(F.forall("__qt", lambda t: F.array_contains(F.col("__ft"), t)))
-    return hits.select("query_id", id_col)
+    import uuid
+
+    from corpusflow.operators import text_index as TI
+    from corpusflow.session import scratch_path
+    path = scratch_path(points.sparkSession, f"postings-{uuid.uuid4().hex}")
+    TI.write_index(TI.token_rows(points, id_col, field, mode, min_len, max_len), path)
+    return TI.token_search(points.sparkSession, path, queries.select(F.col(query_id).alias("query_id"), F.col(query_text).alias("text")), id_col)
 
 
 def hybrid_search(points: DataFrame, queries: DataFrame, field: str, k: int = 10,
@@ -306,65 +265,3 @@ def hybrid_search(points: DataFrame, queries: DataFrame, field: str, k: int = 10
     qv = queries.select(F.col("query_id"), F.col("vector").alias("query_vector"))
     pairs = matched.join(qv, "query_id").join(points.select(id_col, "vector", *carry), id_col)
     return pair_topk(pairs, k, metric, id_col)
-
-
-# ---- approximate search: random-hyperplane LSH with exact re-rank (O-87) ----
-
-def _hyperplanes(dim: int, bits: int, tables: int, seed: int) -> np.ndarray:
-    rng = np.random.default_rng(seed)
-    return rng.standard_normal((tables * bits, dim))
-
-
-def lsh_signatures(df: DataFrame, vector_col: str, planes: np.ndarray, bits: int,
-                   tables: int) -> DataFrame:
-    """One row per (table, bucket) for every input row.
-
-    Sign bits against constant random hyperplanes, computed with NumPy over
-    Arrow batches (one matrix product per batch), then packed into a bucket
-    number per table. All input columns are passed through.
-    """
-    out_schema = T.StructType(list(df.schema.fields) + [
-        T.StructField("lsh_table", T.IntegerType(), False), T.StructField("lsh_bucket", T.IntegerType(), False)])
-    weights = (1 << np.arange(bits - 1, -1, -1)).astype(np.int64)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            pdf = pdf[pdf[vector_col].notna()].reset_index(drop=True)
-            if pdf.empty:
-                continue
-            vmat = np.stack(pdf[vector_col].to_numpy()).astype(np.float64)
-            signs = (vmat @ planes.T >= 0).astype(np.int64).reshape(len(pdf), tables, bits)
-            codes = signs @ weights  # rows x tables
-            rep = pdf.loc[pdf.index.repeat(tables)].reset_index(drop=True)
-            rep["lsh_table"] = np.tile(np.arange(tables, dtype=np.int32), len(pdf))
-            rep["lsh_bucket"] = codes.reshape(-1).astype(np.int32)
-            yield rep
-
-    return df.mapInPandas(run, out_schema)
-
-
-def approx_topk(points: DataFrame, queries: DataFrame, k: int = 10, metric: str = "cosine",
-                bits: int = 4, tables: int = 16, seed: int = 7, id_col: str = "id",
-                carry: tuple[str, ...] = ()) -> DataFrame:
-    """LSH candidates re-ranked exactly, at every size; ``topk`` is the exact search.
-
-    Candidates are all points sharing a bucket with the query in any table —
-    uncapped. The query side of the bucket join is broadcast; its bound counts
-    the ``tables`` rows that each query becomes.
-    """
-    probe = points.select("vector").where(F.col("vector").isNotNull()).first()
-    if probe is None:
-        return topk(points, queries, k, metric, id_col=id_col, carry=carry)  # no point to hash: the empty result
-    dim = len(probe[0])
-    planes = _hyperplanes(dim, bits, tables, seed)
-    psig = lsh_signatures(points.select(id_col, "vector", *carry), "vector", planes, bits, tables)
-    qs = queries.select(F.col("query_id").cast("string").alias("query_id"), F.col("vector").alias("query_vector"))
-    out = None
-    # the query side is broadcast, so it is processed in blocks with a proven bound
-    for block in _query_blocks(qs, "query_id", "query_vector", max(1, MAX_QUERIES_PER_SCAN // tables)):
-        qsig = lsh_signatures(block, "query_vector", planes, bits, tables)
-        pairs = psig.join(F.broadcast(qsig), ["lsh_table", "lsh_bucket"]).select(
-            "query_id", id_col, "vector", "query_vector", *carry).dropDuplicates(["query_id", id_col])
-        ranked = pair_topk(pairs, k, metric, id_col)
-        out = ranked if out is None else out.unionByName(ranked)
-    return out

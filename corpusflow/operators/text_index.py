@@ -1,11 +1,11 @@
-"""Inverted text index as tables (O-38).
+"""Inverted text index as tables (O-38), and searches on it (O-75, O-88).
 
 Postings stay in long format ``(token, id, tf, first_pos)``: a token that
 occurs in every document is many rows spread over many partitions, never one
 collected list. The per-token summary is a grouped count with map-side
-partial aggregation. Writing the postings clustered by token
-(``repartitionByRange`` + ``sortWithinPartitions``) gives Parquet min/max
-pruning on token lookups.
+partial aggregation. Postings are written clustered by token, so that a lookup of
+tokens reads the row groups that may hold them only: the tokens of a block of queries
+are a pushed filter of the scan. A search never tokenises the indexed texts.
 """
 
 from __future__ import annotations
@@ -38,6 +38,81 @@ def token_summary(post: DataFrame, id_col: str) -> DataFrame:
         F.count(id_col).cast("bigint").alias("doc_freq"), F.sum("tf").cast("bigint").alias("total_freq"))
 
 
-def write_index(post: DataFrame, path: str, partitions: int | None = None) -> None:
-    out = post.repartitionByRange(partitions, "token") if partitions else post.repartitionByRange("token")
-    out.sortWithinPartitions("token").write.mode("overwrite").parquet(path)
+def token_rows(df: DataFrame, id_col: str, field: str, mode: str = "prefix", min_len: int = 1, max_len: int | None = None) -> DataFrame:
+    """``token, id`` once each: the field's words, or all prefixes of them, lower-cased."""
+    tokens = TX.prefix_tokens(field, min_len, max_len) if mode == "prefix" else TX.normalise_tokens(TX.word_tokens(field), min_len, max_len)
+    return df.select(F.explode(F.array_distinct(tokens)).alias("token"), id_col)
+
+
+def position_rows(df: DataFrame, id_col: str, field: str, lowercase: bool = True) -> DataFrame:
+    """``token, id, pos`` for every word of every row."""
+    tokens = TX.word_tokens(field)
+    tokens = F.transform(tokens, lambda t: F.lower(t)) if lowercase else tokens
+    return df.select(id_col, F.posexplode(tokens).alias("pos", "token")).select("token", id_col, "pos")
+
+
+def write_index(rows: DataFrame, path: str, partitions: int | None = None) -> None:
+    """Write rows with a ``token`` clustered by it. Ranges split at tokens and, within a frequent token, at the next column."""
+    keys = ["token", next(c for c in rows.columns if c != "token")]
+    out = rows.repartitionByRange(partitions, *keys) if partitions else rows.repartitionByRange(*keys)
+    out.sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
+
+
+#: tokens of a block of queries, which become a filter of the scan
+TOKENS_AT_ONCE = 10_000
+
+
+def _blocks(tokens: DataFrame) -> list[list[str]]:
+    """The distinct tokens in blocks of ``TOKENS_AT_ONCE`` at most, for pushed filters; more than a block are joined instead."""
+    rows = tokens.select("token").distinct().limit(TOKENS_AT_ONCE + 1).collect()
+    return [sorted(r["token"] for r in rows)] if len(rows) <= TOKENS_AT_ONCE else []
+
+
+def lookup(spark, path: str, tokens: DataFrame) -> DataFrame:
+    """The index rows of the given tokens: a pushed filter for ``TOKENS_AT_ONCE`` tokens at most, a semi-join for more."""
+    index = spark.read.parquet(path)
+    blocks = _blocks(tokens)
+    return index.where(F.col("token").isin(blocks[0])) if blocks else index.join(tokens.select("token").distinct(), "token", "left_semi")
+
+
+def token_search(spark, path: str, queries: DataFrame, id_col: str = "id") -> DataFrame:
+    """``query_id, id`` of the rows that have all words of ``queries(query_id, text)`` among their tokens.
+
+    A query is driven by its rarest word: candidates come from that word's rows only,
+    and each other word is looked up by (token, id), so a word that every row has never
+    pairs all rows with a query. A query without words has no hits.
+    """
+    words = F.array_distinct(TX.normalise_tokens(TX.word_tokens("text")))
+    asked = queries.select("query_id", words.alias("words")).distinct()
+    tokens = asked.select("query_id", F.size("words").alias("n"), F.explode("words").alias("token"))
+    rows = lookup(spark, path, tokens)
+    often = rows.groupBy("token").agg(F.count("*").alias("often"))
+    rarest = (tokens.join(often, "token").groupBy("query_id", "n")
+              .agg(F.min_by("token", F.struct("often", "token")).alias("token"), F.count("*").alias("known")).where("known = n"))
+    found = rows.join(rarest.select("query_id", "n", "token"), "token").select("query_id", "n", id_col, F.col("token").alias("rarest"))
+    others = found.where("n > 1").join(tokens.select("query_id", "token"), "query_id").where("token <> rarest")
+    whole = (others.join(rows, ["token", id_col]).groupBy("query_id", "n", id_col).agg(F.count("*").alias("hits")).where("hits = n - 1"))
+    return found.where("n = 1").select("query_id", id_col).unionByName(whole.select("query_id", id_col))
+
+
+def phrase_search(spark, path: str, phrases: DataFrame, id_col: str = "id", lowercase: bool = True) -> DataFrame:
+    """``phrase_id, id`` of the rows that hold the words of ``phrases(phrase_id, phrase)`` one after the other.
+
+    ``path`` has ``position_rows``. A phrase starts at its rarest word's places; each of
+    its other words is looked up at the place that follows from there. A phrase
+    without words has no hits.
+    """
+    words = TX.word_tokens("phrase")
+    words = F.transform(words, lambda t: F.lower(t)) if lowercase else words
+    tokens = (phrases.select("phrase_id", words.alias("words")).distinct()
+              .select("phrase_id", F.size("words").alias("n"), F.posexplode("words").alias("offset", "token")))
+    rows = lookup(spark, path, tokens)
+    often = rows.groupBy("token").agg(F.count("*").alias("often"))
+    rarest = (tokens.join(often, "token").groupBy("phrase_id", "n")
+              .agg(F.min_by(F.struct("token", "offset"), F.struct("often", "offset")).alias("r"), F.count("*").alias("known")).where("known = n"))
+    starts = (rows.join(rarest.select("phrase_id", "n", F.col("r.token").alias("token"), F.col("r.offset").alias("offset")), "token")
+              .select("phrase_id", "n", id_col, (F.col("pos") - F.col("offset")).alias("start")))
+    places = (starts.join(tokens.select("phrase_id", "offset", "token"), "phrase_id")
+              .select("phrase_id", "n", id_col, "start", "token", (F.col("start") + F.col("offset")).alias("pos")))
+    return (places.join(rows, ["token", id_col, "pos"]).groupBy("phrase_id", "n", id_col, "start").agg(F.count("*").alias("hits"))
+            .where("hits = n").select("phrase_id", id_col).distinct())

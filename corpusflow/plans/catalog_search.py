@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusflow.functions import paths as P
+from corpusflow.functions import text as TX
 from corpusflow.operators import convert as CV
 from corpusflow.operators import dedup as DD
 from corpusflow.operators import embedding as EM
 from corpusflow.operators import reports as RP
 from corpusflow.operators import search as S
+from corpusflow.operators import text_index as TI
+from corpusflow.operators import vector_index as VI
 from corpusflow.plans import fixtures as FX
 from corpusflow.plans import jobs as J
 from corpusflow.plans.catalog import REGISTRY, WORD_RE, query
@@ -72,10 +75,31 @@ def search_multi_query(spark, d):
     return S.topk(docs.withColumnRenamed("doc_id", "id"), qs, 5, "cosine").select("query_id", "id", "score", "rank")
 
 
+def _approximate(spark, d):
+    points, path = FX.fx_points(spark, d), _scratch(spark, "inverted-file")
+    VI.build(points, path, "cosine")
+    return VI.search(spark, path, FX.fx_queries(spark, d), 10)
+
+
 @query("search_approx", None, "O-87")
 def search_approx(spark, d):
-    return S.approx_topk(FX.fx_points(spark, d), FX.fx_queries(spark, d), 10, "cosine").select(
-        "query_id", "id", "score", "rank")
+    return _approximate(spark, d).select("query_id", "id", "score", "rank", "scored")
+
+
+@query("search_approx_recall", """
+SELECT CAST((SELECT count(*) FROM fx_queries) AS BIGINT) AS n_queries, CAST(10 * (SELECT count(*) FROM fx_queries) AS BIGINT) AS n_hits,
+  true AS recall_at_least_90_percent, true AS under_half_of_all_points_scored""", "O-87")
+def search_approx_recall(spark, d):
+    """Recall at 10 of the inverted file against the exact search, and how much of the table it scores."""
+    found = _approximate(spark, d)
+    exact = S.topk(FX.fx_points(spark, d), FX.fx_queries(spark, d), 10, "cosine")
+    scored = found.groupBy("query_id").agg(F.max("scored").alias("scored"), F.count("*").alias("hits")).agg(
+        F.count("*").alias("n_queries"), F.sum("hits").alias("n_hits"), F.avg("scored").alias("scored"))
+    n = FX.fx_points(spark, d).agg(F.count("*").alias("n"))
+    one = F.lit(1).alias("one")
+    return (scored.select("*", one).join(n.select("*", one), "one").join(VI.recall(exact, found).select("*", one), "one")
+            .select("n_queries", "n_hits", (F.col("recall") >= 0.9).alias("recall_at_least_90_percent"),
+                    (F.col("scored") < F.col("n") / 2).alias("under_half_of_all_points_scored")))
 
 
 _PREFIX_SQL = ("flatten(list_transform(list_transform(regexp_extract_all({x}, '" + WORD_RE + "'), lambda w: lower(w)), "
@@ -94,15 +118,39 @@ def search_keyword_filenames(spark, d):
     return S.keyword_search(files, qs, "name", id_col="id", mode="prefix")
 
 
+@query("search_stored_words", f"""
+WITH q AS (SELECT item_id, {_QTOK_SQL.replace('{x}', 'text')} AS qt FROM (SELECT item_id, array_to_string(regexp_extract_all(text, '{WORD_RE}')[1:3], ' ') AS text FROM benchmark)),
+f AS (SELECT doc_id, list_distinct(list_transform(regexp_extract_all(text, '{WORD_RE}'), lambda w: lower(w))) AS ft FROM documents)
+SELECT item_id AS query_id, doc_id FROM q, f WHERE len(qt) > 0 AND list_has_all(ft, qt)""", "O-38 O-74 O-88")
+def search_stored_words(spark, d):
+    """The documents that hold the first three words of a benchmark item, from an index of all documents' words."""
+    path = _scratch(spark, "words")
+    TI.write_index(TI.token_rows(FX.table(spark, d, "documents"), "doc_id", "text", "word"), path)
+    first = F.array_join(F.slice(TX.word_tokens("text"), 1, 3), " ")
+    return TI.token_search(spark, path, FX.table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), first.alias("text")), "doc_id")
+
+
+@query("search_stored_phrases", f"""
+WITH q AS (SELECT item_id, ' ' || array_to_string(list_transform(regexp_extract_all(text, '{WORD_RE}')[1:3], lambda w: lower(w)), ' ') || ' ' AS p FROM benchmark),
+f AS (SELECT doc_id, ' ' || array_to_string(list_transform(regexp_extract_all(text, '{WORD_RE}'), lambda w: lower(w)), ' ') || ' ' AS t FROM documents)
+SELECT item_id AS phrase_id, doc_id FROM q, f WHERE trim(p) <> '' AND contains(t, p)""", "O-38 O-75")
+def search_stored_phrases(spark, d):
+    """The documents that hold the first three words of a benchmark item in sequence, from an index of all words' places."""
+    path = _scratch(spark, "places")
+    TI.write_index(TI.position_rows(FX.table(spark, d, "documents"), "doc_id", "text"), path)
+    first = F.array_join(F.slice(TX.word_tokens("text"), 1, 3), " ")
+    return TI.phrase_search(spark, path, FX.table(spark, d, "benchmark").select(F.col("item_id").alias("phrase_id"), first.alias("phrase")), "doc_id")
+
+
 @query("search_hybrid", f"""
-WITH q AS (SELECT query_id, vector, {_QTOK_SQL.replace('{x}', "'doc ' || query_id")} AS qt FROM fx_queries),
+WITH q AS (SELECT query_id, vector, {_QTOK_SQL.replace('{x}', "'doc ' || substr(query_id, 1, 1)")} AS qt FROM fx_queries),
 c AS (SELECT q.query_id, p.id, list_cosine_similarity(p.vector, q.vector) AS score
       FROM q, fx_filename_points p WHERE list_has_all({_PREFIX_SQL.replace('{x}', 'p.pagecontent')}, q.qt))
 SELECT query_id, id, round(score, 6) AS score, CAST(rn AS INTEGER) AS rank FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, id) AS rn FROM c) WHERE rn <= 5""",
        "O-89")
 def search_hybrid(spark, d):
-    qs = FX.fx_queries(spark, d).withColumn("text", F.concat(F.lit("doc "), F.col("query_id")))
+    qs = FX.fx_queries(spark, d).withColumn("text", F.concat(F.lit("doc "), F.substring("query_id", 1, 1)))
     return S.hybrid_search(FX.fx_filename_points(spark, d), qs, "pagecontent", k=5).select(
         "query_id", "id", "score", "rank")
 

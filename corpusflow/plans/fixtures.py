@@ -138,8 +138,8 @@ def fx_points(spark, d):
     e = table(spark, d, "embeddings")
     return e.select(
         F.col("vec_id").alias("id"),
-        F.concat(F.lit("doc_"), (F.col("vec_id") % 50).cast("string"), F.lit(".pdf")).alias("filename"),
-        (F.floor(F.col("vec_id") / 50) + 1).cast("int").alias("page_number"),
+        F.concat(F.lit("doc_"), F.floor(F.col("vec_id") / 10).cast("string"), F.lit(".pdf")).alias("filename"),
+        (F.col("vec_id") % 10 + 1).cast("int").alias("page_number"),
         _etype().alias("element_type"),
         F.concat(F.lit("chunk "), F.col("vec_id").cast("string")).alias("pagecontent"),
         F.col("embedding").alias("vector"), "label")
@@ -152,13 +152,9 @@ def fx_filename_points(spark, d):
 
 
 def fx_queries(spark, d):
-    """Query vectors derived from the whole table: the mean vector of each label."""
-    e = table(spark, d, "embeddings")
-    per_dim = (e.select("label", F.posexplode("embedding").alias("i", "x"))
-               .groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("x")))
-    return per_dim.groupBy("label").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("vector")
-    ).select(F.col("label").cast("string").alias("query_id"), "vector")
+    """Query vectors: the rows whose id is divisible by 100, asked against all rows."""
+    return table(spark, d, "embeddings").where("vec_id % 100 = 0").select(
+        F.col("vec_id").cast("string").alias("query_id"), F.col("embedding").alias("vector"))
 
 
 def fx_geo(spark, d):
@@ -212,16 +208,13 @@ SELECT 'page_' || CAST(page_id AS VARCHAR) || '.html', md5(html), TIMESTAMP '202
     WHEN 5 THEN concat('1. one', chr(10), '2. two', chr(10), chr(10), text)
     ELSE text END AS text
 FROM documents""",
-    "fx_points": """SELECT vec_id AS id, concat('doc_', CAST(vec_id % 50 AS VARCHAR), '.pdf') AS filename,
-  CAST(floor(vec_id / 50) AS INTEGER) + 1 AS page_number,
+    "fx_points": """SELECT vec_id AS id, concat('doc_', CAST(vec_id // 10 AS VARCHAR), '.pdf') AS filename,
+  CAST(vec_id % 10 + 1 AS INTEGER) AS page_number,
   CASE label % 5 WHEN 0 THEN 'Text' WHEN 1 THEN 'Table' WHEN 2 THEN 'List' WHEN 3 THEN 'Code' ELSE 'Image' END AS element_type,
   concat('chunk ', CAST(vec_id AS VARCHAR)) AS pagecontent, CAST(embedding AS DOUBLE[]) AS vector, label
 FROM embeddings""",
     "fx_filename_points": "SELECT id, filename, filename AS pagecontent, vector FROM fx_points WHERE page_number = 1",
-    "fx_queries": """SELECT CAST(label AS VARCHAR) AS query_id, list(x ORDER BY i) AS vector FROM (
-  SELECT label, i, avg(CAST(x AS DOUBLE)) AS x FROM (
-    SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings) GROUP BY label, i)
-GROUP BY label""",
+    "fx_queries": """SELECT CAST(vec_id AS VARCHAR) AS query_id, CAST(embedding AS DOUBLE[]) AS vector FROM embeddings WHERE vec_id % 100 = 0""",
     "fx_geo": """SELECT s_suppkey, s_name, CAST((s_suppkey * 37) % 360 - 180 AS DOUBLE) AS lon,
   CAST((s_suppkey * 17) % 180 - 90 AS DOUBLE) AS lat FROM supplier""",
 }

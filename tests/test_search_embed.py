@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from corpusflow.operators import embedding as EM
 from corpusflow.operators import search as S
+from corpusflow.operators import text_index as TI
+from corpusflow.operators import vector_index as VI
 from corpusflow.plans import fixtures as FX
 from conftest import SF_MID, SF_SMALL
 
@@ -51,12 +53,68 @@ def test_topk_plan_has_no_cross_join(spark):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-def test_lsh_recall(spark):
-    pts = FX.fx_points(spark, SF_MID)
-    qs = FX.fx_queries(spark, SF_MID)
-    exact = {(r.query_id, r.id) for r in S.topk(pts, qs, 10).collect()}
-    approx = {(r.query_id, r.id) for r in S.approx_topk(pts, qs, 10).collect()}
-    assert len(exact & approx) / len(exact) >= 0.7
+@pytest.mark.parametrize("metric", ["cosine", "euclid", "dot"])
+def test_inverted_file(spark, scratch, metric):
+    """Queries are the rows whose id is divisible by 100. Every point is indexed, and all probes give the exact result."""
+    pts, qs = FX.fx_points(spark, SF_MID), FX.fx_queries(spark, SF_MID)
+    VI.build(pts, scratch, metric, carry=("filename",))
+    index = spark.read.parquet(f"{scratch}/points")
+    assert {r.id for r in index.select("id").collect()} == {r.id for r in pts.select("id").collect()}
+    exact = [tuple(r) for r in S.topk(pts, qs, 10, metric, carry=("filename",)).orderBy("query_id", "rank").collect()]
+    whole = VI.search(spark, scratch, qs, 10, share=1.0, carry=("filename",)).orderBy("query_id", "rank")
+    assert [tuple(r)[:-1] for r in whole.select("query_id", "id", "filename", "score", "rank", "scored").collect()] == exact
+    found = VI.search(spark, scratch, qs, 10).collect()
+    hit = {(r.query_id, r.id) for r in found} & {e[:2] for e in exact}
+    if metric != "dot":
+        assert len(hit) / len(exact) >= 0.9
+    assert all(r.scored < 0.5 * pts.count() for r in found)
+    plan = VI.search(spark, scratch, qs.limit(1), 10, share=0.01)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "cell" in plan
+
+
+def test_inverted_file_odd_rows(spark, scratch):
+    rows = [(i, [float(i % 5), 1.0]) for i in range(40)] + [(90, None), (91, [0.0, 0.0]), (92, [4.0, 1.0]), (92, [4.0, 1.0])]
+    pts = spark.createDataFrame(rows, "id long, vector array<double>")
+    VI.build(pts, scratch)
+    assert spark.read.parquet(f"{scratch}/points").count() == 43
+    qs = spark.createDataFrame([("a", [4.0, 1.0]), ("none", None)], "query_id string, vector array<double>")
+    got = VI.search(spark, scratch, qs, 3).collect()
+    assert {r.query_id for r in got} == {"a"} and len(got) == 3 and all(r.score == 1.0 for r in got)
+    assert VI.search(spark, scratch, qs.limit(0), 3).collect() == []
+    with pytest.raises(ValueError):
+        VI.build(pts.limit(0), scratch + "/none")
+
+
+def test_two_stage_with_a_frequent_file(spark):
+    """One file holds most points; the result is that of scoring every point of the files found."""
+    rng = np.random.default_rng(3)
+    pts = [(i, "big" if i < 300 else f"f{i % 40}", i, rng.normal(size=8).tolist()) for i in range(500)]
+    content = spark.createDataFrame(pts, "id long, filename string, page_number int, vector array<double>")
+    names = [(i, f, rng.normal(size=8).tolist()) for i, f in enumerate(sorted({p[1] for p in pts}))]
+    files = spark.createDataFrame(names, "id long, filename string, vector array<double>")
+    asked = [(f"q{i}", rng.normal(size=8).tolist()) for i in range(6)]
+    got = S.two_stage(files, content, spark.createDataFrame(asked, "query_id string, vector array<double>"), 3, 4).collect()
+    cos = lambda a, b: round(float(np.dot(a, b) / np.linalg.norm(a) / np.linalg.norm(b)), 6)
+    for q, v in asked:
+        best = {n[1] for n in sorted(names, key=lambda n: (-cos(n[2], v), n[0]))[:3]}
+        want = sorted(((-cos(p[3], v), p[0]) for p in pts if p[1] in best))[:4]
+        assert sorted((r.rank, r.id) for r in got if r.query_id == q) == [(i + 1, x) for i, (_, x) in enumerate(want)]
+
+
+def test_stored_index(spark, scratch):
+    """Words and phrases from a written index; a lookup of few tokens is a pushed filter."""
+    rows = [(1, "The quick brown fox"), (2, "quick the brown"), (3, "the the the end"), (4, ""), (5, None), (6, "a fox, the quick one: the end")]
+    df = spark.createDataFrame(rows, "id long, text string")
+    TI.write_index(TI.token_rows(df, "id", "text", "word"), f"{scratch}/w", 3)
+    TI.write_index(TI.position_rows(df, "id", "text"), f"{scratch}/p", 3)
+    qs = spark.createDataFrame([("a", "the"), ("b", "quick THE the"), ("c", "missing the"), ("d", ""), ("e", None), ("a", "the")], "query_id string, text string")
+    assert sorted(map(tuple, TI.token_search(spark, f"{scratch}/w", qs).collect())) == [
+        ("a", 1), ("a", 2), ("a", 3), ("a", 6), ("b", 1), ("b", 2), ("b", 6)]
+    ps = spark.createDataFrame([("a", "the quick"), ("b", "the the"), ("c", "The END"), ("d", "fox the quick"), ("e", ""), ("f", None)], "phrase_id string, phrase string")
+    assert sorted(map(tuple, TI.phrase_search(spark, f"{scratch}/p", ps).collect())) == [
+        ("a", 1), ("a", 6), ("b", 3), ("c", 3), ("c", 6), ("d", 6)]
+    look = TI.lookup(spark, f"{scratch}/w", spark.createDataFrame([("fox",)], "token string"))
+    assert "PushedFilters: [" in look._jdf.queryExecution().executedPlan().toString() and sorted(r.id for r in look.collect()) == [1, 6]
 
 
 def test_context_window_rule(spark):
@@ -137,14 +195,6 @@ def test_zero_vectors_are_ranked(spark, max_queries):
     assert got == {"q": [("a", 1.0), ("b", 0.0), ("c", -1.0)], "z": [("a", 0.0), ("b", 0.0), ("c", 0.0)], "n": []}
 
 
-def test_topk_keeps_to_each_querys_files(spark):
-    pts = spark.createDataFrame([(f"p{i}", f"f{i % 3}" if i % 4 else None, [float(i), 1.0]) for i in range(24)],
-                                "id string, filename string, vector array<double>")
-    qs = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [-1.0, 0.0])], "query_id string, vector array<double>")
-    got = S.topk(pts, qs, 2, "dot", carry=("filename",), allowed=("filename", {"a": {"f0"}, "b": {"f1", "f2"}})).collect()
-    assert {(r.query_id, r.id) for r in got} == {("a", "p21"), ("a", "p18"), ("b", "p1"), ("b", "p2")}
-
-
 def test_topk_without_any_file_name(spark):
     pts = spark.createDataFrame([("p", None, [1.0])], "id string, filename string, vector array<double>")
     qs = spark.createDataFrame([("a", [1.0])], "query_id string, vector array<double>")
