@@ -1,19 +1,22 @@
 """Document fingerprints by invertible Bloom lookup sketches (native).
 
-A paragraph is a line, cut after every ``CUT`` characters; a document is the set
-of its paragraphs' 64-bit digests. A sketch has three sub-tables of cells; a
-digest falls into one cell of each, which counts it and keeps the XOR of its
-digests and of their check values. Sketches subtract cell by cell, and what two
-versions share cancels. Peeling recovers the rest: a cell whose count is 1 or -1
-and whose check fits holds one digest, which is taken out of its other cells.
-Sub-tables are peeled in turn, so no digest is taken out twice in a round. The
-published fingerprints have ``CELLS`` cells. To compare two sets, sketches get as
-many cells a sub-table as both have digests; pairs that don't decode are sketched
-again with four times the cells until all do.
-
-Everything is rows of (pair, cell) that stay in the partition of their document.
-Only texts are shuffled, and digests are made anew where they are needed: they
-take half the room of a text and don't compress.
+A paragraph is a line, cut after every ``cut`` characters, where ``cut`` is a power of two
+that follows from the text's length: 16 cuts or fewer make a text, whatever its length,
+and more than 8 above 32 characters. A document is the set of its paragraphs' 64-bit
+digests. Two versions are compared at the coarser of their cuts; a piece of a coarser
+cut is two of the finer, so what they share they share at both.
+
+A sketch has three sub-tables of cells; a digest falls into one cell of each, which
+counts it and keeps the XOR of its digests and of their check values. Sketches subtract
+cell by cell, and what two versions share cancels. Peeling recovers the rest: a cell
+whose count is 1 or -1 and whose check fits holds one digest, which is taken out of its
+other cells. Sub-tables are peeled in turn, so no digest is taken out twice in a round.
+Sketches of ``CELLS`` cells, as the fingerprints have, are compared first; pairs that
+differ in more than those can tell are sketched again with four times the cells, until
+all decode.
+
+Texts are shuffled once, to bring each beside the next; digests are few, so they are
+staged, and everything after is rows of (pair, cell) that stay in their partition.
 """
 
 from __future__ import annotations
@@ -26,13 +29,21 @@ from pyspark.sql import functions as F
 from corpusflow.llm.common import stage, text_or_empty, unstage
 from corpusflow.llm.ranges import MAX_RANGES, range_of, splitters
 
-CELLS, GROWTH, ROUNDS, CUT = 36, 4, 12, 16
+CELLS, GROWTH, ROUNDS, PIECES, LEAST_CUT = 48, 4, 12, 16, 2
 BYTES_PER_RANGE = 1 << 20
 
 
-def digests(text: Column) -> Column:
+def cut_of(text: Column) -> Column:
+    """The cut of a text: the smallest power of two of which ``PIECES`` cover its characters, ``LEAST_CUT`` at least."""
+    over = F.floor((F.length(text) - 1) / PIECES)
+    bits = F.when(over > 0, F.length(F.bin(over))).otherwise(0)
+    return F.greatest(F.lit(LEAST_CUT), F.pow(F.lit(2.0), bits).cast("int"))
+
+
+def digests(text: Column, cut: Column) -> Column:
     """Distinct digests of a text's paragraphs."""
-    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(r"[^\n]{1,%d}" % CUT), F.lit(0)), lambda p: F.xxhash64(p)))
+    pieces = F.regexp_extract_all(text, F.concat(F.lit("[^\\n]{1,"), cut.cast("string"), F.lit("}")), F.lit(0))
+    return F.array_distinct(F.transform(pieces, lambda p: F.xxhash64(p)))
 
 
 def check(digest: Column | str) -> Column:
@@ -65,26 +76,23 @@ def difference(pairs: DataFrame, growth: int = 1, part: str = "row") -> DataFram
 
     Rows ``row, cell, n, digest``: a recovered digest has cell -1, and n is 1 if
     only ``a`` has it, -1 if only ``b``. Rows with a cell from 0 are what could
-    not be peeled; a pair that has one isn't decoded. A sub-table has ``growth``
-    cells for each digest of both sets. Nothing is shuffled if ``pairs`` is
-    partitioned by its column ``part``.
+    not be peeled; a pair that has one isn't decoded. The sketches have ``growth``
+    times ``CELLS`` cells. Nothing is shuffled if ``pairs`` is partitioned by its
+    column ``part``.
     """
     sides = F.array(F.struct(F.lit(1).alias("n"), F.col("a").alias("d")), F.struct(F.lit(-1).alias("n"), F.col("b").alias("d")))
-    keys = list(dict.fromkeys([part, "row"])) + ["third"]
-    third = F.greatest(F.lit(CELLS // 3), F.size("a") + F.size("b")).cast("long") * growth
-    one = (pairs.select(*keys[:-1], third.alias("third"), F.explode(sides).alias("s"))
-           .select(*keys, F.col("s.n").alias("n"), F.explode("s.d").alias("digest")))
-    state = _merge(_entries(one, F.col("third"), *keys), keys)
+    keys, third = list(dict.fromkeys([part, "row"])), CELLS // 3 * growth
+    one = pairs.select(*keys, F.explode(sides).alias("s")).select(*keys, F.col("s.n").alias("n"), F.explode("s.d").alias("digest"))
+    state = _merge(_entries(one, F.lit(third), *keys), keys)
     for r in range(ROUNDS):
         t = r % 3
-        pure = ((F.col("cell") >= F.col("third") * t) & (F.col("cell") < F.col("third") * (t + 1)) & (F.abs("n") == 1)
-                & (F.col("chk") == check("digest")))
+        pure = (F.col("cell").between(third * t, third * (t + 1) - 1) & (F.abs("n") == 1) & (F.col("chk") == check("digest")))
         same = F.struct("cell", "n")
-        found = F.struct((-F.col("cell") - 1 - F.col("third") * (3 * r)).alias("cell"), F.col("n").alias("n"))
-        out = [F.struct(cell("digest", u, F.col("third")).alias("cell"), (-F.col("n")).alias("n")) for u in range(3) if u != t]
+        found = F.struct((-F.col("cell") - 1 - third * 3 * r).alias("cell"), F.col("n").alias("n"))
+        out = [F.struct(cell("digest", u, F.lit(third)).alias("cell"), (-F.col("n")).alias("n")) for u in range(3) if u != t]
         state = _merge(state.select(*keys, "digest", "chk", F.explode(F.when(pure, F.array(found, *out)).otherwise(F.array(same))).alias("e"))
                        .select(*keys, F.col("e.n").alias("n"), "digest", "chk", F.col("e.cell").alias("cell")), keys)
-    return state.select(*keys[:-1], F.greatest("cell", F.lit(-1)).alias("cell"), "n", "digest")
+    return state.select(*keys, F.greatest("cell", F.lit(-1)).alias("cell"), "n", "digest")
 
 
 def _merge(entries: DataFrame, keys: list[str]) -> DataFrame:
@@ -98,8 +106,7 @@ def differing(pairs: DataFrame, part: str = "row") -> DataFrame:
     """``row, only_a, only_b`` of ``pairs(row, a, b)``: how many digests either side has alone.
 
     Pairs that did not decode are sketched again with ``GROWTH`` times the cells,
-    until all have. The first sketches have three times as many cells as a pair
-    has digests, so few are left. ``pairs`` must give the same rows each time.
+    until all have. ``pairs`` must give the same rows each time.
     """
     todo, growth, done = pairs, 1, None
     while True:
@@ -178,27 +185,36 @@ def edited_likeness(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     edited = F.concat(F.expr("left(text, length(text) - CAST(floor(length(text) / 2) AS INT))"),
                       F.substring("next_text", F.lit(1), half))
     beside = beside.withColumn("edited", edited)
-    rows, _ = stage(beside.select(
-        "row", "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        *[F.size(digests(F.col(c))).alias(name) for c, name in (("text", "own"), ("edited", "edited"), ("next_text", "next"))]), "versions")
-    versions = lambda *names: F.explode(F.array(*[F.struct(F.lit(i).alias("v"), F.col(c).alias("t")) for i, c in enumerate(names)]))
+    cuts = [cut_of(F.col(c)) for c in ("text", "edited", "next_text")]
+    beside = beside.select("*", *[c.alias(f"cut{i}") for i, c in enumerate(cuts)])
+    with_edited, with_next_ = F.greatest("cut0", "cut1"), F.greatest("cut0", "cut2")
+    finer = lambda text, own, cut: F.when(cut > F.col(own), digests(F.col(text), cut))
+    wide, _ = stage(beside.select(
+        "range", "row", "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        digests(F.col("text"), F.col("cut0")).alias("own"), digests(F.col("edited"), F.col("cut1")).alias("edit"),
+        # the sets of the two comparisons, where their cut is not the text's own
+        finer("text", "cut0", with_edited).alias("a0"), finer("edited", "cut1", with_edited).alias("b0"),
+        finer("text", "cut0", with_next_).alias("a1"), digests(F.col("next_text"), with_next_).alias("b1")), "versions")
+    tasks = wide.rdd.getNumPartitions()
+    dealt = wide.drop("doc_id", "n_chars", "edited_sha256").repartition(max(tasks, docs.sparkSession.sparkContext.defaultParallelism), "range")
+    sets = [F.coalesce("a0", "own"), F.coalesce("b0", "edit"), F.coalesce("a1", "own"), F.col("b1")]
+    versions = lambda *of: F.explode(F.array(*[F.struct(F.lit(i).alias("v"), *cols) for i, cols in enumerate(of)]))
     # version 0 is the document, 1 its edited text; pair 0 compares those, 1 the document and the next
-    both = (beside.select("range", "row", versions("text", "edited").alias("x"))
-            .select("range", (F.col("row") * 2 + F.col("x.v")).alias("row"), digests(F.col("x.t")).alias("d")))
+    both = (dealt.select("range", "row", versions([F.col("own").alias("d")], [F.col("edit").alias("d")]).alias("x"))
+            .select("range", (F.col("row") * 2 + F.col("x.v")).alias("row"), "x.d"))
     prints, _ = stage(sketch(both, ["range", "row"], "d"), "prints")
-    pairs = (beside.select("range", "row", "text", versions("edited", "next_text").alias("x"))
-             .select("range", (F.col("row") * 2 + F.col("x.v")).alias("row"), digests(F.col("text")).alias("a"), digests(F.col("x.t")).alias("b")))
+    pairs = (dealt.select("range", "row", versions([sets[0].alias("a"), sets[1].alias("b")], [sets[2].alias("a"), sets[3].alias("b")]).alias("x"))
+             .select("range", (F.col("row") * 2 + F.col("x.v")).alias("row"), "x.a", "x.b"))
     apart = differing(pairs, "range")
     side = lambda df, i, *cols: df.where(F.col("row") % 2 == i).select(F.floor(F.col("row") / 2).alias("row"), *cols)
-    none = F.lit(0).cast("long")
-    out = (rows.select("row", "doc_id", "n_chars", "edited_sha256", "own", "edited", "next")
+    out = (wide.select("row", "doc_id", "n_chars", "edited_sha256", *[F.size(c).alias(f"n{i}") for i, c in enumerate(sets)])
            .join(side(prints, 0, "fingerprint"), "row", "left")
            .join(side(prints, 1, F.col("fingerprint").alias("edited_fingerprint")), "row", "left")
            .join(side(apart, 0, F.col("only_a").alias("ea"), F.col("only_b").alias("eb")), "row", "left")
            .join(side(apart, 1, F.col("only_a").alias("na"), F.col("only_b").alias("nb")), "row", "left"))
-    gap = lambda c: F.coalesce(F.col(c), none)
+    gap = lambda c: F.coalesce(F.col(c), F.lit(0).cast("long"))
     return out.select(
         "doc_id", "n_chars", "edited_sha256", F.coalesce("fingerprint", F.lit("")).alias("fingerprint"),
         F.coalesce("edited_fingerprint", F.lit("")).alias("edited_fingerprint"),
-        likeness(F.col("own"), F.col("edited"), gap("ea"), gap("eb")).alias("near_edited"),
-        likeness(F.col("own"), F.col("next"), gap("na"), gap("nb")).alias("near_next"))
+        likeness(F.col("n0"), F.col("n1"), gap("ea"), gap("eb")).alias("near_edited"),
+        likeness(F.col("n2"), F.col("n3"), gap("na"), gap("nb")).alias("near_next"))
