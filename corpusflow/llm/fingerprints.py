@@ -195,26 +195,29 @@ def edited_likeness(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
         # the sets of the two comparisons, where their cut is not the text's own
         finer("text", "cut0", with_edited).alias("a0"), finer("edited", "cut1", with_edited).alias("b0"),
         finer("text", "cut0", with_next_).alias("a1"), digests(F.col("next_text"), with_next_).alias("b1")), "versions")
-    tasks = wide.rdd.getNumPartitions()
-    dealt = wide.drop("doc_id", "n_chars", "edited_sha256").repartition(max(tasks, docs.sparkSession.sparkContext.defaultParallelism), "range")
+    spark = docs.sparkSession
+    tasks = max(wide.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    dealt = wide.select(F.col("row").alias("doc"), "own", "edit", "a0", "b0", "a1", "b1").repartition(tasks, "doc")
     sets = [F.coalesce("a0", "own"), F.coalesce("b0", "edit"), F.coalesce("a1", "own"), F.col("b1")]
     versions = lambda *of: F.explode(F.array(*[F.struct(F.lit(i).alias("v"), *cols) for i, cols in enumerate(of)]))
-    # version 0 is the document, 1 its edited text; pair 0 compares those, 1 the document and the next
-    both = (dealt.select("range", "row", versions([F.col("own").alias("d")], [F.col("edit").alias("d")]).alias("x"))
-            .select("range", (F.col("row") * 2 + F.col("x.v")).alias("row"), "x.d"))
-    prints, _ = stage(sketch(both, ["range", "row"], "d"), "prints")
-    pairs = (dealt.select("range", "row", versions([sets[0].alias("a"), sets[1].alias("b")], [sets[2].alias("a"), sets[3].alias("b")]).alias("x"))
-             .select("range", (F.col("row") * 2 + F.col("x.v")).alias("row"), "x.a", "x.b"))
-    apart = differing(pairs, "range")
-    side = lambda df, i, *cols: df.where(F.col("row") % 2 == i).select(F.floor(F.col("row") / 2).alias("row"), *cols)
-    out = (wide.select("row", "doc_id", "n_chars", "edited_sha256", *[F.size(c).alias(f"n{i}") for i, c in enumerate(sets)])
-           .join(side(prints, 0, "fingerprint"), "row", "left")
-           .join(side(prints, 1, F.col("fingerprint").alias("edited_fingerprint")), "row", "left")
-           .join(side(apart, 0, F.col("only_a").alias("ea"), F.col("only_b").alias("eb")), "row", "left")
-           .join(side(apart, 1, F.col("only_a").alias("na"), F.col("only_b").alias("nb")), "row", "left"))
+    numbered = (F.col("doc") * 2 + F.col("x.v")).alias("row")
+    # pair 0 compares a document and its edited text, pair 1 a document and the next
+    pairs = (dealt.select("doc", versions([sets[0].alias("a"), sets[1].alias("b")], [sets[2].alias("a"), sets[3].alias("b")]).alias("x"))
+             .select("doc", numbered, "x.a", "x.b"))
+    apart = differing(pairs, "doc")
+    of_pair = lambda i: apart.where(F.col("row") % 2 == i).select(
+        F.floor(F.col("row") / 2).alias("row"), F.col("only_a").alias(f"a{i}"), F.col("only_b").alias(f"b{i}"))
     gap = lambda c: F.coalesce(F.col(c), F.lit(0).cast("long"))
-    return out.select(
+    near, _ = stage(
+        wide.select("row", "doc_id", "n_chars", "edited_sha256", *[F.size(c).alias(f"n{i}") for i, c in enumerate(sets)])
+        .join(of_pair(0), "row", "left").join(of_pair(1), "row", "left")
+        .select(F.col("row").alias("doc"), "doc_id", "n_chars", "edited_sha256",
+                likeness(F.col("n0"), F.col("n1"), gap("a0"), gap("b0")).alias("near_edited"),
+                likeness(F.col("n2"), F.col("n3"), gap("a1"), gap("b1")).alias("near_next")), "near")
+    # the fingerprints are long: they are made last, where their digests lie, and neither staged nor shuffled
+    both = dealt.select("doc", versions([F.col("own").alias("d")], [F.col("edit").alias("d")]).alias("x")).select("doc", numbered, "x.d")
+    of = lambda i, name: F.max(F.when(F.col("row") % 2 == i, F.col("fingerprint"))).alias(name)
+    prints = sketch(both, ["doc", "row"], "d").groupBy("doc").agg(of(0, "fingerprint"), of(1, "edited_fingerprint"))
+    return near.join(prints, "doc", "left").select(
         "doc_id", "n_chars", "edited_sha256", F.coalesce("fingerprint", F.lit("")).alias("fingerprint"),
-        F.coalesce("edited_fingerprint", F.lit("")).alias("edited_fingerprint"),
-        likeness(F.col("n0"), F.col("n1"), gap("ea"), gap("eb")).alias("near_edited"),
-        likeness(F.col("n2"), F.col("n3"), gap("na"), gap("nb")).alias("near_next"))
+        F.coalesce("edited_fingerprint", F.lit("")).alias("edited_fingerprint"), "near_edited", "near_next")
