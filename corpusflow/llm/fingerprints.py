@@ -120,7 +120,8 @@ def differing(pairs: DataFrame, part: str = "row") -> DataFrame:
         stuck = level.where("stuck = 1").select("row")
         if not stuck.limit(1).count():
             return done
-        todo, _ = stage(todo.join(stuck, "row", "left_semi"), "retry")
+        # dealt out by part once, so that no round of the next peeling is shuffled
+        todo = stage(todo.join(stuck, "row", "left_semi"), "retry")[0].repartition(part)
         growth *= GROWTH
 
 
