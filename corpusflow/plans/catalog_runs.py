@@ -258,3 +258,108 @@ def markdown_to_points_equal_names(spark, d):
     md = FX.fx_files(spark, d).select(F.concat(F.lit("markdown/d"), F.col("doc_id").cast("string"), F.lit("/doc.md")).alias("key"), "text")
     out = J.markdown_to_points(md, FX.fx_embedding(spark, d).limit(0), None, chunk_tokens=200)
     return per_file(out.content_points, "filename", "file_hash")
+
+
+# ------------------------------------------------------------------ six ledgers, retried files, streams, structure, vectors
+
+def _counted_store(spark, d) -> RunStore:
+    store, files = _store(spark), listed_files(spark, d)
+    IR.ingest(store, files, convert=convert_text, embed=LimitedEmbedder(16, longest=LONG), name_embed=LimitedEmbedder(8, refuses=".MD"),
+              chunk_tokens=1_000_000_000, attempts=1)
+    return store
+
+
+_EVENTS_SQL = """
+events AS (
+  SELECT 'conversion' AS ledger, key AS filename, hash, 'converted' AS detail FROM state1 WHERE stage IS NULL OR stage NOT IN ('pipeline', 'docling')
+  UNION ALL SELECT 'upload', key, hash, 'uploaded' FROM state1 WHERE state IN ('processed', 'skipped')
+  UNION ALL SELECT 'failed', key, hash, stage FROM state1 WHERE state = 'failed'
+  UNION ALL SELECT 'skipped', key, hash, 'already_embedded' FROM state1 WHERE state = 'skipped'
+  UNION ALL SELECT 'embedding', key, hash, c FROM state1, (VALUES ('content'), ('filenames')) t(c) WHERE state = 'processed'
+  UNION ALL SELECT 'qdrant_upload', key, hash, c FROM state1, (VALUES ('content'), ('filenames')) t(c) WHERE state = 'processed')"""
+
+
+@query("ledger_counts_six", "WITH " + _RUN_SQL + "," + _EVENTS_SQL + """
+SELECT ledger, CAST(count(*) AS BIGINT) AS n_entries FROM events GROUP BY ledger""", "O-92")
+def ledger_counts_six(spark, d):
+    """Entries of all six ledgers after a run."""
+    from corpusflow.operators.reports import ledger_counts
+    from corpusflow.sources.ledgers import SCHEMAS
+    store = _counted_store(spark, d)
+    return ledger_counts({name: store.ledger(name) for name in SCHEMAS})
+
+
+@query("file_history_six", "WITH " + _RUN_SQL + "," + _EVENTS_SQL + """
+SELECT filename, hash, ledger, detail, CAST(row_number() OVER w AS INTEGER) AS seq, lag(ledger) OVER w AS previous_ledger
+FROM events WINDOW w AS (PARTITION BY filename, hash ORDER BY ledger, detail)""", "O-104")
+def file_history_six(spark, d):
+    """All events of every file in all six ledgers; the events of one run are at one time."""
+    from corpusflow.operators.reports import file_history
+    store = _counted_store(spark, d)
+    detail = {"conversion": F.lit("converted"), "upload": F.lit("uploaded"), "failed": F.col("stage"), "skipped": F.col("skip_reason"),
+              "embedding": F.col("collection_name"), "qdrant_upload": F.col("collection_name")}
+    events = {}
+    for name, what in detail.items():
+        rows = store.ledger(name)
+        events[name] = rows.select("filename", F.col("hash" if "hash" in rows.columns else "md5_hash").alias("hash"),
+                                   F.timestamp_seconds("seq").alias("ts"), what.alias("detail"))
+    return file_history(events).select("filename", "hash", "ledger", "detail", "seq", "previous_ledger")
+
+
+@query("retry_failed_texts", """
+WITH src AS (SELECT regexp_extract(object_key, '[^/]*$') AS name, min(object_key) AS k FROM fx_files GROUP BY 1),
+mds AS (SELECT regexp_replace(regexp_extract(key, '[^/]*$'), '^(.+)\\.[^.]+$', '\\1') AS stem, min(key) AS k FROM fx_markdown GROUP BY 1),
+mdn AS (SELECT regexp_extract(key, '[^/]*$') AS name, min(key) AS k FROM fx_markdown GROUP BY 1),
+w AS (SELECT DISTINCT src.k AS sk, CASE WHEN src.k IS NULL THEN least(mds.k, mdn.k) END AS mk FROM fx_failed f
+  LEFT JOIN src ON src.name = f.filename LEFT JOIN mds ON mds.stem = regexp_replace(f.filename, '^(.+)\\.[^.]+$', '\\1')
+  LEFT JOIN mdn ON mdn.name = f.filename),
+found AS (
+  SELECT regexp_extract(object_key, '[^/]*$') AS filename, text FROM fx_files JOIN w ON sk = object_key
+  UNION ALL SELECT CASE WHEN stem LIKE '%.%' THEN stem ELSE stem || '.pdf' END, text FROM (
+    SELECT regexp_extract(key, '([^/]+)\\.[^./]+$', 1) AS stem, text FROM fx_markdown JOIN w ON mk = key WHERE lower(key) LIKE '%.md'))
+SELECT filename, md5(text) AS file_hash, true AS pages_whole, """ + SQL_SQUEEZED.format(t="text") + """ AS text_md5
+FROM found WHERE trim(text, e' \\t\\n\\r\\f') <> ''""", "O-109 O-101")
+def retry_failed_texts(spark, d):
+    """The file, pages and text behind the points of all failed files that were found again."""
+    src = FX.fx_files(spark, d).select(F.col("object_key").alias("key"), "text")
+    points, _remaining, _summary = J.retry_failed(FX.fx_failed(spark, d), src, FX.fx_markdown(spark, d), FX.fx_embedding(spark, d), FX.fx_resident(spark, d))
+    return per_file(points, "filename", "file_hash")
+
+
+@query("stream_dedup", "SELECT DISTINCT md5(text) AS hash FROM documents", "O-111 O-46")
+def stream_dedup(spark, d):
+    """Each content once, from a stream of documents that arrives twice: the second batch repeats the first within the watermark."""
+    from corpusflow.streaming.ingest import run_to_files, stream_dedup as dedup
+    source = scratch_path(spark, f"dedup-in-{uuid.uuid4().hex[:10]}")
+    docs = FX.table(spark, d, "documents").select("doc_id", "text").withColumn("ts", F.expr("timestamp'2025-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, doc_id % 600)"))
+    for _ in range(2):
+        docs.coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    return run_to_files(dedup(stream, "ts").select("hash"), f"{source}-out", f"{source}-ckpt")
+
+
+@query("html_structure", """
+SELECT page_id, CAST(len(regexp_extract_all(html, '<a [^>]*href="[^"]+"')) AS BIGINT) AS n_links,
+  CAST(len(regexp_extract_all(html, '<li>')) AS BIGINT) AS n_items,
+  CAST(len(regexp_extract_all(html, '<h1>')) AS BIGINT) AS n_titles, false AS has_script FROM pages""", "O-15")
+def html_structure(spark, d):
+    """Links, list items and titles that the structured conversion of every page keeps."""
+    from corpusflow.operators.html_structure import convert_structured
+    md = convert_structured(FX.table(spark, d, "pages"))
+    return md.select("page_id", F.regexp_count("markdown", F.lit(r"\]\(/")).cast("bigint").alias("n_links"),
+                     F.regexp_count("markdown", F.lit("(?m)^ *- ")).cast("bigint").alias("n_items"),
+                     F.regexp_count("markdown", F.lit("(?m)^# ")).cast("bigint").alias("n_titles"),
+                     F.col("markdown").contains("track(0)").alias("has_script"))
+
+
+@query("batch_embed_buckets", r"""
+WITH t AS (SELECT doc_id, lower(unnest(regexp_extract_all(text, '[\p{L}\p{N}]+'))) AS tok FROM documents),
+b AS (SELECT doc_id, CAST(CAST('0x' || substr(md5(tok), 1, 8) AS BIGINT) % 64 AS INTEGER) AS bucket, count(*) AS n FROM t GROUP BY ALL)
+SELECT d.doc_id, CAST(count(bucket) AS INTEGER) AS n_buckets, first(bucket ORDER BY n DESC, bucket) AS top_bucket
+FROM documents d LEFT JOIN b USING (doc_id) GROUP BY d.doc_id""", "O-50 O-58")
+def batch_embed_buckets(spark, d):
+    """The dimensions that a document's vector uses, and the largest of them."""
+    out = EM.batch_embed(FX.table(spark, d, "documents").select("doc_id", "text"), EM.HashingEmbedder(64), keep=("doc_id",))
+    used = F.filter("vector", lambda x: x > 0)
+    top = F.array_position("vector", F.array_max("vector")) - 1
+    return out.select("doc_id", F.size(used).alias("n_buckets"), F.when(F.size(used) > 0, top).cast("int").alias("top_bucket"))
