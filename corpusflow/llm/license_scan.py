@@ -49,6 +49,30 @@ SENTENCES = {
                   "disclaimer.",
     "bsd-binary": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
                   "following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "bsd-names": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+                 "derived from this software without specific prior written permission.",
+    "mit-project": "This project is licensed under the MIT License - see the LICENSE file for details.",
+    "mit-project-md": "This project is licensed under the MIT License - see the LICENSE.md file for details.",
+    "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+           "provided that the above copyright notice and this permission notice appear in all copies.",
+    "apache-2-law": "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on "
+                    "an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
+    "apache-2-title": "Apache License Version 2.0, January 2004",
+    "gpl-2-later-ref": "This work is licensed under the GNU General Public License, version 2 or later.",
+    "gpl-3-later-ref": "This work is licensed under the GNU General Public License, version 3 or later.",
+    "gpl-2-free": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+                  "License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later "
+                  "version.",
+    "agpl-free": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+                 "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
+                 "later version.",
+    "lgpl-3-free": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+                   "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
+                   "any later version.",
+    "lgpl-2-free": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+                   "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) "
+                   "any later version.",
+    "unlicense": "This is free and unencumbered software released into the public domain.",
     "cc-by-4": "Licensed under CC BY 4.0.",
     "cc-by-sa-4": "Licensed under CC BY-SA 4.0.",
     "cc-by-nc-4": "Licensed under CC BY-NC 4.0.",
@@ -65,6 +89,7 @@ RULES = (
     (("mit-grant", "mit-notice"), "MIT"),
     (("mit-ref",), "MIT"),
     (("mit-ref-2",), "MIT"),
+    (("apache-2-header", "apache-2-use", "apache-2-copy", "apache-2-law"), "Apache-2.0"),
     (("apache-2-header", "apache-2-use", "apache-2-copy"), "Apache-2.0"),
     (("apache-2-header",), "Apache-2.0"),
     (("apache-2-ref",), "Apache-2.0"),
@@ -74,7 +99,23 @@ RULES = (
     (("gpl-2-ref",), "GPL-2.0"),
     (("lgpl-3-ref",), "LGPL-3.0"),
     (("mpl-2-ref",), "MPL-2.0"),
-    (("bsd-redistribution", "bsd-source", "bsd-binary"), "BSD"),
+    (("bsd-redistribution", "bsd-source", "bsd-binary", "bsd-names"), "BSD-3-Clause"),
+    (("bsd-redistribution", "bsd-source", "bsd-binary"), "BSD-2-Clause"),
+    (("mit-project",), "MIT"),
+    (("mit-project-md",), "MIT"),
+    (("isc", "as-is"), "ISC"),
+    (("isc",), "ISC"),
+    (("apache-2-title",), "Apache-2.0"),
+    (("gpl-2-later-ref",), "GPL-2.0-or-later"),
+    (("gpl-3-later-ref",), "GPL-3.0-or-later"),
+    (("gpl-2-free", "gpl-hope"), "GPL-2.0-or-later"),
+    (("gpl-2-free",), "GPL-2.0-or-later"),
+    (("agpl-free", "gpl-hope"), "AGPL-3.0-or-later"),
+    (("agpl-free",), "AGPL-3.0-or-later"),
+    (("lgpl-3-free", "gpl-hope"), "LGPL-3.0-or-later"),
+    (("lgpl-3-free",), "LGPL-3.0-or-later"),
+    (("lgpl-2-free",), "LGPL-2.1-or-later"),
+    (("unlicense",), "Unlicense"),
     (("cc-by-4",), "CC-BY-4.0"),
     (("cc-by-sa-4",), "CC-BY-SA-4.0"),
     (("cc-by-nc-4",), "CC-BY-NC-4.0"),
@@ -85,10 +126,15 @@ RULES = (
     (("reserved",), "all-rights-reserved"),
 )
 
+#: SPDX identifiers (fixed values) that a line ``SPDX-License-Identifier: <id>`` may name
+SPDX = ("MIT", "Apache-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "LGPL-2.1-only", "LGPL-2.1-or-later",
+        "LGPL-3.0-only", "LGPL-3.0-or-later", "AGPL-3.0-only", "AGPL-3.0-or-later", "BSD-2-Clause", "BSD-3-Clause", "ISC", "MPL-2.0",
+        "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "Unlicense")
+SENTENCES |= {f"spdx-{x}": f"SPDX-License-Identifier: {x}" for x in SPDX}
+RULES += tuple(((f"spdx-{x}",), x) for x in SPDX)
+
 #: every known sentence has one of these words, so a text without any has no licence sentence
 TRIGGERS = r"(?i)licen|permission|copyright|warrant|redistribut|public domain|rights reserved|free software"
-#: fragments (lines or parts of lines) that one sentence may be spread over
-SPREAD = 12
 
 _BREAK = re.compile(r"(?<=[.;:!?])\s+|\s*\n\s*")
 _NOISE = re.compile(r"[^a-z0-9]+")
@@ -120,11 +166,11 @@ class Scanner:
             found, step = None, 1
             if parts[i].split(" ", 1)[0] in self.starts:
                 joined = ""
-                for k in range(i, min(i + SPREAD, len(parts))):
+                for k in range(i, len(parts)):  # however many lines a sentence is wrapped over
                     joined = f"{joined} {parts[k]}" if joined else parts[k]
                     if len(joined) > self.longest:
                         break
-                    if joined in self.known:
+                    if joined in self.known:  # the longest known sentence that begins here
                         found, step = self.known[joined], k - i + 1
             if found:
                 out.append(found)

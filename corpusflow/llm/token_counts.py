@@ -48,13 +48,26 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None,
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["ids"])
 
     flat = docs.select(F.col("text").cast("string")).mapInArrow(run, "ids binary").select(F.col("ids").cast("string").alias("value"))
-    end = int(end_id).to_bytes(2, "little").decode("latin-1")
-    flat.write.option("lineSep", end).option("encoding", "ISO-8859-1").option("compression", "none").text(path)
+    flat.write.option("lineSep", separator(end_id)).option("encoding", "ISO-8859-1").option("compression", "none").text(path)
+
+
+def separator(end_id: int) -> str:
+    """The end id's two bytes, as the text reader takes them.
+
+    Two different bytes never overlap another occurrence of themselves, so a match is
+    an end id or lies across two ids. Of two equal bytes (ids 0, 257, 514, ...) a match
+    could begin in the id before and hide the end id; such an id is an error.
+    """
+    if not 0 <= end_id < 1 << 16:
+        raise ValueError("an end-of-document id has 16 bits")
+    if end_id % 257 == 0:
+        raise ValueError(f"an end-of-document id of two equal bytes cannot be told from its neighbours: {end_id}")
+    return int(end_id).to_bytes(2, "little").decode("latin-1")
 
 
 def _lines(spark: SparkSession, path: str, end_id: int) -> DataFrame:
     """``file, size, block, line, bytes``: the lines between the separator's bytes, by split (``block`` is where it starts)."""
-    end = int(end_id).to_bytes(2, "little").decode("latin-1")
+    end = separator(end_id)
     # the encoding is that of the separator; the reader takes a line's bytes as they are
     text = (spark.read.option("lineSep", end).option("encoding", "ISO-8859-1").option("pathGlobFilter", "part-*")
             .schema("value string").text(path))
@@ -71,6 +84,7 @@ def scan_token_files(spark: SparkSession, path: str, end_id: int = END_ID, block
     counts a file's documents from 0. Ids after the last separator are a document
     with ``ended`` false. An empty file has no documents. ``block_tokens`` is the
     largest split, of ``LEAST_SPLIT`` bytes at least; by default the session's.
+    ``end_id`` must have two different bytes (``separator``).
     """
     before_ = spark.conf.get(_SPLIT_BYTES)
     if block_tokens:

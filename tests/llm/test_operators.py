@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 from math import ceil
@@ -408,6 +409,32 @@ def test_fingerprints_of_short_single_lines(make):
         assert 0 < r.near_edited <= 1 and (r.doc_id < 100 or r.near_edited > r.near_next)
 
 
+def test_licences_wrapped_and_named_in_many_ways():
+    scanner = license_scan.Scanner()
+    name = lambda text: scanner.licenses(scanner.sentences(text))
+    whole = {"MIT": ["mit-grant", "mit-notice", "as-is"], "BSD-3-Clause": ["bsd-redistribution", "bsd-source", "bsd-binary", "bsd-names"],
+             "BSD-2-Clause": ["bsd-redistribution", "bsd-source", "bsd-binary"], "ISC": ["isc"], "GPL-2.0-or-later": ["gpl-2-free", "gpl-hope"],
+             "AGPL-3.0-or-later": ["agpl-free"], "LGPL-2.1-or-later": ["lgpl-2-free"],
+             "Apache-2.0": ["apache-2-header", "apache-2-use", "apache-2-copy", "apache-2-law"]}
+    for licence, of in whole.items():
+        text = " ".join(license_scan.SENTENCES[i] for i in of)
+        for width in (20, 30, 35, 38, 45, 80, 10_000):
+            assert name("\n".join(f" * {x}" for x in textwrap.wrap(text, width))) == [licence], (licence, width)
+    assert name("SPDX-License-Identifier: MIT\n\nint main()") == ["MIT"]
+    assert name("// SPDX-License-Identifier: GPL-2.0-or-later") == ["GPL-2.0-or-later"]
+    assert name("This project is licensed under the MIT License - see the\nLICENSE file for details.") == ["MIT"]
+    assert name("This work is licensed under the GNU General Public License, version 2 or later.") == ["GPL-2.0-or-later"]
+    assert name("no licence here. Permission to use this is not given.") == []
+
+
+def test_end_ids_of_equal_bytes_are_an_error(spark, make, scratch):
+    for end in (0, 257, 65535, -1, 1 << 16):
+        with pytest.raises(ValueError):
+            token_counts.scan_token_files(spark, scratch, end_id=end)
+        with pytest.raises(ValueError):
+            token_counts.write_token_files(make(ODD), f"{scratch}/none", end_id=end)
+
+
 def test_peeling_recovers_the_difference(spark):
     df = spark.createDataFrame([(1, [1, 2, 3, 4], [3, 4, 5]), (2, [], [7]), (3, [8], [8])], "row long, a array<long>, b array<long>")
     got = {(r.row, r.digest, r.n) for r in fingerprints.difference(df).where("cell < 0").collect()}
