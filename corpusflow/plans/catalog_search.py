@@ -96,10 +96,10 @@ def search_approx_recall(spark, d):
     scored = found.groupBy("query_id").agg(F.max("scored").alias("scored"), F.count("*").alias("hits")).agg(
         F.count("*").alias("n_queries"), F.sum("hits").alias("n_hits"), F.avg("scored").alias("scored"))
     n = FX.fx_points(spark, d).agg(F.count("*").alias("n"))
-    one = F.lit(1).alias("one")
-    return (scored.select("*", one).join(n.select("*", one), "one").join(VI.recall(exact, found).select("*", one), "one")
-            .select("n_queries", "n_hits", (F.col("recall") >= 0.9).alias("recall_at_least_90_percent"),
-                    (F.col("scored") < F.col("n") / 2).alias("under_half_of_all_points_scored")))
+    told = scored.unionByName(n, allowMissingColumns=True).unionByName(VI.recall(exact, found), allowMissingColumns=True)
+    whole = told.agg(*[F.max(c).alias(c) for c in told.columns])
+    return whole.select("n_queries", "n_hits", (F.col("recall") >= 0.9).alias("recall_at_least_90_percent"),
+                        (F.col("scored") < F.col("n") / 2).alias("under_half_of_all_points_scored"))
 
 
 _PREFIX_SQL = ("flatten(list_transform(list_transform(regexp_extract_all({x}, '" + WORD_RE + "'), lambda w: lower(w)), "
