@@ -252,7 +252,7 @@ def keyword_search(points: DataFrame, queries: DataFrame, field: str, query_text
     from corpusflow.operators import text_index as TI
     from corpusflow.session import scratch_path
     path = scratch_path(points.sparkSession, f"postings-{uuid.uuid4().hex}")
-    TI.write_index(TI.token_rows(points, id_col, field, mode, min_len, max_len), path)
+    TI.token_rows(points, id_col, field, mode, min_len, max_len).write.parquet(path)  # read once, so not clustered
     return TI.token_search(points.sparkSession, path, queries.select(F.col(query_id).alias("query_id"), F.col(query_text).alias("text")), id_col)
 
 

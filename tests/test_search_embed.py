@@ -195,7 +195,9 @@ def test_zero_vectors_are_ranked(spark, max_queries):
     assert got == {"q": [("a", 1.0), ("b", 0.0), ("c", -1.0)], "z": [("a", 0.0), ("b", 0.0), ("c", 0.0)], "n": []}
 
 
-def test_topk_without_any_file_name(spark):
-    pts = spark.createDataFrame([("p", None, [1.0])], "id string, filename string, vector array<double>")
+def test_two_stage_without_any_file_name(spark):
+    """Points without a file name belong to no file that stage 1 finds."""
+    pts = spark.createDataFrame([("p", None, 1, [1.0]), ("r", "f0", 1, None)], "id string, filename string, page_number int, vector array<double>")
+    files = spark.createDataFrame([("f0", "f0", [1.0]), ("f1", None, [1.0])], "id string, filename string, vector array<double>")
     qs = spark.createDataFrame([("a", [1.0])], "query_id string, vector array<double>")
-    assert S.topk(pts, qs, 2, "dot", carry=("filename",), allowed=("filename", {"a": {"f0"}})).count() == 0
+    assert S.two_stage(files, pts, qs, 2, 2).count() == 0
