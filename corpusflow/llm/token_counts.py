@@ -2,12 +2,15 @@
 
 A file is a stream of little-endian unsigned 16-bit ids; a document ends with the
 end-of-document id, and nothing else says where it starts. Files are read in
-byte ranges (splits), each by its own task, by Spark's text reader with the
-separator's two bytes as the line end. A prefix scan over the splits' byte
-counts gives each line's position in its file; a line end at an odd position lies
-across two ids and is none. A document that began in an earlier split is stitched
-by a second prefix scan: the running maximum of the last separator's position,
-and the running sum of the separator counts. One row per split and one per line
+byte ranges (splits), each by its own task, by Spark's text reader. The line end
+it is given is one byte, the end id's second, so lines say nothing yet about ids (and
+none is longer than a document): each task lays its lines end to end again, which gives its block's bytes, and
+searches these for the end id's two bytes, a batch of lines at a time in NumPy. A
+task does not know if its block begins at an even byte of the file. A prefix
+scan over the blocks' byte counts tells, drops matches across two ids, and adds an
+end id that is cut by a block's start. A document that began in an earlier block is
+stitched by two more prefix scans: the running maximum of the last end id's
+position, and the running sum of their counts. One row per block and one per match
 are shuffled, no ids.
 
 Files are streams of their own: a document does not reach into the next file.
@@ -52,29 +55,61 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None,
 
 
 def separator(end_id: int) -> str:
-    """The end id's two bytes, as the text reader takes them.
-
-    Two different bytes never overlap another occurrence of themselves, so a match is
-    an end id or lies across two ids. Of two equal bytes (ids 0, 257, 514, ...) a match
-    could begin in the id before and hide the end id; such an id is an error.
-    """
+    """The end id's two bytes, as the text writer takes them."""
     if not 0 <= end_id < 1 << 16:
         raise ValueError("an end-of-document id has 16 bits")
-    if end_id % 257 == 0:
-        raise ValueError(f"an end-of-document id of two equal bytes cannot be told from its neighbours: {end_id}")
     return int(end_id).to_bytes(2, "little").decode("latin-1")
 
 
 def _lines(spark: SparkSession, path: str, end_id: int) -> DataFrame:
-    """``file, size, block, line, bytes``: the lines between the separator's bytes, by split (``block`` is where it starts)."""
-    end = separator(end_id)
+    """``file, size, block, value``: the bytes between the end id's second bytes, by split (``block`` is where it starts)."""
     # the encoding is that of the separator; the reader takes a line's bytes as they are
-    text = (spark.read.option("lineSep", end).option("encoding", "ISO-8859-1").option("pathGlobFilter", "part-*")
+    text = (spark.read.option("lineSep", separator(end_id)[1]).option("encoding", "ISO-8859-1").option("pathGlobFilter", "part-*")
             .schema("value string").text(path))
     return text.select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"),
-        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"),
-        F.octet_length("value").cast("long").alias("bytes"))
+        F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("value"))
+
+
+def _search(end_id: int):
+    """Matches of the end id's bytes in each block (``at``, from its first byte on), and the bytes of each part of a block.
+
+    A part also has the block's first byte, if it begins it. Lines of a block come in order.
+    """
+    low, high = separator(end_id).encode("latin-1")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, done = None, 0
+        for batch in batches:
+            files, sizes, blocks = (batch.column(c) for c in ("file", "size", "block"))
+            lines = batch.column("value").cast(pa.large_binary())
+            numbers, names = blocks.to_numpy(), files.dictionary_encode()
+            names, codes = names.dictionary, names.indices.to_numpy()
+            edge = np.flatnonzero((np.diff(numbers) != 0) | (np.diff(codes) != 0)) + 1 if len(batch) else []
+            for a, b in zip([0, *edge] if len(batch) else [], [*edge, len(batch)]):
+                this = (names[int(codes[a])].as_py(), int(numbers[a]))
+                if this != block:
+                    block, done = this, 0
+                part = lines.slice(a, b - a)
+                offsets = np.frombuffer(part.buffers()[1], "<i8")[part.offset:part.offset + len(part) + 1]
+                raw = np.frombuffer(part.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
+                # the bytes as they stand in the file: the line end after each line, the byte before the part (a line end) in front
+                stream = np.full(len(raw) + len(part) + 1, high, np.uint8)
+                inner = np.ones(len(stream), bool)
+                inner[0] = False
+                inner[np.cumsum(np.diff(offsets) + 1)] = False
+                stream[inner] = raw
+                at = np.flatnonzero((stream[:-1] == low) & (stream[1:] == high)) - 1 + done
+                at = at[at >= 0]
+                n = len(at)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([this[0]] * (n + 1), pa.string()), pa.array(np.full(n + 1, this[1])),
+                     pa.array(np.full(n + 1, sizes[int(a)].as_py())), pa.array([*at, None], pa.int64()),
+                     pa.array([None] * n + [len(stream) - 1], pa.int64()),
+                     pa.array([None] * n + [None if done else int(stream[1])], pa.int32())],
+                    names=["file", "block", "size", "at", "bytes", "first"])
+                done += len(stream) - 1
+    return run
 
 
 def scan_token_files(spark: SparkSession, path: str, end_id: int = END_ID, block_tokens: int | None = None) -> DataFrame:
@@ -82,43 +117,49 @@ def scan_token_files(spark: SparkSession, path: str, end_id: int = END_ID, block
 
     ``start`` and ``n_tokens`` (separator not counted) are in ids; ``ordinal``
     counts a file's documents from 0. Ids after the last separator are a document
-    with ``ended`` false. An empty file has no documents. ``block_tokens`` is the
-    largest split, of ``LEAST_SPLIT`` bytes at least; by default the session's.
-    ``end_id`` must have two different bytes (``separator``).
+    with ``ended`` false. An empty file has no documents; the last byte of a file of
+    odd size is no id, and a file of just the three bytes of a byte order mark has no
+    documents. ``block_tokens`` is the largest split, of ``LEAST_SPLIT`` bytes at
+    least; by default the session's. ``end_id`` may be any id of 16 bits.
     """
+    low, high = separator(end_id).encode("latin-1")
     before_ = spark.conf.get(_SPLIT_BYTES)
     if block_tokens:
         spark.conf.set(_SPLIT_BYTES, str(max(2 * block_tokens, LEAST_SPLIT)))
     try:
-        lines, _ = stage(_lines(spark, path, end_id), "token-lines")
+        found, _ = stage(_lines(spark, path, end_id).mapInArrow(
+            _search(end_id), "file string, block long, size long, at long, bytes long, first int"), "token-matches")
     finally:
         spark.conf.set(_SPLIT_BYTES, before_)
-    splits = lines.groupBy("file", "block").agg(F.max("size").alias("size"), F.sum(F.col("bytes") + 2).alias("bytes"))
-    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = found.where("at is null").groupBy("file", "block").agg(
+        F.max("size").alias("size"), F.sum("bytes").alias("bytes"), F.max("first").alias("first"))
+    earlier = F.coalesce(F.sum("bytes").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     total = F.sum("bytes").over(Window.partitionBy("file"))
     # the reader leaves out three bytes at a file's start that look like a byte order mark; only then the lines are too short
-    at0 = splits.select("file", "block", (F.coalesce(F.sum("bytes").over(earlier), F.lit(0))
-                                          + F.when(total < F.col("size"), 3).otherwise(0)).alias("at0"))
-    ends = F.sum(F.col("bytes") + 2).over(Window.partitionBy("file", "block").orderBy("line")) + F.col("at0") - 2
-    # the last line of a file may end without a separator
-    rows, _ = stage(lines.join(at0, ["file", "block"]).withColumn("byte", ends)
-                    .select("file", "block", "line", "byte", (F.col("byte") / 2).cast("long").alias("at"),
-                            ((F.col("byte") % 2 == 0) & (F.col("byte") < F.col("size"))).alias("mark"),
-                            (F.col("size") / 2).cast("long").alias("ids")), "token-marks")
-    by_line = Window.partitionBy("file", "block").orderBy("line")
-    marks = rows.where("mark").withColumn("k", F.row_number().over(by_line) - 1)
-    blocks = rows.groupBy("file", "block").agg(
-        F.max(F.when(F.col("mark"), F.col("at"))).alias("last"), F.count_if("mark").alias("n"), F.max("ids").alias("end"))
+    mark = F.when(total < F.col("size"), 3).otherwise(0)
+    placed = splits.select("file", "block", "size", "first", mark.alias("lost"), earlier.alias("before"))
+    at0 = placed.select("file", "block", "size", "first", "lost", "before", (F.col("before") + F.col("lost")).alias("at0"))
+    inner = found.where("at is not null").select("file", "block", "at").join(at0.select("file", "block", "size", "at0"), ["file", "block"]).select(
+        "file", "block", "size", (F.col("at0") + F.col("at")).alias("byte"))
+    # the byte before a block is a line end, or the last of the mark, or there is none
+    previous = F.when(F.col("before") > 0, high).when(F.col("lost") > 0, 0xBF)
+    cut_by_start = at0.where((previous == low) & (F.col("first") == high)).select("file", "block", "size", (F.col("at0") - 1).alias("byte"))
+    in_mark = at0.where((F.col("before") == 0) & (F.col("lost") > 0) & F.lit(end_id == 0xBBEF)).select(
+        "file", "block", "size", F.lit(0).cast("long").alias("byte"))
+    by_byte = Window.partitionBy("file", "block").orderBy("byte")
+    marks = (inner.unionByName(cut_by_start).unionByName(in_mark).where("byte % 2 = 0 and byte + 2 <= size")
+             .select("file", "block", F.shiftright("byte", 1).alias("at"), (F.row_number().over(by_byte) - 1).alias("k"),
+                     F.shiftright(F.lag("byte").over(by_byte), 1).alias("previous")))
+    last = marks.groupBy("file", "block").agg(F.max("at").alias("last"), F.count("*").alias("n"))
+    blocks = placed.select("file", "block", F.shiftright("size", 1).alias("end")).join(last, ["file", "block"], "left")
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     scan = blocks.select("file", "block", F.coalesce(F.max("last").over(before), F.lit(-1)).alias("carry"),
                          F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    inside = Window.partitionBy("file", "block").orderBy("k")
-    own = F.lag("at").over(inside)
-    done = (marks.withColumn("previous", own).join(scan, ["file", "block"])
-            .select("file", (F.col("base") + F.col("k")).alias("ordinal"),
-                    (F.coalesce("previous", "carry") + 1).alias("start"), "at"))
-    whole = done.select("file", "ordinal", "start", (F.col("at") - F.col("start")).alias("n_tokens"), F.lit(True).alias("ended"))
-    of_file = blocks.groupBy("file").agg(F.max("end").alias("end"), F.coalesce(F.max("last"), F.lit(-1)).alias("last"), F.sum("n").alias("n"))
+    whole = marks.join(scan, ["file", "block"]).withColumn("start", F.coalesce("previous", "carry") + 1).select(
+        "file", (F.col("base") + F.col("k")).alias("ordinal"), "start", (F.col("at") - F.col("start")).alias("n_tokens"),
+        F.lit(True).alias("ended"))
+    of_file = blocks.groupBy("file").agg(F.max("end").alias("end"), F.coalesce(F.max("last"), F.lit(-1)).alias("last"),
+                                         F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
     cut = of_file.where("end > last + 1").select(
         "file", F.col("n").alias("ordinal"), (F.col("last") + 1).alias("start"), (F.col("end") - F.col("last") - 1).alias("n_tokens"),
         F.lit(False).alias("ended"))

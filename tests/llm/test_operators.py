@@ -1,6 +1,7 @@
 """Each operator against a brute-force version, and on empty, null, repeated and odd input."""
 
 import hashlib
+import pathlib
 import re
 import textwrap
 import zlib
@@ -427,14 +428,43 @@ def test_licences_wrapped_and_named_in_many_ways():
     assert name("no licence here. Permission to use this is not given.") == []
 
 
-def test_end_ids_of_equal_bytes_are_an_error(spark, make, scratch):
-    for end in (0, 257, 65535, -1, 1 << 16):
+def test_end_ids_of_more_than_16_bits_are_an_error(spark, make, scratch):
+    for end in (-1, 1 << 16):
         with pytest.raises(ValueError):
             token_counts.scan_token_files(spark, scratch, end_id=end)
         with pytest.raises(ValueError):
             token_counts.write_token_files(make(ODD), f"{scratch}/none", end_id=end)
 
 
+def ends_brute(data, end):
+    """Documents of a file's bytes: ordinal, start, tokens, ended."""
+    ids = [data[i] + 256 * data[i + 1] for i in range(0, len(data) - 1, 2)]
+    out, start = [], 0
+    for i, x in enumerate(ids):
+        if x == end:
+            out.append((len(out), start, i - start, True))
+            start = i + 1
+    return out + ([(len(out), start, len(ids) - start, False)] if start < len(ids) else [])
+
+
+@pytest.mark.parametrize("end", [0, 257, 0xBBEF, 0x11BF, 65535])
+def test_any_end_id_in_files_of_any_size(spark, scratch, end):
+    low, high = end.to_bytes(2, "little")
+    rng = np.random.default_rng(end)
+    alphabet = bytes({low, high, 0, 1, 0x0A, 0x0D, 0xEF, 0xBB, 0xBF, 0x11})
+    dense = [bytes(rng.choice(list(alphabet), n).astype(np.uint8)) for n in (1, 2, 7, 8, 9001, 9002)]
+    marked = [b"\xef\xbb\xbf" + bytes(rng.choice(list(alphabet), n).astype(np.uint8)) for n in (1, 2, 6001)] + [b"\xef\xbb\xbf\x11"]
+    runs = [bytes([low, high] * 3000), bytes([high]) * 6001, bytes([low]) * 6000, bytes([1, low, high, 1] * 1500), bytes([1, 0, 0, 0, 5, 0, 0, 0])]
+    pathlib.Path(scratch, "a").mkdir()
+    files = {f"part-{i}": x for i, x in enumerate(dense + marked + runs)}
+    for name, x in files.items():
+        pathlib.Path(scratch, "a", name).write_bytes(x)
+    want = sorted((name, *row) for name, x in files.items() for row in ends_brute(x, end))
+    for block in (None, 64):
+        got = token_counts.scan_token_files(spark, f"{scratch}/a", end_id=end, block_tokens=block).collect()
+        assert sorted((r.file.rsplit("/", 1)[1], *r[1:]) for r in got) == want
+
+
 def test_peeling_recovers_the_difference(spark):
     df = spark.createDataFrame([(1, [1, 2, 3, 4], [3, 4, 5]), (2, [], [7]), (3, [8], [8])], "row long, a array<long>, b array<long>")
     got = {(r.row, r.digest, r.n) for r in fingerprints.difference(df).where("cell < 0").collect()}
