@@ -49,15 +49,17 @@ def _collect_bounded(df: DataFrame, max_rows: int, what: str) -> list:
     return rows
 
 
-def _query_blocks(queries: DataFrame, query_id: str, vector: str, max_queries: int, depth: int = 0) -> list[DataFrame]:
+def _query_blocks(queries: DataFrame, query_id: str, vector: str, max_queries: int, words: str | None = None, depth: int = 0) -> list[DataFrame]:
     """Split the query set into blocks within the row and byte budget.
 
-    One pass counts the queries and finds their dimension. A block that is still
+    One pass counts the queries and finds their dimension and the bytes of the longest
+    list of ``words``, if they have such. A block that is still
     too large (uneven hashing) is split again with a different salt, so every
     block is provably bounded before it is shipped.
     """
-    n, dim = queries.agg(F.count(F.lit(1)), F.max(F.size(vector))).first()
-    per_block = max(1, min(max_queries, MAX_QUERY_BYTES // (8 * max(dim or 0, 0) + 64)))
+    text = F.max(F.octet_length(F.array_join(words, "  "))) if words else F.lit(0)
+    n, dim, text = queries.agg(F.count(F.lit(1)), F.max(F.size(vector)), text).first()
+    per_block = max(1, min(max_queries, MAX_QUERY_BYTES // (8 * max(dim or 0, 0) + (text or 0) + 64)))
     if n <= per_block:
         return [queries]
     if depth >= 8:
@@ -67,12 +69,14 @@ def _query_blocks(queries: DataFrame, query_id: str, vector: str, max_queries: i
     keyed = queries.withColumn("__blk", F.pmod(F.xxhash64(salt), F.lit(n_blocks)))
     out = []
     for b in range(n_blocks):
-        out += _query_blocks(keyed.where(F.col("__blk") == b).drop("__blk"), query_id, vector, max_queries, depth + 1)
+        out += _query_blocks(keyed.where(F.col("__blk") == b).drop("__blk"), query_id, vector, max_queries, words, depth + 1)
     return out
 
 
 def _partition_topk(points: DataFrame, qids: list, qmat: np.ndarray, k: int, metric: str,
-                    id_col: str, vector_col: str, carry: list[str]) -> DataFrame:
+                    id_col: str, vector_col: str, carry: list[str], tokens: Column | None = None,
+                    words: list[list[str]] | None = None) -> DataFrame:
+    """Each partition's best ``k`` points for every query; with ``words``, among points that have all of a query's words in ``tokens``."""
     larger = _larger_is_closer(metric)
     schema = points.select(id_col, *carry).schema
     out_schema = T.StructType([T.StructField("query_id", T.StringType(), False)]
@@ -81,18 +85,27 @@ def _partition_topk(points: DataFrame, qids: list, qmat: np.ndarray, k: int, met
     q = qmat.astype(np.float64)
     qids_s = np.array([str(x) for x in qids], dtype=object)
 
+    masks = _WordMasks(words) if words is not None else None
+
     def best_of(pdf: pd.DataFrame) -> pd.DataFrame:
         """The k best rows of a batch for every query at once; ties at the boundary are kept."""
+        if masks:
+            may = masks.of(pdf["__tokens"])
+            some = may.any(axis=1)
+            pdf, may = pdf[some], may[some]
+            if not len(pdf):
+                return pdf[[id_col, *carry]].assign(score=0.0, query_id=0)
         s = V.score_matrix(metric, np.stack(pdf[vector_col].to_numpy()).astype(np.float64), q)
         key = np.round(s, SCORE_DECIMALS)
         key = -key if larger else key
+        key = np.where(may, key, np.inf) if masks else key
         near = key <= np.partition(key, k - 1, axis=0)[k - 1] if len(key) > k else np.ones_like(key, bool)
-        at, query = np.nonzero(near)
+        at, query = np.nonzero(near & may if masks else near)
         return pdf[[id_col, *carry]].iloc[at].reset_index(drop=True).assign(score=s[at, query], query_id=query)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         best: list[pd.DataFrame] = []
-        held, step = 0, max(1, SCORES_AT_ONCE // len(q))
+        held, step = 0, max(1, SCORES_AT_ONCE // max(len(q), masks.size if masks else 0))
         for pdf in batches:
             pdf = pdf[pdf[vector_col].notna()]
             for a in range(0, len(pdf), step):
@@ -105,7 +118,29 @@ def _partition_topk(points: DataFrame, qids: list, qmat: np.ndarray, k: int, met
             out = _keep_k(pd.concat(best, ignore_index=True), k, larger, id_col)
             yield out.assign(query_id=qids_s[out["query_id"].to_numpy()])[["query_id", id_col, *carry, "score"]]
 
-    return points.select(id_col, vector_col, *carry).mapInPandas(run, out_schema)
+    columns = [id_col, vector_col, *carry] + ([tokens.alias("__tokens")] if masks else [])
+    return points.select(*columns).mapInPandas(run, out_schema)
+
+
+class _WordMasks:
+    """Which rows have all the words of which query, by one bitmap of a batch's rows for each word that some query has."""
+
+    def __init__(self, words: list[list[str]]):
+        self.known = pd.Index(sorted({w for of in words for w in of}))
+        self.codes = self.known.get_indexer([w for of in words for w in of])
+        self.starts = np.cumsum([0] + [len(of) for of in words[:-1]])
+        self.size = len(self.codes)
+
+    def of(self, tokens: pd.Series) -> np.ndarray:
+        """Rows by queries; every query has words."""
+        lists = [t if t is not None else [] for t in tokens]
+        row = np.repeat(np.arange(len(lists)), [len(t) for t in lists])
+        code = self.known.get_indexer(np.concatenate([np.asarray(t, object) for t in lists])) if len(row) else np.empty(0, int)
+        has = np.zeros((len(self.known), len(lists)), bool)
+        has[code[code >= 0], row[code >= 0]] = True
+        bitmaps = np.packbits(has, axis=1)
+        every = np.bitwise_and.reduceat(bitmaps[self.codes], self.starts, axis=0)
+        return np.unpackbits(every, axis=1, count=len(lists)).astype(bool).T
 
 
 def _keep_k(df: pd.DataFrame, k: int, larger: bool, id_col: str) -> pd.DataFrame:
@@ -153,15 +188,22 @@ def topk(points: DataFrame, queries: DataFrame, k: int = 10, metric: str = "cosi
         raise ValueError(f"metric must be one of {list(V.METRICS)}")
     queries = queries.select(F.col(query_id).cast("string").alias("query_id"),
                              F.col(query_vector).alias("__qv"))
+    return _topk_by_blocks(points, queries, k, metric, id_col, vector_col, carry, max_queries)
+
+
+def _topk_by_blocks(points: DataFrame, queries: DataFrame, k: int, metric: str, id_col: str, vector_col: str, carry: tuple[str, ...],
+                    max_queries: int, tokens: Column | None = None) -> DataFrame:
+    """Top-k of ``queries(query_id, __qv)``, by blocks; with ``tokens``, of ``queries(query_id, __qv, __words)`` among points that have the words."""
+    words = "__words" if tokens is not None else None
     results = []
-    for block in _query_blocks(queries, "query_id", "__qv", max_queries):
+    for block in _query_blocks(queries, "query_id", "__qv", max_queries, words):
         rows = _collect_bounded(block, max_queries, "query block")
         rows = [r for r in rows if r["__qv"] is not None]
         if not rows:
             continue
         qmat = np.asarray([list(r["__qv"]) for r in rows], dtype=np.float64)
-        cands = _partition_topk(points, [r["query_id"] for r in rows], qmat, k, metric,
-                                id_col, vector_col, list(carry))
+        cands = _partition_topk(points, [r["query_id"] for r in rows], qmat, k, metric, id_col, vector_col, list(carry),
+                                tokens, [list(r[words]) for r in rows] if words else None)
         results.append(rank_per_query(cands, k, metric, id_col))
     if not results:
         schema = points.select(id_col, *carry).schema
@@ -258,10 +300,19 @@ def keyword_search(points: DataFrame, queries: DataFrame, field: str, query_text
 
 def hybrid_search(points: DataFrame, queries: DataFrame, field: str, k: int = 10,
                   metric: str = "cosine", id_col: str = "id", mode: str = "prefix",
-                  carry: tuple[str, ...] = ()) -> DataFrame:
-    """Text filter then vector rank (O-89): keyword matches are re-ranked by the
-    query vector; the reference documents no fusion formula."""
-    matched = keyword_search(points, queries, field, id_col=id_col, mode=mode)
-    qv = queries.select(F.col("query_id"), F.col("vector").alias("query_vector"))
-    pairs = matched.join(qv, "query_id").join(points.select(id_col, "vector", *carry), id_col)
-    return pair_topk(pairs, k, metric, id_col)
+                  carry: tuple[str, ...] = (), max_queries: int = MAX_QUERIES_PER_SCAN) -> DataFrame:
+    """Text filter, then vector rank (O-89): a query's points are those whose ``field`` has all its words.
+
+    ``queries`` has ``query_id, text, vector``. The words are matched as in ``keyword_search``, within the scoring
+    scan: for each batch of points there is one bitmap per word of the block's queries, and a query's mask is the
+    intersection of its words' bitmaps. Only each partition's best ``k`` of a query leave the scan, so no
+    (query, point) pair is formed before the top-k, however frequent a word is. Points without a field or a vector
+    and queries without a word or a vector have no hits; the reference documents no fusion formula.
+    """
+    if metric not in V.METRICS:
+        raise ValueError(f"metric must be one of {list(V.METRICS)}")
+    words = F.array_distinct(TX.normalise_tokens(TX.word_tokens("text")))
+    asked = (queries.select(F.col("query_id").cast("string").alias("query_id"), F.col("vector").alias("__qv"), words.alias("__words"))
+             .where("__qv is not null and size(__words) > 0"))
+    tokens = TX.prefix_tokens(field) if mode == "prefix" else TX.normalise_tokens(TX.word_tokens(field))
+    return _topk_by_blocks(points, asked, k, metric, id_col, "vector", carry, max_queries, F.array_distinct(tokens))

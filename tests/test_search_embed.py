@@ -201,3 +201,36 @@ def test_two_stage_without_any_file_name(spark):
     files = spark.createDataFrame([("f0", "f0", [1.0]), ("f1", None, [1.0])], "id string, filename string, vector array<double>")
     qs = spark.createDataFrame([("a", [1.0])], "query_id string, vector array<double>")
     assert S.two_stage(files, pts, qs, 2, 2).count() == 0
+
+
+@pytest.mark.parametrize("mode", ["prefix", "word"])
+def test_hybrid_ranks_the_points_with_all_words(spark, mode):
+    rng = np.random.default_rng(8)
+    words = ["tax", "taxes", "report", "Rep", "2021", "2022", "q"]
+    names = [" ".join(rng.choice(words, rng.integers(0, 5))) for _ in range(300)] + [None, ""]
+    pts = [(f"p{i:03}", t, rng.normal(size=6).round(2).tolist() if i % 40 else None) for i, t in enumerate(names)]
+    asked = [(f"q{i}", t, rng.normal(size=6).round(2).tolist()) for i, t in enumerate(
+        ["tax", "TAX rep", "report 2021", "q q", "absent", "tax absent", "", "20 re", "taxes report 2022 q"])]
+    asked += [("null text", None, asked[0][2]), ("null vector", "tax", None)]
+    P = spark.createDataFrame(pts, "id string, name string, vector array<double>").repartition(4)
+    Q = spark.createDataFrame(asked, "query_id string, text string, vector array<double>")
+
+    def has(name, text):
+        own = {w.lower() for w in (name or "").split()}
+        own = {w[:n] for w in own for n in range(1, len(w) + 1)} if mode == "prefix" else own
+        return set(text.lower().split()) <= own
+
+    want = {}
+    for qid, text, v in asked:
+        may = [(i, x) for i, t, x in pts if x is not None and text and v is not None and has(t, text)]
+        if may:
+            want[qid] = _brute(may, [(qid, v)], 5, "cosine")[qid]
+    for at_once in (4096, 2):  # one block of queries, and several
+        got = {}
+        found = S.hybrid_search(P, Q, "name", 5, mode=mode, max_queries=at_once)
+        for r in sorted(found.collect(), key=lambda r: (r.query_id, r["rank"])):
+            got.setdefault(r.query_id, []).append(r.id)
+        assert got == want and "q4" not in got
+    assert "Join" not in S.hybrid_search(P, Q, "name", 5, mode=mode)._jdf.queryExecution().executedPlan().toString()
+    assert S.hybrid_search(P, Q.where("query_id = 'q6'"), "name", 5, mode=mode).count() == 0
+    assert S.hybrid_search(P.limit(0), Q, "name", 5, mode=mode).count() == 0
