@@ -4,12 +4,21 @@ A *window* is 35 consecutive words of one document. Every word covered by a
 window that also starts anywhere else (same document included) is removed.
 
 The reference is the corpus itself, as an index of window starts dealt over
-blocks by hash (the shuffle partitions). Each document is parsed greedily from
-left to right against every block: a factor opens at the first start that the
-index also knows from elsewhere and is extended word by word while the starts
-keep matching the same reference document. A factor therefore has 35 words at
-least. A window that straddles two factors is looked up on its own start, so
-nothing is missed where a parse switches its reference.
+blocks by hash (the shuffle partitions). Every start of a document is looked up in
+its block, which takes the place of a search of the document in each block. The
+index names two places of each repeated window, its first and its last by (class,
+word); a start refers to those of them that are not itself. A document is then
+factored greedily from left to right: a factor opens at the first start with a
+reference and is extended word by word while the next start refers to the next word
+of the same reference text. A factor has 35 words at least, and is a passage that
+stands in its reference word for word. It is not always the longest there is, as a
+start knows two places only; which words are covered does not depend on that.
+A window that straddles two factors is looked up on its own start, so nothing is
+missed where a parse switches its reference.
+
+A window hash that makes up more than 1 / 2,048 of all starts to look up is *hot*.
+There are fewer than 2,048 of these; their starts and their index rows are dealt
+over 64 parts.
 
 Only starts that can match are indexed. Each window has an anchor, the 8-word
 run with the smallest hash among its 28; equal windows have equal anchors. An
@@ -34,6 +43,7 @@ from corpusflow.llm import texthash as H
 from corpusflow.llm.common import ensure_parallel, rows_repeat, stage, unstage, words
 
 WINDOW, RUN = 35, 8
+HOT, SALTS = 2048, 64
 _EMPTY = hashlib.sha256(b"").digest()
 
 
@@ -99,13 +109,29 @@ def _starts(window: int):
     return run
 
 
-def factors(starts: np.ndarray, references: np.ndarray, window: int) -> list[tuple[int, int, int]]:
-    """Greedy factors ``(first word, words, reference)`` of one document's matching starts (sorted)."""
+def factors(starts: np.ndarray, references: np.ndarray, places: np.ndarray, own: int, window: int) -> list[tuple[int, int, int, int]]:
+    """Greedy factors ``(first word, words, reference, first word there)`` of the document ``own``.
+
+    ``starts`` are its matching starts (sorted); row i of ``references`` and
+    ``places`` has the places where the window of start i stands, itself perhaps among them.
+    """
     if not len(starts):
         return []
-    cut = np.flatnonzero((np.diff(starts) != 1) | (np.diff(references) != 0)) + 1
-    first, last = np.append(0, cut), np.append(cut, len(starts)) - 1
-    return [(int(starts[a]), int(starts[b] - starts[a]) + window, int(references[a])) for a, b in zip(first, last)]
+    shift = places - starts[:, None]
+    cut = (np.diff(starts) != 1) | (np.diff(references, axis=0) != 0).any(axis=1) | (np.diff(shift, axis=0) != 0).any(axis=1)
+    first = np.append(0, np.flatnonzero(cut) + 1)
+    last = np.append(first[1:], len(starts)) - 1
+    out, alive, begin, end = [], set(), 0, -1
+    for a, b in zip(first, last):
+        known = {(int(r), int(d)) for r, d in zip(references[a], shift[a]) if (r, d) != (own, 0)}
+        on = alive & known if starts[a] == end + 1 else set()
+        if not on:
+            if alive:
+                out.append((begin, end, *min(alive)))
+            on, begin = known, int(starts[a])
+        alive, end = on, int(starts[b])
+    out.append((begin, end, *min(alive)))
+    return [(a, b - a + window, r, a + d) for a, b, r, d in out]
 
 
 def _parsed(window: int):
@@ -117,11 +143,11 @@ def _parsed(window: int):
                 raw, offsets = H.text_buffer(pa.array([text.as_py()], pa.large_binary()))
                 begin, end, _ = H.word_bounds(raw, offsets)
                 found = hits[row].values
-                at, ref = (found.field(f).to_numpy() for f in ("start", "reference"))
-                order = np.argsort(at)
-                spans = factors(at[order], ref[order], window)
+                order = np.argsort(found.field("start").to_numpy())
+                at, r1, p1, r2, p2 = (found.field(f).to_numpy()[order].astype(np.int64) for f in ("start", "r1", "p1", "r2", "p2"))
+                spans = factors(at, np.stack([r1, r2], 1), np.stack([p1, p2], 1), batch.column("class")[row].as_py(), window)
                 gone = np.zeros(len(begin), bool)
-                for a, n, _ in spans:
+                for a, n, *_ in spans:
                     gone[a:a + n] = True
                 data, keep = raw.tobytes(), np.flatnonzero(~gone)
                 out["removed"].append(int(gone.sum()))
@@ -132,11 +158,12 @@ def _parsed(window: int):
                     parts.append(data[pos:begin[a]])
                     pos = int(end[b - 1])
                 out["text"].append(b"".join([*parts, data[pos:]]).decode("utf-8", "replace"))
-                out["spans"].append([{"first": a, "words": n, "reference": r} for a, n, r in spans])
+                out["spans"].append([{"first": a, "words": n, "reference": r, "place": p} for a, n, r, p in spans])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("class"), pa.array(out["removed"], pa.int64()), pa.array(out["sha"], pa.binary()),
                  pa.array(out["text"], pa.string()),
-                 pa.array(out["spans"], pa.list_(pa.struct([("first", pa.int32()), ("words", pa.int32()), ("reference", pa.int64())])))],
+                 pa.array(out["spans"], pa.list_(pa.struct([("first", pa.int32()), ("words", pa.int32()), ("reference", pa.int64()),
+                                                       ("place", pa.int32())])))],
                 names=["class", "n_removed", "sha", "text", "spans"])
     return run
 
@@ -148,8 +175,8 @@ def parse(docs: DataFrame, text: str | Column = "text", doc_id: str | Column = "
     Profiles: ``doc_id, n_words, lo, hi, sha`` per row, (lo, hi) naming the word
     sequence. Touched: ``lo, hi, n_removed, sha, text, spans`` per word sequence
     that loses words; ``spans`` are its factors (first word, words, reference
-    class). A sequence held by several rows loses everything: text is empty and
-    spans is one factor over all words.
+    class, first word there). A sequence held by several rows loses everything: text
+    is empty and spans is one factor over all words.
     """
     text, doc_id = (F.col(c) if isinstance(c, str) else c for c in (text, doc_id))
     rows = docs.select(doc_id.cast("long").alias("doc_id"), text.cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
@@ -179,23 +206,44 @@ def parse(docs: DataFrame, text: str | Column = "text", doc_id: str | Column = "
 
     # computed anew for each of its two uses: hashing is cheaper than keeping a row for every start
     starts = held.mapInArrow(_starts(window), "class long, copies long, start int, h1 long, h2 int")
-    index = (starts.groupBy("h1", "h2").agg(F.sum("copies").alias("times"), F.min("class").alias("reference"))
-             .where("times > 1").select("h1", "h2", "reference"))
-    hits = (starts.where("copies = 1").join(index, ["h1", "h2"])
-            .groupBy("class").agg(F.collect_list(F.struct("start", "reference")).alias("hits")))
+    place = F.struct(F.col("class").alias("reference"), F.col("start").alias("place"))
+    index, index_path = stage(
+        starts.groupBy("h1", "h2").agg(F.sum("copies").alias("times"), F.count_if(F.col("copies") == 1).alias("asked"),
+                                       F.min(place).alias("low"), F.max(place).alias("high"))
+        .where("times > 1 and asked > 0").drop("times"), "windows")
+    hits = (_lookup(starts.where("copies = 1").drop("copies"), index)
+            .groupBy("class").agg(F.collect_list(F.struct(
+                "start", F.col("low.reference").alias("r1"), F.col("low.place").alias("p1"),
+                F.col("high.reference").alias("r2"), F.col("high.place").alias("p2"))).alias("hits")))
     parsed, _ = stage(held.select("class", "text").join(hits, "class").mapInArrow(
         _parsed(window), "class long, n_removed long, sha binary, text string, "
-        "spans array<struct<first:int,words:int,reference:long>>"), "parsed")
-    unstage(docs.sparkSession, held_path)
+        "spans array<struct<first:int,words:int,reference:long,place:int>>"), "parsed")
+    unstage(docs.sparkSession, held_path, index_path)
     key = classes.select("class", "lo", "hi")
     whole = classes.where("copies > 1").select(
         "lo", "hi", F.col("n_words").alias("n_removed"), F.unhex(F.lit(_EMPTY.hex())).alias("sha"), F.lit("").alias("text"),
         F.array(F.struct(F.lit(0).alias("first"), F.col("n_words").cast("int").alias("words"),
-                         F.col("class").alias("reference"))).alias("spans"))
+                         F.col("class").alias("reference"), F.lit(0).alias("place"))).alias("spans"))
     touched = parsed.join(key, "class").select("lo", "hi", "n_removed", "sha", "text", "spans").union(whole)
     return profiles, touched
 
 
+def _lookup(starts: DataFrame, index: DataFrame) -> DataFrame:
+    """``class, start, low, high``: the starts whose window the index knows, and its places there.
+
+    ``index`` has the starts that ask for each hash (``asked``). Hot hashes are
+    fewer than ``HOT`` by their share, so they are broadcast, as marks of the starts to salt.
+    """
+    total = index.agg(F.sum("asked")).first()[0] or 0
+    hot = F.col("asked") * HOT > total
+    salts = F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    marks = F.broadcast(index.where(hot).select("h1", "h2", F.lit(True).alias("hot")))
+    salted = starts.join(marks, ["h1", "h2"], "left").withColumn(
+        "salt", F.when(F.col("hot"), F.pmod(F.hash("class", "start"), F.lit(SALTS))).otherwise(0)).drop("hot")
+    return salted.join(index.select("h1", "h2", "low", "high", F.explode(salts).alias("salt")), ["h1", "h2", "salt"]).select(
+        "class", "start", "low", "high")
+
+
 def _own_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows whose text is their class's (texts of one hash may differ)."""
     for batch in batches:

@@ -11,6 +11,7 @@ from math import ceil
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from corpusflow.llm import (
     common,
@@ -343,6 +344,57 @@ def test_substring_dedup_equals_all_windows(docs, make):
     assert got(make(ODD).limit(0)) == []
 
 
+def test_factors_follow_their_reference(make):
+    """A factor is a passage of its reference, word for word, and never stands on itself."""
+    base = [f"w{i}" for i in range(200)]
+    texts = {1: "a " + " ".join(base[:90]), 2: "b b " + " ".join(base[40:150]), 3: " ".join(base), 4: "c " + " ".join(base[:60] + base[100:160]),
+             5: " ".join(base[10:50]) + " x " + " ".join(base[10:50]), 6: " ".join(["z"] * 50 + ["u"]), 7: "own text",
+             8: "h " * 2000, 9: "h " * 1500 + "end", 10: "same " * 40, 11: "same " * 40,
+             12: " ".join(["k", *(f"c{i}" for i in range(90)), "k"]), 13: " ".join(["m", "m", *(f"c{i}" for i in range(90))])}
+    profiles, touched = substring_dedup.parse(make(list(texts.items())))
+    words = {(r.lo, r.hi): texts[r.doc_id].split() for r in profiles.collect()}
+    spans = {(r.lo, r.hi): r.spans for r in touched.collect()}
+    assert len(spans) == 11
+    covered = {k: set() for k in spans}
+    for k, of in spans.items():
+        for f in of:
+            covered[k] |= set(range(f.first, f.first + f.words))
+            assert f.words >= 35
+            passage = words[k][f.first:f.first + f.words]
+            assert any(w[f.place:f.place + f.words] == passage and (o != k or f.place != f.first or w.count(w[0]) == 40) for o, w in words.items())
+    assert [[tuple(f)[:2] + (f.place,) for f in spans[k]] for k in spans if words[k][0] in "km"] in ([[(1, 90, 2)], [(2, 90, 1)]], [[(2, 90, 1)], [(1, 90, 2)]])
+    brute = {r[0]: r[2] for r in removal_brute(list(texts.items()))}
+    ids = {" ".join(texts[i].split()): i for i in texts}
+    assert all(len(covered[k]) == brute[ids[" ".join(words[k])]] for k in spans)
+
+
+def test_hot_windows_are_salted(spark):
+    rows = [(i, s, 5, 5) for i in range(40) for s in range(50)] + [(100 + i, 0, i, 0) for i in range(30)] + [(200 + i, 7, i, 0) for i in range(30)]
+    starts = spark.createDataFrame(rows, "class long, start int, h1 long, h2 int")
+    place = F.struct(F.col("class").alias("reference"), F.col("start").alias("place"))
+    index = starts.groupBy("h1", "h2").agg(F.count("*").alias("asked"), F.min(place).alias("low"), F.max(place).alias("high"))
+    got = substring_dedup._lookup(starts, index).collect()
+    assert sorted((r["class"], r.start) for r in got) == sorted((r[0], r[1]) for r in rows)
+    for r in got:
+        n = r["class"] % 100
+        assert (tuple(r.low), tuple(r.high)) == (((0, 0), (39, 49)) if r["class"] < 100 else ((n + 100, 0), (n + 200, 7)))
+
+
+def test_greedy_factors():
+    at = np.array([3, 4, 5, 6, 9, 10])
+    refs = np.array([[1, 8], [1, 8], [2, 8], [2, 7], [5, 6], [5, 6]])
+    places = np.array([[10, 0], [11, 1], [50, 2], [51, 9], [9, 70], [10, 71]])
+    assert substring_dedup.factors(at, refs, places, 5, 35) == [(3, 37, 8, 0), (6, 35, 2, 51), (9, 36, 6, 70)]
+    assert substring_dedup.factors(at[:0], refs[:0], places[:0], 5, 35) == []
+
+
+def test_no_hot_windows_in_empty_tables(spark):
+    starts = spark.createDataFrame([], "class long, start int, h1 long, h2 int")
+    place = F.struct(F.col("class").alias("reference"), F.col("start").alias("place"))
+    index = starts.groupBy("h1", "h2").agg(F.count("*").alias("asked"), F.min(place).alias("low"), F.max(place).alias("high"))
+    assert substring_dedup._lookup(starts.limit(0), index.limit(0)).collect() == []
+
+
 def test_remove_repeats_keeps_the_rest(make):
     own = "alpha beta\ngamma  delta"
     df = make([(1, own + " " + LONG), (2, LONG + "\nend"), (3, own), (None, None)])
