@@ -363,3 +363,26 @@ def batch_embed_buckets(spark, d):
     used = F.filter("vector", lambda x: x > 0)
     top = F.array_position("vector", F.array_max("vector")) - 1
     return out.select("doc_id", F.size(used).alias("n_buckets"), F.when(F.size(used) > 0, top).cast("int").alias("top_bucket"))
+
+
+@query("listing_changes", """
+SELECT f.object_key AS key,
+  CASE WHEN l.doc_id IS NULL THEN 'new' WHEN l.toxic = 1 THEN 'removed' WHEN l.quality = 1 THEN 'changed' ELSE 'same' END AS state,
+  CAST(f.size + CASE WHEN l.toxic = 0 AND l.quality = 1 THEN 7 ELSE 0 END AS BIGINT) AS size,
+  CASE WHEN l.toxic = 0 AND l.quality = 1 THEN md5(f.text || ' edited') ELSE f.content_md5 END AS etag,
+  l.doc_id IS NULL OR l.toxic = 0 AS listed
+FROM fx_files f LEFT JOIN labels l USING (doc_id)""", "O-01 O-40")
+def listing_changes(spark, d):
+    """Two listings recorded one after the other: the labelled files, then all files without the toxic ones and with the good ones edited."""
+    from corpusflow.sources import snapshots as SN
+    store = _store(spark)
+    files = FX.fx_files(spark, d).join(FX.table(spark, d, "labels"), "doc_id", "left")
+    entry = [F.col("object_key").alias("key"), F.col("ts").alias("last_modified")]
+    SN.record(store, files.where("toxic is not null").select(*entry, "size", F.col("content_md5").alias("etag")))
+    edited = F.coalesce(F.col("quality") == 1, F.lit(False))
+    text = F.when(edited, F.concat("text", F.lit(" edited"))).otherwise(F.col("text"))
+    now = files.where("toxic is null or toxic = 0").select(
+        *entry, (F.col("size") + F.when(edited, 7).otherwise(0)).alias("size"), F.md5(text).alias("etag"))
+    changed = SN.record(store, now)
+    listed = SN.latest(store).select("key", F.lit(True).alias("listed"))
+    return changed.join(listed, "key", "left").select("key", "state", "size", "etag", F.coalesce("listed", F.lit(False)).alias("listed"))

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from corpusflow.functions import paths as P
 
 LISTING_COLUMNS = ("key", "size", "last_modified", "etag")
+#: paths named in a filter of one scan
+PATHS_AT_ONCE = 10_000
 
 
 def list_objects(spark: SparkSession, root: str, prefix: str = "", glob: str | None = None,
@@ -30,9 +32,7 @@ def list_objects(spark: SparkSession, root: str, prefix: str = "", glob: str | N
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     df = reader.load(base + "/" + prefix.lstrip("/") if prefix else base)
-    rel = (relative_to or base).rstrip("/")
-    key = F.regexp_replace(F.col("path"), r"^(file:)?/*" + _regex_quote(rel.lstrip("/")) + "/", "")
-    cols = [key.alias("key"), F.col("length").alias("size"),
+    cols = [_key((relative_to or base).rstrip("/")).alias("key"), F.col("length").alias("size"),
             F.col("modificationTime").alias("last_modified")]
     if with_content:
         cols += [F.md5(F.col("content")).alias("etag"), F.col("content")]
@@ -41,6 +41,11 @@ def list_objects(spark: SparkSession, root: str, prefix: str = "", glob: str | N
     return df.select(*cols).where(~F.col("key").endswith("/"))
 
 
+def _key(root: str):
+    """An object's path relative to ``root``."""
+    return F.regexp_replace(F.col("path"), r"^(file:)?/*" + _regex_quote(root.lstrip("/")) + "/", "")
+
+
 def _regex_quote(s: str) -> str:
     return "".join("\\" + c if c in r".[]{}()\*+-?^$|" else c for c in s)
 
@@ -50,15 +55,32 @@ def with_prefix(listing: DataFrame, prefix: str, key: str = "key") -> DataFrame:
     return listing.where(P.with_prefix(key, prefix))
 
 
+def content_of(spark: SparkSession, root: str, wanted: DataFrame, key: str = "key", glob: str | None = None,
+               paths_at_once: int = PATHS_AT_ONCE) -> DataFrame:
+    """``key, content`` of the objects under ``root`` with a wanted key.
+
+    Up to ``paths_at_once`` objects are named in a filter on the file path, which drops all
+    others when the scan is planned, so that no other byte is read. More are found by a
+    semi-join with a scan of the root.
+    """
+    base = root.rstrip("/")
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    objects = (reader.option("pathGlobFilter", glob) if glob else reader).load(base)
+    own = _key(base).alias(key)
+    keys = wanted.select(key).distinct()
+    uris = (objects.select(own, F.col("_metadata.file_path").alias("uri")).join(keys, key, "left_semi")
+            .select("uri").limit(paths_at_once + 1).collect())
+    if len(uris) > paths_at_once:
+        return objects.select(own, "content").join(keys, key, "left_semi")
+    return objects.where(F.col("_metadata.file_path").isin([r["uri"] for r in uris])).select(own, "content")
+
+
 def read_content(spark: SparkSession, root: str, listing: DataFrame, key: str = "key") -> DataFrame:
     """Attach bytes to listed keys (O-03); keys that cannot be read get null.
 
-    A left join of the listing with a content scan of the same root: only
-    the listed keys survive and missing objects yield a null ``content``.
+    A left join of the listing with the bytes of the listed keys (``content_of``).
     """
-    files = list_objects(spark, root, with_content=True).select(
-        F.col("key").alias(key), "content")
-    return listing.join(files, key, "left")
+    return listing.join(content_of(spark, root, listing, key), key, "left")
 
 
 def object_exists(keys: DataFrame, listing: DataFrame, key: str = "key",

@@ -124,3 +124,62 @@ def test_batch_numbers_without_holes(spark):
     pts = spark.createDataFrame([("f", p, f"i{p}") for p in (1, 2, 7, 8, 9, 5000, 9000)], "filename string, page_number int, id string")
     rows = PT.write_batches(pts, 2).orderBy("page_number").collect()
     assert [(r.batch_number, r.batch_count) for r in rows] == [(1, 4), (1, 4), (2, 4), (2, 4), (3, 4), (3, 4), (4, 4)]
+
+
+def test_bytes_are_read_of_changed_keys_only(spark, scratch):
+    """Snapshots of a folder: bytes of new and changed objects only; unchanged ones keep their etag."""
+    import hashlib
+    import os
+    import pathlib
+
+    from corpusflow.sources import snapshots as SN
+    from corpusflow.sources.run_store import RunStore
+    root, store = pathlib.Path(scratch, "objects"), RunStore(spark, f"{scratch}/store")
+    names = ["a/1.txt", "a/2.txt", "b/space %20 [x].txt", "b/4.txt", "c/5.txt"]
+    for i, name in enumerate(names):
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_text(f"text {i}" * (i + 1))
+
+    def states(df):
+        return {r.key: r.state for r in df.collect()}
+
+    def md5(name):
+        return hashlib.md5((root / name).read_bytes()).hexdigest()
+
+    assert states(SN.refresh(store, str(root), "r1")) == dict.fromkeys(names, "new")
+    assert {r.key: r.etag for r in SN.latest(store).collect()} == {n: md5(n) for n in names}
+    assert SN.refresh(store, str(root), "r1") is None
+    kept = (root / "a/1.txt").stat()
+    (root / "a/1.txt").write_text("TEXT 0")  # same size and, below, same time: taken for unchanged
+    os.utime(root / "a/1.txt", ns=(kept.st_atime_ns, kept.st_mtime_ns))
+    (root / "a/2.txt").write_text("longer than it was")
+    (root / "b/4.txt").unlink()
+    (root / "c/6.txt").write_text("six")
+    want = {"a/1.txt": "same", "a/2.txt": "changed", names[2]: "same", "b/4.txt": "removed", "c/5.txt": "same", "c/6.txt": "new"}
+    assert states(SN.refresh(store, str(root), "r2")) == want
+    now = {r.key: r.etag for r in SN.latest(store).collect()}
+    assert now["a/1.txt"] == hashlib.md5(b"text 0").hexdigest() and now["a/2.txt"] == md5("a/2.txt") and now["c/6.txt"] == md5("c/6.txt")
+    assert set(now) == set(want) - {"b/4.txt"}
+
+    some = spark.createDataFrame([(names[2],), ("c/5.txt",), ("none",)], "key string")
+    for at_once, files in ((10_000, 2), (1, 5)):  # by path, and by a semi-join
+        read = LS.content_of(spark, str(root), some, paths_at_once=at_once)
+        assert {r.key: bytes(r.content) for r in read.collect()} == {n: (root / n).read_bytes() for n in (names[2], "c/5.txt")}
+        if files == 2:
+            read.write.format("noop").mode("overwrite").save()
+            scan = read._jdf.queryExecution().executedPlan().collectLeaves().head()
+            read._jdf.queryExecution().toRdd().count()
+            assert scan.metrics().apply("numFiles").value() == files
+    got = {r.key: r.content for r in LS.read_content(spark, str(root), some).collect()}
+    assert got["none"] is None and bytes(got["c/5.txt"]) == (root / "c/5.txt").read_bytes()
+
+
+def test_listing_changes_of_odd_entries(spark):
+    from corpusflow.sources import snapshots as SN
+    schema = "key string, size long, last_modified timestamp, etag string"
+    before = spark.createDataFrame([("a", 1, None, "X"), ("b", 1, None, "x"), ("c", None, None, None), ("d", 1, None, "old"), (None, 1, None, None)], schema)
+    now = spark.createDataFrame([("a", 1, None, "x"), ("b", 1, None, "y"), ("c", None, None, "e"), ("d", 1, None, None), (None, 2, None, None)], schema)
+    assert {(r.key, r.state, r.etag) for r in SN.changes(before, now).collect()} == {
+        ("a", "same", "x"), ("b", "changed", "y"), ("c", "same", "e"), ("d", "same", "old")}
+    assert {r.state for r in SN.changes(before.limit(0), now).collect()} == {"new"}
+    assert {r.state for r in SN.changes(before, now.limit(0)).collect()} == {"removed"}
