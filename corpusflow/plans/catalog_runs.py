@@ -148,9 +148,8 @@ def stream_ingest_exactly_once(spark, d):
     """A stream into a store whose batch is executed twice, the second time as after a lost checkpoint."""
     from corpusflow.streaming.ingest import stream_to_store
     store = _store(spark)
-    docs = FX.table(spark, d, "documents")
     keys = FX.fx_files(spark, d).select("doc_id", F.col("object_key").alias("key"))
-    stream = spark.readStream.schema(docs.schema).option("pathGlobFilter", "documents.parquet").parquet(d)
+    stream = FX.table_stream(spark, d, "documents")
     files = stream.where(F.trim(F.regexp_replace("text", r"[\t\n\r\f]", " ")) != "").join(keys, "doc_id").select("key", "text")
     for _ in range(2):
         stream_to_store(store, "documents", files, f"{store.root}/ckpt-{uuid.uuid4().hex[:8]}", embed=EM.HashingEmbedder(16),

@@ -485,8 +485,8 @@ def stream_ingest(spark, d):
     tag = uuid.uuid4().hex[:10]
     schema = FX.table(spark, d, "documents").schema
     out = scratch_path(spark, f"stream-points-{tag}")
-    run(spark, d, schema, out, scratch_path(spark, f"stream-ckpt-{tag}"), FX.fx_upload(spark, d),
-        FX.fx_embedding(spark, d), FX.fx_resident(spark, d), glob="documents.parquet")
+    run(spark, FX.table_pattern(d, "documents"), schema, out, scratch_path(spark, f"stream-ckpt-{tag}"), FX.fx_upload(spark, d),
+        FX.fx_embedding(spark, d), FX.fx_resident(spark, d))
     return spark.read.parquet(out).select("id", "filename", "page_number", "file_hash", "epoch")
 
 
@@ -509,9 +509,7 @@ def stream_monitoring_append(spark, d):
 
 def _streamed_rates(spark, d, mode):
     from corpusflow.streaming.ingest import run_to_files, stream_rates
-    schema = FX.table(spark, d, "events").schema
-    ev = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
-    rates = stream_rates(ev, "ts", failed=F.col("event_type") == "error", group_col="event_type")
+    rates = stream_rates(FX.table_stream(spark, d, "events"), "ts", failed=F.col("event_type") == "error", group_col="event_type")
     tab = run_to_files(rates, _scratch(spark, "monitor"), _scratch(spark, "monitor-ckpt"), mode)
     return tab.select(F.col("w.start").cast("string").alias("window_start"), "event_type",
                       F.col("n_files").cast("bigint").alias("n_files"), F.col("n_failed").cast("bigint").alias("n_failed"))

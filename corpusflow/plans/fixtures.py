@@ -23,6 +23,15 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
 
 
+def table_stream(spark: SparkSession, d: str, name: str) -> DataFrame:
+    """A table as a file stream, whether it is one file or a folder of files: a stream takes either for a path with a pattern."""
+    return spark.readStream.schema(table(spark, d, name).schema).parquet(table_pattern(d, name))
+
+
+def table_pattern(d: str, name: str) -> str:
+    return f"{d.rstrip('/')}/{{{name}.parquet}}"
+
+
 def _minutes_after(t0: str, minutes) -> F.Column:
     return F.expr(f"timestamp_ntz'{t0}' + make_dt_interval(0, 0, CAST({minutes} AS INT), 0)")
 
