@@ -525,11 +525,11 @@ def _scratch(spark, name):
 
 @query("object_listing_content", None, "O-01 O-03 O-18")
 def object_listing_content(spark, d):
-    """binaryFile listing of the table folder with bytes read for every object."""
-    from corpusflow.sources.listing import list_objects, read_content
+    """binaryFile listing of the table folder with bytes read for every object, in blocks."""
+    from corpusflow.sources.listing import content_md5, list_objects, read_content
     listing = list_objects(spark, d, glob="*.parquet")
-    files = read_content(spark, d, listing.select("key", "size"))
-    return files.select("key", "size", F.md5("content").alias("etag"))
+    files = read_content(spark, d, listing.select("key", "size"), blocks=True, glob="*.parquet")
+    return content_md5(files).select("key", "size", "etag")
 
 
 @query("ledger_roundtrip", "SELECT filename, hash, stage, error FROM fx_failed", "O-16 O-17")
