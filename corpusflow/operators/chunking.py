@@ -19,8 +19,9 @@ characters at once.
 Pieces of a chunk are neighbours, so a chunk is a span of the text and the
 state is two positions and a token count; strings are cut out only at a flush.
 Separators never cut a token, so tokens are located once per text and a piece's
-count is a difference of two ranks. The pass runs in an Arrow function, batch by
-batch; chunking never shuffles, so it scales with the number of input splits.
+count is a difference of two ranks. The pass runs in an Arrow function, a megabyte
+of text at a time, whose chunks leave the worker before the next; chunking never
+shuffles, so it scales with the number of input splits.
 """
 
 from __future__ import annotations
@@ -29,9 +30,12 @@ import re
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as ST
 
 from corpusflow.functions import hashing as H
 from corpusflow.functions import text as T
@@ -102,7 +106,34 @@ def split_text(text: str, size: int, overlap: int = 0, counter: Callable[[str],
     return list(_Splitter(text, size, overlap, counter).split(0, len(text), len(_SEPARATORS) if plain else 0))
 
 
-_CHUNKS = pa.list_(pa.struct([("t", pa.string()), ("n", pa.int32())]))
+_CHUNK = pa.struct([("t", pa.string()), ("n", pa.int32())])
+#: bytes of text cut at once: what a Python worker holds besides the Arrow batch it was sent
+BYTES_AT_ONCE = 1 << 20
+
+
+def slices(column: pa.Array, at_once: int = BYTES_AT_ONCE) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of rows whose texts (or bytes) come to about ``at_once`` bytes; a longer one is a run of its own."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    a, held = 0, 0
+    for i, size in enumerate(sizes.tolist()):
+        if held and held + size > at_once:
+            yield a, i
+            a, held = i, 0
+        held += size
+    if a < len(sizes):
+        yield a, len(sizes)
+
+
+def _split_all(texts: pa.Array, size: int, overlap: int, counter: Callable[[str], int] | None) -> tuple[list, pa.StructArray]:
+    """The number of chunks of each text (None for a null text), and all chunks as ``t, n``."""
+    counts, found, tokens = [], [], []
+    for text in texts:
+        text = text.as_py()
+        chunks = [] if text is None else split_text(text, size, overlap, counter)
+        counts.append(None if text is None else len(chunks))
+        found += [c for c, _ in chunks]
+        tokens += [n for _, n in chunks]
+    return counts, pa.StructArray.from_arrays([pa.array(found, pa.string()), pa.array(tokens, pa.int32())], fields=list(_CHUNK))
 
 
 def chunk_texts(text, chunk_tokens: int = DEFAULT_CHUNK_TOKENS, overlap_tokens: int = DEFAULT_OVERLAP_TOKENS,
@@ -119,8 +150,12 @@ def chunk_texts_counted(text, chunk_tokens: int = DEFAULT_CHUNK_TOKENS, overlap_
 
     @F.arrow_udf("array<struct<t:string,n:int>>")
     def chunks(texts: pa.Array) -> pa.Array:
-        return pa.array([None if t is None else [{"t": c, "n": n} for c, n in split_text(t, chunk_tokens, overlap_tokens, counter)]
-                         for t in texts.to_pylist()], _CHUNKS)
+        lists = []
+        for a, b in slices(texts):
+            counts, found = _split_all(texts.slice(a, b - a), chunk_tokens, overlap_tokens, counter)
+            ends = np.cumsum([0] + [c or 0 for c in counts]).astype(np.int32)
+            lists.append(pa.ListArray.from_arrays(pa.array(ends, mask=np.array([c is None for c in counts] + [False])), found))
+        return pa.concat_arrays(lists) if lists else pa.array([], pa.list_(_CHUNK))
 
     return chunks(col(text))
 
@@ -173,19 +208,30 @@ def chunk_documents(docs: DataFrame, text_col: str = "text", filename_col: str =
                     min_partitions: int | None = None) -> DataFrame:
     """One row per chunk: filename, chunk_number (1-based), text, element_type,
     md5_hash, n_tokens, plus the ``keep`` columns (O-27, O-29, O-30, O-31)."""
+    if overlap_tokens >= chunk_tokens:
+        raise ValueError("overlap must be smaller than the chunk size")
     docs = ensure_parallelism(docs, min_partitions)
-    chunks = docs.select(
-        *[col(c) for c in keep if c != filename_col],
-        col(filename_col).alias("filename"),
-        F.posexplode(chunk_texts_counted(text_col, chunk_tokens, overlap_tokens, counter)).alias("pos", "c"),
-    )
-    return chunks.select(
-        *keep_cols(keep, filename_col), "filename",
-        (F.col("pos") + 1).cast("int").alias("chunk_number"),
-        F.col("c.t").alias("text"),
-        T.element_type("c.t").alias("element_type"),
-        H.text_md5("c.t").alias("md5_hash"),
-        F.col("c.n").alias("n_tokens"),
+    rows = docs.select(*[col(c) for c in keep_cols(keep, filename_col)], col(filename_col).alias("filename"), col(text_col).cast("string").alias("__text"))
+    kept = rows.schema.fields[:-1]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(batch.num_columns - 1)
+            for a, b in slices(texts):
+                counts, found = _split_all(texts.slice(a, b - a), chunk_tokens, overlap_tokens, counter)
+                n = np.array([c or 0 for c in counts], np.int64)
+                row = pa.array(np.repeat(np.arange(a, b), n))
+                number = np.arange(1, len(row) + 1) - np.repeat(np.cumsum(n) - n, n)
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).take(row) for i in range(len(kept))), pa.array(number, pa.int32()),
+                                                  found.field(0), found.field(1)], names=[*(f.name for f in kept), "chunk_number", "text", "n_tokens"])
+
+    made = ST.StructType([*kept, ST.StructField("chunk_number", ST.IntegerType()), ST.StructField("text", ST.StringType()),
+                          ST.StructField("n_tokens", ST.IntegerType())])
+    return rows.mapInArrow(cut, made).select(
+        *keep_cols(keep, filename_col), "filename", "chunk_number", "text",
+        T.element_type("text").alias("element_type"),
+        H.text_md5("text").alias("md5_hash"),
+        "n_tokens",
     )
 
 

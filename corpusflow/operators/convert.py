@@ -9,7 +9,7 @@ column transformation over a table of documents:
   dropped; common entities decoded). Each step is also valid RE2, so the
   same chain runs in the DuckDB oracle.
 * ``convert_with`` — any other converter plugs in as a function
-  ``(bytes, name) -> (markdown | None, error | None)`` run by ``mapInPandas``.
+  ``(bytes, name) -> (markdown | None, error | None)`` run by ``mapInArrow``.
 
 An empty result is a failure with stage ``docling`` (the reference's name for
 the conversion stage).
@@ -19,12 +19,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusflow.functions._util import col
+from corpusflow.operators.chunking import slices
 
 # The conversion steps in order (pattern, replacement).
 HTML_STEPS: list[tuple[str, str]] = [
@@ -83,24 +84,24 @@ def convert_with(df: DataFrame, fn: ConvertFn, content_col: str = "content", nam
     out_schema = T.StructType(list(schema.fields) + [
         T.StructField("markdown", T.StringType(), True), T.StructField("error", T.StringType(), True)])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            mds, errs = [], []
-            for b, n in zip(pdf[content_col], pdf[name_col]):
-                try:
-                    m, e = fn(b, n)
-                except Exception as ex:  # noqa: BLE001
-                    m, e = None, f"{type(ex).__name__}: {ex}"
-                if not m and e is None:
-                    e = "empty conversion"
-                mds.append(m or None)
-                errs.append(e)
-            out = pdf[[*keep, name_col]].copy()
-            out["markdown"] = mds
-            out["error"] = errs
-            yield out
-
-    return df.select(*keep, name_col, content_col).mapInPandas(run, out_schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            content, names = batch.column(batch.num_columns - 1), batch.column(batch.num_columns - 2)
+            for a, b in slices(content):
+                mds, errs = [], []
+                for c, n in zip(content.slice(a, b - a).to_pylist(), names.slice(a, b - a).to_pylist()):
+                    try:
+                        m, e = fn(c, n)
+                    except Exception as ex:  # noqa: BLE001
+                        m, e = None, f"{type(ex).__name__}: {ex}"
+                    if not m and e is None:
+                        e = "empty conversion"
+                    mds.append(m or None)
+                    errs.append(e)
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(a, b - a) for i in range(batch.num_columns - 1)),
+                                                  pa.array(mds, pa.string()), pa.array(errs, pa.string())], names=out_schema.names)
+
+    return df.select(*keep, name_col, content_col).mapInArrow(run, out_schema)
 
 
 def failed_rows(converted: DataFrame, filename_col: str, hash_col: str | None = None,

@@ -1,7 +1,7 @@
 """Embedding (O-50 … O-58).
 
 The embedder is a plug-in: any ``embed(list[str]) -> list[list[float] | None]``.
-``batch_embed`` runs it inside ``mapInPandas`` over Arrow batches, in slices
+``batch_embed`` runs it inside ``mapInArrow`` over Arrow batches, in slices
 of ``batch_size`` texts per call, with per-row fallback and retries, so a
 failing slice never fails the task and the output stays aligned with the
 input. Spark's task retry covers executor loss; ids are deterministic so a
@@ -18,7 +18,7 @@ import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -130,25 +130,21 @@ def batch_embed(df: DataFrame, embed: EmbedFn, text_col: str = "text",
            T.StructField("embed_error", T.StringType(), True),
            T.StructField("embed_seconds", T.DoubleType(), True)])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            texts = pdf[text_col].tolist()
-            vecs, errs, secs = [], [], []
-            for s in range(0, len(texts), batch_size):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # each slice leaves the worker before the next one's texts become Python strings
+            for s in range(0, batch.num_rows, batch_size):
+                part = batch.slice(s, batch_size)
                 t0 = time.perf_counter()
-                v, e = _embed_slice(embed, texts[s:s + batch_size], attempts, min_wait, max_wait)
-                dt = time.perf_counter() - t0
-                vecs += v
-                errs += e
-                secs += [dt / max(1, len(v))] * len(v)
-            out = pdf[list(keep)].copy()
-            out[out_col] = [None if v is None else np.asarray(v, dtype=np.float32) for v in vecs]
-            out["embed_error"] = errs
-            out["embed_seconds"] = secs
-            yield out
+                vecs, errs = _embed_slice(embed, part.column(cols.index(text_col)).to_pylist(), attempts, min_wait, max_wait)
+                seconds = (time.perf_counter() - t0) / max(1, len(vecs))
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(cols.index(c)) for c in keep),
+                     pa.array([None if v is None else np.asarray(v, dtype=np.float32) for v in vecs], pa.list_(pa.float32())),
+                     pa.array(errs, pa.string()), pa.array([seconds] * len(vecs), pa.float64())], names=out_schema.names)
 
     from corpusflow.operators.chunking import ensure_parallelism
-    return ensure_parallelism(df.select(*cols)).mapInPandas(run, out_schema)
+    return ensure_parallelism(df.select(*cols)).mapInArrow(run, out_schema)
 
 
 def hashing_buckets(df: DataFrame, id_cols: list[str], text_col: str = "text", dim: int = 64) -> DataFrame:
