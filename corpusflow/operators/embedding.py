@@ -7,15 +7,20 @@ failing slice never fails the task and the output stays aligned with the
 input. Spark's task retry covers executor loss; ids are deterministic so a
 re-run produces the same rows.
 
-``hashing_vectors`` is the offline stand-in model as native expressions (no
-Python): word tokens -> MD5 bucket -> counts -> L2 normalised.
+``HashingEmbedder`` and ``hashing_vectors`` are the offline stand-in model: word
+tokens -> MD5 bucket -> counts -> L2 normalised. ``hashing_buckets`` is the same as
+native expressions (no Python), in long format.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 import time
 from collections.abc import Callable, Iterator
+from functools import reduce
+from itertools import chain
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -52,35 +57,56 @@ def model_dimension(model: str, override: int | None = None) -> int:
     return DEFAULT_DIMENSION
 
 
+class _Buckets(dict):
+    """The bucket of a word as it is written, by its lower-cased form; a full cache is emptied, so a worker's memory stays bounded."""
+
+    CACHE = 300_000
+
+    def __init__(self, dim: int) -> None:
+        super().__init__()
+        self.dim = dim
+
+    def __missing__(self, word: str) -> int:
+        bucket = int.from_bytes(hashlib.md5(word.lower().encode("utf-8")).digest()[:4], "big") % self.dim
+        if len(self) >= self.CACHE:
+            self.clear()
+        self[word] = bucket
+        return bucket
+
+
+_LATIN_WORD = re.compile(r"[^\W_]+")
+
+
 class HashingEmbedder:
-    """Offline model stand-in, equal to ``hashing_vectors`` (native) row by row."""
+    """Offline model stand-in, equal to ``hashing_vectors`` row by row."""
 
     def __init__(self, dim: int = 64):
         import regex
         self.dim = dim
         self._word = regex.compile(TX.WORD_PATTERN)
-        self._cache: dict[str, int] = {}
-
-    def _bucket(self, w: str) -> int:
-        b = self._cache.get(w)
-        if b is None:
-            b = int(hashlib.md5(w.encode("utf-8")).hexdigest()[:8], 16) % self.dim
-            if len(self._cache) < 500_000:
-                self._cache[w] = b
-        return b
+        self._buckets = _Buckets(dim)
+
+    def words(self, text: str) -> list[str]:
+        """The words of a text, by Python's own patterns if it is Latin-1, where both are the same."""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return self._word.findall(text)
+        return _LATIN_WORD.findall(text)
+
+    def counts(self, texts: list[str]) -> np.ndarray:
+        """Words in each bucket, texts by buckets."""
+        bucket = self._buckets.__getitem__
+        found = [list(map(bucket, self.words(t))) if t else [] for t in texts]
+        row = np.repeat(np.arange(len(found)), [len(x) for x in found])
+        at = row * self.dim + np.fromiter(chain.from_iterable(found), np.int64, len(row))
+        return np.bincount(at, minlength=len(found) * self.dim).reshape(len(found), self.dim)
 
     def __call__(self, texts: list[str]) -> list:
-        out = []
-        for t in texts:
-            if t is None:
-                out.append(None)
-                continue
-            toks = [w.lower() for w in self._word.findall(t)]
-            idx = [self._bucket(w) for w in toks]
-            v = np.bincount(np.asarray(idx, dtype=np.int64), minlength=self.dim).astype(np.float64)
-            n = np.sqrt((v * v).sum())
-            out.append((v / n if n > 0 else v).astype(np.float32).tolist())
-        return out
+        v = self.counts(texts).astype(np.float64)
+        n = np.sqrt((v * v).sum(axis=1, keepdims=True))
+        v = np.divide(v, n, out=v, where=n > 0).astype(np.float32).tolist()
+        return [None if t is None else x for t, x in zip(texts, v)]
 
 
 def _embed_slice(fn: EmbedFn, texts: list[str], attempts: int, min_wait: float,
@@ -175,8 +201,43 @@ def dense_vectors(buckets: DataFrame, id_cols: list[str], dim: int, out_col: str
 
 def hashing_vectors(df: DataFrame, id_cols: list[str], text_col: str = "text", dim: int = 64,
                     out_col: str = "vector") -> DataFrame:
-    """Dense hashing vectors per row, natively."""
-    return dense_vectors(hashing_buckets(df, id_cols, text_col, dim), id_cols, dim, out_col)
+    """Dense hashing vectors of all rows with a word, one for each id: the words of rows of one id count together.
+
+    A row's words are counted where it lies, so that one row of ``dim`` counts and not each word
+    or bucket goes through the exchange that adds up the rows of an id. Vectors of
+    more than ``WIDEST`` values are made of the long format.
+    """
+    if dim > WIDEST:
+        return dense_vectors(hashing_buckets(df, id_cols, text_col, dim), id_cols, dim, out_col)
+    counts = bucket_counts(df, id_cols, text_col, dim).groupBy(*id_cols).agg(
+        *[F.sum(F.get("__counts", F.lit(i))).alias(f"__n{i}") for i in range(dim)])
+    norm = F.sqrt(reduce(add, [F.col(f"__n{i}") * F.col(f"__n{i}") for i in range(dim)]))
+    return (counts.withColumn("__norm", norm)
+            .select(*id_cols, F.array(*[F.col(f"__n{i}") / F.col("__norm") for i in range(dim)]).alias(out_col)))
+
+
+#: counts that one aggregation holds as columns
+WIDEST = 128
+
+
+def bucket_counts(df: DataFrame, id_cols: list[str], text_col: str = "text", dim: int = 64) -> DataFrame:
+    """``id_cols, __counts`` (array<int>, words in each bucket) of every row with a word."""
+    from corpusflow.operators.chunking import ensure_parallelism, slices
+    rows = ensure_parallelism(df).select(*id_cols, F.col(text_col).cast("string").alias("__text")).where("__text <> ''")
+    schema = T.StructType([*rows.schema.fields[:-1], T.StructField("__counts", T.ArrayType(T.IntegerType()))])
+    embedder = HashingEmbedder(dim)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in slices(batch.column(len(id_cols))):
+                part = batch.slice(a, b - a)
+                counts = embedder.counts(part.column(len(id_cols)).to_pylist())
+                kept = np.nonzero(counts.any(axis=1))[0]
+                flat = pa.array(counts[kept].ravel(), pa.int32())
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(kept) + 1) * dim, pa.int32()), flat)
+                yield pa.RecordBatch.from_arrays([*(part.column(i).take(pa.array(kept)) for i in range(len(id_cols))), lists], names=schema.names)
+
+    return rows.mapInArrow(run, schema)
 
 
 def attach_precomputed(df: DataFrame, vectors: DataFrame, key: str | list[str],

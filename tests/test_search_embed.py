@@ -234,3 +234,18 @@ def test_hybrid_ranks_the_points_with_all_words(spark, mode):
     assert "Join" not in S.hybrid_search(P, Q, "name", 5, mode=mode)._jdf.queryExecution().executedPlan().toString()
     assert S.hybrid_search(P, Q.where("query_id = 'q6'"), "name", 5, mode=mode).count() == 0
     assert S.hybrid_search(P.limit(0), Q, "name", 5, mode=mode).count() == 0
+
+
+def test_hashing_vectors_of_repeated_ids(spark):
+    """One vector for each id, null too, as of the long format; no word and no bucket is a row of the plan."""
+    rows = [(1, "One two two \u00dcber \u03a3\u03a3 x2"), (1, "three one"), (2, ""), (3, None), (4, ", ."), (None, "a b"), (None, "B c"), (5, "\u6f22\u5b57 \u0130a")]
+    df = spark.createDataFrame(rows, "id long, text string")
+    got = EM.hashing_vectors(df, ["id"], "text", 16)
+    want = EM.dense_vectors(EM.hashing_buckets(df, ["id"], "text", 16), ["id"], 16)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect())) and got.count() == 3
+    assert "Generate" not in got._jdf.queryExecution().optimizedPlan().toString()
+    embed = EM.HashingEmbedder(16)
+    for c in range(256):
+        assert embed.words(f"a{chr(c)}b") == embed._word.findall(f"a{chr(c)}b")
+    wide = EM.hashing_vectors(df, ["id"], "text", EM.WIDEST + 1).collect()
+    assert len(wide) == 3 and all(len(r.vector) == EM.WIDEST + 1 for r in wide)
