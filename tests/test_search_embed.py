@@ -249,3 +249,25 @@ def test_hashing_vectors_of_repeated_ids(spark):
         assert embed.words(f"a{chr(c)}b") == embed._word.findall(f"a{chr(c)}b")
     wide = EM.hashing_vectors(df, ["id"], "text", EM.WIDEST + 1).collect()
     assert len(wide) == 3 and all(len(r.vector) == EM.WIDEST + 1 for r in wide)
+
+
+def test_index_in_one_pass(spark, scratch):
+    """An index is written by one job, which tokenises each text once, as segments in the order of the tokens' hashes."""
+    df = spark.createDataFrame([(i, f"the {i % 7} word{i % 5} The") for i in range(200)] + [(500, "the again")], "id long, text string").repartition(4)
+    sc = spark.sparkContext
+    try:
+        sc.setJobGroup("index-in-one-pass", "")
+        TI.write_index(TI.token_rows(df, "id", "text", "word"), f"{scratch}/once")
+        jobs = sc.statusTracker().getJobIdsForGroup("index-in-one-pass")
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        sc.setLocalProperty("spark.job.description", None)
+    index = spark.read.parquet(f"{scratch}/once")
+    by_file: dict = {}
+    for r in index.select(F.input_file_name().alias("f"), "token_hash").collect():
+        by_file.setdefault(r.f, []).append(r.token_hash)
+    assert len(by_file) > 1 and all(h == sorted(h) for h in by_file.values()) and index.count() == 602
+    qs = spark.createDataFrame([("a", "the 3 word2"), ("b", "again the")], "query_id string, text string")
+    got = sorted(map(tuple, TI.token_search(spark, f"{scratch}/once", qs).collect()))
+    assert got == [("a", i) for i in range(200) if i % 7 == 3 and i % 5 == 2] + [("b", 500)]
+    assert len(jobs) <= 2  # an adaptive plan counts the exchange of the test's own rows as a job
