@@ -18,6 +18,7 @@ import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from math import ceil
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -94,24 +95,29 @@ def _by_size(items, sizes) -> list[int]:
     return sorted(items, key=lambda i: (-sizes[i], i))
 
 
+def _fills(bins, sizes) -> list[int]:
+    return [sum(map(sizes.__getitem__, b)) for b in bins]
+
+
 def _score(bins, sizes, capacity) -> tuple[int, float]:
     """Fewer bins first, then fuller ones."""
-    return len(bins), -sum(sum(sizes[i] for i in b) ** 2 for b in bins)
+    return len(bins), -sum(f * f for f in _fills(bins, sizes))
 
 
 def crossover(mine, theirs, sizes, capacity: int, rng) -> list[list[int]]:
     """Inject some of their well-filled bins whole, drop my bins they clash with, best-fit what that displaced."""
-    well = [b for b in theirs if sum(sizes[i] for i in b) >= WELL_FILLED * capacity]
+    well = [b for b, f in zip(theirs, _fills(theirs, sizes)) if f >= WELL_FILLED * capacity]
     taken = [b for b in well if rng.random() < 0.5]
     inside = {i for b in taken for i in b}
-    kept = [list(b) for b in mine if not any(i in inside for i in b)]
-    displaced = [i for b in mine if any(i in inside for i in b) for i in b if i not in inside]
+    kept = [b for b in mine if inside.isdisjoint(b)]
+    displaced = [i for b in mine if not inside.isdisjoint(b) for i in b if i not in inside]
     # the worst bins are opened as well, or nothing but the injected bins could change
-    kept.sort(key=lambda b: sum(sizes[i] for i in b))
+    fills = _fills(kept, sizes)
+    order = sorted(range(len(kept)), key=fills.__getitem__)
     loose = min(len(kept), 2 + len(kept) // 50)
-    displaced += [i for b in kept[:loose] for i in b]
-    bins = kept[loose:] + [list(b) for b in taken]
-    room = [capacity - sum(sizes[i] for i in b) for b in bins]
+    displaced += [i for b in order[:loose] for i in kept[b]]
+    bins = [list(kept[b]) for b in order[loose:]] + [list(b) for b in taken]
+    room = [capacity - f for f in [*(fills[b] for b in order[loose:]), *_fills(taken, sizes)]]
     best_fit(_by_size(displaced, sizes), sizes, capacity, bins, room)
     return bins
 
@@ -131,14 +137,16 @@ def evolve(sizes, capacity: int, seeds: list[list[list[int]]], seed: int, popula
         noise += 0.05
         if len(bins) <= bound:
             return bins
-    people.sort(key=lambda p: _score(p, sizes, capacity))
+    # each packing is scored once, when it is made
+    scored = sorted(((_score(p, sizes, capacity), p) for p in people), key=itemgetter(0))
     for _ in range(generations):
-        if len(people[0]) <= bound:
+        if len(scored[0][1]) <= bound:
             break
-        a, b = rng.choice(len(people), 2, replace=False)
-        people += [crossover(people[a], people[b], sizes, capacity, rng), crossover(people[b], people[a], sizes, capacity, rng)]
-        people = sorted(people, key=lambda p: _score(p, sizes, capacity))[:population]
-    return people[0]
+        a, b = (scored[x][1] for x in rng.choice(len(scored), 2, replace=False))
+        children = [crossover(a, b, sizes, capacity, rng), crossover(b, a, sizes, capacity, rng)]
+        scored += [(_score(p, sizes, capacity), p) for p in children]
+        scored = sorted(scored, key=itemgetter(0))[:population]
+    return scored[0][1]
 
 
 def _labels(bins, n: int) -> list[int]:

@@ -19,10 +19,26 @@ _WS = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _HARD = re.compile(f"[{_WS}] (?=[{_WS}])|^ (?=[{_WS}])")
 
 
+class _Pieces(dict):
+    """Ids of pieces by piece, made by ``make`` when first asked for; a full cache is emptied."""
+
+    def __init__(self, make, size: int) -> None:
+        super().__init__()
+        self.make, self.size = make, size
+
+    def __missing__(self, piece: str) -> bytes:
+        found = self.make(piece)
+        if len(piece) <= 64:
+            if len(self) >= self.size:
+                self.clear()
+            self[piece] = found
+        return found
+
+
 class Encoder:
     """``ids(text)`` and ``with_added(text)``: little-endian unsigned 32-bit ids of a text, as bytes."""
 
-    CACHE = 400_000  # entries; a full cache is emptied, so a worker's memory stays bounded
+    CACHE = 400_000  # tokens, and half the pieces; a full cache is emptied, so a worker's memory stays bounded
 
     def __init__(self, path: str) -> None:
         import public_tokenizers
@@ -44,34 +60,23 @@ class Encoder:
         shown = {b: chr(b) for b in plain}
         shown |= {b: chr(256 + i) for i, b in enumerate(x for x in range(256) if x not in shown)}
         self.shown = {b: shown[b] for b in range(256)}
-        self.pieces: dict[str, bytes] = {}
-        self.tokens: dict[str, bytes] = {}
+        self.pieces = _Pieces(self._piece, 2 * self.CACHE)
+        self.tokens = _Pieces(self._merged, self.CACHE)
 
     def _merged(self, token: str) -> bytes:
-        found = self.tokens.get(token)
-        if found is None:
-            if len(self.tokens) >= self.CACHE:
-                self.tokens.clear()
-            # of the printable ASCII characters only the space has a stand-in
-            text = (token.replace(" ", self.shown[32]) if token.isascii() and token.isprintable()
-                    else token.encode().decode("latin-1").translate(self.shown))
-            found = array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
-            if len(token) <= 64:
-                self.tokens[token] = found
-        return found
+        # of the printable ASCII characters only the space has a stand-in
+        text = (token.replace(" ", self.shown[32]) if token.isascii() and token.isprintable()
+                else token.encode().decode("latin-1").translate(self.shown))
+        return array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
 
     def _piece(self, piece: str) -> bytes:
+        if not piece:
+            return b""
         # the pattern's commonest cases: letters alone, or letters and one mark
         body, mark = (piece, "") if piece[-1] not in ",.!?;:" else (piece[:-1], piece[-1])
         if body[1:].isalpha() and (body[0] == " " or body[0].isalpha()):
-            found = self._merged(body) + (self._merged(mark) if mark else b"")
-        else:
-            found = b"".join(map(self._merged, self.pattern.findall(piece)))
-        if len(piece) <= 64:
-            if len(self.pieces) >= self.CACHE:
-                self.pieces.clear()
-            self.pieces[piece] = found
-        return found
+            return self.tokens[body] + (self.tokens[mark] if mark else b"")
+        return b"".join(map(self.tokens.__getitem__, self.pattern.findall(piece)))
 
     def with_added(self, text: str) -> bytes:
         """Ids as ``Tokenizer.encode(text, add_special_tokens=False)`` gives them."""
@@ -83,16 +88,14 @@ class Encoder:
         if not text:
             return b""
         if _HARD.search(text):
-            return b"".join(map(self._merged, self.pattern.findall(text)))
-        parts = text.split(" ")
-        get, make, out = self.pieces.get, self._piece, []
-        first = parts[0]
-        if first:
-            out.append(get(first) or make(first))
-        for p in parts[1:]:
-            p = " " + p
-            out.append(get(p) or make(p))
-        return b"".join(out)
+            return b"".join(map(self.tokens.__getitem__, self.pattern.findall(text)))
+        # each piece but the first keeps the space before it
+        if "\0" in text:
+            first, *rest = text.split(" ")
+            parts = [first, *(" " + p for p in rest)]
+        else:
+            parts = text.replace(" ", "\0 ").split("\0")
+        return b"".join(map(self.pieces.__getitem__, parts))
 
 
 _ENCODERS: dict[str, Encoder] = {}

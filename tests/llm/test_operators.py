@@ -239,6 +239,27 @@ def test_packing(docs, make):
     assert rows_of(packing.packed_documents(make(ODD).limit(0))) == []
 
 
+def test_packings_are_scored_once(monkeypatch):
+    """An island scores each packing when it is made, not again in every generation."""
+    calls, score = [], packing._score
+    monkeypatch.setattr(packing, "_score", lambda *a: calls.append(1) or score(*a))
+    sizes = [341, 342, 343] * 40 + [700, 701] * 20
+    bins = packing.evolve(sizes, 1024, [], 1)
+    assert sorted(i for b in bins for i in b) == list(range(len(sizes)))
+    assert 0 < len(calls) <= packing.POPULATION + 2 * packing.GENERATIONS
+
+
+def test_encoder_with_small_caches():
+    """Ids are the library's while full caches are emptied, of texts with NUL characters too."""
+    from tokenizers import Tokenizer
+    path = tokens.default_path()
+    whole, small = Tokenizer.from_file(path), tokens.Encoder(path)
+    small.pieces.size = small.tokens.size = 3
+    for text in ["", " ", "a", " a", "a ", "a  b", "\0", "a\0 b \0c,", "Don't stop, won't stop. It's 12.5% off!", "\u00e9t\u00e9, \u00df; \n\n x", "a,", ", a ,", "a\tb  \u00a0 c"]:
+        assert small.with_added(text) == np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        assert len(small.pieces) <= 3 and len(small.tokens) <= 3
+
+
 def test_crossover_keeps_every_piece():
     rng = np.random.default_rng(2)
     sizes = rng.integers(1, 1024, 300).tolist()
