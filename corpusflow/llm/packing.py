@@ -47,11 +47,11 @@ def tokenise(docs: DataFrame, tokenizer: str | None = None, end_id: int = 2, cap
     path, end = tokenizer or tokens.default_path(), int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokens.encoder(path).with_added
+        encode = tokens.encoder(path).many
         for batch in batches:
             out: list[list] = [[], [], [], [], [], []]
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                ids = encode(text.as_py() or "") + end
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text"))):
+                ids += end
                 n = len(ids) // 4
                 a, b, piece = 0, n % capacity or capacity, 0
                 if n <= capacity:

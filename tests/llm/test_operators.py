@@ -260,6 +260,40 @@ def test_encoder_with_small_caches():
         assert len(small.pieces) <= 3 and len(small.tokens) <= 3
 
 
+COLUMN = [None, "", " ", "a", " a", "a ", "a  b", "  a", "\n a", "\0", "a\0 b \0c,", "\u0100 a\u0100b", "Don't stop, won't stop. It's 12.5% off!",
+          "\u00e9t\u00e9, \u00df; \n\n x", "a,", ", a ,", ".", "a\tb  \u00a0 c", "x <|endoftext|> y", "<|endoftext|>", "\u4e2d\u6587 \U0001f600!",
+          "z" * 300 + " tail", "wor\u00e8d.\nNext wor\u00e8d", " ".join(f"w{chr(97 + i % 26)}ord{'xyz'[i % 3]}" for i in range(200))]
+
+
+@pytest.mark.parametrize("cache, block, row", [(3, 1, 1), (50, 64, 2), (1_200_000, 8 << 20, 1000)])
+def test_encoder_of_a_column(cache, block, row):
+    """Ids of a column are the library's, whatever fits the cache, a block of texts and a call of the library."""
+    from tokenizers import Tokenizer
+    path = tokens.default_path()
+    whole, some = Tokenizer.from_file(path), tokens.Encoder(path)
+    some.pieces.size, some.BLOCK, some.ROW = cache, block, row
+    want = [np.array(whole.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in COLUMN]
+    for _ in range(2):
+        assert list(some.many(pa.array(COLUMN))) == want
+        assert len(some.pieces) <= cache
+    assert list(some.many(pa.array(COLUMN)[3:9])) == want[3:9]
+    assert list(some.many(pa.array([], pa.string()))) == [] and list(some.many(pa.array([None], pa.string()))) == [b""]
+    some.nul = None  # a vocabulary without an id for NUL
+    some.pieces.clear()
+    assert list(some.many(pa.array(COLUMN[:9] + COLUMN[11:]))) == want[:9] + want[11:]
+
+
+def test_column_merges_unseen_words_together(monkeypatch):
+    """Words of a column are merged by few calls of the library, each word once, none by a call of its own."""
+    some = tokens.Encoder(tokens.default_path())
+    rows, row = [], some._merged_row
+    monkeypatch.setattr(some, "_merged_row", lambda x: rows.append(list(x)) or row(x))
+    monkeypatch.setattr(some, "_merged", lambda token: pytest.fail(f"a call for {token!r}"))
+    texts = ["one two, three two"] * 300 + ["two three one."] * 300
+    assert len(list(some.many(pa.array(texts)))) == 600
+    assert [sorted(r) for r in rows] == [sorted(["one", "two", " two", " three", " one", ",", "."])]
+
+
 def test_crossover_keeps_every_piece():
     rng = np.random.default_rng(2)
     sizes = rng.integers(1, 1024, 300).tolist()
