@@ -49,7 +49,7 @@ def tokenise(docs: DataFrame, tokenizer: str | None = None, end_id: int = 2, cap
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokens.encoder(path).many
         for batch in batches:
-            out: list[list] = [[], [], [], [], [], []]
+            out: list[list] = [[] for _ in range(6 if keep_ids else 5)]
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text"))):
                 ids += end
                 n = len(ids) // 4
@@ -63,8 +63,7 @@ def tokenise(docs: DataFrame, tokenizer: str | None = None, end_id: int = 2, cap
                     a, b, piece = b, b + capacity, piece + 1
             types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
-            n = 6 if keep_ids else 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out[:n], types)], names=names[:n])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=names[:len(out)])
 
     rows = ensure_parallel(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")))
     return rows.mapInArrow(run, PIECES + (", ids binary" if keep_ids else ""))

@@ -6,9 +6,11 @@ published pre-token pattern and only unseen pre-tokens are merged. Ids equal
 those of encoding the text as a whole (tests/llm checks this). ``with_added``
 first cuts a text at the tokenizer's added tokens, as the library does by default;
 ``ids`` takes their strings for ordinary text. ``many`` is ``with_added`` of a
-column: Arrow cuts a few megabytes of texts at a time, only their distinct pieces
-are looked up, unseen pre-tokens go to the library a thousand a call, and the
-ids are laid out by the pieces' numbers.
+column: a few megabytes of texts are cut at a time, at spaces and wherever two bytes
+show that a pre-token ends, only their distinct pieces are looked up, unseen
+pre-tokens go to the library a thousand a call, and the ids are laid out by the
+pieces' numbers. Arrow's unused memory is given back after each of these blocks: a
+worker that is kept for other work holds little besides the cache.
 """
 
 from __future__ import annotations
@@ -16,20 +18,57 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain, islice, pairwise
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from corpusflow.llm.texthash import text_buffer
+
 BYTES_PER_ID = 4
 _WS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: white space on both sides of a space: such a text is cut by the pattern as a whole
 _HARD = re.compile(f"[{_WS}] (?=[{_WS}])|^ (?=[{_WS}])")
-#: the same for Arrow, and NUL, which ``many`` cuts at
+#: the same for Arrow, and NUL, which parts pre-tokens in a row
 _ODD = rf"(?:\A|[{_WS}]) [{_WS}]|\x00"
 
+# kinds of bytes for ``_piece_starts``; of other bytes nothing is known
+_OTHER, _LETTER, _DIGIT, _MARK, _QUOTE, _LINE, _SPACE = range(7)
+_KIND = np.zeros(256, np.uint8)
+for _c in range(33, 127):
+    _KIND[_c] = _LETTER if chr(_c).isalpha() else _DIGIT if chr(_c).isdigit() else _QUOTE if _c == 39 else _MARK
+_KIND[9:14], _KIND[32] = _LINE, _SPACE
+_LATIN = np.zeros(256, bool)  # second bytes of U+00C0 to U+00FF that are letters
+_LATIN[0x80:0xC0] = True
+_LATIN[[0x97, 0xB7]] = False
+#: _ENDS[8 * a + b]: a pre-token ends between bytes of the kinds a and b, whatever else is in the text
+_ENDS = np.zeros(64, bool)
+for _a, _after in ((_LETTER, (_DIGIT, _MARK, _QUOTE, _LINE)), (_DIGIT, (_LETTER, _MARK, _QUOTE, _LINE)), (_MARK, (_LETTER, _DIGIT, _LINE))):
+    _ENDS[[8 * _a + _b for _b in _after]] = True
+_SOLID = np.isin(np.arange(7), (_LETTER, _DIGIT, _MARK, _QUOTE))
+
+
+def _piece_starts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """First bytes of the pieces of texts that lie end to end (UTF-8, ``offsets`` their bounds).
+
+    A cut between two pre-tokens leaves both sides' pre-tokens as they are. Before a
+    space that holds but for the texts of ``_HARD``. Letters, digits and marks end where
+    another of these or a line break follows, but an apostrophe may be of a contraction.
+    A single line break between two of them is a pre-token.
+    """
+    kind = _KIND[raw]
+    latin = np.flatnonzero(raw[:-1] == 0xC3) + 1
+    kind[latin[_LATIN[raw[latin]]]] = _LETTER
+    first = np.zeros(len(raw) + 1, bool)
+    first[1:-1] = _ENDS[8 * kind[:-1] + kind[1:]]
+    first[:-1] |= kind == _SPACE
+    line = np.flatnonzero(kind[1:-1] == _LINE) + 1
+    first[line[_SOLID[kind[line - 1]] & _SOLID[kind[line + 1]]] + 1] = True
+    first[offsets] = True
+    return np.flatnonzero(first[:-1])
+
 
 class _Pieces(dict):
     """Ids of pieces by piece, made by ``make`` when first asked for; a full cache is emptied."""
@@ -46,19 +85,21 @@ class _Pieces(dict):
             self[piece] = found
         return found
 
-    def add(self, found: dict[str, bytes]) -> None:
-        """Keep what was made elsewhere, under the same bounds."""
+    def add(self, found: dict[str, bytes], used: Iterable[tuple[str, bytes]]) -> None:
+        """Keep what was made elsewhere, under the same bounds; of a full cache the pieces ``used`` just now stay, if there is room."""
         if max(map(len, found), default=0) > 64 or len(found) > self.size:
             found = dict(islice(((p, x) for p, x in found.items() if len(p) <= 64), self.size))
         if len(self) + len(found) > self.size:
+            kept = dict(islice(used, self.size - len(found)))
             self.clear()
+            self.update(kept)
         self.update(found)
 
 
 class Encoder:
     """``ids(text)`` and ``with_added(text)``: little-endian unsigned 32-bit ids of a text, as bytes."""
 
-    CACHE = 1_200_000  # pieces and pre-tokens; a full cache is emptied, so a worker's memory stays bounded
+    CACHE = 300_000  # pieces and pre-tokens; a full cache is emptied, so a worker's memory stays bounded
     ROW = 1000  # unseen pre-tokens of a call of the library
     BLOCK = 8 << 20  # bytes of texts that ``many`` cuts at a time; a longer text is a block of its own
 
@@ -135,7 +176,7 @@ class Encoder:
         unseen = list(dict.fromkeys(chain(whole, parts)))
         made = dict(zip(unseen, self._merged_row(unseen)))
         made |= {p: b"".join([made[t] if t in made else self.pieces[t] for t in cut]) for p, cut in cuts.items()}
-        self.pieces.add(made)
+        self.pieces.add(made, (h for h in zip(pieces, found) if h[1] is not None))
         return [made[p] if x is None else x for p, x in zip(pieces, found)]
 
     def with_added(self, text: str) -> bytes:
@@ -164,15 +205,18 @@ class Encoder:
         block = (np.cumsum(size) - size) // self.BLOCK
         for a, b in pairwise([0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(texts)]):
             yield from self._block(texts.slice(a, b - a))
+            pa.default_memory_pool().release_unused()
 
     def _block(self, texts: pa.Array) -> Iterator[bytes]:
         odd = pc.match_substring_regex(texts, self.odd)
-        cut = pc.split_pattern(pc.replace_substring(texts.filter(pc.invert(odd)), " ", "\0 "), "\0")
-        found = cut.flatten().dictionary_encode()
+        raw, offsets = text_buffer(texts.filter(pc.invert(odd)))
+        starts = _piece_starts(raw, offsets)
+        bounds = pa.py_buffer(np.append(starts, len(raw)))
+        found = pa.LargeStringArray.from_buffers(len(starts), bounds, pa.py_buffer(raw)).dictionary_encode()
         made = pa.array(self._pieces_row(found.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary())
         ids = made.take(found.indices)
         # the ids of a text lie end to end in the pieces' values
-        ends = np.frombuffer(ids.buffers()[1], np.int64)[cut.offsets.to_numpy()].tolist()
+        ends = np.frombuffer(ids.buffers()[1], np.int64)[np.searchsorted(starts, offsets)].tolist()
         values, spans = memoryview(ids.buffers()[2] or b""), pairwise(ends)
         for text, is_odd in zip(texts, odd.to_pylist()):
             if is_odd:
