@@ -13,6 +13,10 @@ the vector on these parts, and two such words share one exactly. Words of equal
 are signed for k = 2, words whose lengths differ by one for k = 1. An equi-join on
 signatures finds every near pair; pairs are tested as they are formed, by the distance
 of their folded vectors and then letter by letter, so only near pairs leave the join.
+
+Every join here merges sorted rows and broadcasts neither side. Spark goes by the size of
+the staged files: a word there takes a few bytes, but it has 23 signatures, and rows in
+memory are wider than compressed ones.
 """
 
 from __future__ import annotations
@@ -31,6 +35,8 @@ from corpusflow.llm.common import ensure_parallel, stage, text_or_empty, unstage
 MIN_LENGTH, MIN_COUNT, RATIO = 6, 5, 5
 #: parts of the dimensions for words of equal length (all but two are signed) and of lengths one apart (all but one)
 SAME_PARTS, APART_PARTS = 6, 4
+#: how all joins are done: no table of words is small for good
+JOIN = "merge"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Every 199th (document, run) pair, by CRC-32, loses a code point (a fixed value of the stated edit).
 EDIT_EVERY = 199
@@ -119,7 +125,7 @@ def near_pairs(counts: DataFrame) -> DataFrame:
     # only a pair whose vectors are near is compared letter by letter
     ordered = (F.col("a.role") == 1) | (F.col("a.word") < F.col("b.word"))
     near = F.when(meet, ordered & (F.levenshtein("a.word", "b.word", 1) == 1)).otherwise(False)
-    pairs = a.join(b, (F.col("a.signature") == F.col("b.signature")) & near)
+    pairs = a.join(b.hint(JOIN), (F.col("a.signature") == F.col("b.signature")) & near)
     return pairs.select(F.col("a.word").alias("a"), F.col("a.n").alias("na"), F.col("b.word").alias("b"), F.col("b.n").alias("nb")).distinct()
 
 
@@ -145,12 +151,12 @@ def variant_groups(counts: DataFrame, ratio: int = RATIO) -> DataFrame:
     best = (near.select(ways.alias("w")).select("w.*").groupBy("word")
             .agg(F.count("*").alias("n_near"), F.min(F.struct((-F.col("m")).alias("m"), "other")).alias("best")))
     enough = -F.col("best.m") >= ratio * F.col("n")
-    formed, _ = stage(words.join(best, "word", "left").select(
+    formed, _ = stage(words.join(best.hint(JOIN), "word", "left").select(
         "word", "n", F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"),
         F.when(enough, F.col("best.other")).alias("form"), F.when(enough, -F.col("best.m")).alias("form_n")), "formed")
     unstage(spark, words_path, near_path)
     roots = _roots(formed.where("form is not null").select("word", "form"))
-    return formed.join(roots, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    return formed.join(roots.hint(JOIN), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 
 def _roots(links: DataFrame) -> DataFrame:
@@ -159,8 +165,8 @@ def _roots(links: DataFrame) -> DataFrame:
     reached, path = stage(links.select("word", F.col("form").alias("root")), "roots")
     while True:
         hop = reached.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        now, now_path = stage(reached.join(hop, "root", "left").select("word", F.coalesce("next", "root").alias("root"),
-                                                                       F.col("next").isNotNull().alias("moved")), "roots")
+        now, now_path = stage(reached.join(hop.hint(JOIN), "root", "left").select("word", F.coalesce("next", "root").alias("root"),
+                                                                                  F.col("next").isNotNull().alias("moved")), "roots")
         moved = now.where("moved").limit(1).count()
         unstage(spark, path)
         reached, path = now.drop("moved"), now_path
