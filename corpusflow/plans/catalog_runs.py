@@ -12,7 +12,7 @@ from corpusflow.plans import fixtures as FX
 from corpusflow.plans import ingest_run as IR
 from corpusflow.plans import jobs as J
 from corpusflow.plans.catalog import query
-from corpusflow.session import scratch_path
+from corpusflow.session import scratch_path, write_table
 from corpusflow.sources.run_store import RunStore
 
 LONG = 6000
@@ -33,7 +33,9 @@ SQL_SQUEEZED = r"md5(regexp_replace({t}, '[ \t\n\r\f]+', '', 'g'))"
 def per_file(points: DataFrame, *by: str) -> DataFrame:
     """Per file whether pages count from 1 without holes and ids differ, and its text without white space."""
     text = F.concat_ws("", F.transform(F.array_sort(F.collect_list(F.struct("page_number", "pagecontent"))), lambda x: x["pagecontent"]))
-    whole = (F.count("*") == F.max("page_number")) & (F.count_distinct("id") == F.count("*")) & (F.count_distinct("page_number") == F.count("*"))
+    # counted in lists, as distinct aggregates would exchange the texts twice
+    ids, pages = (F.size(F.array_distinct(F.collect_list(c))) for c in ("id", "page_number"))
+    whole = (F.count("*") == F.max("page_number")) & (ids == F.count("*")) & (pages == F.count("*"))
     return points.groupBy(*by).agg(whole.alias("pages_whole"), squeezed(text).alias("text_md5"))
 
 
@@ -212,9 +214,14 @@ def collection_rebuild(spark, d):
     files = FX.fx_files(spark, d).select(F.col("object_key").alias("key"), "text")
     IR.ingest(store, files, embed=EM.HashingEmbedder(16), name_embed=EM.HashingEmbedder(8), chunk_tokens=200)
     IR.rebuild(store, "content-24", EM.HashingEmbedder(24), "hashing-24", chunk_tokens=100)
-    both = [per_file(store.points(c).withColumn("dim", F.size("vector")), "dim", "file", "file_hash").withColumn("collection", F.lit(c))
-            for c in ("content", "content-24")]
-    return both[0].unionByName(both[1])
+    # the texts of one collection's files are exchanged in two parts, so that the disk holds the shuffle files of one part at a time
+    out = scratch_path(spark, f"per-file-{uuid.uuid4().hex[:12]}")
+    for c in ("content", "content-24"):
+        points = store.points(c).withColumn("dim", F.size("vector"))
+        for part in range(2):
+            some = points.where(F.pmod(F.xxhash64("file"), F.lit(2)) == part)
+            write_table(per_file(some, "dim", "file", "file_hash").withColumn("collection", F.lit(c)), f"{out}/{c}-{part}")
+    return spark.read.parquet(*[f"{out}/{c}-{part}" for c in ("content", "content-24") for part in range(2)])
 
 
 # ------------------------------------------------------------------ the texts that the jobs' points hold

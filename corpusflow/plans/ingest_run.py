@@ -32,7 +32,7 @@ from corpusflow.operators import convert as CV
 from corpusflow.operators import dedup as DD
 from corpusflow.operators import embedding as EM
 from corpusflow.operators import points as PT
-from corpusflow.session import remove_path, scratch_path
+from corpusflow.session import remove_path, scratch_path, write_table
 from corpusflow.sources.run_store import Run, RunStore
 
 # The failure stages of the failed ledger, in the order a file passes them, and their messages.
@@ -75,7 +75,7 @@ def ingest(store: RunStore, files: DataFrame, run_id: str | None = None, convert
     scratch = scratch_path(spark, f"ingest-{run.id}-{run.seq}")
 
     def staged(name: str, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{scratch}/{name}")
+        write_table(df, f"{scratch}/{name}")
         return spark.read.schema(df.schema).parquet(f"{scratch}/{name}")
 
     listing = staged("listing", files.select("key", "hash"))
@@ -84,7 +84,9 @@ def ingest(store: RunStore, files: DataFrame, run_id: str | None = None, convert
     decided = staged("decided", _decide(store, listing, collection, force))
 
     # conversion of the files to process, kept as the run's markdown; texts go through one exchange, dealt out evenly
-    todo = _spread(files.join(decided.where("state = 'process'").select("key"), "key", "left_semi"))
+    if decided.where("state <> 'process'").limit(1).count():
+        files = files.join(decided.where("state = 'process'").select("key"), "key", "left_semi")
+    todo = _spread(files)
     made = (CV.convert_with(todo, convert, "content", "key", keep=("hash",)) if convert else
             todo.select("key", "hash", F.col("text").alias("markdown"), F.lit(None).cast("string").alias("error")))
     markdown = store.write(run, "markdown", made.select(
@@ -110,7 +112,10 @@ def ingest(store: RunStore, files: DataFrame, run_id: str | None = None, convert
     done = state.where("state = 'processed'").select("key")
     if id_scope == "name":  # of files of one base name the last one's points stay
         done = done.groupBy(P.basename("key").alias("name")).agg(F.max("key").alias("key")).select("key")
-    content = embedded.where("vector is not null").join(done, "key", "left_semi")
+    content = embedded.where("vector is not null")
+    # chunks are joined, and so exchanged, only if some file with vectors is not done
+    if made_of.where("n_vectors > 0").join(done, "key", "left_anti").limit(1).count():
+        content = content.join(done, "key", "left_semi")
     store.create_collection(collection, _dim(embed))
     store.create_collection(name_collection, _dim(name_embed))
     points = PT.content_points(content, id_scope=id_scope, keep=("key",))
@@ -221,7 +226,7 @@ def rebuild(store: RunStore, collection: str, embed: EM.EmbedFn, model: str, run
     markdown = store.markdown()
     texts = _spread(markdown.select("key", P.basename("key").alias("filename"), F.col("hash").alias("file_hash"), "text"))
     chunks = CH.chunk_documents(texts, keep=("key", "file_hash"), chunk_tokens=chunk_tokens, overlap_tokens=overlap_tokens)
-    EM.batch_embed(chunks, embed, "text", _CHUNK, batch_size, **retry).write.mode("overwrite").parquet(scratch)
+    write_table(EM.batch_embed(chunks, embed, "text", _CHUNK, batch_size, **retry), scratch)
     embedded = spark.read.parquet(scratch)
     good = embedded.where("vector is not null")
     files = good.select("key").distinct()

@@ -77,6 +77,25 @@ def remove_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+_RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def write_table(df: DataFrame, path: str) -> None:
+    """Write a table in place of what lies at ``path``.
+
+    The shuffle files of the write go as soon as it is done, as nothing reads them
+    again. Else they stay until the driver happens to collect its garbage, and the
+    disk holds those of a whole run.
+    """
+    spark = df.sparkSession
+    before = spark.conf.get(_RELEASE)
+    spark.conf.set(_RELEASE, "true")
+    try:
+        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_RELEASE, before)
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -12,6 +12,9 @@ Points are appended, never rewritten. The table ``files`` says which files a run
 wrote to which collection; a file's points are those of the latest run that wrote it,
 so a file that got shorter keeps none of its old chunks, and a run costs as much as its
 own rows whatever the collection holds.
+
+Points and markdown are by far the largest rows. They are joined, and so exchanged, only
+where small columns have shown that some of them are to go.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusflow.session import remove_path, scratch_path, write_table
 from corpusflow.sources import collections as C
 from corpusflow.sources.ledgers import SCHEMAS, _exists, conform
 
@@ -76,7 +80,7 @@ class RunStore:
     def write(self, run: Run, table: str, rows: DataFrame) -> DataFrame:
         """Write the run's rows of a table, in place of any the run wrote before; the rows as read back."""
         path = f"{self.root}/{table}/run={run.id}"
-        rows.write.mode("overwrite").parquet(path)
+        write_table(rows, path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
     def _folder(self, table: str, schema: T.StructType) -> DataFrame:
@@ -101,9 +105,11 @@ class RunStore:
 
     def markdown(self) -> DataFrame:
         """``key, markdown_key, hash, text``: the latest conversion of each key."""
-        rows = self.table("markdown", _fields(MARKDOWN)).where("text is not null")
-        latest = rows.groupBy("key").agg(F.max("seq").alias("seq"))
-        return rows.join(latest, ["key", "seq"]).select("key", "markdown_key", "hash", "text")
+        rows = self.table("markdown", _fields(MARKDOWN)).where("text is not null and key is not null")
+        if _some(_seqs(rows, "key").where("first < last")):
+            latest = rows.groupBy("key").agg(F.max("seq").alias("seq"))
+            rows = rows.join(latest, ["key", "seq"])
+        return rows.select("key", "markdown_key", "hash", "text")
 
     # --- collections
 
@@ -119,9 +125,15 @@ class RunStore:
 
         Of points with equal ids in one run the one of the last file stays.
         """
-        points = conform_to(points, _fields(POINTS))
-        last = points.groupBy("id").agg(F.max("file").alias("file"))
-        held = self.write(run, f"points/{collection}/data", points.join(last, ["id", "file"], "left_semi"))
+        points = conform_to(points, _fields(POINTS)).where("id is not null and file is not null")
+        ids = points.groupBy("id").agg(F.min("file").alias("first"), F.max("file").alias("last"))
+        scratch = scratch_path(self.spark, f"shared-ids-{uuid.uuid4().hex}")
+        write_table(ids.where("first < last").select("id", "last"), scratch)
+        shared = self.spark.read.parquet(scratch)
+        if _some(shared):
+            points = points.join(shared.hint("merge"), "id", "left").where("last is null or file = last").drop("last")
+        held = self.write(run, f"points/{collection}/data", points)
+        remove_path(self.spark, scratch)
         self.replace_files(run, collection, held.groupBy("file").agg(
             F.min("file_hash").alias("file_hash"), F.count("*").alias("n_points")))
 
@@ -146,16 +158,27 @@ class RunStore:
         points are joined with, and a file with very many points stays spread.
         """
         rows = self._files_of(collection)
-        latest = rows.groupBy("file").agg(F.max("seq").alias("last"))
-        old = rows.join(latest, "file").where("seq < last").select("file", "run")
-        return self.table(f"points/{collection}/data", _fields(POINTS)).join(old, ["file", "run"], "left_anti").select(
-            *_fields(POINTS).names, "run", "seq")
+        points = self.table(f"points/{collection}/data", _fields(POINTS))
+        replaced = _seqs(rows, "file").where("first < last")
+        if _some(replaced):
+            old = rows.join(replaced, "file").where("seq < last").select("file", "run")
+            points = points.join(old, ["file", "run"], "left_anti")
+        return points.select(*_fields(POINTS).names, "run", "seq")
 
     def resident(self, collection: str) -> DataFrame:
         """``file_hash, collection_name`` of the files a collection holds (O-43)."""
         return self.files(collection).select("file_hash", F.lit(collection).alias("collection_name"))
 
 
+def _seqs(rows: DataFrame, key: str) -> DataFrame:
+    """The first and last run that has each key."""
+    return rows.groupBy(key).agg(F.min("seq").alias("first"), F.max("seq").alias("last"))
+
+
+def _some(rows: DataFrame) -> bool:
+    return bool(rows.limit(1).count())
+
+
 def _fields(ddl: str) -> T.StructType:
     return T.StructType.fromDDL(ddl)
 
